@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.codec import decode_orders, encode_orders
-from ..operators.dedup import first_arrival
+from ..operators.dedup import EXACT, first_arrival
 from ..operators.joins import enrich_orders
 from ..operators.late import late_counts, scrambled_arrival_batch
 from ..operators.totals import active_users, batch_deltas, totals
@@ -21,6 +21,9 @@ from ..operators.windows import window_gmv
 from ..schemas import DIM_SAMPLE_IDS, MONEY, TOP_K
 from ..sources.dimension import key_violations, sku_catalogue, sku_dimension
 from ..sources.tables import orders, orders_from_events, read_table
+from ..session import ensure_checkpoint_dir
+from ..streaming.pipeline import PipelineConfig
+from ..streaming.replay import replay
 from . import views
 
 # Events per arrival batch when a table is replayed as micro-batches
@@ -149,6 +152,23 @@ def q_late_orders(spark, sf):
     return late_counts(arrivals, "batch")
 
 
+def q_window_store(spark, sf):
+    """Stream the orders (1000 events per micro-batch) into the window ledger; read it back.
+
+    Runs the streaming window query for real: file-stream source, watermark,
+    exact dedup, stream-static join, update-mode sliding window, batch-keyed
+    ledger sink.  The served value per (window, category) is the newest batch's.
+    """
+    ensure_checkpoint_dir(spark)
+    raw = _orders_with_event_id(spark, sf).withColumn(
+        "event_time", F.col("event_time").cast("timestamp")
+    )
+    batch = F.floor(F.col("_eid") / ROWS_PER_BATCH).cast("bigint")
+    cfg = PipelineConfig(name="window_store", dedup_mode=EXACT)
+    pipe = replay(spark, raw, batch, sku_dimension(spark, sf), cfg)
+    return views.window_store(pipe.ledger.window_rows(spark))
+
+
 # -- serving views -----------------------------------------------------------------
 def q_overview(spark, sf):
     return views.overview(_dedup(spark, sf))
@@ -250,6 +270,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dedup_orders": q_dedup_orders,
     "enrich_orders": q_enrich_orders,
     "window_gmv": q_window_gmv,
+    "window_store": q_window_store,
     "totals_all": q_totals_all,
     "totals_daily": q_totals_daily,
     "dau_all": q_dau_all,

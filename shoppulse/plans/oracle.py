@@ -200,6 +200,8 @@ FROM raw_orders""",
 SELECT order_id, user_id, sku_id, CAST(amount AS DOUBLE) AS amount, event_time, category
 FROM enriched""",
     "window_gmv": FULL + " SELECT window_start, window_end, category, gmv, order_cnt FROM win",
+    "window_store": FULL
+    + " SELECT 'rt:gmv:cat:' || category AS store_key, category, window_start, gmv FROM points",
     "totals_all": BASE
     + " SELECT CAST(SUM(amount) AS DOUBLE) AS gmv, COUNT(order_id) AS orders FROM dedup",
     "totals_daily": BASE

@@ -5,12 +5,13 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.dedup import WITHIN_WATERMARK, dedup_stream
 from ..operators.joins import enrich_orders
 from ..operators.windows import window_aggregate
-from ..schemas import TRIGGER_INTERVAL, WATERMARK_DELAY, WINDOW_LENGTH, WINDOW_SLIDE
+from ..schemas import MONEY, TRIGGER_INTERVAL, WATERMARK_DELAY, WINDOW_LENGTH, WINDOW_SLIDE
 from ..session import checkpoint_root
 from .ledger import Ledger
 
@@ -51,6 +52,8 @@ def build_queries(orders: DataFrame, dim: DataFrame, cfg: PipelineConfig) -> dic
     Each started query keeps its own watermark, offsets and dedup state, as in
     the reference; the three are not snapshot-consistent with each other.
     """
+    # Money is summed exactly: the topic carries 2-decimal amounts as JSON numbers.
+    orders = orders.withColumn("amount", F.col("amount").try_cast(MONEY))
     dedup = dedup_stream(orders, cfg.dedup_mode, delay=cfg.watermark)
     enriched = enrich_orders(dedup, dim)
     win = window_aggregate(enriched, cfg.window_length, cfg.window_slide)

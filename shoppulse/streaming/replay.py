@@ -51,7 +51,15 @@ def replay(
     batches = stage_arrivals(orders, batch, staged)
     spark.createDataFrame([], "value string").write.mode("overwrite").text(inbox)
     stream = file_order_stream(spark, inbox, max_files_per_trigger=1)
-    pipe = start_pipeline(spark, stream, dim, cfg)
+    # One micro-batch per arrival batch: no extra no-data batches in between
+    # (the next data batch evicts expired state just the same).
+    key = "spark.sql.streaming.noDataMicroBatches.enabled"
+    before = spark.conf.get(key, "true")
+    spark.conf.set(key, "false")
+    try:
+        pipe = start_pipeline(spark, stream, dim, cfg)
+    finally:
+        spark.conf.set(key, before)
     try:
         for b in batches:
             spark.read.text(f"{staged}/batch={b}").coalesce(1).write.mode("append").text(inbox)
