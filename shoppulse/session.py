@@ -43,6 +43,7 @@ def build_session(
     app_name: str = "shoppulse",
     shuffle_partitions: int | None = None,
     checkpoint_dir: str | None = None,
+    extra_conf: dict | None = None,
 ) -> SparkSession:
     """Local/test session.  On a cluster, use the cluster's session + ``configure``."""
     master = master or os.environ.get("SHOPPULSE_MASTER", "local[8]")
@@ -56,7 +57,7 @@ def build_session(
         .config("spark.driver.memory", os.environ.get("SHOPPULSE_DRIVER_MEMORY", "8g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
-    for key, value in RUNTIME_CONF.items():
+    for key, value in {**RUNTIME_CONF, **(extra_conf or {})}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")

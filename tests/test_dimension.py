@@ -1,0 +1,94 @@
+"""Dimension seeding, checks, DDL/catalogue and the JDBC path (embedded Derby, in-process)."""
+
+from pyspark.sql import functions as F
+
+from conftest import SF01
+from shoppulse.operators.joins import bounded_broadcast, enrich_orders
+from shoppulse.schemas import DIM_SAMPLE_IDS
+from shoppulse.sources.dimension import (
+    create_dimension_table,
+    key_violations,
+    read_jdbc_dimension,
+    reload_dimension_table,
+    sku_catalogue,
+    sku_dimension,
+    write_jdbc_dimension,
+)
+from shoppulse.sources.tables import read_table
+
+
+def test_seed_shape(spark):
+    dim = sku_dimension(spark, SF01)
+    stats = dim.agg(F.count("*").alias("n"), F.min("id").alias("lo"), F.max("id").alias("hi")).first()
+    assert (stats["n"], stats["lo"], stats["hi"]) == (200, 1, 200)
+    assert key_violations(dim, ["id"]).count() == 0
+    # every id repeats base row ((id - 1) % 10) + 1
+    base = {r["id"]: r["category"] for r in dim.filter("id <= 10").collect()}
+    for r in dim.filter(F.col("id").isin(*DIM_SAMPLE_IDS)).collect():
+        assert r["category"] == base[(r["id"] - 1) % 10 + 1]
+    per_cat = {r["category"]: r["count"] for r in dim.groupBy("category").count().collect()}
+    assert sum(per_cat.values()) == 200
+    assert all(v % 20 == 0 for v in per_cat.values())
+
+
+def test_key_violations_found_on_conflicting_lines(spark):
+    viol = key_violations(read_table(spark, SF01, "lineitem"), ["l_orderkey", "l_linenumber"])
+    assert viol.count() > 0
+    assert viol.filter("cnt < 2").count() == 0
+
+
+def test_bounded_broadcast(spark):
+    dim = sku_dimension(spark, SF01)
+    _, small = bounded_broadcast(dim, max_rows=200)
+    assert small
+    _, small = bounded_broadcast(dim, max_rows=199)
+    assert not small
+    orders = spark.createDataFrame([("O1", 1, 5, 1.0)], "order_id string, user_id long, sku_id long, amount double")
+    plan_small = enrich_orders(orders, dim)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan_small
+
+
+def test_large_dimension_is_not_broadcast(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        dim = sku_catalogue(read_table(spark, SF01, "part"))
+        orders = spark.createDataFrame([("O1", 1, 5, 1.0)], "order_id string, user_id long, sku_id long, amount double")
+        plan = enrich_orders(orders, dim, max_broadcast_rows=100)._jdf.queryExecution().sparkPlan().toString()
+        assert "BroadcastHashJoin" not in plan
+        assert enrich_orders(orders, dim, max_broadcast_rows=100).count() == 1
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_ddl_truncate_reload_and_catalogue(spark):
+    full = create_dimension_table(spark, "sku_dim_rt", database="mall_rt")
+    dim = sku_dimension(spark, SF01)
+    reload_dimension_table(spark, full, dim)
+    reload_dimension_table(spark, full, dim)  # re-runnable: truncate first
+    assert spark.table(full).count() == 200
+    names = sorted(t.name for t in spark.catalog.listTables("mall_rt"))
+    assert names == ["sku_dim_rt"]
+    cols = [c.name for c in spark.catalog.listColumns(full)]
+    assert cols == ["id", "sku_name", "category", "price"]
+    described = [r["col_name"] for r in spark.sql(f"DESCRIBE {full}").collect()]
+    assert described[:4] == cols
+    shown = [r["tableName"] for r in spark.sql("SHOW TABLES IN mall_rt").collect()]
+    assert shown == ["sku_dim_rt"]
+    spark.sql(f"DROP TABLE IF EXISTS {full}")
+    spark.sql(f"DROP TABLE IF EXISTS {full}")
+    assert spark.catalog.listTables("mall_rt") == []
+
+
+def test_jdbc_round_trip_with_pushdown(spark):
+    url = "jdbc:derby:memory:shoppulse_dim;create=true"
+    props = {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}
+    dim = sku_dimension(spark, SF01)
+    write_jdbc_dimension(dim, url, "SKU_DIM_RT", props, truncate_first=False)
+    write_jdbc_dimension(dim, url, "SKU_DIM_RT", props, truncate_first=True)
+    back = read_jdbc_dimension(spark, url, "SKU_DIM_RT", props, "ID", 1, 200, 4)
+    assert back.rdd.getNumPartitions() == 4
+    assert back.count() == 200
+    lookup = back.filter(F.col("ID").isin(*DIM_SAMPLE_IDS))
+    plan = lookup._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [*In(id," in plan
+    assert sorted(r["id"] for r in lookup.collect()) == sorted(DIM_SAMPLE_IDS)
