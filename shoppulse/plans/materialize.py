@@ -1,0 +1,23 @@
+"""Write an intermediate once to the shared checkpoint folder and read it back.
+
+Used where one plan would otherwise recompute the same expensive subtree in
+several branches (scan -> dedup shuffle -> join -> window shuffle).  The
+written parquet table also cuts the lineage, so a lost executor re-reads
+files instead of recomputing from the raw tables, and its file statistics let
+AQE size the later joins.
+"""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+
+from ..session import checkpoint_root, ensure_checkpoint_dir
+
+
+def materialize(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
+    ensure_checkpoint_dir(spark)
+    path = f"{checkpoint_root(spark)}/materialized/{label}-{uuid.uuid4().hex[:12]}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)

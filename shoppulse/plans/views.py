@@ -56,19 +56,27 @@ def latest_window(points: DataFrame) -> DataFrame:
     )
 
 
-def event_watermark(orders: DataFrame, delay: str = WATERMARK_DELAY) -> DataFrame:
-    """One row, one column: max event time minus the watermark delay."""
-    return orders.agg(
-        (F.date_trunc("millisecond", F.max("event_time")) - F.expr(f"INTERVAL {delay}")).alias("as_of")
-    )
+def event_watermark(orders: DataFrame, delay: str = WATERMARK_DELAY) -> str | None:
+    """Max event time minus the watermark delay (cut to ms), as timestamp text.
 
+    One small aggregate job returning a single value; used as a literal it can
+    be pushed down the plan, unlike a correlated scalar subquery.
+    """
+    row = orders.agg(
+        F.date_format(
+            F.date_trunc("millisecond", F.max("event_time")) - F.expr(f"INTERVAL {delay}"),
+            "yyyy-MM-dd HH:mm:ss.SSSSSS",
+        ).alias("as_of")
+    ).first()
+    return row["as_of"] if row else None
 
-def latest_closed_window(points: DataFrame, as_of: DataFrame) -> DataFrame:
-    """Like ``latest_window`` but only over complete windows (end <= as-of time).
 
-    ``as_of`` is a one-row, one-column frame used as a scalar subquery.
-    """
-    return latest_window(points.filter(F.col("window_end") <= as_of.scalar()))
+def latest_closed_window(points: DataFrame, as_of: str | None) -> DataFrame:
+    """Like ``latest_window`` but only over complete windows (end <= as-of time)."""
+    if as_of is None:
+        return latest_window(points.limit(0))
+    bound = F.lit(as_of).cast(points.schema["window_end"].dataType)
+    return latest_window(points.filter(F.col("window_end") <= bound))
 
 
 def trend_long(points: DataFrame) -> DataFrame:
@@ -181,17 +189,22 @@ def overview(orders: DataFrame) -> DataFrame:
 def kpi_trend(orders: DataFrame, offset_hours: int = 0) -> DataFrame:
     """Overview as it stood at the end of each day, with % change versus the day before.
 
-    Totals are running sums of exact daily decimals; DAU is the running count
-    of users by the day each was first seen.
+    One shuffle reduces orders to (day, user) rows; both the daily totals and
+    each user's first-seen day are read from that (the shared exchange is
+    reused).  Totals are running sums of exact daily decimals; DAU is the
+    running count of users by the day each was first seen.  The running window
+    then orders one row per day.
     """
-    day = business_date(offset_hours=offset_hours)
-    daily = orders.groupBy(day.alias("dt")).agg(
-        F.sum("amount").alias("_gmv_d"), F.count("order_id").alias("_orders_d")
+    user_day = orders.groupBy(
+        business_date(offset_hours=offset_hours).alias("dt"), "user_id"
+    ).agg(F.sum("amount").alias("_gmv"), F.count("order_id").alias("_orders"))
+    daily = user_day.groupBy("dt").agg(
+        F.sum("_gmv").alias("_gmv_d"), F.sum("_orders").alias("_orders_d")
     )
     first_seen = (
-        orders.filter(F.col("user_id").isNotNull())
+        user_day.filter(F.col("user_id").isNotNull())
         .groupBy("user_id")
-        .agg(F.min(day).alias("dt"))
+        .agg(F.min("dt").alias("dt"))
         .groupBy("dt")
         .agg(F.count(F.lit(1)).alias("_new_users"))
     )
@@ -201,8 +214,8 @@ def kpi_trend(orders: DataFrame, offset_hours: int = 0) -> DataFrame:
         .select(
             "dt",
             F.sum(F.coalesce("_gmv_d", F.lit(0))).over(upto).cast("double").alias("gmv"),
-            F.sum(F.coalesce("_orders_d", F.lit(0))).over(upto).alias("orders"),
-            F.sum(F.coalesce("_new_users", F.lit(0))).over(upto).alias("dau"),
+            F.sum(F.coalesce("_orders_d", F.lit(0))).over(upto).cast("bigint").alias("orders"),
+            F.sum(F.coalesce("_new_users", F.lit(0))).over(upto).cast("bigint").alias("dau"),
         )
         .withColumn("aov", safe_div(F.col("gmv"), F.col("orders")))
     )

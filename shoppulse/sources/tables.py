@@ -12,8 +12,17 @@ from ..schemas import MONEY
 DUPLICATE_EVERY = 50
 
 
+# Input tables are immutable: each is defined once per session and reused, so
+# repeated queries skip the file listing and footer reads of a fresh reader.
+_TABLES: dict[tuple[int, str], DataFrame] = {}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark), path)
+    if key not in _TABLES:
+        _TABLES[key] = spark.read.parquet(path)
+    return _TABLES[key]
 
 
 def sku_id_from_props(props: Column) -> Column:
@@ -36,19 +45,18 @@ def orders_from_events(
         if with_duplicates
         else F.lit(1)
     )
-    out = events.select(
+    cols = [
         F.concat(F.lit("O"), F.col("event_id").cast("string")).alias("order_id"),
         F.col("user_id"),
         sku_id_from_props(F.col("props")).alias("sku_id"),
         F.col("value").cast(MONEY).alias("amount"),
         F.col("ts").alias("event_time"),
-        copies.alias("_copies"),
         *keep,
-    )
-    if with_duplicates:
-        out = out.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
-        out = out.drop("_copy")
-    return out.drop("_copies")
+    ]
+    if not with_duplicates:
+        return events.select(*cols)
+    out = events.select(*cols, F.explode(F.sequence(F.lit(1), copies)).alias("_copy"))
+    return out.drop("_copy")
 
 
 def orders(spark: SparkSession, sf_dir: str, with_duplicates: bool = True) -> DataFrame:
