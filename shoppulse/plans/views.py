@@ -111,6 +111,27 @@ def trend_from_arrays(arrays: DataFrame) -> DataFrame:
     ).select("category", "dt", F.col("p.times").alias("time"), F.col("p.values").alias("gmv"))
 
 
+def trend_arrays_last_n(arrays: DataFrame, n: int | None) -> DataFrame:
+    """Keep the last ``n`` entries of each times/values pair (all when n is None)."""
+    if n is None:
+        return arrays
+
+    def tail(col: str):
+        size = F.size(col)
+        return F.when(size > n, F.slice(col, -n, n)).otherwise(F.col(col)).alias(col)
+
+    return arrays.select(*[c for c in arrays.columns if c not in ("times", "values")],
+                         tail("times"), tail("values"))
+
+
+def trend_lookup(arrays: DataFrame) -> DataFrame:
+    """times/values as a map (label -> GMV) per row, for lookups by window label."""
+    return arrays.select(
+        *[c for c in arrays.columns if c not in ("times", "values")],
+        F.map_from_arrays("times", "values").alias("gmv_by_time"),
+    )
+
+
 def trend_aligned(points: DataFrame) -> DataFrame:
     """Every category on the union time axis, null where it has no window.
 
@@ -273,7 +294,11 @@ def metrics_combined(orders: DataFrame, points: DataFrame, last_n: int = 60) ->
         F.map_from_entries(F.collect_list(F.struct("category", "windows"))).alias("m")
     )
     return overview(orders).select(
-        "gmv_total", "order_total", "dau", windows_map.scalar().alias("category_windows")
+        F.unix_millis(F.current_timestamp()).alias("ts"),
+        "gmv_total",
+        "order_total",
+        "dau",
+        windows_map.scalar().alias("category_windows"),
     )
 
 
@@ -290,6 +315,8 @@ __all__ = [
     "overview",
     "trend_aligned",
     "trend_arrays",
+    "trend_arrays_last_n",
+    "trend_lookup",
     "trend_from_arrays",
     "trend_last_n",
     "trend_long",

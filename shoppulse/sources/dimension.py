@@ -106,6 +106,11 @@ def reload_dimension_table(spark: SparkSession, full_name: str, rows: DataFrame)
     rows.select("id", "sku_name", "category", "price").write.insertInto(full_name)
 
 
+def list_tables(spark: SparkSession, database: str) -> DataFrame:
+    """Tables of a database ordered by name (``SHOW TABLES`` as a DataFrame)."""
+    return spark.sql(f"SHOW TABLES IN {database}").select("tableName").orderBy("tableName")
+
+
 def key_violations(df: DataFrame, keys: list[str]) -> DataFrame:
     """Keys that occur more than once (a primary key Spark does not enforce)."""
     return (

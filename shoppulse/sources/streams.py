@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..functions.codec import decode_orders
 from ..schemas import MAX_OFFSETS_PER_TRIGGER
@@ -35,17 +36,50 @@ def kafka_order_stream(
     ``starting_offsets`` only applies to the first start; afterwards the
     checkpoint decides.  Partitions of the topic become parallel tasks.
     """
-    raw = (
+    reader = (
         spark.readStream.format("kafka")
         .option("kafka.bootstrap.servers", bootstrap_servers)
         .option("subscribe", topic)
         .option("startingOffsets", starting_offsets)
         .option("maxOffsetsPerTrigger", str(max_offsets_per_trigger))
-        .load()
     )
+    try:
+        raw = reader.load()
+    except Exception as exc:
+        if "kafka" in str(exc).lower() and "data source" in str(exc).lower():
+            raise KafkaConnectorMissing(
+                "the Spark Kafka connector is not on the class path; add the "
+                "spark-sql-kafka package, or stage order JSON files and use "
+                "file_order_stream"
+            ) from exc
+        raise
     return decode_orders(raw, "value")
 
 
+class KafkaConnectorMissing(RuntimeError):
+    pass
+
+
+def publish_order_stream(orders_stream: DataFrame, path: str, checkpoint: str, trigger: dict | None = None):
+    """Publish a stream of orders as JSON lines (one object per order) to files.
+
+    The file sink is exactly-once with its checkpoint; on a cluster with the
+    connector, ``to_json`` output can go to a topic the same way.
+    """
+    from ..functions.codec import encode_orders
+
+    writer = (
+        encode_orders(orders_stream)
+        .select(F.col("json").alias("value"))
+        .writeStream.format("text")
+        .option("path", path)
+        .option("checkpointLocation", checkpoint)
+    )
+    if trigger:
+        writer = writer.trigger(**trigger)
+    return writer.start()
+
+
 def kafka_publish(orders_json: DataFrame, bootstrap_servers: str, topic: str):
     """Write (order_id, json) rows to a topic (batch); stream frames use writeStream."""
     (

@@ -8,6 +8,7 @@ from shoppulse.schemas import DIM_SAMPLE_IDS
 from shoppulse.sources.dimension import (
     create_dimension_table,
     key_violations,
+    list_tables,
     read_jdbc_dimension,
     reload_dimension_table,
     sku_catalogue,
@@ -74,6 +75,9 @@ def test_ddl_truncate_reload_and_catalogue(spark):
     assert described[:4] == cols
     shown = [r["tableName"] for r in spark.sql("SHOW TABLES IN mall_rt").collect()]
     assert shown == ["sku_dim_rt"]
+    create_dimension_table(spark, "a_first", database="mall_rt")
+    assert [r["tableName"] for r in list_tables(spark, "mall_rt").collect()] == ["a_first", "sku_dim_rt"]
+    spark.sql("DROP TABLE mall_rt.a_first")
     spark.sql(f"DROP TABLE IF EXISTS {full}")
     spark.sql(f"DROP TABLE IF EXISTS {full}")
     assert spark.catalog.listTables("mall_rt") == []

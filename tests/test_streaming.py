@@ -219,3 +219,43 @@ def test_midnight_crossing_keeps_full_window_keys(spark, scratch):
     assert str(latest["window_start"]) == "2024-01-02 00:02:00"
     days = {str(r["dt"]): r["dau"] for r in h.ledger.active_users(spark, by_day=True).collect()}
     assert days == {"2024-01-01": 1, "2024-01-02": 1}
+
+
+def test_progress_reports_late_drops_and_state_eviction(spark, scratch):
+    h = Harness(spark, scratch, dedup_mode=WITHIN_WATERMARK).start()
+    try:
+        h.push([order("P1", "2024-01-01 10:00:00")])
+        h.push([order("P2", "2024-01-01 11:00:00")])
+        h.push([order("P3", "2024-01-01 12:00:00"), order("P0", "2024-01-01 09:00:00")])
+    finally:
+        h.stop()
+    dropped = sum(
+        op.get("numRowsDroppedByWatermark", 0)
+        for p in h.pipe.queries["total"].recentProgress
+        for op in p["stateOperators"]
+    )
+    assert dropped == 1
+    win_ops = [op for p in h.pipe.queries["win"].recentProgress for op in p["stateOperators"]]
+    assert sum(op["numRowsRemoved"] for op in win_ops) > 0  # closed windows leave the state
+
+
+def test_kafka_without_connector_fails_clearly(spark):
+    from shoppulse.sources.streams import KafkaConnectorMissing, kafka_order_stream
+
+    with pytest.raises(KafkaConnectorMissing):
+        kafka_order_stream(spark, "localhost:9092", "order_topic")
+
+
+def test_publish_order_stream_as_json_lines(spark, scratch):
+    from shoppulse.sources.streams import publish_order_stream
+
+    inbox = os.path.join(scratch, "in")
+    os.makedirs(inbox)
+    with open(os.path.join(inbox, "a.json"), "w", encoding="utf-8") as fh:
+        fh.write(json.dumps(order("J1", "2024-01-01 10:00:00"), ensure_ascii=False) + "\n")
+    stream = file_order_stream(spark, inbox)
+    q = publish_order_stream(stream.drop("ts"), os.path.join(scratch, "out"), os.path.join(scratch, "ck"),
+                             {"availableNow": True})
+    q.awaitTermination()
+    (line,) = [r["value"] for r in spark.read.text(os.path.join(scratch, "out")).collect()]
+    assert json.loads(line) == order("J1", "2024-01-01 10:00:00")
