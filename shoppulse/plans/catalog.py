@@ -158,21 +158,43 @@ def q_late_orders(spark, sf):
     return late_counts(arrivals, "batch")
 
 
-def q_window_store(spark, sf):
-    """Stream the orders (1000 events per micro-batch) into the window ledger; read it back.
+# One streaming run per (session, tables): the three ledger views below read the
+# ledgers it wrote (written tables in the shared checkpoint folder).
+_REPLAYS: dict[tuple[int, str], object] = {}
+
+
+def streamed_ledger(spark: SparkSession, sf: str):
+    """Stream the orders (1000 events per micro-batch) through the three queries.
 
-    Runs the streaming window query for real: file-stream source, watermark,
-    exact dedup, stream-static join, update-mode sliding window, batch-keyed
-    ledger sink.  The served value per (window, category) is the newest batch's.
+    Runs the streaming pipeline for real: file-stream source, watermark, exact
+    dedup, stream-static join, update-mode sliding window, batch-keyed ledger
+    sinks for windows, totals and active users.
     """
-    ensure_checkpoint_dir(spark)
-    raw = _orders_with_event_id(spark, sf).withColumn(
-        "event_time", F.col("event_time").cast("timestamp")
-    )
-    batch = F.floor(F.col("_eid") / ROWS_PER_BATCH).cast("bigint")
-    cfg = PipelineConfig(name="window_store", dedup_mode=EXACT)
-    pipe = replay(spark, raw, batch, sku_dimension(spark, sf), cfg)
-    return views.window_store(pipe.ledger.window_rows(spark))
+    key = (id(spark), sf)
+    if key not in _REPLAYS:
+        ensure_checkpoint_dir(spark)
+        raw = _orders_with_event_id(spark, sf).withColumn(
+            "event_time", F.col("event_time").cast("timestamp")
+        )
+        batch = F.floor(F.col("_eid") / ROWS_PER_BATCH).cast("bigint")
+        cfg = PipelineConfig(name="ledger", dedup_mode=EXACT)
+        _REPLAYS[key] = replay(spark, raw, batch, sku_dimension(spark, sf), cfg).ledger
+    return _REPLAYS[key]
+
+
+def q_window_store(spark, sf):
+    """The window hash as served: newest batch's GMV per (window, category)."""
+    return views.window_store(streamed_ledger(spark, sf).window_rows(spark))
+
+
+def q_stream_overview(spark, sf):
+    """Overview read from the totals and users ledgers of the streaming run."""
+    return streamed_ledger(spark, sf).overview(spark).drop("totals_batch_id")
+
+
+def q_stream_dau_daily(spark, sf):
+    """Daily active users read from the users ledger of the streaming run."""
+    return streamed_ledger(spark, sf).active_users(spark, by_day=True)
 
 
 # -- serving views -----------------------------------------------------------------
@@ -277,6 +299,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "enrich_orders": q_enrich_orders,
     "window_gmv": q_window_gmv,
     "window_store": q_window_store,
+    "stream_overview": q_stream_overview,
+    "stream_dau_daily": q_stream_dau_daily,
     "totals_all": q_totals_all,
     "totals_daily": q_totals_daily,
     "dau_all": q_dau_all,

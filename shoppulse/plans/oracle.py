@@ -305,3 +305,7 @@ FROM (
   WHERE event_time IS NOT NULL)
 GROUP BY window_start, category""",
 }
+
+# The streaming ledgers must equal the batch answers.
+SQL["stream_overview"] = SQL["overview"]
+SQL["stream_dau_daily"] = SQL["dau_daily"]
