@@ -148,7 +148,11 @@ def test_crash_after_sink_write_is_replayed_without_double_count(spark, scratch)
     q.awaitTermination()
     tot = ledger.totals(spark).first()
     assert (tot["gmv_total"], tot["order_total"]) == (15.0, 3)
-    assert ledger.read(spark, TOTALS).count() == 3  # batch 1 was overwritten, not appended
+    deltas = ledger.read(spark, TOTALS)
+    # batch 1 was overwritten, not appended: one row per batch id.  (Spark may add
+    # a no-data batch to advance the watermark; its empty delta adds nothing.)
+    assert deltas.groupBy("batch_id").count().filter("count > 1").count() == 0
+    assert deltas.filter("gmv IS NOT NULL").count() == 3
 
 
 @pytest.mark.parametrize("mode,expected", [(EXACT, 3), (WITHIN_WATERMARK, 4)])
