@@ -66,10 +66,19 @@ SCHEMAS = {
 }
 
 
+SNAPSHOT_SCHEMAS = {
+    kind: StructType(schema.fields + [StructField("upto", LongType())])
+    for kind, schema in SCHEMAS.items()
+}
+
+
 @dataclass
 class Ledger:
     root: str
     offset_hours: int = 0
+    # Fold the ledger into a snapshot every N batches (0 = never); reads then
+    # touch one snapshot plus at most N delta folders.
+    compact_every: int = 0
 
     def path(self, kind: str, batch_id: int | None = None) -> str:
         base = f"{self.root.rstrip('/')}/{kind}"
@@ -78,6 +87,8 @@ class Ledger:
     # -- sinks (foreachBatch callbacks) --------------------------------------
     def _write(self, df: DataFrame, kind: str, batch_id: int) -> None:
         df.write.mode("overwrite").parquet(self.path(kind, batch_id))
+        if self.compact_every and batch_id > 0 and batch_id % self.compact_every == 0:
+            self.compact(df.sparkSession, kind, batch_id)
 
     def write_windows(self, batch_df: DataFrame, batch_id: int) -> None:
         """Update-mode window rows of this batch; windows with null GMV are not published."""
@@ -110,20 +121,69 @@ class Ledger:
         self._write(users, USERS, batch_id)
 
     # -- reads -----------------------------------------------------------------
-    def read(self, spark: SparkSession, kind: str) -> DataFrame:
-        schema = SCHEMAS[kind]
+    def _load(self, spark: SparkSession, path: str, schema: StructType) -> DataFrame:
         try:
-            return spark.read.schema(schema).option("basePath", self.path(kind)).parquet(
-                self.path(kind)
-            )
+            return spark.read.schema(schema).option("basePath", path).parquet(path)
         except Exception as exc:  # nothing written yet
             if "PATH_NOT_FOUND" not in str(exc) and "does not exist" not in str(exc):
                 raise
             return spark.createDataFrame([], schema)
 
-    def window_rows(self, spark: SparkSession) -> DataFrame:
-        """Newest row per (window_start, category): the state of the window hash."""
-        rows = self.read(spark, WINDOWS)
+    def snapshot_path(self, kind: str, upto: int | None = None) -> str:
+        base = f"{self.root.rstrip('/')}/{kind}_snapshot"
+        return base if upto is None else f"{base}/upto={upto}"
+
+    def read(self, spark: SparkSession, kind: str) -> DataFrame:
+        """All per-batch deltas of ``kind`` (batch_id is the partition column)."""
+        return self._load(spark, self.path(kind), SCHEMAS[kind])
+
+    def latest_snapshot(self, spark: SparkSession, kind: str, upto: int | None = None) -> int | None:
+        """Greatest compacted batch id (<= ``upto`` if given); one small aggregate."""
+        snaps = self._load(
+            spark, self.snapshot_path(kind), SNAPSHOT_SCHEMAS[kind]
+        ).select("upto").distinct()
+        if upto is not None:
+            snaps = snaps.filter(F.col("upto") <= upto)
+        row = snaps.agg(F.max("upto").alias("m")).first()
+        return None if row is None else row["m"]
+
+    def folded_rows(self, spark: SparkSession, kind: str, upto: int | None = None) -> DataFrame:
+        """Newest snapshot + the deltas after it (older delta folders are pruned, not read)."""
+        snap_id = self.latest_snapshot(spark, kind, upto)
+        deltas = self.read(spark, kind)
+        if upto is not None:
+            deltas = deltas.filter(F.col("batch_id") <= upto)
+        if snap_id is None:
+            return deltas
+        snap = self._load(spark, self.snapshot_path(kind), SNAPSHOT_SCHEMAS[kind])
+        snap = snap.filter(F.col("upto") == snap_id).drop("upto")
+        return snap.unionByName(deltas.filter(F.col("batch_id") > snap_id))
+
+    def compact(self, spark: SparkSession, kind: str, upto: int) -> None:
+        """Fold every batch <= ``upto`` into ``<kind>_snapshot/upto=N`` (idempotent)."""
+        if kind == WINDOWS:
+            folded = self._newest_windows(self.folded_rows(spark, kind, upto))
+        elif kind == TOTALS:
+            folded = (
+                self.folded_rows(spark, kind, upto)
+                .filter(F.col("gmv").isNotNull())
+                .agg(
+                    F.coalesce(F.sum("gmv"), F.lit(0)).cast(DecimalType(28, 2)).alias("gmv"),
+                    F.coalesce(F.sum("orders"), F.lit(0)).cast("bigint").alias("orders"),
+                )
+                .withColumn("batch_id", F.lit(upto).cast("bigint"))
+            )
+        else:
+            folded = (
+                self.folded_rows(spark, kind, upto)
+                .select("dt", "user_id")
+                .distinct()
+                .withColumn("batch_id", F.lit(upto).cast("bigint"))
+            )
+        folded.write.mode("overwrite").parquet(self.snapshot_path(kind, upto))
+
+    @staticmethod
+    def _newest_windows(rows: DataFrame) -> DataFrame:
         newest = rows.groupBy("window_start", "category").agg(
             F.max_by(F.struct("window_end", "gmv", "order_cnt"), "batch_id").alias("r"),
             F.max("batch_id").alias("batch_id"),
@@ -137,8 +197,12 @@ class Ledger:
             "batch_id",
         )
 
+    def window_rows(self, spark: SparkSession) -> DataFrame:
+        """Newest row per (window_start, category): the state of the window hash."""
+        return self._newest_windows(self.folded_rows(spark, WINDOWS))
+
     def totals(self, spark: SparkSession) -> DataFrame:
-        deltas = self.read(spark, TOTALS).filter(F.col("gmv").isNotNull())
+        deltas = self.folded_rows(spark, TOTALS).filter(F.col("gmv").isNotNull())
         return deltas.agg(
             F.coalesce(F.sum("gmv"), F.lit(0)).cast("double").alias("gmv_total"),
             F.coalesce(F.sum("orders"), F.lit(0)).cast("bigint").alias("order_total"),
@@ -146,7 +210,7 @@ class Ledger:
         )
 
     def active_users(self, spark: SparkSession, by_day: bool = False) -> DataFrame:
-        users = self.read(spark, USERS)
+        users = self.folded_rows(spark, USERS)
         if by_day:
             return users.groupBy("dt").agg(F.count_distinct("user_id").alias("dau"))
         return users.agg(F.count_distinct("user_id").alias("dau"))

@@ -25,6 +25,7 @@ class PipelineConfig:
     window_slide: str = WINDOW_SLIDE
     trigger: dict = field(default_factory=lambda: {"processingTime": TRIGGER_INTERVAL})
     offset_hours: int = 0
+    compact_every: int = 100
     root: str | None = None  # shared folder; default <spark.checkpoint.dir>/<name>
 
 
@@ -71,7 +72,7 @@ def start_pipeline(
     """
     cfg = cfg or PipelineConfig()
     root = (cfg.root or f"{checkpoint_root(spark)}/{cfg.name}").rstrip("/")
-    ledger = Ledger(f"{root}/ledger", cfg.offset_hours)
+    ledger = Ledger(f"{root}/ledger", cfg.offset_hours, cfg.compact_every)
     plans = build_queries(orders, dim, cfg)
 
     def start(df: DataFrame, name: str, sink, mode: str) -> StreamingQuery:
