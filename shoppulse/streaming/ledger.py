@@ -33,8 +33,11 @@ from pyspark.sql.types import (
 )
 
 from ..operators.totals import business_date
+from ..operators.windows import window_aggregate
+from ..schemas import WINDOW_LENGTH, WINDOW_SLIDE
 
 WINDOWS = "windows"
+WINDOW_SUMS = "window_sums"
 TOTALS = "totals"
 USERS = "users"
 
@@ -49,6 +52,16 @@ SCHEMAS = {
             StructField("batch_id", LongType()),
         ]
     ),
+    WINDOW_SUMS: StructType(
+        [
+            StructField("window_start", TimestampNTZType()),
+            StructField("window_end", TimestampNTZType()),
+            StructField("category", StringType()),
+            StructField("gmv", DecimalType(28, 2)),
+            StructField("order_cnt", LongType()),
+            StructField("batch_id", LongType()),
+        ]
+    ),
     TOTALS: StructType(
         [
             StructField("gmv", DecimalType(28, 2)),
@@ -66,7 +79,7 @@ SCHEMAS = {
 }
 
 
-SNAPSHOT_SCHEMAS = {
+SNAPSHOT_SCHEMAS = {  # snapshots carry the id they fold up to
     kind: StructType(schema.fields + [StructField("upto", LongType())])
     for kind, schema in SCHEMAS.items()
 }
@@ -79,6 +92,12 @@ class Ledger:
     # Fold the ledger into a snapshot every N batches (0 = never); reads then
     # touch one snapshot plus at most N delta folders.
     compact_every: int = 0
+    # WINDOWS: update-mode rows of a stateful window query (newest batch wins).
+    # WINDOW_SUMS: per-batch partial sums of a stateless window aggregate
+    # (summed on read); used when one query feeds all three ledgers.
+    windows_kind: str = WINDOWS
+    window_length: str = WINDOW_LENGTH
+    window_slide: str = WINDOW_SLIDE
 
     def path(self, kind: str, batch_id: int | None = None) -> str:
         base = f"{self.root.rstrip('/')}/{kind}"
@@ -101,6 +120,27 @@ class Ledger:
         ).filter(F.col("gmv").isNotNull())
         self._write(rows, WINDOWS, batch_id)
 
+    def write_window_sums(self, batch_df: DataFrame, batch_id: int) -> None:
+        """Window partial sums of this batch's (deduplicated, enriched) orders."""
+        sums = window_aggregate(batch_df, self.window_length, self.window_slide).select(
+            F.col("window.start").cast("timestamp_ntz").alias("window_start"),
+            F.col("window.end").cast("timestamp_ntz").alias("window_end"),
+            "category",
+            F.col("gmv_dec").cast(DecimalType(28, 2)).alias("gmv"),
+            "order_cnt",
+        )
+        self._write(sums, WINDOW_SUMS, batch_id)
+
+    def write_all(self, batch_df: DataFrame, batch_id: int) -> None:
+        """One callback for all three ledgers: the batch is computed once, read three times."""
+        batch_df.persist()
+        try:
+            self.write_window_sums(batch_df, batch_id)
+            self.write_totals(batch_df, batch_id)
+            self.write_users(batch_df, batch_id)
+        finally:
+            batch_df.unpersist()
+
     def write_totals(self, batch_df: DataFrame, batch_id: int) -> None:
         """One delta row for the batch (sum and count run on the executors)."""
         delta = batch_df.agg(
@@ -163,6 +203,8 @@ class Ledger:
         """Fold every batch <= ``upto`` into ``<kind>_snapshot/upto=N`` (idempotent)."""
         if kind == WINDOWS:
             folded = self._newest_windows(self.folded_rows(spark, kind, upto))
+        elif kind == WINDOW_SUMS:
+            folded = self._summed_windows(self.folded_rows(spark, kind, upto))
         elif kind == TOTALS:
             folded = (
                 self.folded_rows(spark, kind, upto)
@@ -197,8 +239,22 @@ class Ledger:
             "batch_id",
         )
 
+    @staticmethod
+    def _summed_windows(rows: DataFrame) -> DataFrame:
+        return rows.groupBy("window_start", "category").agg(
+            F.max("window_end").alias("window_end"),
+            F.sum("gmv").cast(DecimalType(28, 2)).alias("gmv"),
+            F.sum("order_cnt").cast("bigint").alias("order_cnt"),
+            F.max("batch_id").alias("batch_id"),
+        ).select("window_start", "window_end", "category", "gmv", "order_cnt", "batch_id")
+
     def window_rows(self, spark: SparkSession) -> DataFrame:
-        """Newest row per (window_start, category): the state of the window hash."""
+        """State of the window hash: one row per (window_start, category), GMV published."""
+        if self.windows_kind == WINDOW_SUMS:
+            summed = self._summed_windows(self.folded_rows(spark, WINDOW_SUMS))
+            return summed.withColumn("gmv", F.col("gmv").cast("double")).filter(
+                F.col("gmv").isNotNull()
+            )
         return self._newest_windows(self.folded_rows(spark, WINDOWS))
 
     def totals(self, spark: SparkSession) -> DataFrame:

@@ -1,4 +1,14 @@
-"""The three streaming queries: windowed GMV, running totals, active users."""
+"""Streaming queries for windowed GMV, running totals and active users.
+
+Two layouts:
+- ``single`` (default): one query - watermark, dedup, stream-static join - whose
+  micro-batch callback writes all three ledgers.  The source is read once, one
+  dedup state is kept, the window GMV needs no state (per-batch partial sums,
+  summed on read), and the three metrics share batch ids, so they are
+  consistent with each other.
+- ``three``: as the reference - an update-mode stateful window query and two
+  append-mode dedup queries, each with its own source offsets and state.
+"""
 
 from __future__ import annotations
 
@@ -13,7 +23,7 @@ from ..operators.joins import enrich_orders
 from ..operators.windows import window_aggregate
 from ..schemas import MONEY, TRIGGER_INTERVAL, WATERMARK_DELAY, WINDOW_LENGTH, WINDOW_SLIDE
 from ..session import checkpoint_root
-from .ledger import Ledger
+from .ledger import WINDOW_SUMS, WINDOWS, Ledger
 
 
 @dataclass
@@ -26,6 +36,7 @@ class PipelineConfig:
     trigger: dict = field(default_factory=lambda: {"processingTime": TRIGGER_INTERVAL})
     offset_hours: int = 0
     compact_every: int = 100
+    layout: str = "single"
     root: str | None = None  # shared folder; default <spark.checkpoint.dir>/<name>
 
 
@@ -58,13 +69,13 @@ def build_queries(orders: DataFrame, dim: DataFrame, cfg: PipelineConfig) -> dic
     dedup = dedup_stream(orders, cfg.dedup_mode, delay=cfg.watermark)
     enriched = enrich_orders(dedup, dim)
     win = window_aggregate(enriched, cfg.window_length, cfg.window_slide)
-    return {"win": win, "dedup": dedup}
+    return {"win": win, "dedup": dedup, "enriched": enriched}
 
 
 def start_pipeline(
     spark: SparkSession, orders: DataFrame, dim: DataFrame, cfg: PipelineConfig | None = None
 ) -> Pipeline:
-    """Start win (update) / total / dau (append) queries into a batch-keyed ledger.
+    """Start the streaming queries into a batch-keyed ledger.
 
     ``orders`` is a streaming frame with order_id, user_id, sku_id, amount
     (any numeric), event_time (TIMESTAMP).  ``dim`` is a static frame, not
@@ -72,7 +83,17 @@ def start_pipeline(
     """
     cfg = cfg or PipelineConfig()
     root = (cfg.root or f"{checkpoint_root(spark)}/{cfg.name}").rstrip("/")
-    ledger = Ledger(f"{root}/ledger", cfg.offset_hours, cfg.compact_every)
+    single = cfg.layout == "single"
+    if cfg.layout not in ("single", "three"):
+        raise ValueError(f"unknown layout {cfg.layout!r}")
+    ledger = Ledger(
+        f"{root}/ledger",
+        cfg.offset_hours,
+        cfg.compact_every,
+        windows_kind=WINDOW_SUMS if single else WINDOWS,
+        window_length=cfg.window_length,
+        window_slide=cfg.window_slide,
+    )
     plans = build_queries(orders, dim, cfg)
 
     def start(df: DataFrame, name: str, sink, mode: str) -> StreamingQuery:
@@ -85,9 +106,12 @@ def start_pipeline(
             .start()
         )
 
-    queries = {
-        "win": start(plans["win"], "win", ledger.write_windows, "update"),
-        "total": start(plans["dedup"], "total", ledger.write_totals, "append"),
-        "dau": start(plans["dedup"], "dau", ledger.write_users, "append"),
-    }
+    if single:
+        queries = {"all": start(plans["enriched"], "all", ledger.write_all, "append")}
+    else:
+        queries = {
+            "win": start(plans["win"], "win", ledger.write_windows, "update"),
+            "total": start(plans["dedup"], "total", ledger.write_totals, "append"),
+            "dau": start(plans["dedup"], "dau", ledger.write_users, "append"),
+        }
     return Pipeline(ledger, queries)

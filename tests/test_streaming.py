@@ -20,6 +20,7 @@ from shoppulse.streaming.pipeline import PipelineConfig, build_queries, start_pi
 from shoppulse.streaming.replay import replay
 
 NO_DATA = "spark.sql.streaming.noDataMicroBatches.enabled"
+LAYOUTS = pytest.mark.parametrize("layout", ["single", "three"])
 
 
 def order(oid, ts, amount=10.0, user=1, sku=1):
@@ -68,13 +69,15 @@ class Harness:
         return self.pipe.ledger
 
 
-def test_replay_equals_batch(spark):
+@LAYOUTS
+def test_replay_equals_batch(spark, layout):
     sf = SF001
     raw = orders_from_events(read_table(spark, sf, "events"), keep=("event_id",))
     raw = raw.withColumn("event_time", F.col("event_time").cast("timestamp"))
     pipe = replay(spark, raw, F.floor(F.col("event_id") / 100).cast("bigint"), sku_dimension(spark, sf),
-                  PipelineConfig(name="eq", dedup_mode=EXACT, compact_every=3))
-    assert pipe.ledger.latest_snapshot(spark, WINDOWS) == 9  # 11 batches, snapshots at 3, 6, 9
+                  PipelineConfig(name="eq", dedup_mode=EXACT, compact_every=3, layout=layout))
+    # 11 batches, snapshots at 3, 6, 9
+    assert pipe.ledger.latest_snapshot(spark, pipe.ledger.windows_kind) == 9
     cols = ["window_start", "window_end", "category", "gmv", "order_cnt"]
     streamed = pipe.ledger.window_rows(spark).select(*cols)
     batch = catalog.q_window_gmv(spark, sf).select(*cols)
@@ -86,14 +89,15 @@ def test_replay_equals_batch(spark):
     assert daily.exceptAll(catalog.q_dau_daily(spark, sf)).count() == 0
 
 
-def test_late_rows_follow_two_batch_rule_and_leave_every_metric(spark, scratch):
+@LAYOUTS
+def test_late_rows_follow_two_batch_rule_and_leave_every_metric(spark, scratch, layout):
     batches = [
         [order("A1", "2024-01-01 10:00:00")],
         [order("A2", "2024-01-01 10:30:00", user=2)],
         [order("A3", "2024-01-01 10:05:00", user=3), order("L1", "2024-01-01 09:45:00", user=9)],
         [order("L2", "2024-01-01 10:15:00", user=8), order("A4", "2024-01-01 10:25:00", user=4)],
     ]
-    h = Harness(spark, scratch, dedup_mode=EXACT).start()
+    h = Harness(spark, scratch, dedup_mode=EXACT, layout=layout).start()
     try:
         for b in batches:
             h.push(b)
@@ -157,9 +161,10 @@ def test_crash_after_sink_write_is_replayed_without_double_count(spark, scratch)
     assert deltas.filter("gmv IS NOT NULL").count() == 3
 
 
+@LAYOUTS
 @pytest.mark.parametrize("mode,expected", [(EXACT, 3), (WITHIN_WATERMARK, 4)])
-def test_dedup_modes_on_a_very_late_duplicate(spark, scratch, mode, expected):
-    h = Harness(spark, scratch, dedup_mode=mode).start()
+def test_dedup_modes_on_a_very_late_duplicate(spark, scratch, mode, expected, layout):
+    h = Harness(spark, scratch, dedup_mode=mode, layout=layout).start()
     try:
         h.push([order("D1", "2024-01-01 10:00:00"), order("D1", "2024-01-01 10:00:00")])
         h.push([order("D2", "2024-01-01 11:00:00")])
@@ -170,26 +175,28 @@ def test_dedup_modes_on_a_very_late_duplicate(spark, scratch, mode, expected):
     assert h.ledger.totals(spark).first()["order_total"] == expected
 
 
-def test_dimension_is_reread_each_micro_batch(spark, scratch):
+@LAYOUTS
+def test_dimension_is_reread_each_micro_batch(spark, scratch, layout):
     url = f"jdbc:derby:memory:dimrefresh{uuid.uuid4().hex[:8]};create=true"
     props = {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}
     schema = "id long, sku_name string, category string, price decimal(10,2)"
     write_jdbc_dimension(spark.createDataFrame([(1, "x", "OLD", None)], schema), url, "DIM", props, truncate_first=False)
     dim = read_jdbc_dimension(spark, url, "DIM", props)
-    h = Harness(spark, scratch, dim=dim, dedup_mode=EXACT).start()
+    h = Harness(spark, scratch, dim=dim, dedup_mode=EXACT, layout=layout).start()
     try:
         h.push([order("R1", "2024-01-01 10:00:00", sku=1)])
         write_jdbc_dimension(spark.createDataFrame([(1, "x", "NEW", None)], schema), url, "DIM", props)
         h.push([order("R2", "2024-01-01 10:20:00", sku=1)])
     finally:
         h.stop()
-    rows = h.ledger.read(spark, WINDOWS)
+    rows = h.ledger.read(spark, h.ledger.windows_kind)
     cats = {(r["batch_id"], r["category"]) for r in rows.collect()}
     assert (0, "OLD") in cats and (1, "NEW") in cats and (1, "OLD") not in cats
 
 
-def test_nulls_unknown_sku_and_update_mode(spark, scratch):
-    h = Harness(spark, scratch, dedup_mode=EXACT).start()
+@LAYOUTS
+def test_nulls_unknown_sku_and_update_mode(spark, scratch, layout):
+    h = Harness(spark, scratch, dedup_mode=EXACT, layout=layout).start()
     try:
         h.push([
             order("N1", "2024-01-01 10:00:00", amount=None, sku=2),  # alone in its category window
@@ -201,10 +208,11 @@ def test_nulls_unknown_sku_and_update_mode(spark, scratch):
         h.push([order("N5", "2024-01-01 10:30:00", sku=1, user=6)])
     finally:
         h.stop()
-    rows = h.ledger.read(spark, WINDOWS)
-    assert rows.filter("category = 'CAT_B'").count() == 0  # null GMV is not published
-    assert rows.filter("category = '未知'").count() == 5
-    # update mode: the second batch only re-emits windows it touched
+    served = h.ledger.window_rows(spark)
+    assert served.filter("category = 'CAT_B'").count() == 0  # null GMV is not published
+    assert served.filter("category = '未知'").count() == 5
+    # the second batch only writes the windows it touched
+    rows = h.ledger.read(spark, h.ledger.windows_kind)
     assert {r["window_start"].strftime("%H:%M") for r in rows.filter("batch_id = 1").collect()} == {
         "10:26", "10:27", "10:28", "10:29", "10:30"}
     tot = h.ledger.totals(spark).first()
@@ -213,8 +221,9 @@ def test_nulls_unknown_sku_and_update_mode(spark, scratch):
     assert h.ledger.active_users(spark).first()["dau"] == 3  # null users ignored
 
 
-def test_midnight_crossing_keeps_full_window_keys(spark, scratch):
-    h = Harness(spark, scratch, dedup_mode=EXACT).start()
+@LAYOUTS
+def test_midnight_crossing_keeps_full_window_keys(spark, scratch, layout):
+    h = Harness(spark, scratch, dedup_mode=EXACT, layout=layout).start()
     try:
         h.push([order("M1", "2024-01-01 23:58:00", user=1), order("M2", "2024-01-02 00:02:00", user=2)])
     finally:
@@ -228,7 +237,7 @@ def test_midnight_crossing_keeps_full_window_keys(spark, scratch):
 
 
 def test_progress_reports_late_drops_and_state_eviction(spark, scratch):
-    h = Harness(spark, scratch, dedup_mode=WITHIN_WATERMARK).start()
+    h = Harness(spark, scratch, dedup_mode=WITHIN_WATERMARK, layout="three").start()
     try:
         h.push([order("P1", "2024-01-01 10:00:00")])
         h.push([order("P2", "2024-01-01 11:00:00")])
@@ -290,3 +299,18 @@ def test_ledger_compaction_is_idempotent_and_prunes_old_deltas(spark, scratch):
         ledger.path(TOTALS, 1)
     )
     assert ledger.totals(spark).first()["order_total"] == 5
+
+
+def test_single_layout_one_query_one_state(spark, scratch):
+    h = Harness(spark, scratch, dedup_mode=WITHIN_WATERMARK).start()
+    try:
+        h.push([order("S1", "2024-01-01 10:00:00")])
+        h.push([order("S2", "2024-01-01 11:00:00")])
+        h.push([order("S3", "2024-01-01 12:00:00"), order("S0", "2024-01-01 09:00:00")])
+    finally:
+        h.stop()
+    assert list(h.pipe.queries) == ["all"]
+    ops = [op for p in h.pipe.queries["all"].recentProgress for op in p["stateOperators"]]
+    assert {op["operatorName"] for op in ops} == {"dedupeWithinWatermark"}  # no window state
+    assert sum(op.get("numRowsDroppedByWatermark", 0) for op in ops) == 1
+    assert h.ledger.totals(spark).first()["order_total"] == 3
