@@ -314,3 +314,21 @@ def test_single_layout_one_query_one_state(spark, scratch):
     assert {op["operatorName"] for op in ops} == {"dedupeWithinWatermark"}  # no window state
     assert sum(op.get("numRowsDroppedByWatermark", 0) for op in ops) == 1
     assert h.ledger.totals(spark).first()["order_total"] == 3
+
+
+def test_job_entry_point_drains_a_folder(spark, scratch):
+    from shoppulse.streaming.job import main
+
+    src = os.path.join(scratch, "orders")
+    os.makedirs(src)
+    with open(os.path.join(src, "a.json"), "w", encoding="utf-8") as fh:
+        for i in range(5):
+            fh.write(json.dumps(order(f"J{i}", f"2024-01-01 10:0{i}:00", sku=i + 1, user=i)) + "\n")
+        fh.write(json.dumps(order("J0", "2024-01-01 10:00:00", sku=1, user=0)) + "\n")  # re-sent
+    dim_path = os.path.join(scratch, "dim")
+    sku_dimension(spark, SF001).write.parquet(dim_path)
+    pipe = main(["--source", src, "--dim-parquet", dim_path, "--available-now",
+                 "--root", os.path.join(scratch, "job"), "--dedup", EXACT])
+    ov = pipe.ledger.overview(spark).first()
+    assert (ov["order_total"], ov["gmv_total"], ov["dau"]) == (5, 50.0, 5)
+    assert pipe.ledger.window_rows(spark).filter("category = '未知'").count() == 0
