@@ -189,9 +189,9 @@ FROM raw_orders""",
     "orders_as_json": BASE
     + """
 SELECT order_id,
-       to_json(struct_pack(order_id := order_id, user_id := user_id, sku_id := sku_id,
-                           amount := CAST(amount AS DOUBLE),
-                           ts := strftime(event_time, '%Y-%m-%d %H:%M:%S'))) AS json
+       CAST(to_json(struct_pack(order_id := order_id, user_id := user_id, sku_id := sku_id,
+                                amount := CAST(amount AS DOUBLE),
+                                ts := strftime(event_time, '%Y-%m-%d %H:%M:%S'))) AS VARCHAR) AS json
 FROM raw_orders""",
     "dedup_orders": BASE
     + " SELECT order_id, user_id, sku_id, CAST(amount AS DOUBLE) AS amount, event_time FROM dedup",

@@ -18,6 +18,8 @@ import duckdb
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
+EXACT = os.environ.get("ORACLE_EXACT", "0") == "1"
+
 TABLES = (
     "region nation customer supplier part orders lineitem events documents "
     "embeddings pages benchmark labels conversations"
@@ -33,13 +35,35 @@ def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
+SPARK_TO_DUCK = {
+    "bigint": "BIGINT",
+    "int": "INTEGER",
+    "double": "DOUBLE",
+    "string": "VARCHAR",
+    "timestamp_ntz": "TIMESTAMP",
+    "date": "DATE",
+    "boolean": "BOOLEAN",
+}
+
+
+def type_mismatches(df, rel_columns, rel_types) -> dict:
+    """Columns whose Spark type does not correspond to the DuckDB result type."""
+    duck_types = dict(zip(rel_columns, [str(t) for t in rel_types]))
+    out = {}
+    for f in df.schema.fields:
+        spark_t = f.dataType.simpleString()
+        if SPARK_TO_DUCK.get(spark_t, spark_t.upper()) != duck_types.get(f.name):
+            out[f.name] = (spark_t, duck_types.get(f.name))
+    return out
+
+
 def norm(v):
     if v is None:
         return "∅"
     if isinstance(v, float):
         if math.isnan(v):
             return "∅"
-        return repr(round(v, 6))
+        return repr(v) if EXACT else repr(round(v, 6))
     if isinstance(v, decimal.Decimal):
         return repr(round(float(v), 6))
     if isinstance(v, (dt.datetime,)):
@@ -79,7 +103,8 @@ def main(argv: list[str]) -> int:
             continue
         t0 = time.time()
         try:
-            cols, rows = spark_rows(fn(spark, sf_dir))
+            df = fn(spark, sf_dir)
+            cols, rows = spark_rows(df)
         except Exception as exc:  # report and continue
             print(f"{name:24s} SPARK ERROR {type(exc).__name__}: {str(exc)[:300]}")
             bad += 1
@@ -97,7 +122,9 @@ def main(argv: list[str]) -> int:
             bad += 1
             continue
         ok_rows = len(rows) == len(drows)
-        ok_cols = sorted(cols) == sorted(dcols)
+        rel = con.sql(sqls[name])
+        types_bad = type_mismatches(df, rel.columns, rel.types)
+        ok_cols = sorted(cols) == sorted(dcols) and not types_bad
         ok_hash = ok_cols and digest(cols, rows) == digest(dcols, drows)
         flag = "OK " if (ok_rows and ok_cols and ok_hash) else "BAD"
         bad += flag == "BAD"
@@ -113,7 +140,7 @@ def main(argv: list[str]) -> int:
             print("   spark-only:", sorted(sa - sb)[:3])
             print("   duck-only: ", sorted(sb - sa)[:3])
         elif not ok_cols:
-            print("   spark cols:", cols, " duck cols:", dcols)
+            print("   spark cols:", cols, " duck cols:", dcols, " type mismatches:", types_bad)
     spark.stop()
     return 1 if bad else 0
 

@@ -3,7 +3,7 @@
 import pytest
 
 from conftest import SF001, SF01
-from oracle_check import digest, duck
+from oracle_check import digest, duck, type_mismatches
 
 import __spark_entry__ as entry
 
@@ -24,6 +24,8 @@ def test_query_matches_oracle(spark, con, name):
     dcols = [d[0] for d in res.description]
     drows = res.fetchall()
     assert sorted(df.columns) == sorted(dcols)
+    rel = con.sql(SQL[name])
+    assert type_mismatches(df, rel.columns, rel.types) == {}
     assert len(rows) == len(drows)
     assert digest(df.columns, rows) == digest(dcols, drows)
 
