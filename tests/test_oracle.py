@@ -3,10 +3,12 @@
 import pytest
 
 from conftest import SF001, SF01
+import oracle_check
 from oracle_check import digest, duck, type_mismatches
 
 import __spark_entry__ as entry
 
+oracle_check.EXACT = True  # doubles must match bit for bit, not just when rounded
 QUERIES = entry.queries()
 SQL = entry.oracle_sql()
 
