@@ -20,7 +20,7 @@ from ..operators.totals import active_users, batch_deltas, totals
 from ..operators.windows import window_gmv
 from ..schemas import DIM_SAMPLE_IDS, MONEY, TOP_K
 from ..sources.dimension import key_violations, sku_catalogue, sku_dimension
-from ..sources.tables import orders, orders_from_events, read_table
+from ..sources.tables import orders, orders_from_events, read_table, session_key
 from ..session import ensure_checkpoint_dir
 from ..streaming.pipeline import PipelineConfig
 from ..streaming.replay import replay
@@ -160,7 +160,7 @@ def q_late_orders(spark, sf):
 
 # One streaming run per (session, tables): the three ledger views below read the
 # ledgers it wrote (written tables in the shared checkpoint folder).
-_REPLAYS: dict[tuple[int, str], object] = {}
+_REPLAYS: dict[tuple[str, str], object] = {}
 
 
 def streamed_ledger(spark: SparkSession, sf: str):
@@ -170,7 +170,7 @@ def streamed_ledger(spark: SparkSession, sf: str):
     dedup, stream-static join, update-mode sliding window, batch-keyed ledger
     sinks for windows, totals and active users.
     """
-    key = (id(spark), sf)
+    key = (session_key(spark), sf)
     if key not in _REPLAYS:
         ensure_checkpoint_dir(spark)
         raw = _orders_with_event_id(spark, sf).withColumn(

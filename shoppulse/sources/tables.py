@@ -14,12 +14,17 @@ DUPLICATE_EVERY = 50
 
 # Input tables are immutable: each is defined once per session and reused, so
 # repeated queries skip the file listing and footer reads of a fresh reader.
-_TABLES: dict[tuple[int, str], DataFrame] = {}
+_TABLES: dict[tuple[str, str], DataFrame] = {}
+
+
+def session_key(spark: SparkSession) -> str:
+    """Identity of a running application (unique per SparkContext)."""
+    return spark.sparkContext.applicationId
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (id(spark), path)
+    key = (session_key(spark), path)
     if key not in _TABLES:
         _TABLES[key] = spark.read.parquet(path)
     return _TABLES[key]
