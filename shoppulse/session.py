@@ -70,13 +70,20 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
     """Return the cluster's shared checkpoint folder.
 
     ``spark.checkpoint.dir`` is read from the session.  Only when it is unset
-    (local tests) is one chosen: ``fallback`` or a fresh folder under /tmp.
+    is one chosen: ``fallback`` if given, else - in local mode only - a fresh
+    folder under /tmp.  A cluster without the setting is an error: a
+    machine-local folder would not survive the loss of that machine.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
         current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
+    if not fallback and not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError(
+            "set spark.checkpoint.dir to a shared folder (stream checkpoints, "
+            "ledgers and written intermediates go there)"
+        )
     current = fallback or tempfile.mkdtemp(prefix="shoppulse-ckpt-")
     spark.conf.set("spark.checkpoint.dir", current)
     spark.sparkContext.setCheckpointDir(current)
