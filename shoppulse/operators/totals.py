@@ -52,3 +52,29 @@ def batch_deltas(orders: DataFrame, batch: Column) -> DataFrame:
         )
         .filter(F.col("gmv").isNotNull())
     )
+
+
+def daily_active_users_stream(
+    orders: DataFrame, delay: str = "10 minutes", offset_hours: int = 0
+) -> DataFrame:
+    """Exact daily active users as a stream (update mode): day, dau.
+
+    Streaming ``countDistinct`` is not supported, so (day, user) pairs are
+    deduplicated first and then counted.  The day is a 1-day event-time window,
+    which carries the watermark: both the pair state and the day counts are
+    evicted once the day is closed, so state stays bounded by the users of
+    the open days.
+    """
+    # The business day starts at 00:00 local = (24 - offset) h UTC of the day before.
+    start = f"{(-offset_hours) % 24} hours"
+    day = F.window("event_time", "1 day", startTime=start)
+    pairs = (
+        orders.withWatermark("event_time", delay)
+        .filter(F.col("user_id").isNotNull())
+        .select(day.alias("day"), "user_id")
+        .dropDuplicates(["day", "user_id"])
+    )
+    return pairs.groupBy("day").agg(F.count(F.lit(1)).alias("dau")).select(
+        F.to_date(F.col("day.start") + F.make_interval(hours=F.lit(offset_hours))).alias("dt"),
+        "dau",
+    )

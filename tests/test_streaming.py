@@ -332,3 +332,45 @@ def test_job_entry_point_drains_a_folder(spark, scratch):
     ov = pipe.ledger.overview(spark).first()
     assert (ov["order_total"], ov["gmv_total"], ov["dau"]) == (5, 50.0, 5)
     assert pipe.ledger.window_rows(spark).filter("category = '未知'").count() == 0
+
+
+def test_stream_native_daily_active_users(spark, scratch):
+    from shoppulse.operators.totals import daily_active_users_stream
+
+    inbox = os.path.join(scratch, "in")
+    os.makedirs(inbox)
+    rows = [order(f"U{i}", f"2024-01-0{1 + i % 3} 1{i % 10}:00:00", user=i % 4) for i in range(30)]
+    rows.sort(key=lambda r: r["ts"])  # arrive in event-time order: nothing is late
+    for i in range(3):
+        path = os.path.join(inbox, f"b{i}.json")
+        with open(path, "w") as fh:
+            fh.write("\n".join(json.dumps(r) for r in rows[i * 10:(i + 1) * 10]) + "\n")
+        os.utime(path, (1_700_000_000 + i, 1_700_000_000 + i))  # the file source orders by mtime
+    stream = file_order_stream(spark, inbox, max_files_per_trigger=1)
+    q = (
+        daily_active_users_stream(stream).writeStream.outputMode("update").format("memory")
+        .queryName("dau_live").option("checkpointLocation", os.path.join(scratch, "ck"))
+        .trigger(availableNow=True).start()
+    )
+    q.awaitTermination()
+    live = spark.sql("SELECT dt, max_by(dau, dau) AS dau FROM dau_live GROUP BY dt")
+    got = {str(r["dt"]): r["dau"] for r in live.collect()}
+    truth = {}
+    for r in rows:
+        truth.setdefault(r["ts"][:10], set()).add(r["user_id"])
+    assert got == {d: len(u) for d, u in truth.items()}
+    # business day 8 h ahead of UTC: the same pairs, dated by the shifted clock
+    q8 = (
+        daily_active_users_stream(file_order_stream(spark, inbox), offset_hours=8)
+        .writeStream.outputMode("update").format("memory").queryName("dau_live8")
+        .option("checkpointLocation", os.path.join(scratch, "ck8")).trigger(availableNow=True).start()
+    )
+    q8.awaitTermination()
+    from shoppulse.operators.totals import active_users
+
+    batch = active_users(
+        spark.read.json(inbox).withColumn("event_time", F.to_timestamp("ts")), by_day=True, offset_hours=8
+    )
+    got8 = {str(r["dt"]): r["dau"] for r in spark.sql(
+        "SELECT dt, max(dau) AS dau FROM dau_live8 GROUP BY dt").collect()}
+    assert got8 == {str(r["dt"]): r["dau"] for r in batch.collect()}
