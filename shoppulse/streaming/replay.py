@@ -1,10 +1,12 @@
 """Replay a table through the streaming pipeline, one micro-batch per arrival batch.
 
 Used for backfills and for checking stream = batch.  The table is staged once
-(one job, partitioned by arrival batch), then each batch is appended to the
-stream's input folder as one file and the running queries are drained before
-the next one, so micro-batch N holds exactly arrival batch N.  The driver loop
-runs over batch ids only (one per micro-batch), never over rows.
+(one parallel job, partitioned by arrival batch).  Then, per batch, its files
+are appended to the stream's input folder (a parallel write) and the pipeline
+is restarted from its checkpoint with an ``availableNow`` trigger: the files
+are complete before the query looks, so micro-batch N holds exactly arrival
+batch N on any file system, and the checkpoint carries offsets and state from
+one batch to the next.  The driver loop runs over batch ids only, never rows.
 """
 
 from __future__ import annotations
@@ -19,20 +21,30 @@ from ..session import checkpoint_root
 from ..sources.streams import file_order_stream
 from .pipeline import Pipeline, PipelineConfig, start_pipeline
 
+NO_DATA_BATCHES = "spark.sql.streaming.noDataMicroBatches.enabled"
+
+
+def range_batches(df: DataFrame, column: str, n: int) -> Column:
+    """Cut ``column``'s value range into ``n`` equal arrival batches (0..n-1).
+
+    One small aggregate finds the range; the batch number is then a per-row
+    expression, so every batch grows with the table while their count stays n.
+    """
+    lo, hi = df.agg(F.min(column), F.max(column)).first()
+    if lo is None:
+        return F.lit(0).cast("bigint")
+    width = hi - lo + 1
+    return F.floor((F.col(column) - F.lit(lo)) * F.lit(n) / F.lit(width)).cast("bigint")
+
 
 def stage_arrivals(orders: DataFrame, batch: Column, folder: str) -> list[int]:
     """Write orders as JSON lines under ``folder/batch=N``; return the batch ids in order."""
     lines = encode_orders(orders.withColumn("batch", batch), keep=("batch",)).select(
         "batch", F.col("json").alias("value")
     )
-    lines.repartition("batch").write.partitionBy("batch").mode("overwrite").text(folder)
-    ids = spark_batches(lines)
-    return ids
-
-
-def spark_batches(lines: DataFrame) -> list[int]:
-    """Distinct batch ids in order (one value per micro-batch)."""
-    return [r["batch"] for r in lines.select("batch").distinct().orderBy("batch").collect()]
+    lines.write.partitionBy("batch").mode("overwrite").text(folder)
+    staged = orders.sparkSession.read.text(folder)
+    return [r["batch"] for r in staged.select("batch").distinct().orderBy("batch").collect()]
 
 
 def replay(
@@ -42,28 +54,28 @@ def replay(
     dim: DataFrame,
     cfg: PipelineConfig | None = None,
 ) -> Pipeline:
-    """Run the pipeline over ``orders`` in arrival-batch order; return it stopped."""
+    """Run the pipeline over ``orders`` in arrival-batch order; return it (stopped)."""
     cfg = cfg or PipelineConfig()
     run = f"{checkpoint_root(spark)}/replay-{uuid.uuid4().hex[:12]}"
     cfg.root = cfg.root or f"{run}/pipeline"
-    cfg.trigger = {"processingTime": "0 seconds"}
+    cfg.trigger = {"availableNow": True}
     staged, inbox = f"{run}/staged", f"{run}/inbox"
     batches = stage_arrivals(orders, batch, staged)
-    spark.createDataFrame([], "value string").write.mode("overwrite").text(inbox)
-    stream = file_order_stream(spark, inbox, max_files_per_trigger=1)
+    before = spark.conf.get(NO_DATA_BATCHES, "true")
     # One micro-batch per arrival batch: no extra no-data batches in between
     # (the next data batch evicts expired state just the same).
-    key = "spark.sql.streaming.noDataMicroBatches.enabled"
-    before = spark.conf.get(key, "true")
-    spark.conf.set(key, "false")
-    try:
-        pipe = start_pipeline(spark, stream, dim, cfg)
-    finally:
-        spark.conf.set(key, before)
+    spark.conf.set(NO_DATA_BATCHES, "false")
+    pipe = None
     try:
         for b in batches:
-            spark.read.text(f"{staged}/batch={b}").coalesce(1).write.mode("append").text(inbox)
-            pipe.process_all_available()
+            spark.read.text(f"{staged}/batch={b}").write.mode("append").text(inbox)
+            pipe = start_pipeline(
+                spark, file_order_stream(spark, inbox, max_files_per_trigger=None), dim, cfg
+            )
+            for q in pipe.queries.values():
+                q.awaitTermination()
     finally:
-        pipe.stop()
+        spark.conf.set(NO_DATA_BATCHES, before)
+    if pipe is None:
+        raise ValueError("nothing to replay")
     return pipe
