@@ -11,8 +11,11 @@ EXACT = "exact"
 WITHIN_WATERMARK = "within_watermark"
 
 
-def first_arrival(df: DataFrame, key: str = "order_id", order_by: str = "event_time") -> DataFrame:
-    """Keep one row per ``key``: the earliest ``order_by``, ties broken by the other columns.
+def first_arrival(
+    df: DataFrame, key: str | list[str] = "order_id", order_by: str = "event_time"
+) -> DataFrame:
+    """Keep one row per ``key`` (one or more columns): the earliest ``order_by``,
+    ties broken by the other columns.
 
     Expressed as one aggregate (``min`` of a struct whose first field is the
     ordering column), so Spark combines map-side before the shuffle: a key that
@@ -20,11 +23,12 @@ def first_arrival(df: DataFrame, key: str = "order_id", order_by: str = "event_t
     group is ever buffered whole.  Deterministic even when duplicates conflict.
     A null key forms one group, like ``dropDuplicates``.
     """
-    rest = [c for c in df.columns if c not in (key, order_by)]
-    picked = df.groupBy(key).agg(F.min(F.struct(order_by, *rest)).alias("_first"))
-    return picked.select(key, *[F.col(f"_first.{c}").alias(c) for c in [order_by, *rest]]).select(
-        *df.columns
-    )
+    keys = [key] if isinstance(key, str) else list(key)
+    rest = [c for c in df.columns if c not in (*keys, order_by)]
+    picked = df.groupBy(*keys).agg(F.min(F.struct(order_by, *rest)).alias("_first"))
+    return picked.select(
+        *keys, *[F.col(f"_first.{c}").alias(c) for c in [order_by, *rest]]
+    ).select(*df.columns)
 
 
 def dedup_stream(

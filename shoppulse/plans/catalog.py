@@ -274,13 +274,7 @@ def line_orders(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def first_arrival_multi(lineitem: DataFrame) -> DataFrame:
-    keyed = lineitem.withColumn("_key", F.struct("l_orderkey", "l_linenumber"))
-    picked = first_arrival(keyed.drop("l_orderkey", "l_linenumber"), key="_key", order_by="l_shipdate")
-    return picked.select(
-        F.col("_key.l_orderkey").alias("l_orderkey"),
-        F.col("_key.l_linenumber").alias("l_linenumber"),
-        *[c for c in picked.columns if c != "_key"],
-    )
+    return first_arrival(lineitem, key=["l_orderkey", "l_linenumber"], order_by="l_shipdate")
 
 
 def q_line_window_revenue(spark, sf):
