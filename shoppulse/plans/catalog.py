@@ -187,7 +187,7 @@ def streamed_ledger(spark: SparkSession, sf: str):
 
 
 def q_window_store(spark, sf):
-    """The window hash as served: newest batch's GMV per (window, category)."""
+    """The window hash as served: GMV per (window, category) folded from the window ledger."""
     return views.window_store(streamed_ledger(spark, sf).window_rows(spark))
 
 
