@@ -74,25 +74,40 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
     folder under /tmp.  A cluster without the setting is an error: a
     machine-local folder would not survive the loss of that machine.
     """
-    current = spark.conf.get("spark.checkpoint.dir", None)
-    if not current:
-        current = spark.sparkContext.getCheckpointDir()
+    current = spark.conf.get("spark.checkpoint.dir", None) or _context_checkpoint_dir(spark)
     if current:
         return current
-    if not fallback and not spark.sparkContext.master.startswith("local"):
+    if not fallback and not _master(spark).startswith("local"):
         raise RuntimeError(
             "set spark.checkpoint.dir to a shared folder (stream checkpoints, "
             "ledgers and written intermediates go there)"
         )
     current = fallback or tempfile.mkdtemp(prefix="shoppulse-ckpt-")
     spark.conf.set("spark.checkpoint.dir", current)
-    spark.sparkContext.setCheckpointDir(current)
+    try:
+        spark.sparkContext.setCheckpointDir(current)
+    except Exception:  # no SparkContext in this client (Spark Connect)
+        pass
     return current
 
 
+def _context_checkpoint_dir(spark: SparkSession) -> str | None:
+    try:
+        return spark.sparkContext.getCheckpointDir()
+    except Exception:  # no SparkContext in this client (Spark Connect)
+        return None
+
+
+def _master(spark: SparkSession) -> str:
+    try:
+        return spark.sparkContext.master
+    except Exception:
+        return spark.conf.get("spark.master", "")
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for stream checkpoints and ledgers (never machine-local on a cluster)."""
-    current = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    current = spark.conf.get("spark.checkpoint.dir", None) or _context_checkpoint_dir(spark)
     if not current:
         raise RuntimeError(
             "spark.checkpoint.dir is not set; a shared folder is required for "

@@ -19,7 +19,10 @@ _TABLES: dict[tuple[str, str], DataFrame] = {}
 
 def session_key(spark: SparkSession) -> str:
     """Identity of a running application (unique per SparkContext)."""
-    return spark.sparkContext.applicationId
+    try:
+        return spark.sparkContext.applicationId
+    except Exception:  # no SparkContext in this client (Spark Connect)
+        return spark.conf.get("spark.app.id", None) or str(id(spark))
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
