@@ -1,10 +1,11 @@
-"""Write an intermediate once to the shared checkpoint folder and read it back.
+"""Compute an intermediate once, cutting its lineage in the shared checkpoint folder.
 
 Used where one plan would otherwise recompute the same expensive subtree in
-several branches (scan -> dedup shuffle -> join -> window shuffle).  The
-written parquet table also cuts the lineage, so a lost executor re-reads
-files instead of recomputing from the raw tables, and its file statistics let
-AQE size the later joins.
+several branches (scan -> dedup shuffle -> join -> window shuffle).  A reliable
+``checkpoint()`` writes the rows to ``spark.checkpoint.dir`` (a shared folder on
+a cluster), so a lost executor re-reads them instead of recomputing from the raw
+tables; the plan's statistics are kept for AQE.  Where the context has no
+checkpoint folder registered, the rows are written as a parquet table there.
 """
 
 from __future__ import annotations
@@ -18,6 +19,11 @@ from ..session import checkpoint_root, ensure_checkpoint_dir
 
 def materialize(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
     ensure_checkpoint_dir(spark)
+    try:
+        return df.checkpoint(eager=True)
+    except Exception as exc:
+        if "checkpoint" not in str(exc).lower():
+            raise
     path = f"{checkpoint_root(spark)}/materialized/{label}-{uuid.uuid4().hex[:12]}"
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
