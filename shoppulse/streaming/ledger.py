@@ -17,6 +17,7 @@ checkpoint is deleted, so a fresh checkpoint needs a fresh ledger.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -132,12 +133,18 @@ class Ledger:
         self._write(sums, WINDOW_SUMS, batch_id)
 
     def write_all(self, batch_df: DataFrame, batch_id: int) -> None:
-        """One callback for all three ledgers: the batch is computed once, read three times."""
+        """One callback for all three ledgers: the batch is computed once, read three times.
+
+        The batch is cached first (one job), then the three ledger writes run as
+        concurrent jobs over the cached rows.
+        """
         batch_df.persist()
         try:
-            self.write_window_sums(batch_df, batch_id)
-            self.write_totals(batch_df, batch_id)
-            self.write_users(batch_df, batch_id)
+            batch_df.count()
+            writers = (self.write_window_sums, self.write_totals, self.write_users)
+            with ThreadPoolExecutor(max_workers=len(writers)) as pool:
+                for done in [pool.submit(w, batch_df, batch_id) for w in writers]:
+                    done.result()
         finally:
             batch_df.unpersist()
 
