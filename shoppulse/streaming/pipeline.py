@@ -37,6 +37,10 @@ class PipelineConfig:
     offset_hours: int = 0
     compact_every: int = 100
     layout: str = "single"
+    # Shuffle / state partitions of the stateful operators.  Fixed in the
+    # checkpoint at the first start (AQE does not resize streaming shuffles);
+    # default: the cluster's default parallelism (total executor cores).
+    state_partitions: int | None = None
     root: str | None = None  # shared folder; default <spark.checkpoint.dir>/<name>
 
 
@@ -106,12 +110,25 @@ def start_pipeline(
             .start()
         )
 
-    if single:
-        queries = {"all": start(plans["enriched"], "all", ledger.write_all, "append")}
-    else:
-        queries = {
-            "win": start(plans["win"], "win", ledger.write_windows, "update"),
-            "total": start(plans["dedup"], "total", ledger.write_totals, "append"),
-            "dau": start(plans["dedup"], "dau", ledger.write_users, "append"),
-        }
+    parts_key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(parts_key)
+    spark.conf.set(parts_key, str(cfg.state_partitions or default_parallelism(spark)))
+    try:
+        if single:
+            queries = {"all": start(plans["enriched"], "all", ledger.write_all, "append")}
+        else:
+            queries = {
+                "win": start(plans["win"], "win", ledger.write_windows, "update"),
+                "total": start(plans["dedup"], "total", ledger.write_totals, "append"),
+                "dau": start(plans["dedup"], "dau", ledger.write_users, "append"),
+            }
+    finally:
+        spark.conf.set(parts_key, before)
     return Pipeline(ledger, queries)
+
+
+def default_parallelism(spark: SparkSession) -> int:
+    try:
+        return spark.sparkContext.defaultParallelism
+    except Exception:  # no SparkContext in this client (Spark Connect)
+        return int(spark.conf.get("spark.default.parallelism", "8"))
