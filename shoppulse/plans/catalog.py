@@ -201,6 +201,19 @@ def q_stream_dau_daily(spark, sf):
     return streamed_ledger(spark, sf).active_users(spark, by_day=True)
 
 
+def q_stream_latest_window(spark, sf):
+    """The latest-window board served from the streaming window ledger."""
+    ledger = streamed_ledger(spark, sf)
+    return views.latest_window(views.window_points(ledger.window_rows(spark)))
+
+
+def q_stream_category_rank(spark, sf):
+    """The ranking board served from the streaming window ledger."""
+    ledger = streamed_ledger(spark, sf)
+    points = views.window_points(ledger.window_rows(spark))
+    return views.category_rank(materialize(spark, points, "ledger_points"))
+
+
 # -- serving views -----------------------------------------------------------------
 def q_overview(spark, sf):
     return views.overview(_dedup(spark, sf))
@@ -299,6 +312,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "window_store": q_window_store,
     "stream_overview": q_stream_overview,
     "stream_dau_daily": q_stream_dau_daily,
+    "stream_latest_window": q_stream_latest_window,
+    "stream_category_rank": q_stream_category_rank,
     "totals_all": q_totals_all,
     "totals_daily": q_totals_daily,
     "dau_all": q_dau_all,

@@ -309,3 +309,5 @@ GROUP BY window_start, category""",
 # The streaming ledgers must equal the batch answers.
 SQL["stream_overview"] = SQL["overview"]
 SQL["stream_dau_daily"] = SQL["dau_daily"]
+SQL["stream_latest_window"] = SQL["latest_window"]
+SQL["stream_category_rank"] = SQL["category_rank"]

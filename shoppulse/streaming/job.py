@@ -50,6 +50,8 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     p.add_argument("--available-now", action="store_true", help="drain what is there, then stop")
     p.add_argument("--offset-hours", type=int, default=0)
     p.add_argument("--compact-every", type=int, default=100)
+    p.add_argument("--state-partitions", type=int, default=None,
+                   help="state/shuffle partitions of the stateful operators (fixed at first start)")
     return p.parse_args(argv)
 
 
@@ -83,6 +85,7 @@ def run(spark: SparkSession, args: argparse.Namespace) -> Pipeline:
         compact_every=args.compact_every,
         layout=args.layout,
         root=args.root,
+        state_partitions=args.state_partitions,
     )
     return start_pipeline(spark, stream, dim, cfg)
 
