@@ -31,14 +31,14 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     src = p.add_mutually_exclusive_group(required=True)
     src.add_argument("--source", help="folder of order events as JSON lines")
     src.add_argument("--kafka", help="bootstrap servers; needs --topic and the Kafka connector")
-    p.add_argument("--topic", default="order_topic")
+    p.add_argument("--topic", default="orders")
     p.add_argument("--starting-offsets", default="latest")
     p.add_argument("--max-per-trigger", type=int, default=None,
                    help="files (file source) or offsets (Kafka) per micro-batch")
     dim = p.add_mutually_exclusive_group(required=True)
     dim.add_argument("--dim-parquet", help="SKU dimension as parquet (id, category, ...)")
     dim.add_argument("--dim-jdbc-url", help="SKU dimension over JDBC")
-    p.add_argument("--dim-table", default="sku_dim_rt")
+    p.add_argument("--dim-table", default="sku_dim")
     p.add_argument("--dim-driver", default=None)
     p.add_argument("--dim-user", default=None)
     p.add_argument("--dim-password", default=None)

@@ -62,25 +62,25 @@ def test_large_dimension_is_not_broadcast(spark):
 
 
 def test_ddl_truncate_reload_and_catalogue(spark):
-    full = create_dimension_table(spark, "sku_dim_rt", database="mall_rt")
+    full = create_dimension_table(spark, "sku_dim", database="shop_rt")
     dim = sku_dimension(spark, SF01)
     reload_dimension_table(spark, full, dim)
     reload_dimension_table(spark, full, dim)  # re-runnable: truncate first
     assert spark.table(full).count() == 200
-    names = sorted(t.name for t in spark.catalog.listTables("mall_rt"))
-    assert names == ["sku_dim_rt"]
+    names = sorted(t.name for t in spark.catalog.listTables("shop_rt"))
+    assert names == ["sku_dim"]
     cols = [c.name for c in spark.catalog.listColumns(full)]
     assert cols == ["id", "sku_name", "category", "price"]
     described = [r["col_name"] for r in spark.sql(f"DESCRIBE {full}").collect()]
     assert described[:4] == cols
-    shown = [r["tableName"] for r in spark.sql("SHOW TABLES IN mall_rt").collect()]
-    assert shown == ["sku_dim_rt"]
-    create_dimension_table(spark, "a_first", database="mall_rt")
-    assert [r["tableName"] for r in list_tables(spark, "mall_rt").collect()] == ["a_first", "sku_dim_rt"]
-    spark.sql("DROP TABLE mall_rt.a_first")
+    shown = [r["tableName"] for r in spark.sql("SHOW TABLES IN shop_rt").collect()]
+    assert shown == ["sku_dim"]
+    create_dimension_table(spark, "a_first", database="shop_rt")
+    assert [r["tableName"] for r in list_tables(spark, "shop_rt").collect()] == ["a_first", "sku_dim"]
+    spark.sql("DROP TABLE shop_rt.a_first")
     spark.sql(f"DROP TABLE IF EXISTS {full}")
     spark.sql(f"DROP TABLE IF EXISTS {full}")
-    assert spark.catalog.listTables("mall_rt") == []
+    assert spark.catalog.listTables("shop_rt") == []
 
 
 def test_jdbc_round_trip_with_pushdown(spark):

@@ -262,7 +262,7 @@ def test_kafka_without_connector_fails_clearly(spark):
     from shoppulse.sources.streams import KafkaConnectorMissing, kafka_order_stream
 
     with pytest.raises(KafkaConnectorMissing):
-        kafka_order_stream(spark, "localhost:9092", "order_topic")
+        kafka_order_stream(spark, "localhost:9092", "orders")
 
 
 def test_publish_order_stream_as_json_lines(spark, scratch):
