@@ -48,6 +48,7 @@ class PipelineConfig:
 class Pipeline:
     ledger: Ledger
     queries: dict[str, StreamingQuery]
+    spark: SparkSession | None = None
 
     def process_all_available(self) -> None:
         for q in self.queries.values():
@@ -57,9 +58,9 @@ class Pipeline:
         for q in self.queries.values():
             q.stop()
 
-    def await_any(self, timeout: float | None = None) -> bool:
-        spark = next(iter(self.queries.values())).sparkSession
-        return spark.streams.awaitAnyTermination(timeout)
+    def await_any(self, timeout: float | None = None) -> bool | None:
+        """Block until any of the session's streaming queries ends (or ``timeout`` s pass)."""
+        return self.spark.streams.awaitAnyTermination(timeout)
 
 
 def build_queries(orders: DataFrame, dim: DataFrame, cfg: PipelineConfig) -> dict[str, DataFrame]:
@@ -124,7 +125,7 @@ def start_pipeline(
             }
     finally:
         spark.conf.set(parts_key, before)
-    return Pipeline(ledger, queries)
+    return Pipeline(ledger, queries, spark)
 
 
 def default_parallelism(spark: SparkSession) -> int:

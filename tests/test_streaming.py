@@ -415,3 +415,29 @@ def test_null_order_id_twice_one_passes(spark, scratch, layout):
     assert tot["order_total"] == 0  # count(order_id) skips the null id
     assert tot["gmv_total"] in (1.0, 2.0)  # but exactly one of the rows passed dedup
     assert h.ledger.active_users(spark).first()["dau"] == 1
+
+
+@LAYOUTS
+def test_hot_order_id_in_a_stream(spark, scratch, layout):
+    """A third of the rows re-send one order id (conflicting payloads): it counts once."""
+    rows = [order(f"H{i}", f"2024-01-01 10:{i % 60:02d}:00", user=i % 5) for i in range(60)]
+    rows += [order("HOT", f"2024-01-01 10:{i % 60:02d}:30", amount=float(i + 1), user=9) for i in range(30)]
+    h = Harness(spark, scratch, dedup_mode=EXACT, layout=layout).start()
+    try:
+        h.push(rows)
+    finally:
+        h.stop()
+    tot = h.ledger.totals(spark).first()
+    assert tot["order_total"] == 61
+    assert 600.0 + 1.0 <= tot["gmv_total"] <= 600.0 + 30.0  # exactly one HOT copy kept
+    assert h.ledger.active_users(spark).first()["dau"] == 6
+
+
+def test_await_any_returns_when_one_query_ends(spark, scratch):
+    h = Harness(spark, scratch, dedup_mode=EXACT, layout="three").start()
+    try:
+        h.push([order("W1", "2024-01-01 10:00:00")])
+        h.pipe.queries["dau"].stop()
+        assert h.pipe.await_any(timeout=60)
+    finally:
+        h.stop()
