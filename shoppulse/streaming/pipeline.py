@@ -12,6 +12,7 @@ Two layouts:
 
 from __future__ import annotations
 
+import time
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -58,9 +59,23 @@ class Pipeline:
         for q in self.queries.values():
             q.stop()
 
-    def await_any(self, timeout: float | None = None) -> bool | None:
-        """Block until any of the session's streaming queries ends (or ``timeout`` s pass)."""
-        return self.spark.streams.awaitAnyTermination(timeout)
+    def await_any(self, timeout: float | None = None) -> bool:
+        """Block until one of this pipeline's queries ends; re-raise its failure.
+
+        Only this pipeline's queries count (the session-wide manager would also
+        report queries that ended earlier).  False if ``timeout`` seconds pass.
+        """
+        deadline = None if timeout is None else time.monotonic() + timeout
+        while True:
+            for q in self.queries.values():
+                if not q.isActive:
+                    failure = q.exception()
+                    if failure is not None:
+                        raise failure
+                    return True
+            if deadline is not None and time.monotonic() >= deadline:
+                return False
+            next(iter(self.queries.values())).awaitTermination(0.5)
 
 
 def build_queries(orders: DataFrame, dim: DataFrame, cfg: PipelineConfig) -> dict[str, DataFrame]:
