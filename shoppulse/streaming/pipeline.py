@@ -59,6 +59,20 @@ class Pipeline:
         for q in self.queries.values():
             q.stop()
 
+    def watermark(self) -> str | None:
+        """The lowest current event-time watermark of the queries, as timestamp text.
+
+        Windows ending at or before it are closed; pass it to
+        ``views.latest_closed_window`` to serve complete windows only.
+        """
+        marks = []
+        for q in self.queries.values():
+            progress = q.lastProgress or {}
+            mark = (progress.get("eventTime") or {}).get("watermark")
+            if mark:
+                marks.append(mark.replace("T", " ").rstrip("Z"))
+        return min(marks) if marks else None
+
     def await_any(self, timeout: float | None = None) -> bool:
         """Block until one of this pipeline's queries ends; re-raise its failure.
 

@@ -441,3 +441,20 @@ def test_await_any_returns_when_one_query_ends(spark, scratch):
         assert h.pipe.await_any(timeout=60)
     finally:
         h.stop()
+
+
+@LAYOUTS
+def test_closed_windows_from_the_stream_watermark(spark, scratch, layout):
+    from shoppulse.plans.views import latest_closed_window, window_points
+
+    h = Harness(spark, scratch, dedup_mode=EXACT, layout=layout).start()
+    try:
+        h.push([order("C1", "2024-01-01 10:00:00", sku=1)])
+        h.push([order("C2", "2024-01-01 10:30:00", sku=1)])
+        h.push([order("C3", "2024-01-01 10:31:00", sku=1)])
+    finally:
+        h.stop()
+    mark = h.pipe.watermark()
+    assert mark.startswith("2024-01-01 10:20:00")  # 10:30 - 10 min, set after the second batch
+    closed = latest_closed_window(window_points(h.ledger.window_rows(spark)), mark).collect()
+    assert [(r["category"], r["window"]) for r in closed] == [("CAT_A", "10:00")]
