@@ -22,7 +22,7 @@ from ..schemas import DIM_SAMPLE_IDS, MONEY, TOP_K
 from ..sources.dimension import key_violations, sku_catalogue, sku_dimension
 from ..sources.tables import orders, orders_from_events, read_table, session_key
 from ..session import ensure_checkpoint_dir
-from ..streaming.pipeline import PipelineConfig
+from ..streaming.streams import StreamConfig
 from ..streaming.replay import range_batches, replay
 from . import views
 from .materialize import materialize
@@ -181,7 +181,7 @@ def streamed_ledger(spark: SparkSession, sf: str):
             "event_time", F.col("event_time").cast("timestamp")
         )
         batch = range_batches(raw, "_eid", REPLAY_BATCHES)
-        cfg = PipelineConfig(name="ledger", dedup_mode=WITHIN_WATERMARK)
+        cfg = StreamConfig(name="ledger", dedup_mode=WITHIN_WATERMARK)
         _REPLAYS[key] = replay(spark, raw, batch, sku_dimension(spark, sf), cfg).ledger
     return _REPLAYS[key]
 

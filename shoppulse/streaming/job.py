@@ -23,7 +23,7 @@ from ..schemas import TRIGGER_INTERVAL
 from ..session import configure
 from ..sources.dimension import read_jdbc_dimension
 from ..sources.streams import file_order_stream, kafka_order_stream
-from .pipeline import Pipeline, PipelineConfig, start_pipeline
+from .streams import MetricStreams, StreamConfig, start_streams
 
 
 def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
@@ -55,7 +55,7 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     return p.parse_args(argv)
 
 
-def run(spark: SparkSession, args: argparse.Namespace) -> Pipeline:
+def run(spark: SparkSession, args: argparse.Namespace) -> MetricStreams:
     configure(spark)
     if args.source:
         stream = file_order_stream(spark, args.source, args.max_per_trigger)
@@ -77,7 +77,7 @@ def run(spark: SparkSession, args: argparse.Namespace) -> Pipeline:
         }
         dim = read_jdbc_dimension(spark, args.dim_jdbc_url, args.dim_table, props)
     trigger = {"availableNow": True} if args.available_now else {"processingTime": args.trigger}
-    cfg = PipelineConfig(
+    cfg = StreamConfig(
         name=args.name,
         dedup_mode=args.dedup,
         trigger=trigger,
@@ -87,10 +87,10 @@ def run(spark: SparkSession, args: argparse.Namespace) -> Pipeline:
         root=args.root,
         state_partitions=args.state_partitions,
     )
-    return start_pipeline(spark, stream, dim, cfg)
+    return start_streams(spark, stream, dim, cfg)
 
 
-def main(argv: list[str] | None = None) -> Pipeline:
+def main(argv: list[str] | None = None) -> MetricStreams:
     args = parse_args(argv)
     spark = SparkSession.builder.getOrCreate()
     pipe = run(spark, args)

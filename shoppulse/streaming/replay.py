@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from ..functions.codec import encode_orders
 from ..session import checkpoint_root
 from ..sources.streams import file_order_stream
-from .pipeline import Pipeline, PipelineConfig, start_pipeline
+from .streams import MetricStreams, StreamConfig, start_streams
 
 NO_DATA_BATCHES = "spark.sql.streaming.noDataMicroBatches.enabled"
 
@@ -52,12 +52,12 @@ def replay(
     orders: DataFrame,
     batch: Column,
     dim: DataFrame,
-    cfg: PipelineConfig | None = None,
-) -> Pipeline:
+    cfg: StreamConfig | None = None,
+) -> MetricStreams:
     """Run the pipeline over ``orders`` in arrival-batch order; return it (stopped)."""
-    cfg = cfg or PipelineConfig()
+    cfg = cfg or StreamConfig()
     run = f"{checkpoint_root(spark)}/replay-{uuid.uuid4().hex[:12]}"
-    cfg.root = cfg.root or f"{run}/pipeline"
+    cfg.root = cfg.root or f"{run}/streams"
     cfg.trigger = {"availableNow": True}
     staged, inbox = f"{run}/staged", f"{run}/inbox"
     batches = stage_arrivals(orders, batch, staged)
@@ -69,7 +69,7 @@ def replay(
     try:
         for b in batches:
             spark.read.text(f"{staged}/batch={b}").write.mode("append").text(inbox)
-            pipe = start_pipeline(
+            pipe = start_streams(
                 spark, file_order_stream(spark, inbox, max_files_per_trigger=None), dim, cfg
             )
             for q in pipe.queries.values():

@@ -28,7 +28,7 @@ from .ledger import WINDOW_SUMS, WINDOWS, Ledger
 
 
 @dataclass
-class PipelineConfig:
+class StreamConfig:
     name: str = "shoppulse"
     dedup_mode: str = WITHIN_WATERMARK
     watermark: str = WATERMARK_DELAY
@@ -46,7 +46,7 @@ class PipelineConfig:
 
 
 @dataclass
-class Pipeline:
+class MetricStreams:
     ledger: Ledger
     queries: dict[str, StreamingQuery]
     spark: SparkSession | None = None
@@ -92,7 +92,7 @@ class Pipeline:
             next(iter(self.queries.values())).awaitTermination(0.5)
 
 
-def build_queries(orders: DataFrame, dim: DataFrame, cfg: PipelineConfig) -> dict[str, DataFrame]:
+def build_queries(orders: DataFrame, dim: DataFrame, cfg: StreamConfig) -> dict[str, DataFrame]:
     """The streaming plans (before sinks): ``win`` over enriched orders, ``dedup`` for the rest.
 
     Each started query keeps its own watermark, offsets and dedup state, as in
@@ -106,16 +106,16 @@ def build_queries(orders: DataFrame, dim: DataFrame, cfg: PipelineConfig) -> dic
     return {"win": win, "dedup": dedup, "enriched": enriched}
 
 
-def start_pipeline(
-    spark: SparkSession, orders: DataFrame, dim: DataFrame, cfg: PipelineConfig | None = None
-) -> Pipeline:
+def start_streams(
+    spark: SparkSession, orders: DataFrame, dim: DataFrame, cfg: StreamConfig | None = None
+) -> MetricStreams:
     """Start the streaming queries into a batch-keyed ledger.
 
     ``orders`` is a streaming frame with order_id, user_id, sku_id, amount
     (any numeric), event_time (TIMESTAMP).  ``dim`` is a static frame, not
     cached, so each micro-batch joins the dimension as it is at that trigger.
     """
-    cfg = cfg or PipelineConfig()
+    cfg = cfg or StreamConfig()
     root = (cfg.root or f"{checkpoint_root(spark)}/{cfg.name}").rstrip("/")
     single = cfg.layout == "single"
     if cfg.layout not in ("single", "three"):
@@ -154,7 +154,7 @@ def start_pipeline(
             }
     finally:
         spark.conf.set(parts_key, before)
-    return Pipeline(ledger, queries, spark)
+    return MetricStreams(ledger, queries, spark)
 
 
 def default_parallelism(spark: SparkSession) -> int:

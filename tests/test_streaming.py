@@ -16,7 +16,7 @@ from shoppulse.sources.dimension import read_jdbc_dimension, sku_dimension, writ
 from shoppulse.sources.streams import file_order_stream
 from shoppulse.sources.tables import orders_from_events, read_table
 from shoppulse.streaming.ledger import TOTALS, WINDOWS
-from shoppulse.streaming.pipeline import PipelineConfig, build_queries, start_pipeline
+from shoppulse.streaming.streams import StreamConfig, build_queries, start_streams
 from shoppulse.streaming.replay import replay
 
 NO_DATA = "spark.sql.streaming.noDataMicroBatches.enabled"
@@ -33,7 +33,7 @@ class Harness:
     def __init__(self, spark, scratch, dim=None, **cfg):
         self.spark, self.inbox, self.n = spark, os.path.join(scratch, "inbox"), 0
         os.makedirs(self.inbox)
-        self.cfg = PipelineConfig(
+        self.cfg = StreamConfig(
             name="t", root=os.path.join(scratch, "pipe"), trigger={"processingTime": "0 seconds"}, **cfg
         )
         self.dim = dim if dim is not None else spark.createDataFrame(
@@ -47,7 +47,7 @@ class Harness:
         self.spark.conf.set(NO_DATA, "false")
         try:
             stream = file_order_stream(self.spark, self.inbox, max_files_per_trigger=1)
-            self.pipe = start_pipeline(self.spark, stream, self.dim, self.cfg)
+            self.pipe = start_streams(self.spark, stream, self.dim, self.cfg)
         finally:
             self.spark.conf.set(NO_DATA, before)
         return self
@@ -75,7 +75,7 @@ def test_replay_equals_batch(spark, layout):
     raw = orders_from_events(read_table(spark, sf, "events"), keep=("event_id",))
     raw = raw.withColumn("event_time", F.col("event_time").cast("timestamp"))
     pipe = replay(spark, raw, F.floor(F.col("event_id") / 100).cast("bigint"), sku_dimension(spark, sf),
-                  PipelineConfig(name="eq", dedup_mode=EXACT, compact_every=3, layout=layout))
+                  StreamConfig(name="eq", dedup_mode=EXACT, compact_every=3, layout=layout))
     # 11 batches, snapshots at 3, 6, 9
     assert pipe.ledger.latest_snapshot(spark, pipe.ledger.windows_kind) == 9
     cols = ["window_start", "window_end", "category", "gmv", "order_cnt"]
@@ -123,7 +123,7 @@ def test_crash_after_sink_write_is_replayed_without_double_count(spark, scratch)
     for i in range(3):
         with open(os.path.join(inbox, f"b{i}.json"), "w") as fh:
             fh.write(json.dumps(order(f"C{i}", f"2024-01-01 10:0{i}:00", amount=5.0)) + "\n")
-    cfg = PipelineConfig(name="crash", root=os.path.join(scratch, "pipe"))
+    cfg = StreamConfig(name="crash", root=os.path.join(scratch, "pipe"))
     from shoppulse.streaming.ledger import Ledger
 
     ledger = Ledger(os.path.join(scratch, "pipe", "ledger"))
@@ -397,7 +397,7 @@ def test_scrambled_replay_drops_exactly_the_rule_s_late_rows(spark):
     want = kept.agg(F.count("order_id").alias("n"), F.sum("amount").alias("gmv")).first()
     assert mark_late(arrivals).filter("late").count() > 0  # the order really is scrambled
     pipe = replay(spark, raw, batch, sku_dimension(spark, SF001),
-                  PipelineConfig(name="late", dedup_mode=EXACT))
+                  StreamConfig(name="late", dedup_mode=EXACT))
     tot = pipe.ledger.totals(spark).first()
     assert tot["order_total"] == want["n"]
     assert round(tot["gmv_total"], 2) == round(float(want["gmv"]), 2)
