@@ -139,6 +139,9 @@ def trend_aligned(points: DataFrame) -> DataFrame:
     (Spark first collects the distinct categories, a bounded list), then
     unpivot back to long form; absent windows come back as nulls.
     """
+    # Spark collects the distinct categories first; more than
+    # spark.sql.pivotMaxValues (10,000 by default) is refused with an error
+    # rather than turned into an unbounded grid.
     wide = points.groupBy("window_start").pivot("category").agg(F.first("gmv"))
     cats = [c for c in wide.columns if c != "window_start"]
     if not cats:
