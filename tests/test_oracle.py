@@ -67,3 +67,9 @@ def test_fixture_numbers(spark):
     assert by_cat == {"SMALL": 3827, "MEDIUM": 2068, "ECONOMY": 2008, "PROMO": 2004, "未知": 93}
     assert catalog.q_dau_daily(spark, SF01).count() == 30
     assert catalog.q_window_gmv(spark, SF001).count() > 0
+    # lineitem's natural conflicting duplicates: 14,168 repeats beyond the first row
+    viol = catalog.q_dim_key_violations(spark, SF01)
+    assert viol.agg(F.sum(F.col("cnt") - 1)).first()[0] == 14_168
+    assert catalog.first_arrival_multi(
+        catalog.read_table(spark, SF01, "lineitem")
+    ).count() == catalog.read_table(spark, SF01, "lineitem").count() - 14_168
