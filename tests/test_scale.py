@@ -75,3 +75,19 @@ def test_order_lines_join_shuffles_on_the_order_key(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "SortMergeJoin" in plan and "hashpartitioning(l_orderkey" in plan
+
+
+def test_no_cross_joins_and_limits_only_where_they_are_the_feature(spark):
+    """Every batch query: no cartesian / nested-loop join; a limit only in top-k style views."""
+    import __spark_entry__ as entry
+
+    # top-3 ids, last-60 axis points (also the window map of the combined payload), top-k board
+    limited = {"dim_head", "trend_last_n", "metrics_combined", "category_top_k"}
+    for name, fn in entry.queries().items():
+        if name.startswith("stream_") or name == "window_store":
+            continue  # streaming replays: covered in test_streaming.py
+        plan = plan_of(fn(spark, SF01))
+        assert "CartesianProduct" not in plan, name
+        assert "BroadcastNestedLoopJoin" not in plan, name
+        has_limit = any(op in plan for op in ("CollectLimit", "TakeOrderedAndProject", "GlobalLimit"))
+        assert has_limit == (name in limited), name
