@@ -6,11 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import best_fit_packing, chunk_bpe
+from . import arc_to_warc, best_fit_packing, chunk_bpe, quality_rules
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_byte_bpe": chunk_bpe.query,
+    "op5_arc_to_warc": arc_to_warc.query,
+    "op7_quality_rules": quality_rules.query,
     "op8_best_fit_packing": best_fit_packing.query,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op5_arc_to_warc": arc_to_warc.SQL,
+    "op7_quality_rules": quality_rules.SQL,
+}
