@@ -105,6 +105,15 @@ def _master(spark: SparkSession) -> str:
         return spark.conf.get("spark.master", "")
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Local mode: let Python workers import this package wherever the driver was started.
+
+    On a cluster the package is installed or on ``PYTHONPATH`` as any library is.
+    """
+    if _master(spark).startswith("local") and not _master(spark).startswith("local-cluster"):
+        spark.sparkContext.addFile(os.path.dirname(os.path.abspath(__file__)), recursive=True)
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for stream checkpoints and ledgers (never machine-local on a cluster)."""
     current = spark.conf.get("spark.checkpoint.dir", None) or _context_checkpoint_dir(spark)
