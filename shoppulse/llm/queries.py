@@ -6,13 +6,24 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import arc_to_warc, best_fit_packing, chunk_bpe, quality_rules
+from . import (
+    arc_to_warc,
+    best_fit_packing,
+    chunk_bpe,
+    kernel_langid,
+    quality_qda,
+    quality_rules,
+    subword_toxicity,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_kernel_langid": kernel_langid.query,
+    "op3_subword_toxicity": subword_toxicity.query,
     "op4_byte_bpe": chunk_bpe.query,
     "op5_arc_to_warc": arc_to_warc.query,
     "op7_quality_rules": quality_rules.query,
     "op8_best_fit_packing": best_fit_packing.query,
+    "op9_quality_qda": quality_qda.query,
 }
 
 SQL: dict[str, str] = {
