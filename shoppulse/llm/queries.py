@@ -14,10 +14,12 @@ from . import (
     quality_qda,
     quality_rules,
     subword_toxicity,
+    suffix_tree_dedup,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_kernel_langid": kernel_langid.query,
+    "op2_suffix_tree_dedup": suffix_tree_dedup.query,
     "op3_subword_toxicity": subword_toxicity.query,
     "op4_byte_bpe": chunk_bpe.query,
     "op5_arc_to_warc": arc_to_warc.query,
@@ -27,6 +29,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 SQL: dict[str, str] = {
+    "op2_suffix_tree_dedup": suffix_tree_dedup.SQL,
     "op5_arc_to_warc": arc_to_warc.SQL,
     "op7_quality_rules": quality_rules.SQL,
 }
