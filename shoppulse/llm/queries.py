@@ -10,6 +10,7 @@ from . import (
     arc_to_warc,
     best_fit_packing,
     chunk_bpe,
+    grouped_prefix_join,
     kernel_langid,
     quality_qda,
     quality_rules,
@@ -23,6 +24,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_subword_toxicity": subword_toxicity.query,
     "op4_byte_bpe": chunk_bpe.query,
     "op5_arc_to_warc": arc_to_warc.query,
+    "op6_grouped_prefix_join": grouped_prefix_join.query,
     "op7_quality_rules": quality_rules.query,
     "op8_best_fit_packing": best_fit_packing.query,
     "op9_quality_qda": quality_qda.query,
@@ -31,5 +33,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 SQL: dict[str, str] = {
     "op2_suffix_tree_dedup": suffix_tree_dedup.SQL,
     "op5_arc_to_warc": arc_to_warc.SQL,
+    "op6_grouped_prefix_join": grouped_prefix_join.SQL,
     "op7_quality_rules": quality_rules.SQL,
 }
