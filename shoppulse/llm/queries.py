@@ -12,6 +12,7 @@ from . import (
     chunk_bpe,
     grouped_prefix_join,
     kernel_langid,
+    multiprobe_lsh,
     quality_qda,
     quality_rules,
     subword_toxicity,
@@ -28,6 +29,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_quality_rules": quality_rules.query,
     "op8_best_fit_packing": best_fit_packing.query,
     "op9_quality_qda": quality_qda.query,
+    "op10_multiprobe_lsh": multiprobe_lsh.query,
 }
 
 SQL: dict[str, str] = {
