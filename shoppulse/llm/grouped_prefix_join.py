@@ -19,8 +19,9 @@ n - ceil(percent * n / 100) + 1 shingles in any common order; rare shingles come
 
 The result is one row per document with its class; copies are never expanded into
 pairs.  Null, empty and wordless texts have an empty set and are alone; a text with
-fewer than ``SHINGLE`` words has one shingle, its whole sequence.  doc_id must not be
-null; repeated rows of one doc_id should be identical.
+fewer than ``SHINGLE`` words has one shingle, its whole sequence.  Rows without doc_id
+cannot be named in a class and are left out; repeated rows (same doc_id, same text)
+get a row each.
 """
 
 from __future__ import annotations
@@ -226,7 +227,7 @@ def _relabelled(rows: DataFrame, parts: DataFrame) -> DataFrame:
 def similar_classes(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id of every row of ``docs`` (doc_id, text)."""
     spark = docs.sparkSession
-    docs = docs.select("doc_id", "text")
+    docs = docs.select("doc_id", "text").filter("doc_id is not null")
     sketch = spark.sparkContext.broadcast(frequency_sketch(docs))
     sets = stored(spark, docs.mapInArrow(_sets_map(sketch, percent), SETS), "join-sets")
 
@@ -326,6 +327,13 @@ def similar_classes(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     )
 
 
+def one_of_each(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """``docs`` with one row of each class (its smallest doc_id); rows without doc_id stay."""
+    first = similar_classes(docs, percent).filter("doc_id = component_id").select("doc_id")
+    kept = docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return kept.unionByName(docs.filter("doc_id is null"))
+
+
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """op6: classes of documents linked by 3-word shingle similarity of 0.9 or more."""
     return similar_classes(read(spark, sf_dir, "documents"), PERCENT)

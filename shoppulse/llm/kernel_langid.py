@@ -22,6 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import held_out, learnable, read
 from .ngrams import grams, padded, text_blocks
@@ -33,6 +34,8 @@ LANDMARKS_PER_LANGUAGE = 64
 RIDGE = 1e-3
 SHARPNESS = 4.0  # score: softmax of this times the regression outputs
 UNDETERMINED = "und"
+LEAST_SCORE = 0.4  # a filter keeps texts that score this much
+PREDICTED, SCORE = "__lang_pred", "__lang_score"
 FOLDS, HELD = 4, 2
 _ROWS = 64
 
@@ -160,30 +163,38 @@ def _predict_map(model: Model | None):
                     got = predict(texts[c : min(b, c + _ROWS)], model)
                     names += got[0]
                     scores.append(got[1])
-            keep = [n for n in batch.schema.names if n != "text"]
             yield pa.RecordBatch.from_arrays(
                 [
-                    *(batch.column(n) for n in keep),
+                    *batch.columns,
                     pa.array(names, pa.string()),
                     pa.array(np.concatenate(scores) if scores else [], pa.float64()),
                 ],
-                names=[*keep, "lang_pred", "score"],
+                names=[*batch.schema.names, PREDICTED, SCORE],
             )
 
     return run
 
 
 def identify(docs: DataFrame, model: Model | None) -> DataFrame:
-    """doc_id, lang_pred and score of each whole text."""
-    return docs.select("doc_id", "text").mapInArrow(
-        _predict_map(model), "doc_id long, lang_pred string, score double"
-    )
+    """``docs`` with the language (``PREDICTED``) and score (``SCORE``) of each whole text."""
+    columns = [f for f in docs.schema.fields if f.name not in (PREDICTED, SCORE)]
+    schema = T.StructType(columns).add(PREDICTED, T.StringType()).add(SCORE, T.DoubleType())
+    return docs.select(*(f"`{f.name}`" for f in columns)).mapInArrow(_predict_map(model), schema)
+
+
+def known_language(docs: DataFrame, model: Model | None, least: float = LEAST_SCORE) -> DataFrame:
+    """The rows of ``docs`` whose language is determined with a score of ``least`` or more."""
+    sure = (F.col(PREDICTED) != UNDETERMINED) & (F.col(SCORE) >= least)
+    return identify(docs, model).filter(sure).drop(PREDICTED, SCORE)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """op1: the language of every document, learned from three of four folds."""
     docs = read(spark, sf_dir, "documents")
     model = train(docs.filter(learnable("doc_id", FOLDS, HELD)))
-    return identify(docs, model).select(
-        "doc_id", held_out("doc_id", FOLDS, HELD).alias("held_out"), "lang_pred", "score"
+    return identify(docs.select("doc_id", "text"), model).select(
+        "doc_id",
+        held_out("doc_id", FOLDS, HELD).alias("held_out"),
+        F.col(PREDICTED).alias("lang_pred"),
+        F.col(SCORE).alias("score"),
     )

@@ -56,7 +56,7 @@ CURRENT = POLICY_V2
 
 
 def measure(docs: DataFrame) -> DataFrame:
-    """doc_id, text and the measurements of each whole text."""
+    """The input row as ``row`` and the measurements of its whole text."""
     window = ", ".join(f"wh[i + {k}]" if k else "wh[i]" for k in range(WINDOW))
     steps = [
         {"t": "coalesce(text, '')"},
@@ -92,10 +92,10 @@ def measure(docs: DataFrame) -> DataFrame:
             "n_upper": "cast(char_length(t) - char_length(regexp_replace(t, '\\\\p{Lu}+', '')) as bigint)",
         },
     ]
-    out = docs.select("doc_id", "text")
+    out = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), "text")
     for step in steps:
         out = out.withColumns({name: F.expr(sql) for name, sql in step.items()})
-    return out.select("doc_id", *MEASURES)
+    return out.select("row", *MEASURES)
 
 
 def failed_bits() -> Column:
@@ -111,7 +111,8 @@ def failed_bits() -> Column:
 
 def ledger(docs: DataFrame) -> DataFrame:
     """doc_id, the measurements and ``failed`` (a bit for every failed rule)."""
-    return measure(docs).withColumn("failed", failed_bits())
+    ids = docs.select("doc_id", "text")
+    return measure(ids).select("row.doc_id", *MEASURES, failed_bits().alias("failed"))
 
 
 def fails(policy: Policy) -> Column:
@@ -123,6 +124,11 @@ def apply_policy(rows: DataFrame, policy: Policy) -> DataFrame:
     return rows.withColumn("policy", F.lit(policy.version)).withColumn("kept", ~fails(policy))
 
 
+def kept_documents(docs: DataFrame, policy: Policy) -> DataFrame:
+    """The rows of ``docs``, with all their columns, that the policy keeps."""
+    return measure(docs).withColumn("failed", failed_bits()).filter(~fails(policy)).select("row.*")
+
+
 def ablations(rows: DataFrame, policy: Policy) -> DataFrame:
     """Per rule of the policy: documents it fails, fails alone, and kept if it were dropped."""
     masked = F.col("failed").bitwiseAND(F.lit(policy.mask))
