@@ -15,7 +15,8 @@ def first_arrival(
     df: DataFrame, key: str | list[str] = "order_id", order_by: str = "event_time"
 ) -> DataFrame:
     """Keep one row per ``key`` (one or more columns): the earliest ``order_by``,
-    ties broken by the other columns.
+    ties broken by the other columns.  A copy whose ``order_by`` is null only wins
+    when all copies of its key have none.
 
     Expressed as one aggregate (``min`` of a struct whose first field is the
     ordering column), so Spark combines map-side before the shuffle: a key that
@@ -25,7 +26,8 @@ def first_arrival(
     """
     keys = [key] if isinstance(key, str) else list(key)
     rest = [c for c in df.columns if c not in (*keys, order_by)]
-    picked = df.groupBy(*keys).agg(F.min(F.struct(order_by, *rest)).alias("_first"))
+    missing = F.col(order_by).isNull().alias("_missing")
+    picked = df.groupBy(*keys).agg(F.min(F.struct(missing, order_by, *rest)).alias("_first"))
     return picked.select(
         *keys, *[F.col(f"_first.{c}").alias(c) for c in [order_by, *rest]]
     ).select(*df.columns)

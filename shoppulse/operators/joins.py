@@ -1,4 +1,4 @@
-"""Dimension joins with a checked broadcast."""
+"""Dimension joins."""
 
 from __future__ import annotations
 
@@ -7,40 +7,22 @@ from pyspark.sql import functions as F
 
 from ..schemas import UNKNOWN_CATEGORY
 
-# A broadcast side is copied to every executor: keep it well under executor
-# memory.  The dimension of the reference has 200 rows.
-MAX_BROADCAST_ROWS = 1_000_000
 
+def one_row_per_id(dim: DataFrame) -> DataFrame:
+    """(id, category) with the least category of each id: a repeated id never multiplies orders."""
+    return dim.groupBy("id").agg(F.min("category").alias("category"))
 
-def bounded_broadcast(side: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> tuple[DataFrame, bool]:
-    """Broadcast ``side`` only if it provably has at most ``max_rows`` rows.
 
-    The check reads at most ``max_rows + 1`` rows (a limit pushed into the
-    scan), so it costs little even when the side turns out to be large.  Beyond
-    the bound the side is returned as is and the join shuffles (sort-merge or
-    shuffle-hash; AQE may still convert it at run time from real sizes).
-    """
-    if side.isStreaming:
-        return side, False
-    small = side.limit(max_rows + 1).count() <= max_rows
-    return (F.broadcast(side) if small else side), small
-
-
-def enrich_orders(
-    orders: DataFrame,
-    dim: DataFrame,
-    label: str = UNKNOWN_CATEGORY,
-    max_broadcast_rows: int = MAX_BROADCAST_ROWS,
-) -> DataFrame:
+def enrich_orders(orders: DataFrame, dim: DataFrame, label: str = UNKNOWN_CATEGORY) -> DataFrame:
     """Left join orders to the dimension on ``sku_id = id``; unmatched -> ``label``.
 
-    Only ``id`` and ``category`` are taken from the dimension, so the scan of
-    the dimension reads two columns.  The static dimension is not cached: in a
-    stream-static join it is re-read on every micro-batch.
+    Only ``id`` and ``category`` are taken from the dimension, so its scan reads two
+    columns.  There is no broadcast hint: Spark's size threshold decides, and AQE from
+    the sizes it measures, so a dimension that has grown is shuffled and a skewed
+    key is split.
     """
-    side, _ = bounded_broadcast(
-        dim.select(F.col("id").alias("_dim_id"), F.col("category").alias("_dim_category")),
-        max_broadcast_rows,
+    side = one_row_per_id(dim).select(
+        F.col("id").alias("_dim_id"), F.col("category").alias("_dim_category")
     )
     joined = orders.join(side, orders["sku_id"] == side["_dim_id"], "left")
     return joined.select(

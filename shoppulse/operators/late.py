@@ -12,8 +12,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .joins import bounded_broadcast
-
 # Replay parameters for a scrambled arrival order (test-table adapter): each
 # order arrives up to JITTER_SECONDS after its event time, and micro-batches
 # cut the arrival clock into BATCH_SECONDS slots.
@@ -50,7 +48,7 @@ def batch_watermarks(arrivals: DataFrame, batch: str = "batch", event_time: str
 
 def mark_late(arrivals: DataFrame, batch: str = "batch", event_time: str = "event_time",
               delay_minutes: int = 10) -> DataFrame:
-    marks, _ = bounded_broadcast(batch_watermarks(arrivals, batch, event_time, delay_minutes))
+    marks = batch_watermarks(arrivals, batch, event_time, delay_minutes)
     return arrivals.join(marks, batch, "left").withColumn(
         "late", F.coalesce(F.col(event_time) <= F.col("watermark"), F.lit(False))
     )

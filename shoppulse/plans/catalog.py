@@ -22,10 +22,10 @@ from ..schemas import DIM_SAMPLE_IDS, MONEY, TOP_K
 from ..sources.dimension import key_violations, sku_catalogue, sku_dimension
 from ..sources.tables import orders, orders_from_events, read_table, session_key
 from ..session import ensure_checkpoint_dir
+from ..storage import version
 from ..streaming.streams import StreamConfig
 from ..streaming.replay import range_batches, replay
 from . import views
-from .materialize import materialize
 
 # Events per arrival batch in ``batch_deltas`` (the reference caps intake at
 # 1000 offsets per trigger), and the number of micro-batches a table is
@@ -41,7 +41,7 @@ def _dedup(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _enriched(spark: SparkSession, sf: str) -> DataFrame:
-    return enrich_orders(_dedup(spark, sf), sku_dimension(spark, sf))
+    return enrich_orders(_dedup(spark, sf), _part(spark, sf))
 
 
 def _windows(spark: SparkSession, sf: str) -> DataFrame:
@@ -52,9 +52,9 @@ def _points(spark: SparkSession, sf: str) -> DataFrame:
     return views.window_points(_windows(spark, sf))
 
 
-def _points_table(spark: SparkSession, sf: str) -> DataFrame:
-    """Window points written once; for views that read them in several branches."""
-    return materialize(spark, _points(spark, sf), "points")
+def _part(spark: SparkSession, sf: str) -> DataFrame:
+    """The whole catalogue, which order events join to."""
+    return sku_catalogue(read_table(spark, sf, "part"))
 
 
 def _money_as_double(df: DataFrame, col: str = "amount") -> DataFrame:
@@ -160,9 +160,9 @@ def q_late_orders(spark, sf):
     return late_counts(arrivals, "batch")
 
 
-# One streaming run per (session, tables): the three ledger views below read the
-# ledgers it wrote (written tables in the shared checkpoint folder).
-_REPLAYS: dict[tuple[str, str], object] = {}
+# One streaming run per session and state of the events table: the ledger views below
+# read the ledgers it wrote (written tables in the shared checkpoint folder).
+_REPLAYS: dict[tuple[str, str, str], object] = {}
 
 
 def streamed_ledger(spark: SparkSession, sf: str):
@@ -174,7 +174,7 @@ def streamed_ledger(spark: SparkSession, sf: str):
     Re-sent copies arrive in the same batch as the original, so the bounded
     dedup gives the same answer as the exact one.
     """
-    key = (session_key(spark), sf)
+    key = (session_key(spark), sf, version(spark, f"{sf.rstrip('/')}/events.parquet"))
     if key not in _REPLAYS:
         ensure_checkpoint_dir(spark)
         raw = _orders_with_event_id(spark, sf).withColumn(
@@ -182,7 +182,7 @@ def streamed_ledger(spark: SparkSession, sf: str):
         )
         batch = range_batches(raw, "_eid", REPLAY_BATCHES)
         cfg = StreamConfig(name="ledger", dedup_mode=WITHIN_WATERMARK)
-        _REPLAYS[key] = replay(spark, raw, batch, sku_dimension(spark, sf), cfg).ledger
+        _REPLAYS[key] = replay(spark, raw, batch, _part(spark, sf), cfg).ledger
     return _REPLAYS[key]
 
 
@@ -210,8 +210,7 @@ def q_stream_latest_window(spark, sf):
 def q_stream_category_rank(spark, sf):
     """The ranking board served from the streaming window ledger."""
     ledger = streamed_ledger(spark, sf)
-    points = views.window_points(ledger.window_rows(spark))
-    return views.category_rank(materialize(spark, points, "ledger_points"))
+    return views.category_rank(views.window_points(ledger.window_rows(spark)))
 
 
 # -- serving views -----------------------------------------------------------------
@@ -231,24 +230,48 @@ def q_trend_long(spark, sf):
     return views.trend_long(_points(spark, sf))
 
 
+def _array_rows(arrays: DataFrame) -> DataFrame:
+    """Array pairs as rows with their position, so that any engine can compare them."""
+    zipped = F.posexplode(F.arrays_zip("times", "values")).alias("pos", "p")
+    return arrays.select("category", "dt", zipped).select(
+        "category", "dt", "pos", F.col("p.times").alias("time"), F.col("p.values").alias("gmv")
+    )
+
+
 def q_trend_arrays(spark, sf):
-    return views.trend_arrays(_points(spark, sf))
+    return _array_rows(views.trend_arrays(_points(spark, sf)))
+
+
+def q_trend_arrays_last_n(spark, sf):
+    """The last entries of each category's and day's arrays."""
+    arrays = views.trend_arrays(_points(spark, sf))
+    return _array_rows(views.trend_arrays_last_n(arrays, TREND_POINTS))
+
+
+def q_trend_lookup(spark, sf):
+    """Arrays as a map from window label to GMV, looked up at every full hour."""
+    found = views.trend_lookup(views.trend_arrays(_points(spark, sf)))
+    hours = F.explode(F.sequence(F.lit(0), F.lit(23))).alias("hour")
+    label = F.format_string("%02d:00", F.col("hour"))
+    return found.select("category", "dt", "gmv_by_time", hours).select(
+        "category", "dt", "hour", F.try_element_at("gmv_by_time", label).alias("gmv")
+    )
 
 
 def q_trend_aligned(spark, sf):
-    return views.trend_aligned(_points_table(spark, sf))
+    return views.trend_aligned(_points(spark, sf))
 
 
 def q_trend_last_n(spark, sf):
-    return views.trend_last_n(_points_table(spark, sf), TREND_POINTS)
+    return views.trend_last_n(_points(spark, sf), TREND_POINTS)
 
 
 def q_category_rank(spark, sf):
-    return views.category_rank(_points_table(spark, sf))
+    return views.category_rank(_points(spark, sf))
 
 
 def q_category_top_k(spark, sf):
-    return views.category_top_k(views.category_rank(_points_table(spark, sf)), TOP_K)
+    return views.category_top_k(views.category_rank(_points(spark, sf)), TOP_K)
 
 
 def q_kpi_trend(spark, sf):
@@ -260,7 +283,7 @@ def q_activity_deltas(spark, sf):
 
 
 def q_metrics_combined(spark, sf):
-    return views.metrics_combined(_dedup(spark, sf), _points_table(spark, sf), TREND_POINTS)
+    return views.metrics_combined(_dedup(spark, sf), _points(spark, sf))
 
 
 # -- the same operators on order lines (larger fact table) --------------------------
@@ -268,11 +291,12 @@ def line_orders(spark: SparkSession, sf: str) -> DataFrame:
     """Order lines as order events: first arrival per (order, line), dated by the order.
 
     ``lineitem`` repeats (l_orderkey, l_linenumber) with different payloads;
-    the earliest ship date wins, ties broken by the remaining columns.  The
-    join to ``orders`` is a shuffle join on the order key (both sides grow with
+    the earliest ship date wins, ties broken by part, price and discount (only the
+    columns that are used are read and shuffled).  The join to ``orders`` is a shuffle join on the order key (both sides grow with
     the data); AQE splits skewed keys.
     """
-    lines = first_arrival_multi(read_table(spark, sf, "lineitem"))
+    used = ["l_orderkey", "l_linenumber", "l_shipdate", "l_partkey", "l_extendedprice", "l_discount"]
+    lines = first_arrival_multi(read_table(spark, sf, "lineitem").select(*used))
     heads = read_table(spark, sf, "orders").select("o_orderkey", "o_orderdate")
     dated = lines.join(heads, lines["l_orderkey"] == heads["o_orderkey"])
     return dated.select(
@@ -292,7 +316,7 @@ def first_arrival_multi(lineitem: DataFrame) -> DataFrame:
 
 def q_line_window_revenue(spark, sf):
     """5-day / 1-day sliding revenue per part type over deduplicated order lines."""
-    enriched = enrich_orders(line_orders(spark, sf), sku_catalogue(read_table(spark, sf, "part")))
+    enriched = enrich_orders(line_orders(spark, sf), _part(spark, sf))
     return window_gmv(enriched, "5 days", "1 day")
 
 
@@ -325,6 +349,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "latest_closed_window": q_latest_closed_window,
     "trend_long": q_trend_long,
     "trend_arrays": q_trend_arrays,
+    "trend_arrays_last_n": q_trend_arrays_last_n,
+    "trend_lookup": q_trend_lookup,
     "trend_aligned": q_trend_aligned,
     "trend_last_n": q_trend_last_n,
     "category_rank": q_category_rank,

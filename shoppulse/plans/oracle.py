@@ -27,7 +27,7 @@ dedup AS (
   SELECT event_id, order_id, user_id, sku_id, amount, event_time FROM (
     SELECT *, row_number() OVER (
       PARTITION BY order_id
-      ORDER BY event_time NULLS FIRST, user_id NULLS FIRST, sku_id NULLS FIRST,
+      ORDER BY event_time NULLS LAST, user_id NULLS FIRST, sku_id NULLS FIRST,
                amount NULLS FIRST) AS rn
     FROM raw_orders)
   WHERE rn = 1
@@ -49,7 +49,7 @@ ENRICHED = """
 enriched AS (
   SELECT o.order_id, o.user_id, o.sku_id, o.amount, o.event_time,
          COALESCE(d.category, '未知') AS category
-  FROM dedup o LEFT JOIN dim d ON o.sku_id = d.id
+  FROM dedup o LEFT JOIN catalogue d ON o.sku_id = d.id
 )"""
 
 WIN = """
@@ -151,9 +151,8 @@ li AS (
   SELECT * FROM (
     SELECT *, row_number() OVER (
       PARTITION BY l_orderkey, l_linenumber
-      ORDER BY l_shipdate NULLS FIRST, l_partkey NULLS FIRST, l_suppkey NULLS FIRST,
-               l_quantity NULLS FIRST, l_extendedprice NULLS FIRST, l_discount NULLS FIRST,
-               l_tax NULLS FIRST, l_returnflag NULLS FIRST, l_linestatus NULLS FIRST) AS rn
+      ORDER BY l_shipdate NULLS LAST, l_partkey NULLS FIRST, l_extendedprice NULLS FIRST,
+               l_discount NULLS FIRST) AS rn
     FROM lineitem)
   WHERE rn = 1
 ),
@@ -262,6 +261,37 @@ FROM points WHERE window_end <= (SELECT as_of FROM wm)
 GROUP BY category ORDER BY gmv DESC, category""",
     "trend_long": FULL
     + " SELECT category, window_start, gmv FROM points ORDER BY category, window_start",
+    "trend_arrays": FULL
+    + """
+SELECT category, CAST(window_start AS DATE) AS dt,
+       CAST(row_number() OVER (PARTITION BY category, CAST(window_start AS DATE)
+                               ORDER BY window_start) - 1 AS INTEGER) AS pos,
+       strftime(window_start, '%H:%M') AS time, gmv
+FROM points""",
+    "trend_arrays_last_n": FULL
+    + """
+SELECT category, dt, CAST(p - greatest(c - 60, 0) - 1 AS INTEGER) AS pos, time, gmv FROM (
+  SELECT category, CAST(window_start AS DATE) AS dt, strftime(window_start, '%H:%M') AS time, gmv,
+         row_number() OVER (PARTITION BY category, CAST(window_start AS DATE) ORDER BY window_start) AS p,
+         count(*) OVER (PARTITION BY category, CAST(window_start AS DATE)) AS c
+  FROM points)
+WHERE p > c - 60""",
+    "trend_lookup": FULL
+    + """,
+days AS (SELECT DISTINCT category, CAST(window_start AS DATE) AS dt FROM points)
+SELECT d.category, d.dt, CAST(h.h AS INTEGER) AS hour, p.gmv
+FROM days d CROSS JOIN (SELECT range AS h FROM range(0, 24)) h
+LEFT JOIN points p ON p.category = d.category
+  AND p.window_start = CAST(d.dt AS TIMESTAMP) + h.h * INTERVAL 1 HOUR""",
+    "metrics_combined": FULL
+    + """,
+head AS (
+  SELECT CAST(COALESCE(SUM(amount), 0) AS DOUBLE) AS gmv_total, COUNT(order_id) AS order_total,
+         COUNT(DISTINCT user_id) AS dau FROM dedup
+)
+SELECT category, CAST(window_start AS DATE) AS dt, strftime(window_start, '%H:%M') AS "window",
+       CAST(epoch_ms(window_start) AS BIGINT) AS window_ms, gmv, gmv_total, order_total, dau
+FROM points CROSS JOIN head""",
     "trend_aligned": FULL + "," + ALIGNED + " SELECT window_start, category, gmv FROM aligned",
     "trend_last_n": FULL
     + ","

@@ -33,14 +33,14 @@ VIEWS = (
 def register_views(spark: SparkSession, sf_dir: str, prefix: str = "") -> list[str]:
     raw = orders(spark, sf_dir)
     dedup = first_arrival(raw)
-    dim = sku_dimension(spark, sf_dir)
-    enriched = enrich_orders(dedup, dim)
+    catalogue = sku_catalogue(read_table(spark, sf_dir, "part"))
+    enriched = enrich_orders(dedup, catalogue)
     windows = window_gmv(enriched)
     frames = {
         "raw_orders": raw,
         "orders_dedup": dedup,
-        "sku_catalogue": sku_catalogue(read_table(spark, sf_dir, "part")),
-        "sku_dim": dim,
+        "sku_catalogue": catalogue,
+        "sku_dim": sku_dimension(spark, sf_dir),
         "enriched_orders": enriched,
         "window_gmv": windows,
         "window_points": views.window_points(windows),

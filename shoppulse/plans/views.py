@@ -13,7 +13,7 @@ orders.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import (
@@ -24,8 +24,7 @@ from ..functions.columns import (
     store_key,
     window_label,
 )
-from ..operators.joins import bounded_broadcast
-from ..operators.totals import active_users, business_date
+from ..operators.totals import business_date
 from ..schemas import FEED_MAX_ITEMS, TOP_K, WATERMARK_DELAY
 
 
@@ -56,26 +55,20 @@ def latest_window(points: DataFrame) -> DataFrame:
     )
 
 
-def event_watermark(orders: DataFrame, delay: str = WATERMARK_DELAY) -> str | None:
-    """Max event time minus the watermark delay (cut to ms), as timestamp text.
+def event_watermark(orders: DataFrame, delay: str = WATERMARK_DELAY) -> Column:
+    """Max event time minus the watermark delay (cut to ms), as a scalar subquery."""
+    bound = F.date_trunc("millisecond", F.max("event_time")) - F.expr(f"INTERVAL {delay}")
+    return orders.agg(bound.alias("as_of")).scalar()
 
-    One small aggregate job returning a single value; used as a literal it can
-    be pushed down the plan, unlike a correlated scalar subquery.
+
+def latest_closed_window(points: DataFrame, as_of: Column | str | None) -> DataFrame:
+    """Like ``latest_window`` but only over complete windows (end <= as-of time).
+
+    ``as_of`` is an expression or timestamp text; without one no window is complete.
     """
-    row = orders.agg(
-        F.date_format(
-            F.date_trunc("millisecond", F.max("event_time")) - F.expr(f"INTERVAL {delay}"),
-            "yyyy-MM-dd HH:mm:ss.SSSSSS",
-        ).alias("as_of")
-    ).first()
-    return row["as_of"] if row else None
-
-
-def latest_closed_window(points: DataFrame, as_of: str | None) -> DataFrame:
-    """Like ``latest_window`` but only over complete windows (end <= as-of time)."""
-    if as_of is None:
-        return latest_window(points.limit(0))
-    bound = F.lit(as_of).cast(points.schema["window_end"].dataType)
+    bound = (as_of if isinstance(as_of, Column) else F.lit(as_of)).cast(
+        points.schema["window_end"].dataType
+    )
     return latest_window(points.filter(F.col("window_end") <= bound))
 
 
@@ -132,55 +125,49 @@ def trend_lookup(arrays: DataFrame) -> DataFrame:
     )
 
 
-def trend_aligned(points: DataFrame) -> DataFrame:
-    """Every category on the union time axis, null where it has no window.
+def _aligned(axis: DataFrame, points: DataFrame) -> DataFrame:
+    """Every category at every axis point, null where it has no window.
 
-    One shuffle: group by window start and pivot categories into columns
-    (Spark first collects the distinct categories, a bounded list), then
-    unpivot back to long form; absent windows come back as nulls.
+    The categories (a catalogue's few names) are generated onto the axis rows, so no join
+    is needed to pair them; the values then come in by an equi-join.
     """
-    # Spark collects the distinct categories first; more than
-    # spark.sql.pivotMaxValues (10,000 by default) is refused with an error
-    # rather than turned into an unbounded grid.
-    wide = points.groupBy("window_start").pivot("category").agg(F.first("gmv"))
-    cats = [c for c in wide.columns if c != "window_start"]
-    if not cats:
-        return points.select("window_start", "category", "gmv")
-    return wide.unpivot(["window_start"], cats, "category", "gmv")
+    names = points.agg(F.array_sort(F.collect_set("category")).alias("names")).scalar()
+    grid = axis.select("window_start", F.explode(names).alias("category"))
+    return grid.join(
+        points.select("window_start", "category", "gmv"), ["window_start", "category"], "left"
+    )
+
+
+def trend_aligned(points: DataFrame) -> DataFrame:
+    """The aligned trend over the whole axis; ``trend_long`` is its sparse form."""
+    return _aligned(points.select("window_start").distinct(), points)
 
 
 def trend_last_n(points: DataFrame, n: int | None = 60) -> DataFrame:
-    """The aligned trend over the last ``n`` axis points (None = all)."""
-    aligned = trend_aligned(points)
+    """The aligned trend over the last ``n`` axis points (None = all).
+
+    The axis is cut first, so the grid and the values joined to it are only those of
+    ``n`` points, however long the history is.
+    """
     if n is None:
-        return aligned
-    axis = (
-        points.select("window_start").distinct().orderBy(F.desc("window_start")).limit(n)
-    )
-    # The axis has at most n rows: a proven bound, so broadcasting it is safe.
-    return aligned.join(F.broadcast(axis), "window_start", "left_semi")
+        return trend_aligned(points)
+    axis = points.select("window_start").distinct().orderBy(F.desc("window_start")).limit(n)
+    return _aligned(axis, points)
 
 
 def category_rank(points: DataFrame) -> DataFrame:
     """Ranking board: latest GMV per category, change versus its previous window, share.
 
-    rank, category, gmv, trend_pct, direction, share_pct.
+    rank, category, gmv, trend_pct, direction, share_pct.  Only the two newest windows of
+    a category leave each task (the rank limit is applied before the shuffle).
     """
-    last = points.groupBy("category").agg(
-        F.max("window_start").alias("_last_ws"), F.max_by("gmv", "window_start").alias("gmv")
-    )
-    last_b, _ = bounded_broadcast(last.select("category", "_last_ws"))
-    prev = (
-        points.join(last_b, "category")
-        .filter(F.col("window_start") < F.col("_last_ws"))
-        .groupBy("category")
-        .agg(F.max_by("gmv", "window_start").alias("_prev"))
-    )
-    board = last.join(prev, "category", "left").select(
-        "category",
-        F.coalesce(F.col("gmv"), F.lit(0.0)).alias("gmv"),
-        pct_change(F.col("_prev"), F.col("gmv")).alias("_trend"),
+    newest = Window.partitionBy("category").orderBy(F.desc("window_start"))
+    two = points.withColumn("_n", F.row_number().over(newest)).filter(F.col("_n") <= 2)
+    board = two.groupBy("category").agg(
+        F.coalesce(F.max(F.when(F.col("_n") == 1, F.col("gmv"))), F.lit(0.0)).alias("gmv"),
+        F.max(F.when(F.col("_n") == 2, F.col("gmv"))).alias("_prev"),
     )
+    trend = pct_change(F.col("_prev"), F.col("gmv"))
     everyone = Window.partitionBy()
     ranked = Window.orderBy(F.desc("gmv"), "category")
     total = F.sum("gmv").over(everyone)
@@ -188,8 +175,8 @@ def category_rank(points: DataFrame) -> DataFrame:
         F.row_number().over(ranked).cast("bigint").alias("rank"),
         "category",
         "gmv",
-        round_half_up(F.col("_trend"), 1).alias("trend_pct"),
-        direction(F.col("_trend")).alias("direction"),
+        round_half_up(trend, 1).alias("trend_pct"),
+        direction(trend).alias("direction"),
         F.when(total > 0, round_half_up(F.col("gmv") / total * F.lit(100.0), 1))
         .otherwise(F.lit(0.0))
         .alias("share_pct"),
@@ -274,55 +261,18 @@ def activity_deltas(kpi: DataFrame, max_items: int = FEED_MAX_ITEMS) -> DataFram
     )
 
 
-def metrics_combined(orders: DataFrame, points: DataFrame, last_n: int = 60) -> DataFrame:
-    """The documented combined payload: overview + category -> {window -> gmv}.
+def metrics_combined(orders: DataFrame, points: DataFrame) -> DataFrame:
+    """The combined payload as rows: the overview beside every window of every category.
 
-    The window map covers the last ``last_n`` axis points, so its size is
-    bounded by categories x last_n whatever the history length.
+    One row per (category, window) with its start in epoch milliseconds; the overview's
+    single row is read as scalars.
     """
-    recent = trend_last_n(points, last_n).filter(F.col("gmv").isNotNull())
-    per_cat = recent.groupBy("category").agg(
-        F.map_from_entries(
-            F.sort_array(
-                F.collect_list(
-                    F.struct(
-                        F.date_format("window_start", "yyyy-MM-dd HH:mm").alias("k"),
-                        F.col("gmv").alias("v"),
-                    )
-                )
-            )
-        ).alias("windows")
-    )
-    windows_map = per_cat.agg(
-        F.map_from_entries(F.collect_list(F.struct("category", "windows"))).alias("m")
-    )
-    return overview(orders).select(
-        F.unix_millis(F.current_timestamp()).alias("ts"),
-        "gmv_total",
-        "order_total",
-        "dau",
-        windows_map.scalar().alias("category_windows"),
+    head = overview(orders)
+    return points.select(
+        "category",
+        F.to_date("window_start").alias("dt"),
+        window_label(F.col("window_start")).alias("window"),
+        F.unix_millis(F.col("window_start").cast("timestamp")).alias("window_ms"),
+        "gmv",
+        *(head.select(c).scalar().alias(c) for c in ("gmv_total", "order_total", "dau")),
     )
-
-
-__all__ = [
-    "active_users",
-    "activity_deltas",
-    "category_rank",
-    "category_top_k",
-    "event_watermark",
-    "kpi_trend",
-    "latest_closed_window",
-    "latest_window",
-    "metrics_combined",
-    "overview",
-    "trend_aligned",
-    "trend_arrays",
-    "trend_arrays_last_n",
-    "trend_lookup",
-    "trend_from_arrays",
-    "trend_last_n",
-    "trend_long",
-    "window_points",
-    "window_store",
-]

@@ -6,17 +6,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.codec import decode_orders
-from ..schemas import MAX_OFFSETS_PER_TRIGGER
 
 
 def file_order_stream(
-    spark: SparkSession, path: str, max_files_per_trigger: int | None = 1
+    spark: SparkSession, path: str, max_files_per_trigger: int | None = None
 ) -> DataFrame:
     """Order events as JSON lines in files under ``path`` (one record per line).
 
     Each line plays the role of a topic record's value: it is decoded with the
     fixed schema, never inferred.  ``max_files_per_trigger`` caps the intake
-    per micro-batch, like ``maxOffsetsPerTrigger`` on a topic.
+    per micro-batch, like ``maxOffsetsPerTrigger`` on a topic; unset: no cap.
     """
     reader = spark.readStream.format("text")
     if max_files_per_trigger:
@@ -29,20 +28,23 @@ def kafka_order_stream(
     bootstrap_servers: str,
     topic: str,
     starting_offsets: str = "latest",
-    max_offsets_per_trigger: int = MAX_OFFSETS_PER_TRIGGER,
+    max_offsets_per_trigger: int | None = None,
 ) -> DataFrame:
     """Order events from a topic.  Needs the Spark Kafka connector on the class path.
 
     ``starting_offsets`` only applies to the first start; afterwards the
     checkpoint decides.  Partitions of the topic become parallel tasks.
+    ``max_offsets_per_trigger`` caps the intake (the reference's setting is
+    ``schemas.MAX_OFFSETS_PER_TRIGGER``); unset: all there is.
     """
     reader = (
         spark.readStream.format("kafka")
         .option("kafka.bootstrap.servers", bootstrap_servers)
         .option("subscribe", topic)
         .option("startingOffsets", starting_offsets)
-        .option("maxOffsetsPerTrigger", str(max_offsets_per_trigger))
     )
+    if max_offsets_per_trigger:
+        reader = reader.option("maxOffsetsPerTrigger", str(max_offsets_per_trigger))
     try:
         raw = reader.load()
     except Exception as exc:
@@ -80,6 +82,29 @@ def publish_order_stream(orders_stream: DataFrame, path: str, checkpoint: str, t
     return writer.start()
 
 
+def publish_order_stream_to_topic(
+    orders_stream: DataFrame,
+    bootstrap_servers: str,
+    topic: str,
+    checkpoint: str,
+    trigger: dict | None = None,
+):
+    """Publish a stream of orders as JSON records to a topic, continuously."""
+    from ..functions.codec import encode_orders
+
+    writer = (
+        encode_orders(orders_stream)
+        .select(F.col("order_id").alias("key"), F.col("json").alias("value"))
+        .writeStream.format("kafka")
+        .option("kafka.bootstrap.servers", bootstrap_servers)
+        .option("topic", topic)
+        .option("checkpointLocation", checkpoint)
+    )
+    if trigger:
+        writer = writer.trigger(**trigger)
+    return writer.start()
+
+
 def kafka_publish(orders_json: DataFrame, bootstrap_servers: str, topic: str):
     """Write (order_id, json) rows to a topic (batch); stream frames use writeStream."""
     (

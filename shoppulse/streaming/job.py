@@ -15,6 +15,7 @@ Ledgers and checkpoints go under ``--root``, default ``<spark.checkpoint.dir>/<n
 from __future__ import annotations
 
 import argparse
+import os
 
 from pyspark.sql import SparkSession
 
@@ -34,14 +35,20 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     p.add_argument("--topic", default="orders")
     p.add_argument("--starting-offsets", default="latest")
     p.add_argument("--max-per-trigger", type=int, default=None,
-                   help="files (file source) or offsets (Kafka) per micro-batch")
+                   help="files (file source) or offsets (Kafka) per micro-batch; unset: no cap")
     dim = p.add_mutually_exclusive_group(required=True)
     dim.add_argument("--dim-parquet", help="SKU dimension as parquet (id, category, ...)")
     dim.add_argument("--dim-jdbc-url", help="SKU dimension over JDBC")
     p.add_argument("--dim-table", default="sku_dim")
     p.add_argument("--dim-driver", default=None)
     p.add_argument("--dim-user", default=None)
-    p.add_argument("--dim-password", default=None)
+    p.add_argument("--dim-password-env", default=None,
+                   help="environment variable that holds the database password")
+    p.add_argument("--dim-partition-column", default=None,
+                   help="numeric column to split the JDBC read by")
+    p.add_argument("--dim-lower-bound", type=int, default=None)
+    p.add_argument("--dim-upper-bound", type=int, default=None)
+    p.add_argument("--dim-partitions", type=int, default=None)
     p.add_argument("--name", default="shoppulse")
     p.add_argument("--root", default=None)
     p.add_argument("--layout", choices=["single", "three"], default="single")
@@ -61,7 +68,7 @@ def run(spark: SparkSession, args: argparse.Namespace) -> MetricStreams:
         stream = file_order_stream(spark, args.source, args.max_per_trigger)
     else:
         stream = kafka_order_stream(
-            spark, args.kafka, args.topic, args.starting_offsets, args.max_per_trigger or 1000
+            spark, args.kafka, args.topic, args.starting_offsets, args.max_per_trigger
         )
     if args.dim_parquet:
         dim = spark.read.parquet(args.dim_parquet)
@@ -71,11 +78,20 @@ def run(spark: SparkSession, args: argparse.Namespace) -> MetricStreams:
             for k, v in {
                 "driver": args.dim_driver,
                 "user": args.dim_user,
-                "password": args.dim_password,
+                "password": os.environ[args.dim_password_env] if args.dim_password_env else None,
             }.items()
             if v
         }
-        dim = read_jdbc_dimension(spark, args.dim_jdbc_url, args.dim_table, props)
+        dim = read_jdbc_dimension(
+            spark,
+            args.dim_jdbc_url,
+            args.dim_table,
+            props,
+            args.dim_partition_column,
+            args.dim_lower_bound,
+            args.dim_upper_bound,
+            args.dim_partitions,
+        )
     trigger = {"availableNow": True} if args.available_now else {"processingTime": args.trigger}
     cfg = StreamConfig(
         name=args.name,

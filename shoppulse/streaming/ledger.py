@@ -8,7 +8,9 @@ also makes an empty result replace an earlier non-empty one.
 
 Reads fold the ledger back into the served values:
 - windows: per (window_start, category) the row of the greatest batch id;
-- totals: sum of the per-batch deltas (batches with null GMV add nothing);
+- totals: sum of the per-batch deltas.  A batch whose amounts are all null adds
+  nothing, not even its order count, as in the reference; so the order total of
+  such orders depends on how the stream was cut into batches;
 - users: distinct user ids (all-time) or (dt, user_id) pairs (per day).
 
 One ledger belongs to one checkpoint: batch ids restart at 0 when a
@@ -17,6 +19,7 @@ checkpoint is deleted, so a fresh checkpoint needs a fresh ledger.
 
 from __future__ import annotations
 
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
@@ -36,6 +39,7 @@ from pyspark.sql.types import (
 from ..operators.totals import business_date
 from ..operators.windows import window_aggregate
 from ..schemas import WINDOW_LENGTH, WINDOW_SLIDE
+from ..storage import children, read_pointer, remove, write_pointer
 
 WINDOWS = "windows"
 WINDOW_SUMS = "window_sums"
@@ -80,10 +84,9 @@ SCHEMAS = {
 }
 
 
-SNAPSHOT_SCHEMAS = {  # snapshots carry the id they fold up to
-    kind: StructType(schema.fields + [StructField("upto", LongType())])
-    for kind, schema in SCHEMAS.items()
-}
+def _upto(name: str) -> int:
+    """Last batch id in a snapshot folder's name (``upto=N-...``)."""
+    return int(name.split("=")[1].split("-")[0])
 
 
 @dataclass
@@ -176,60 +179,73 @@ class Ledger:
                 raise
             return spark.createDataFrame([], schema)
 
-    def snapshot_path(self, kind: str, upto: int | None = None) -> str:
-        base = f"{self.root.rstrip('/')}/{kind}_snapshot"
-        return base if upto is None else f"{base}/upto={upto}"
+    # A snapshot of batches < N is written to a fresh folder when batch N has been
+    # written, and a pointer file is switched to it afterwards.  Only batches before N
+    # are folded: they are committed and never run again, so a replay of batch N just
+    # replaces its own delta, and a snapshot that was cut short is never pointed to.
+    def snapshot_root(self, kind: str) -> str:
+        return f"{self.root.rstrip('/')}/{kind}_snapshot"
+
+    def current_snapshot(self, spark: SparkSession, kind: str) -> str | None:
+        """Folder name of the completed snapshot that readers use."""
+        return read_pointer(spark, f"{self.root.rstrip('/')}/{kind}_current")
+
+    def latest_snapshot(self, spark: SparkSession, kind: str) -> int | None:
+        """Greatest batch id that the current snapshot holds."""
+        name = self.current_snapshot(spark, kind)
+        return None if name is None else _upto(name)
 
     def read(self, spark: SparkSession, kind: str) -> DataFrame:
-        """All per-batch deltas of ``kind`` (batch_id is the partition column)."""
+        """All per-batch deltas of ``kind`` that are still there (batch_id is the partition column)."""
         return self._load(spark, self.path(kind), SCHEMAS[kind])
 
-    def latest_snapshot(self, spark: SparkSession, kind: str, upto: int | None = None) -> int | None:
-        """Greatest compacted batch id (<= ``upto`` if given); one small aggregate."""
-        snaps = self._load(
-            spark, self.snapshot_path(kind), SNAPSHOT_SCHEMAS[kind]
-        ).select("upto").distinct()
-        if upto is not None:
-            snaps = snaps.filter(F.col("upto") <= upto)
-        row = snaps.agg(F.max("upto").alias("m")).first()
-        return None if row is None else row["m"]
-
     def folded_rows(self, spark: SparkSession, kind: str, upto: int | None = None) -> DataFrame:
-        """Newest snapshot + the deltas after it (older delta folders are pruned, not read)."""
-        snap_id = self.latest_snapshot(spark, kind, upto)
+        """Current snapshot + the deltas after it."""
+        name = self.current_snapshot(spark, kind)
         deltas = self.read(spark, kind)
         if upto is not None:
             deltas = deltas.filter(F.col("batch_id") <= upto)
-        if snap_id is None:
+        if name is None:
             return deltas
-        snap = self._load(spark, self.snapshot_path(kind), SNAPSHOT_SCHEMAS[kind])
-        snap = snap.filter(F.col("upto") == snap_id).drop("upto")
-        return snap.unionByName(deltas.filter(F.col("batch_id") > snap_id))
+        snap = spark.read.schema(SCHEMAS[kind]).parquet(f"{self.snapshot_root(kind)}/{name}")
+        return snap.unionByName(deltas.filter(F.col("batch_id") > _upto(name)))
 
-    def compact(self, spark: SparkSession, kind: str, upto: int) -> None:
-        """Fold every batch <= ``upto`` into ``<kind>_snapshot/upto=N`` (idempotent)."""
+    def compact(self, spark: SparkSession, kind: str, batch_id: int) -> None:
+        """Fold every batch before ``batch_id``; then drop what the snapshot before covered.
+
+        Readers that still use the older snapshot find its deltas until the next
+        compaction, so at most two rounds of delta folders are ever listed.
+        """
+        upto = batch_id - 1
+        older = self.current_snapshot(spark, kind)
+        if older is not None and _upto(older) >= upto:
+            return  # this batch is replayed: its snapshot is complete
+        rows = self.folded_rows(spark, kind, upto)
         if kind == WINDOWS:
-            folded = self._newest_windows(self.folded_rows(spark, kind, upto))
+            folded = self._newest_windows(rows)
         elif kind == WINDOW_SUMS:
-            folded = self._summed_windows(self.folded_rows(spark, kind, upto))
+            folded = self._summed_windows(rows)
         elif kind == TOTALS:
-            folded = (
-                self.folded_rows(spark, kind, upto)
-                .filter(F.col("gmv").isNotNull())
-                .agg(
-                    F.coalesce(F.sum("gmv"), F.lit(0)).cast(DecimalType(28, 2)).alias("gmv"),
-                    F.coalesce(F.sum("orders"), F.lit(0)).cast("bigint").alias("orders"),
-                )
-                .withColumn("batch_id", F.lit(upto).cast("bigint"))
-            )
+            folded = rows.agg(
+                F.coalesce(F.sum("gmv"), F.lit(0)).cast(DecimalType(28, 2)).alias("gmv"),
+                F.coalesce(F.sum(F.when(F.col("gmv").isNotNull(), F.col("orders"))), F.lit(0))
+                .cast("bigint")
+                .alias("orders"),
+            ).withColumn("batch_id", F.lit(upto).cast("bigint"))
         else:
-            folded = (
-                self.folded_rows(spark, kind, upto)
-                .select("dt", "user_id")
-                .distinct()
-                .withColumn("batch_id", F.lit(upto).cast("bigint"))
-            )
-        folded.write.mode("overwrite").parquet(self.snapshot_path(kind, upto))
+            folded = rows.select("dt", "user_id").distinct()
+            folded = folded.withColumn("batch_id", F.lit(upto).cast("bigint"))
+        name = f"upto={upto}-{uuid.uuid4().hex[:12]}"
+        root = self.snapshot_root(kind)
+        folded.write.parquet(f"{root}/{name}")
+        write_pointer(spark, f"{self.root.rstrip('/')}/{kind}_current", name)
+        for old in children(spark, root):
+            if old not in (name, older):
+                remove(spark, f"{root}/{old}")
+        if older is not None:
+            for folder in children(spark, self.path(kind)):
+                if folder.startswith("batch_id=") and int(folder.split("=")[1]) <= _upto(older):
+                    remove(spark, f"{self.path(kind)}/{folder}")
 
     @staticmethod
     def _newest_windows(rows: DataFrame) -> DataFrame:

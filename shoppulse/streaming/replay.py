@@ -2,8 +2,7 @@
 
 Used for backfills and for checking stream = batch.  The table is staged once
 (one parallel job, partitioned by arrival batch).  Then, per batch, its files
-are appended to the stream's input folder (a parallel write) and the pipeline
-is restarted from its checkpoint with an ``availableNow`` trigger: the files
+are moved into the stream's input folder and the pipeline is restarted from its checkpoint with an ``availableNow`` trigger: the files
 are complete before the query looks, so micro-batch N holds exactly arrival
 batch N on any file system, and the checkpoint carries offsets and state from
 one batch to the next.  The driver loop runs over batch ids only, never rows.
@@ -19,6 +18,7 @@ from pyspark.sql import functions as F
 from ..functions.codec import encode_orders
 from ..session import checkpoint_root
 from ..sources.streams import file_order_stream
+from ..storage import children, move_files, remove
 from .streams import MetricStreams, StreamConfig, start_streams
 
 NO_DATA_BATCHES = "spark.sql.streaming.noDataMicroBatches.enabled"
@@ -43,8 +43,8 @@ def stage_arrivals(orders: DataFrame, batch: Column, folder: str) -> list[int]:
         "batch", F.col("json").alias("value")
     )
     lines.write.partitionBy("batch").mode("overwrite").text(folder)
-    staged = orders.sparkSession.read.text(folder)
-    return [r["batch"] for r in staged.select("batch").distinct().orderBy("batch").collect()]
+    names = children(orders.sparkSession, folder)
+    return sorted(int(n.split("=")[1]) for n in names if n.startswith("batch="))
 
 
 def replay(
@@ -54,7 +54,10 @@ def replay(
     dim: DataFrame,
     cfg: StreamConfig | None = None,
 ) -> MetricStreams:
-    """Run the pipeline over ``orders`` in arrival-batch order; return it (stopped)."""
+    """Run the pipeline over ``orders`` in arrival-batch order; return it (stopped).
+
+    What was staged is removed at the end; ledgers and checkpoints stay.
+    """
     cfg = cfg or StreamConfig()
     run = f"{checkpoint_root(spark)}/replay-{uuid.uuid4().hex[:12]}"
     cfg.root = cfg.root or f"{run}/streams"
@@ -68,7 +71,7 @@ def replay(
     pipe = None
     try:
         for b in batches:
-            spark.read.text(f"{staged}/batch={b}").write.mode("append").text(inbox)
+            move_files(spark, f"{staged}/batch={b}", inbox, f"{b:06d}-")
             pipe = start_streams(
                 spark, file_order_stream(spark, inbox, max_files_per_trigger=None), dim, cfg
             )
@@ -76,6 +79,8 @@ def replay(
                 q.awaitTermination()
     finally:
         spark.conf.set(NO_DATA_BATCHES, before)
+        remove(spark, staged)
+        remove(spark, inbox)
     if pipe is None:
         raise ValueError("nothing to replay")
     return pipe

@@ -1,8 +1,9 @@
 """Streaming queries for windowed GMV, running totals and active users.
 
 Two layouts:
-- ``single`` (default): one query - watermark, dedup, stream-static join - whose
-  micro-batch callback writes all three ledgers.  The source is read once, one
+- ``single`` (default): one query - watermark, dedup - whose micro-batch callback joins
+  the dimension (planned and sized for that batch) and writes all three ledgers.
+  The source is read once, one
   dedup state is kept, the window GMV needs no state (per-batch partial sums,
   summed on read), and the three metrics share batch ids, so they are
   consistent with each other.
@@ -103,7 +104,7 @@ def build_queries(orders: DataFrame, dim: DataFrame, cfg: StreamConfig) -> dict[
     dedup = dedup_stream(orders, cfg.dedup_mode, delay=cfg.watermark)
     enriched = enrich_orders(dedup, dim)
     win = window_aggregate(enriched, cfg.window_length, cfg.window_slide)
-    return {"win": win, "dedup": dedup, "enriched": enriched}
+    return {"win": win, "dedup": dedup}
 
 
 def start_streams(
@@ -145,7 +146,12 @@ def start_streams(
     spark.conf.set(parts_key, str(cfg.state_partitions or default_parallelism(spark)))
     try:
         if single:
-            queries = {"all": start(plans["enriched"], "all", ledger.write_all, "append")}
+
+            def write_enriched(batch_df: DataFrame, batch_id: int) -> None:
+                # joined per micro-batch: the dimension is planned anew each time
+                ledger.write_all(enrich_orders(batch_df, dim), batch_id)
+
+            queries = {"all": start(plans["dedup"], "all", write_enriched, "append")}
         else:
             queries = {
                 "win": start(plans["win"], "win", ledger.write_windows, "update"),

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from conftest import SF01
-from shoppulse.operators.joins import bounded_broadcast, enrich_orders
+from shoppulse.operators.joins import enrich_orders
 from shoppulse.schemas import DIM_SAMPLE_IDS
 from shoppulse.sources.dimension import (
     create_dimension_table,
@@ -38,29 +38,41 @@ def test_key_violations_found_on_conflicting_lines(spark):
     assert viol.filter("cnt < 2").count() == 0
 
 
-def test_bounded_broadcast(spark):
-    dim = sku_dimension(spark, SF01)
-    _, small = bounded_broadcast(dim, max_rows=200)
-    assert small
-    _, small = bounded_broadcast(dim, max_rows=199)
-    assert not small
-    orders = spark.createDataFrame([("O1", 1, 5, 1.0)], "order_id string, user_id long, sku_id long, amount double")
-    plan_small = enrich_orders(orders, dim)._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in plan_small
+ORDER = "order_id string, user_id long, sku_id long, amount double"
+
+
+def plan_after(df) -> str:
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_large_dimension_is_not_broadcast(spark):
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+def test_spark_decides_on_the_broadcast_from_sizes(spark, scratch):
+    """The same join with a dimension that grows past the threshold between two reads."""
+    orders = spark.createDataFrame([("O1", 1, 5, 1.0)], ORDER)
+    path = f"{scratch}/dim"
+    small = spark.range(1, 200).selectExpr("id", "cast(id % 7 as string) AS category")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "40k")
     try:
-        dim = sku_catalogue(read_table(spark, SF01, "part"))
-        orders = spark.createDataFrame([("O1", 1, 5, 1.0)], "order_id string, user_id long, sku_id long, amount double")
-        plan = enrich_orders(orders, dim, max_broadcast_rows=100)._jdf.queryExecution().sparkPlan().toString()
-        assert "BroadcastHashJoin" not in plan
-        assert enrich_orders(orders, dim, max_broadcast_rows=100).count() == 1
+        small.write.parquet(path)
+        assert "BroadcastHashJoin" in plan_after(enrich_orders(orders, spark.read.parquet(path)))
+        large = spark.range(1, 200_000).selectExpr("id", "uuid() AS category")
+        large.write.mode("overwrite").parquet(path)
+        grown = enrich_orders(orders.unionAll(orders).repartition(4), spark.read.parquet(path))
+        plan = plan_after(grown)
+        assert "BroadcastHashJoin Inner" not in plan and "BuildRight" not in plan
+        assert grown.count() == 2
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_duplicate_dimension_ids_do_not_multiply_orders(spark):
+    orders = spark.createDataFrame([("O1", 1, 5, 1.0), ("O2", 1, 6, 1.0)], ORDER)
+    dim = spark.createDataFrame([(5, "b"), (5, "a"), (5, None)], "id long, category string")
+    rows = {r["order_id"]: r["category"] for r in enrich_orders(orders, dim).collect()}
+    assert rows == {"O1": "a", "O2": "未知"}
+    assert enrich_orders(orders, dim).count() == 2
+
+
 def test_ddl_truncate_reload_and_catalogue(spark):
     full = create_dimension_table(spark, "sku_dim", database="shop_rt")
     dim = sku_dimension(spark, SF01)

@@ -62,8 +62,12 @@ def test_window_and_dau_partial_aggregation(spark):
 def test_scan_pruning_and_pushdown(spark):
     plan = plan_of(catalog.q_window_gmv(spark, SF01))
     assert "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz,user_id:bigint,value:double,props:string>" in plan
-    assert "PushedFilters: [IsNotNull(p_partkey), GreaterThanOrEqual(p_partkey,1), LessThanOrEqual(p_partkey,10)]" in plan
     assert "ReadSchema: struct<p_partkey:bigint,p_type:string>" in plan
+    assert "LessThanOrEqual(p_partkey" not in plan  # the whole catalogue is joined
+    seed = plan_of(catalog.q_dim_seed(spark, SF01))
+    assert "PushedFilters: [IsNotNull(p_partkey), GreaterThanOrEqual(p_partkey,1), LessThanOrEqual(p_partkey,10)]" in seed
+    lines = plan_of(catalog.q_line_window_revenue(spark, SF01))
+    assert "l_orderkey:bigint,l_partkey:bigint,l_linenumber" in lines and "l_returnflag" not in lines
     lookup = plan_of(catalog.q_dim_lookup(spark, SF01))
     assert "PushedFilters: [In(p_partkey" in lookup
 
@@ -81,13 +85,32 @@ def test_no_cross_joins_and_limits_only_where_they_are_the_feature(spark):
     """Every batch query: no cartesian / nested-loop join; a limit only in top-k style views."""
     import __spark_entry__ as entry
 
-    # top-3 ids, last-60 axis points (also the window map of the combined payload), top-k board
-    limited = {"dim_head", "trend_last_n", "metrics_combined", "category_top_k"}
+    # top-3 ids, last-60 axis points, top-k board
+    limited = {"dim_head", "trend_last_n", "category_top_k"}
     for name, fn in entry.queries().items():
-        if name.startswith("stream_") or name == "window_store":
+        if name not in catalog.QUERIES or name.startswith("stream_") or name == "window_store":
             continue  # streaming replays: covered in test_streaming.py
         plan = plan_of(fn(spark, SF01))
         assert "CartesianProduct" not in plan, name
         assert "BroadcastNestedLoopJoin" not in plan, name
         has_limit = any(op in plan for op in ("CollectLimit", "TakeOrderedAndProject", "GlobalLimit"))
         assert has_limit == (name in limited), name
+
+
+def test_rank_limit_before_the_shuffle_and_axis_cut_below_the_grid(spark):
+    rank = plan_of(catalog.q_category_rank(spark, SF01))
+    assert "WindowGroupLimit" in rank and "SortMergeJoin [category" not in rank
+    points = catalog._points(spark, SF01)
+    from shoppulse.plans import views
+
+    plan = plan_of(views.trend_last_n(points, 60))
+    # the top-60 axis feeds the generator, which feeds the join: the join sees 60 points' grid
+    assert plan.index("Join") < plan.index("Generate explode") < plan.index("TakeOrderedAndProject")
+
+
+def test_null_event_time_copy_does_not_beat_a_valid_one(spark):
+    rows = [("O1", 1, 1, 5.0, None), ("O1", 1, 1, 5.0, "2024-01-01 10:00:00"), ("O2", 2, 1, 1.0, None)]
+    df = spark.createDataFrame(rows, "order_id string, user_id long, sku_id long, amount double, t string")
+    df = df.withColumn("event_time", F.col("t").cast("timestamp_ntz")).drop("t")
+    kept = {r["order_id"]: r["event_time"] for r in first_arrival(df).collect()}
+    assert str(kept["O1"]) == "2024-01-01 10:00:00" and kept["O2"] is None

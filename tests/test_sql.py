@@ -21,12 +21,12 @@ def test_dimension_checks_in_sql(spark):
 def test_views_compose_in_sql(spark):
     register_views(spark, SF01)
     total = spark.sql("SELECT COUNT(*) AS n FROM window_gmv").first()["n"]
-    assert total == 42_941
+    assert total == 45_395
     latest = spark.sql(
         """SELECT category, max(window_start) AS window_start, max_by(gmv, window_start) AS gmv
            FROM window_points GROUP BY category ORDER BY gmv DESC"""
     ).collect()
-    assert len(latest) == 5
+    assert len(latest) == 6
     dau = spark.sql(
         "SELECT to_date(event_time) AS dt, count(DISTINCT user_id) AS dau FROM orders_dedup GROUP BY 1"
     )

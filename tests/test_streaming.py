@@ -12,7 +12,12 @@ from conftest import SF001
 from shoppulse.operators.dedup import EXACT, WITHIN_WATERMARK
 from shoppulse.operators.late import late_counts
 from shoppulse.plans import catalog
-from shoppulse.sources.dimension import read_jdbc_dimension, sku_dimension, write_jdbc_dimension
+from shoppulse.sources.dimension import (
+    read_jdbc_dimension,
+    sku_catalogue,
+    sku_dimension,
+    write_jdbc_dimension,
+)
 from shoppulse.sources.streams import file_order_stream
 from shoppulse.sources.tables import orders_from_events, read_table
 from shoppulse.streaming.ledger import TOTALS, WINDOWS
@@ -74,10 +79,11 @@ def test_replay_equals_batch(spark, layout):
     sf = SF001
     raw = orders_from_events(read_table(spark, sf, "events"), keep=("event_id",))
     raw = raw.withColumn("event_time", F.col("event_time").cast("timestamp"))
-    pipe = replay(spark, raw, F.floor(F.col("event_id") / 100).cast("bigint"), sku_dimension(spark, sf),
+    part = sku_catalogue(read_table(spark, sf, "part"))
+    pipe = replay(spark, raw, F.floor(F.col("event_id") / 100).cast("bigint"), part,
                   StreamConfig(name="eq", dedup_mode=EXACT, compact_every=3, layout=layout))
-    # 11 batches, snapshots at 3, 6, 9
-    assert pipe.ledger.latest_snapshot(spark, pipe.ledger.windows_kind) == 9
+    # 11 batches, compacted at 3, 6 and 9: the snapshot holds all batches before 9
+    assert pipe.ledger.latest_snapshot(spark, pipe.ledger.windows_kind) == 8
     cols = ["window_start", "window_end", "category", "gmv", "order_cnt"]
     streamed = pipe.ledger.window_rows(spark).select(*cols)
     batch = catalog.q_window_gmv(spark, sf).select(*cols)
@@ -280,29 +286,53 @@ def test_publish_order_stream_as_json_lines(spark, scratch):
     assert json.loads(line) == order("J1", "2024-01-01 10:00:00")
 
 
-def test_ledger_compaction_is_idempotent_and_prunes_old_deltas(spark, scratch):
-    from shoppulse.streaming.ledger import USERS, Ledger
-
-    ledger = Ledger(os.path.join(scratch, "ledger"))
+def _ledger_batch(spark, n, amount=10, users=(1,)):
     schema = "order_id string, user_id long, amount decimal(18,2), event_time timestamp"
-    for b in range(5):
-        batch = spark.createDataFrame(
-            [(f"O{b}", b % 2, Decimal(10), None)], schema
-        ).withColumn("event_time", F.lit("2024-01-01 10:00:00").cast("timestamp"))
-        ledger.write_totals(batch, b)
-        ledger.write_users(batch, b)
-    before = ledger.totals(spark).first()
-    for _ in range(2):
-        ledger.compact(spark, TOTALS, 3)
-        ledger.compact(spark, USERS, 3)
-    after = ledger.totals(spark).first()
-    assert (before["gmv_total"], before["order_total"]) == (after["gmv_total"], after["order_total"]) == (50.0, 5)
-    assert ledger.active_users(spark).first()["dau"] == 2
-    # deltas up to the snapshot are no longer read: rewrite one, totals stay the same
-    spark.createDataFrame([(None, 0)], "gmv decimal(28,2), orders long").write.mode("overwrite").parquet(
-        ledger.path(TOTALS, 1)
+    rows = [(f"O{n}-{u}", u, Decimal(amount), None) for u in users]
+    return spark.createDataFrame(rows, schema).withColumn(
+        "event_time", F.lit("2024-01-01 10:00:00").cast("timestamp")
     )
-    assert ledger.totals(spark).first()["order_total"] == 5
+
+
+def test_compaction_ignores_an_incomplete_snapshot(spark, scratch):
+    """A writer that died while folding leaves files behind; the batch is replayed."""
+    from shoppulse.streaming.ledger import USERS, Ledger
+
+    ledger = Ledger(os.path.join(scratch, "ledger"), compact_every=2)
+    ledger.write_users(_ledger_batch(spark, 0, users=(1, 2)), 0)
+    ledger.write_users(_ledger_batch(spark, 1, users=(3,)), 1)
+    torn = f"{ledger.snapshot_root(USERS)}/upto=1-torn"
+    spark.createDataFrame([], "dt date, user_id long, batch_id long").write.parquet(torn)
+    for _ in range(2):  # batch 2 and its replay
+        ledger.write_users(_ledger_batch(spark, 2, users=(1,)), 2)
+        assert ledger.active_users(spark).first()["dau"] == 3
+    assert not os.path.exists(torn)
+
+
+def test_replayed_compaction_batch_replaces_its_result(spark, scratch):
+    from shoppulse.streaming.ledger import Ledger
+
+    ledger = Ledger(os.path.join(scratch, "ledger"), compact_every=2)
+    for b in range(3):
+        ledger.write_totals(_ledger_batch(spark, b), b)
+    assert ledger.totals(spark).first()["gmv_total"] == 30.0
+    ledger.write_totals(_ledger_batch(spark, 2, amount=99), 2)  # replay with another result
+    got = ledger.totals(spark).first()
+    assert (got["gmv_total"], got["order_total"]) == (119.0, 3)
+
+
+def test_reads_touch_a_constant_number_of_folders(spark, scratch):
+    from shoppulse.streaming.ledger import Ledger
+
+    ledger = Ledger(os.path.join(scratch, "ledger"), compact_every=3)
+    seen = []
+    for b in range(14):
+        ledger.write_totals(_ledger_batch(spark, b), b)
+        deltas = [d for d in os.listdir(ledger.path(TOTALS)) if d.startswith("batch_id=")]
+        snaps = os.listdir(ledger.snapshot_root(TOTALS)) if b >= 3 else []
+        seen.append((len(deltas), len(snaps)))
+        assert ledger.totals(spark).first()["gmv_total"] == 10.0 * (b + 1)
+    assert max(d for d, _ in seen) <= 7 and max(s for _, s in seen) <= 2
 
 
 def test_single_layout_one_query_one_state(spark, scratch):

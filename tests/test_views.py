@@ -102,6 +102,7 @@ def test_business_day_offset(spark):
 def test_metrics_combined_payload(spark):
     o = _orders(spark, [("O1", 1, 10, "2024-01-01 10:00:00")])
     p = pts(spark, [("10:00", "A", 10.0)])
-    row = views.metrics_combined(o, p, 60).first()
-    assert row["category_windows"] == {"A": {"2024-01-01 10:00": 10.0}}
-    assert row["ts"] > 0 and row["gmv_total"] == 10.0
+    row = views.metrics_combined(o, p).first()
+    assert (row["category"], str(row["dt"]), row["window"], row["gmv"]) == ("A", "2024-01-01", "10:00", 10.0)
+    assert row["window_ms"] == 1704103200000
+    assert (row["gmv_total"], row["order_total"], row["dau"]) == (10.0, 1, 1)
