@@ -32,9 +32,9 @@ DIM = 16
 PASSAGE = 8
 THRESHOLD = 0.3
 FOLDS, HELD = 4, 2
-# bound of the labelled sample: rows a class and their length
-TOXIC_ROWS, CLEAN_ROWS, SAMPLE_CHARS = 2000, 3000, 20_000
-EPOCHS, RATE, CLEAN_PASSAGES = 12, 0.5, 12
+# bound of the labelled sample: rows a class, their length, and passages of a clean row
+TOXIC_ROWS, CLEAN_ROWS, SAMPLE_CHARS, SAMPLE_PASSAGES = 1500, 2500, 8_000, 32
+EPOCHS, RATE, CLEAN_PASSAGES = 8, 0.5, 9
 LEAST_ROWS = 5  # a subword in fewer sampled texts stays at the zero vector, as an unseen one does
 
 
@@ -85,21 +85,38 @@ class Model:
 
 
 class Bags:
-    """Subwords of all sampled passages, in rows by passage."""
-
-    def __init__(self, texts: list[str]):
-        buckets, sizes, firsts, base = [], [], [0], 0
-        for a, b in text_blocks(texts):
-            bucket, bag, first = bags(texts[a:b])
-            order = np.argsort(bag, kind="stable")
-            buckets.append(bucket[order].astype(np.int32))
-            sizes.append(np.bincount(bag, minlength=int(first[-1])))
-            firsts.extend((first[1:] + base).tolist())
-            base += int(first[-1])
+    """Subwords of the sampled passages, in rows by passage, and their counts by document."""
+
+    def __init__(self, texts: list[str], labels: np.ndarray, rng: np.random.Generator):
+        buckets, sizes, per_text = [], [], []
+        self.rows_with = np.zeros((2, 1 << BITS), dtype=np.int32)  # documents of each class with it
+        for label, text in zip(labels, texts):
+            bucket, bag, first = bags([text])
+            n = int(first[-1])
+            self.rows_with[label, np.unique(bucket)] += 1
+            if label == 0 and n > SAMPLE_PASSAGES:
+                chosen = np.sort(rng.choice(n, SAMPLE_PASSAGES, replace=False))
+                new = np.full(n, -1)
+                new[chosen] = np.arange(SAMPLE_PASSAGES)
+                bag, n = new[bag], SAMPLE_PASSAGES
+                bucket, bag = bucket[bag >= 0], bag[bag >= 0]
+            buckets.append(bucket[np.argsort(bag, kind="stable")].astype(np.int32))
+            sizes.append(np.bincount(bag, minlength=n))
+            per_text.append(n)
         self.bucket = np.concatenate(buckets)
         self.size = np.concatenate(sizes)
         self.start = np.append(0, np.cumsum(self.size))
-        self.first = np.array(firsts)
+        self.first = np.append(0, np.cumsum(per_text))
+
+    def logits(self, logit: np.ndarray) -> np.ndarray:
+        """Mean subword logit of every passage."""
+        out = np.zeros(len(self.size))
+        for a in range(0, len(self.size), 4096):
+            b = min(len(self.size), a + 4096)
+            value = logit[self.bucket[self.start[a] : self.start[b]]]
+            total = np.append(0.0, np.cumsum(value, dtype=np.float64))
+            out[a:b] = np.diff(total[self.start[a : b + 1] - self.start[a]]) / np.maximum(self.size[a:b], 1)
+        return out
 
     def take(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(buckets, position of their passage in ``rows``)."""
@@ -113,29 +130,23 @@ def fit(texts: list[str], labels: np.ndarray, seed: int = 7) -> Model | None:
     if len(set(labels.tolist())) < 2:
         return None
     rng = np.random.default_rng(seed)
-    data = Bags(texts)
-    doc = np.repeat(np.arange(len(texts)), np.diff(data.first))
+    data = Bags(texts, labels, rng)
     width = 1 << BITS
     # start: log odds of a subword among toxic and clean documents, in one dimension
-    sub_doc = np.repeat(doc, data.size)
-    pair = np.unique(sub_doc.astype(np.int64) * width + data.bucket)
-    hot = labels[pair // width] == 1
-    n1, n0 = max(int(labels.sum()), 1), max(int((1 - labels).sum()), 1)
-    c1 = np.bincount((pair % width)[hot], minlength=width)
-    c0 = np.bincount((pair % width)[~hot], minlength=width)
-    odds = np.log((c1 + 1.0) / (n1 + 2.0)) - np.log((c0 + 1.0) / (n0 + 2.0))
+    c0, c1 = data.rows_with
+    n1, n0 = int(labels.sum()), int((1 - labels).sum())
+    odds = (np.log((c1 + 1.0) / (n1 + 2.0)) - np.log((c0 + 1.0) / (n0 + 2.0))).astype(np.float32)
     known = (c1 + c0 >= LEAST_ROWS).astype(np.float32)
     odds *= known
     embed = rng.normal(0, 0.01, (width, DIM)).astype(np.float32) * known[:, None]
     embed[:, 0] += odds
-    soft = rng.normal(0, 0.01, (DIM, 2))
+    soft = rng.normal(0, 0.01, (DIM, 2)).astype(np.float32)
     soft[0] += (-2.0, 2.0)
-    bias = np.array([0.0, -2.0])
+    bias = np.array([0.0, -2.0], dtype=np.float32)
     caches = [np.full_like(v, 1e-6) for v in (embed, soft, bias)]
     clean_docs, toxic_docs = np.flatnonzero(labels == 0), np.flatnonzero(labels == 1)
     for _ in range(EPOCHS):
-        model = Model(embed @ (soft[:, 1] - soft[:, 0]), float(bias[1] - bias[0]))
-        value = model.passages(data.bucket, np.repeat(np.arange(len(data.size)), data.size), len(data.size))
+        value = data.logits(embed @ (soft[:, 1] - soft[:, 0]))
         rows, target = [], []
         for docs, label, most in ((toxic_docs, 1, 1), (clean_docs, 0, CLEAN_PASSAGES)):
             for d in docs:
@@ -157,9 +168,10 @@ def fit(texts: list[str], labels: np.ndarray, seed: int = 7) -> Model | None:
             part = order[at : at + 512]
             bucket, where = data.take(rows[part])
             size = np.maximum(data.size[rows[part]], 1)[:, None]
-            mean = np.zeros((len(part), DIM))
-            np.add.at(mean, where, embed[bucket])
-            mean /= size
+            total = np.zeros((len(bucket) + 1, DIM))
+            np.cumsum(embed[bucket], axis=0, out=total[1:])
+            edges = np.append(0, np.cumsum(data.size[rows[part]]))
+            mean = np.diff(total[edges], axis=0) / size
             raw = mean @ soft + bias
             raw -= raw.max(axis=1, keepdims=True)
             prob = np.exp(raw)
@@ -167,15 +179,17 @@ def fit(texts: list[str], labels: np.ndarray, seed: int = 7) -> Model | None:
             prob[np.arange(len(part)), target[part]] -= 1.0
             prob *= weight[part][:, None] / len(part)
             into = (prob @ soft.T) / size
-            used, inverse = np.unique(bucket, return_inverse=True)
-            grad = np.zeros((len(used), DIM))
-            np.add.at(grad, inverse, into[where])
+            order_in = np.argsort(bucket)
+            sorted_ = bucket[order_in]
+            first = np.flatnonzero(np.append(True, sorted_[1:] != sorted_[:-1]))
+            used = sorted_[first]
+            grad = np.add.reduceat(into[where[order_in]], first, axis=0).astype(np.float32)
             caches[0][used] += grad**2
             embed[used] -= RATE * known[used][:, None] * grad / np.sqrt(caches[0][used])
             for param, cache, g in ((soft, caches[1], mean.T @ prob), (bias, caches[2], prob.sum(axis=0))):
                 cache += g**2
                 param -= 0.1 * RATE * g / np.sqrt(cache)
-    return Model(embed @ (soft[:, 1] - soft[:, 0]), float(bias[1] - bias[0]))
+    return Model((embed @ (soft[:, 1] - soft[:, 0])).astype(np.float32), float(bias[1] - bias[0]))
 
 
 def train(docs: DataFrame, labels: DataFrame) -> Model | None:
