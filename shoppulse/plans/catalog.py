@@ -13,14 +13,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.codec import decode_orders, encode_orders
-from ..operators.dedup import WITHIN_WATERMARK, first_arrival
+from ..operators.dedup import EXACT, WITHIN_WATERMARK, first_arrival
 from ..operators.joins import enrich_orders
 from ..operators.late import late_counts, scrambled_arrival_batch
 from ..operators.totals import active_users, batch_deltas, totals
 from ..operators.windows import window_gmv
 from ..schemas import DIM_SAMPLE_IDS, MONEY, TOP_K
 from ..sources.dimension import key_violations, sku_catalogue, sku_dimension
-from ..sources.tables import orders, orders_from_events, read_table, session_key
+from ..sources.tables import (
+    DUPLICATE_EVERY,
+    orders,
+    orders_from_events,
+    read_table,
+    session_key,
+)
 from ..session import ensure_checkpoint_dir
 from ..storage import version
 from ..streaming.streams import StreamConfig
@@ -32,6 +38,7 @@ from . import views
 # replayed in through the streaming pipeline.
 ROWS_PER_BATCH = 1000
 REPLAY_BATCHES = 10
+RESENT_DAYS = 40  # a re-sent order's new event time is later than every original's
 TREND_POINTS = 60
 
 
@@ -213,6 +220,39 @@ def q_stream_category_rank(spark, sf):
     return views.category_rank(views.window_points(ledger.window_rows(spark)))
 
 
+def _resent_overview(spark: SparkSession, sf: str, mode: str) -> DataFrame:
+    """Overview of a stream whose re-sent copies come in a micro-batch of their own, dated anew.
+
+    The originals arrive in REPLAY_BATCHES batches, then every re-sent order once more with
+    an event time RESENT_DAYS later, when the bounded dedup has forgotten all orders
+    but those near the end.
+    """
+    ensure_checkpoint_dir(spark)
+    events = read_table(spark, sf, "events")
+    raw = orders_from_events(
+        events.withColumn("_eid", F.col("event_id")), with_duplicates=False, keep=("_eid",)
+    ).withColumn("event_time", F.col("event_time").cast("timestamp"))
+    first = raw.withColumn("_b", range_batches(raw, "_eid", REPLAY_BATCHES))
+    again = (
+        raw.filter(F.col("_eid") % DUPLICATE_EVERY == 0)
+        .withColumn("event_time", F.col("event_time") + F.make_interval(days=F.lit(RESENT_DAYS)))
+        .withColumn("_b", F.lit(REPLAY_BATCHES).cast("bigint"))
+    )
+    cfg = StreamConfig(name=f"resent_{mode}", dedup_mode=mode)
+    pipe = replay(spark, first.unionByName(again), F.col("_b"), _part(spark, sf), cfg)
+    return pipe.ledger.overview(spark).drop("totals_batch_id")
+
+
+def q_stream_resent_exact(spark, sf):
+    """Exact dedup: a copy is dropped however late it comes and whatever its time."""
+    return _resent_overview(spark, sf, EXACT)
+
+
+def q_stream_resent_within(spark, sf):
+    """Bounded dedup: copies of orders that the state no longer holds are counted again."""
+    return _resent_overview(spark, sf, WITHIN_WATERMARK)
+
+
 # -- serving views -----------------------------------------------------------------
 def q_overview(spark, sf):
     return views.overview(_dedup(spark, sf))
@@ -338,6 +378,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_dau_daily": q_stream_dau_daily,
     "stream_latest_window": q_stream_latest_window,
     "stream_category_rank": q_stream_category_rank,
+    "stream_resent_exact": q_stream_resent_exact,
+    "stream_resent_within": q_stream_resent_within,
     "totals_all": q_totals_all,
     "totals_daily": q_totals_daily,
     "dau_all": q_dau_all,

@@ -341,3 +341,30 @@ SQL["stream_overview"] = SQL["overview"]
 SQL["stream_dau_daily"] = SQL["dau_daily"]
 SQL["stream_latest_window"] = SQL["latest_window"]
 SQL["stream_category_rank"] = SQL["category_rank"]
+SQL["stream_resent_exact"] = SQL["overview"]
+# A copy that comes after all originals, dated anew, is admitted by the bounded dedup when
+# its original's state has expired: event time + 10 minutes is not after the watermark the
+# last batch of originals evicted with (from the batches before it).
+SQL["stream_resent_within"] = (
+    BASE
+    + """,
+span AS (SELECT min(event_id) AS lo, max(event_id) AS hi FROM events),
+b AS (
+  SELECT order_id, user_id, amount, event_id, date_trunc('second', event_time) AS t,
+         CAST(floor((event_id - lo) * 10 / (hi - lo + 1)) AS BIGINT) AS batch
+  FROM ev, span
+),
+mark AS (SELECT max(t) - INTERVAL 10 MINUTE AS w FROM b WHERE batch <= 8),
+passed AS (
+  SELECT order_id, user_id, amount FROM b
+  UNION ALL
+  SELECT order_id, user_id, amount FROM b, mark
+  WHERE event_id % 50 = 0 AND t + INTERVAL 10 MINUTE <= w
+)
+SELECT CAST(COALESCE(SUM(amount), 0) AS DOUBLE) AS gmv_total, COUNT(order_id) AS order_total,
+       COUNT(DISTINCT user_id) AS dau,
+       CASE WHEN COUNT(order_id) <> 0
+            THEN CAST(COALESCE(SUM(amount), 0) AS DOUBLE) / CAST(COUNT(order_id) AS DOUBLE)
+            ELSE 0.0 END AS aov
+FROM passed"""
+)

@@ -72,12 +72,20 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
     ``spark.checkpoint.dir`` is read from the session.  Only when it is unset
     is one chosen: ``fallback`` if given, else - in local mode only - a fresh
     folder under /tmp.  A cluster without the setting is an error: a
-    machine-local folder would not survive the loss of that machine.
+    machine-local folder would not survive the loss of that machine.  So is a path
+    without a scheme that resolves to local disks; ``file://`` says that the path is
+    a mount all machines share.
     """
     current = spark.conf.get("spark.checkpoint.dir", None) or _context_checkpoint_dir(spark)
     if current:
+        if not is_local(spark) and "://" not in current and not current.startswith("file:"):
+            default = spark.sparkContext._jsc.hadoopConfiguration().get("fs.defaultFS") or "file:///"
+            if default.startswith("file:"):
+                raise RuntimeError(
+                    f"spark.checkpoint.dir {current!r} is local to each machine; name a shared folder"
+                )
         return current
-    if not fallback and not _master(spark).startswith("local"):
+    if not fallback and not is_local(spark):
         raise RuntimeError(
             "set spark.checkpoint.dir to a shared folder (stream checkpoints, "
             "ledgers and written intermediates go there)"
@@ -105,12 +113,18 @@ def _master(spark: SparkSession) -> str:
         return spark.conf.get("spark.master", "")
 
 
+def is_local(spark: SparkSession) -> bool:
+    """One JVM; ``local-cluster`` counts as a cluster, since its executors are processes of their own."""
+    master = _master(spark)
+    return master == "local" or master.startswith("local[")
+
+
 def ship_package(spark: SparkSession) -> None:
     """Local mode: let Python workers import this package wherever the driver was started.
 
     On a cluster the package is installed or on ``PYTHONPATH`` as any library is.
     """
-    if _master(spark).startswith("local") and not _master(spark).startswith("local-cluster"):
+    if is_local(spark):
         spark.sparkContext.addFile(os.path.dirname(os.path.abspath(__file__)), recursive=True)
 
 
