@@ -163,11 +163,6 @@ def start_streams(
     return MetricStreams(ledger, queries, spark)
 
 
-def unload_state_stores(spark: SparkSession) -> None:
-    """Close the state stores of ended queries in this JVM before their folders go (local runs)."""
-    spark.sparkContext._jvm.org.apache.spark.sql.execution.streaming.state.StateStore.stop()
-
-
 def default_parallelism(spark: SparkSession) -> int:
     try:
         return spark.sparkContext.defaultParallelism
