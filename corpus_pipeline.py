@@ -47,7 +47,8 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     """Texts without the passages that a smaller doc_id holds; n_chars follows the text."""
     cut = suffix_tree_dedup.remove_repeats(docs)
     if "n_chars" in docs.columns:
-        size = F.when(F.col("n_removed") > 0, F.length("text").cast("long"))
+        changed = F.col(suffix_tree_dedup.N_REMOVED) > 0
+        size = F.when(changed, F.length("text").cast("long"))
         cut = cut.withColumn("n_chars", F.coalesce(size, "n_chars"))
     return cut.select(*docs.columns)
 

@@ -17,9 +17,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import checkpoint_root, ensure_checkpoint_dir
+from ..storage import remove
 
 SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-BLOCK_BYTES = 4 << 20  # text bytes worked on at once inside a task
+BLOCK_BYTES = 1 << 20  # text bytes worked on at once inside a task
 _LUT = np.zeros(256, dtype=bool)
 _LUT[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 WORD_REGEX = r"[^\x20\x09-\x0D]+"
@@ -71,7 +72,15 @@ def stored(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
     path = shared_path(spark, label)
     with shuffle_cleanup(spark):
         df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.stored_at = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Remove stored tables that nothing reads any more."""
+    for df in tables:
+        remove(df.sparkSession, df.stored_at)
 
 
 def partitions(spark: SparkSession) -> int:

@@ -49,9 +49,11 @@ WIDTH = 13
 LEVELS = (1, 2, 4, 8)  # prefix lengths that are tried before the whole window
 HISTOGRAM_BITS = 14
 TREE_SUFFIXES = 4 << 20  # suffixes a tree may hold
-BLOCK_WORDS = 2 << 20  # words of a block inside a task
+BLOCK_WORDS = 1 << 19  # words of a block inside a task
 BUCKET_BYTES = 8 << 20  # text bytes cut together at the end
 
+N_WORDS, N_REMOVED, _BUCKET = "__n_words", "__n_removed", "__bucket"
+
 _SHIFT = np.uint64(64 - HISTOGRAM_BITS)
 
 
@@ -334,30 +336,29 @@ def _cut_bucket(names: list[str], width: int, joined: bool):
             n_removed.append(removed)
         made = {
             "text": pa.array(kept, pa.string()),
-            "n_words": pa.array(n_words, pa.int64()),
-            "n_removed": pa.array(n_removed, pa.int64()),
+            N_WORDS: pa.array(n_words, pa.int64()),
+            N_REMOVED: pa.array(n_removed, pa.int64()),
         }
-        columns = [made.get(n, texts.column(n) if n in names else None) for n in [*names, "n_words", "n_removed"]]
-        return pa.Table.from_arrays(columns, names=[*names, "n_words", "n_removed"])
+        out = [*names, N_WORDS, N_REMOVED]
+        return pa.Table.from_arrays([made[n] if n in made else texts.column(n) for n in out], names=out)
 
     return run
 
 
 def remove_repeats(docs: DataFrame, width: int = WIDTH, joined: bool = False) -> DataFrame:
-    """``docs`` with each text cut, and n_words and n_removed.
+    """``docs`` with each text cut, and its words (``N_WORDS``) and removed words (``N_REMOVED``).
 
     ``joined``: the kept words joined by one blank (empty for null texts); otherwise
     the text keeps its own white space and untouched texts stay as they are.
     """
-    columns = [c for c in docs.columns if c not in ("n_words", "n_removed", "bucket")]
+    columns = [c for c in docs.columns if c not in (N_WORDS, N_REMOVED, _BUCKET)]
     packed, buckets = repeats(docs, width)
     types = {f.name: f.dataType.simpleString() for f in docs.schema.fields}
-    schema = ", ".join(f"`{c}` {types[c]}" for c in columns) + ", n_words long, n_removed long"
-    keyed = docs.select(
-        *columns, F.pmod(F.coalesce(F.col("doc_id"), F.lit(0)), F.lit(buckets)).cast("long").alias("bucket")
-    )
+    schema = ", ".join(f"`{c}` {types[c]}" for c in columns) + f", {N_WORDS} long, {N_REMOVED} long"
+    bucket = F.pmod(F.coalesce(F.col("doc_id"), F.lit(0)), F.lit(buckets)).cast("long")
+    keyed = docs.select(*(f"`{c}`" for c in columns), bucket.alias(_BUCKET))
     return (
-        keyed.groupBy("bucket")
+        keyed.groupBy(_BUCKET)
         .cogroup(packed.groupBy("bucket"))
         .applyInArrow(_cut_bucket(columns, width, joined), schema)
     )
@@ -367,7 +368,12 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """op2: words of repeated 13-word windows removed, smallest doc_id kept."""
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     cut = remove_repeats(docs, WIDTH, joined=True)
-    return cut.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+    return cut.select(
+        "doc_id",
+        F.col(N_WORDS).alias("n_words"),
+        F.col(N_REMOVED).alias("n_removed"),
+        F.sha2("text", 256).alias("kept_sha256"),
+    )
 
 
 SQL = f"""
