@@ -178,7 +178,7 @@ def _predict_map(model: Model | None):
 def identify(docs: DataFrame, model: Model | None) -> DataFrame:
     """``docs`` with the language (``PREDICTED``) and score (``SCORE``) of each whole text."""
     columns = [f for f in docs.schema.fields if f.name not in (PREDICTED, SCORE)]
-    schema = T.StructType(columns).add(PREDICTED, T.StringType()).add(SCORE, T.DoubleType())
+    schema = T.StructType(list(columns)).add(PREDICTED, T.StringType()).add(SCORE, T.DoubleType())
     return docs.select(*(f"`{f.name}`" for f in columns)).mapInArrow(_predict_map(model), schema)
 
 
