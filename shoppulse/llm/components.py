@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import discard, stored
 
 
 def _smallest(edges: DataFrame) -> DataFrame:
@@ -44,6 +44,7 @@ def components(links: DataFrame) -> DataFrame:
         small = stored(spark, small, "cc-small")
         changed = small.join(edges, ["u", "v"], "left_anti").limit(1).count()
         changed += edges.join(small, ["u", "v"], "left_anti").limit(1).count()
+        discard(edges, large)
         edges = small
         if not changed:
             break

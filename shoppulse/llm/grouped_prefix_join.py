@@ -14,8 +14,9 @@ n - ceil(percent * n / 100) + 1 shingles in any common order; rare shingles come
    every pair of groups that passes the size and position filters is expanded to
    the members with different labels, and each such pair is verified exactly.
    Pairs inside one label are already connected, so no link between labels is lost.
-5. Verification reads the texts again: each hub document's set is held once while its
-   partners stream past, with the partners of a busy hub dealt over several tasks.
+5. Verification first bounds the overlap from compact sketches of both sets, then reads
+   the texts of what is left: each hub document's set is held once while its partners
+   stream past, with the partners of a busy hub dealt over several tasks.
 
 The result is one row per document with its class; copies are never expanded into
 pairs.  Null, empty and wordless texts have an empty set and are alone; a text with
@@ -35,6 +36,7 @@ from pyspark.sql import functions as F
 
 from .common import (
     blocks,
+    discard,
     mix,
     partitions,
     read,
@@ -114,9 +116,12 @@ _SETS_ARROW = pa.schema(
         ("set_b", pa.int64()),
         ("prefix_sum", pa.int64()),
         ("prefix", pa.list_(pa.int64())),
+        ("sketch", pa.binary()),
     ]
 )
-SETS = "doc_id long, n long, set_a long, set_b long, prefix_sum long, prefix array<long>"
+SETS = (
+    "doc_id long, n long, set_a long, set_b long, prefix_sum long, prefix array<long>, sketch binary"
+)
 
 
 def _signature(values: np.ndarray) -> tuple[int, int]:
@@ -138,7 +143,8 @@ def _sets_map(sketch, percent: int):
                 if n:
                     order = np.lexsort((found, often[(found >> _SKETCH_SHIFT).astype(np.int64)]))
                     prefix = found[order[: prefix_length(n, percent)]]
-                rows.append((docs[i], n, *_signature(found), _signature(prefix)[0], prefix.view(np.int64)))
+                first = _signature(prefix)[0]
+                rows.append((docs[i], n, *_signature(found), first, prefix.view(np.int64), pack_sketch(found)))
                 if len(rows) >= 2000:
                     yield _batch(rows, _SETS_ARROW)
                     rows = []
@@ -153,7 +159,67 @@ def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(columns, schema)], schema=schema)
 
 
-# ---- exact verification -----------------------------------------------------------
+# ---- verification -----------------------------------------------------------------
+#
+# A sketch holds the leading bits of a set's hashes, about a byte a shingle.  Equal shingles
+# have equal leading bits, so what two sketches have in common is an upper bound of what
+# the sets have in common: a pair whose bound is too small needs no texts.
+
+
+def _sketch_bits(n: int) -> int:
+    return max(int(n - 1).bit_length(), 1) + 7
+
+
+def pack_sketch(found: np.ndarray) -> bytes:
+    """Gaps between the sorted leading bits, a byte each (255: 255 and the rest follows)."""
+    if len(found) == 0:
+        return b""
+    lead = (found >> np.uint64(64 - _sketch_bits(len(found)))).astype(np.int64)  # ``found`` is sorted
+    gaps = np.diff(lead, prepend=0)
+    more, rest = gaps // 255, gaps % 255
+    out = np.full(len(gaps) + int(more.sum()), 255, dtype=np.uint8)
+    out[np.cumsum(more + 1) - 1] = rest
+    return out.tobytes()
+
+
+def read_sketch(data: bytes) -> np.ndarray:
+    gaps = np.frombuffer(data, np.uint8)
+    return np.cumsum(gaps, dtype=np.int64)[gaps != 255]
+
+
+def most_in_common(a: np.ndarray, b: np.ndarray) -> int:
+    """Upper bound of the shingles that the sets behind two sketches share."""
+    few, many = (a, b) if len(a) <= len(b) else (b, a)
+    shift = _sketch_bits(len(many)) - _sketch_bits(len(few))
+    many = many >> shift
+    values, count = np.unique(many, return_counts=True)
+    own, times = np.unique(few, return_counts=True)
+    at = np.minimum(np.searchsorted(values, own), max(len(values) - 1, 0))
+    if len(values) == 0:
+        return 0
+    return int(np.minimum(times, np.where(values[at] == own, count[at], 0)).sum())
+
+
+def _bound_map(percent: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hub, base = None, np.zeros(0, np.int64)
+        for batch in batches:
+            hubs, role = batch.column("hub").to_pylist(), batch.column("role").to_pylist()
+            docs, data = batch.column("doc_id").to_pylist(), batch.column("sketch").to_pylist()
+            likely = []
+            for i, packed in enumerate(data):
+                found = read_sketch(packed)
+                if role[i] == 0:
+                    hub, base = hubs[i], found
+                elif hub != hubs[i]:
+                    raise ValueError(f"hub {hubs[i]} of a pair has no sketch")
+                else:
+                    both = most_in_common(base, found)
+                    if 100 * both >= percent * (len(base) + len(found) - both):
+                        likely.append((hub, docs[i]))
+            yield _batch(likely, _LINK_ARROW)
+
+    return run
 
 
 _LINK_ARROW = pa.schema([("a", pa.int64()), ("b", pa.int64())])
@@ -180,10 +246,13 @@ def _verify_map(percent: int):
     return run
 
 
-def verified(docs: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
-    """The pairs (hub, doc_id) whose sets are similar enough, as links (a, b)."""
-    spark = docs.sparkSession
-    n = partitions(spark)
+def _by_hub(pairs: DataFrame, content: DataFrame, column: str) -> DataFrame:
+    """Rows (hub, role, doc_id, ``column``), each hub's own row before its partners.
+
+    ``content`` has one row a doc_id.  The partners of a busy hub are dealt over shares
+    of about ``PARTNERS``, each of which gets the hub's row.
+    """
+    n = partitions(pairs.sparkSession)
     busy = pairs.groupBy("hub").agg(F.ceil(F.count("*") / PARTNERS).cast("int").alias("shares"))
     dealt = pairs.join(busy, "hub").select(
         "hub",
@@ -197,20 +266,26 @@ def verified(docs: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
         F.lit(0).alias("role"),
         F.col("hub").alias("doc_id"),
     )
-    needs = stored(spark, dealt.unionByName(hubs), "join-needs")
-    texts = docs.select("doc_id", "text").dropDuplicates(["doc_id"]) if _repeats(docs) else docs.select("doc_id", "text")
-    ordered = (
-        needs.join(texts, "doc_id")
+    return (
+        dealt.unionByName(hubs)
+        .join(content.select("doc_id", column), "doc_id")
         .repartition(n, "hub", "share")
         .sortWithinPartitions("hub", "share", "role", "doc_id")
-        .select("hub", "role", "doc_id", "text")
+        .select("hub", "role", "doc_id", column)
     )
-    return stored(spark, ordered.mapInArrow(_verify_map(percent), "a long, b long"), "join-links")
 
 
-def _repeats(docs: DataFrame) -> bool:
-    """Whether a doc_id occurs more than once."""
-    return docs.groupBy("doc_id").count().filter("count > 1").limit(1).count() > 0
+def verified(docs: DataFrame, sketches: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
+    """The pairs (hub, doc_id) whose sets are similar enough, as links (a, b)."""
+    spark = docs.sparkSession
+    bounded = _by_hub(pairs, sketches, "sketch").mapInArrow(_bound_map(percent), "a long, b long")
+    likely = stored(spark, bounded, "join-likely")
+    exact = _by_hub(likely.toDF("hub", "doc_id"), docs, "text").mapInArrow(
+        _verify_map(percent), "a long, b long"
+    )
+    links = stored(spark, exact, "join-links")
+    discard(likely)
+    return links
 
 
 # ---- the join -----------------------------------------------------------------------
@@ -228,8 +303,8 @@ def similar_classes(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id of every row of ``docs`` (doc_id, text)."""
     spark = docs.sparkSession
     docs = docs.select("doc_id", "text").filter("doc_id is not null")
-    sketch = spark.sparkContext.broadcast(frequency_sketch(docs))
-    sets = stored(spark, docs.mapInArrow(_sets_map(sketch, percent), SETS), "join-sets")
+    often = spark.sparkContext.broadcast(frequency_sketch(docs))  # a table of fixed size
+    sets = stored(spark, docs.mapInArrow(_sets_map(often, percent), SETS), "join-sets")
 
     # 1. equal sets
     same = ["n", "set_a", "set_b"]
@@ -240,25 +315,27 @@ def similar_classes(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     member = member.select("doc_id", "n", F.coalesce("class_id", "doc_id").alias("class_id"))
     member = stored(spark, member, "join-member")
     classes = full.join(copies, same, "left").filter("class_id is null or class_id = doc_id")
-    classes = classes.select("doc_id", "n", "prefix_sum", "prefix").dropDuplicates(["doc_id"])
+    classes = classes.select("doc_id", "n", "prefix_sum", "prefix", "sketch")
+    if member.count() > member.select("doc_id").distinct().count():  # repeated rows
+        classes = classes.dropDuplicates(["doc_id"])
+        docs = docs.dropDuplicates(["doc_id"])
     classes = stored(spark, classes, "join-classes")
+    discard(sets, copies)
 
     # 2. equal sizes and prefixes
     alike = ["n", "prefix_sum"]
     group = classes.groupBy(*alike).agg(F.min("doc_id").alias("group_id"), F.count("*").alias("c"))
     group = stored(spark, group.filter("c > 1").drop("c"), "join-groups")
     grouped = classes.join(group, alike, "left").withColumn("group_id", F.coalesce("group_id", "doc_id"))
-    inside = grouped.select("doc_id", "n", "group_id")
-    inside = stored(spark, inside, "join-inside")
+    inside = stored(spark, grouped.select("doc_id", "n", "group_id"), "join-inside")
 
-    # 3. prefix shingles that several groups share, and one partner for each
-    tokens = grouped.filter("doc_id = group_id").select(
+    # 3. prefix shingles that several groups share, and one partner for each group
+    entries = grouped.filter("doc_id = group_id").select(
         "group_id", "n", F.posexplode("prefix").alias("pos", "token")
     )
-    tokens = stored(spark, tokens, "join-tokens")
-    shared = tokens.groupBy("token").agg(F.min("group_id").alias("first"), F.max("group_id").alias("last_id"))
-    shared = shared.filter("first <> last_id").select("token", "first")
-    tokens = stored(spark, tokens.join(shared, "token"), "join-shared")
+    shared = entries.groupBy("token").agg(F.min("group_id").alias("first"), F.max("group_id").alias("last"))
+    shared = stored(spark, shared.filter("first <> last").select("token", "first"), "join-shared")
+    tokens = stored(spark, entries.join(shared, "token"), "join-tokens")
     first_n = inside.select(F.col("doc_id").alias("first"), F.col("n").alias("first_n"))
     fits = f"100 * least(n, first_n) >= {percent} * greatest(n, first_n)"
     partner = (
@@ -273,24 +350,24 @@ def similar_classes(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     )
     own = inside.filter("doc_id <> group_id").select(F.col("group_id").alias("hub"), "doc_id")
     tried = stored(spark, partner.unionByName(own), "join-tried")
-    links = verified(docs, tried, percent)
+    links = verified(docs, classes, tried, percent)
     parts = stored(spark, components(links), "join-parts")
 
     # 4. what is left: groups that share a prefix shingle but not a label
     labels = stored(spark, _relabelled(inside, parts), "join-labels")
-    of_group = labels.groupBy("group_id").agg(
-        F.min("label").alias("low"), F.max("label").alias("high")
-    )
-    open_tokens = tokens.select("token", "group_id", "n", "pos").join(of_group, "group_id")
-    open_tokens = stored(spark, open_tokens, "join-open")
-    mixed = open_tokens.groupBy("token").agg(F.min("low").alias("l"), F.max("high").alias("h"))
+    of_group = labels.groupBy("group_id").agg(F.min("label").alias("low"), F.max("label").alias("high"))
+    open_ = tokens.select("token", "group_id", "n", "pos").join(of_group, "group_id")
+    open_ = stored(spark, open_, "join-open")
+    discard(shared, tokens, parts)
+    mixed = open_.groupBy("token").agg(F.min("low").alias("l"), F.max("high").alias("h"))
     mixed = mixed.filter("l <> h").select("token")
-    open_tokens = stored(spark, open_tokens.join(mixed, "token"), "join-mixed")
-    left = open_tokens.select("token", *(F.col(c).alias(f"{c}_a") for c in ("group_id", "n", "pos", "low", "high")))
-    right = open_tokens.select("token", *(F.col(c).alias(f"{c}_b") for c in ("group_id", "n", "pos", "low", "high")))
+    mixed = stored(spark, open_.join(mixed, "token"), "join-mixed")
+    discard(open_)
+    side = lambda x: mixed.select("token", *(F.col(c).alias(f"{c}_{x}") for c in ("group_id", "n", "pos", "low", "high")))
     need = f"ceil({percent} * (n_a + n_b) / {100 + percent})"
     pairs = (
-        left.join(right, "token")
+        side("a")
+        .join(side("b"), "token")
         .filter("n_a < n_b or (n_a = n_b and group_id_a < group_id_b)")
         .filter("not (low_a = high_a and low_b = high_b and low_a = low_b)")
         .filter(f"100 * n_a >= {percent} * n_b")
@@ -298,28 +375,29 @@ def similar_classes(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
         .select("group_id_a", "group_id_b")
         .distinct()
     )
-    split = labels.groupBy("group_id").agg(F.min("label").alias("low"), F.max("label").alias("high"))
-    split = split.filter("low <> high").select(F.col("group_id").alias("group_id_a"), F.col("group_id").alias("group_id_b"))
+    split = of_group.filter("low <> high").select(
+        F.col("group_id").alias("group_id_a"), F.col("group_id").alias("group_id_b")
+    )
     pairs = stored(spark, pairs.unionByName(split), "join-pairs")
     one = labels.select(F.col("group_id").alias("group_id_a"), F.col("doc_id").alias("a"), F.col("label").alias("la"))
     two = labels.select(F.col("group_id").alias("group_id_b"), F.col("doc_id").alias("b"), F.col("label").alias("lb"))
-    expanded = (
+    rest = (
         pairs.join(one, "group_id_a")
         .join(two, "group_id_b")
         .filter("la <> lb")
         .select(F.least("a", "b").alias("hub"), F.greatest("a", "b").alias("doc_id"))
         .distinct()
     )
-    expanded = stored(spark, expanded.join(tried, ["hub", "doc_id"], "left_anti"), "join-rest")
-    more = verified(docs, expanded, percent)
+    rest = stored(spark, rest.join(tried, ["hub", "doc_id"], "left_anti"), "join-rest")
+    discard(mixed, pairs)
+    more = verified(docs, classes, rest, percent)
+    discard(classes, group, rest, tried)
 
     # 5. labels joined by the remaining links, and back to the documents
-    name = lambda side: labels.select(F.col("doc_id").alias(side), F.col("label").alias(f"l{side}"))
+    name = lambda end: labels.select(F.col("doc_id").alias(end), F.col("label").alias(f"l{end}"))
     bridges = more.join(name("a"), "a").join(name("b"), "b").select(F.col("la").alias("a"), F.col("lb").alias("b"))
-    top = stored(spark, components(bridges), "join-top")
-    final = labels.select("doc_id", "label").join(
-        top.select(F.col("id").alias("label"), "component"), "label", "left"
-    )
+    top = components(bridges).select(F.col("id").alias("label"), "component")
+    final = labels.select("doc_id", "label").join(top, "label", "left")
     final = final.select(F.col("doc_id").alias("class_id"), F.coalesce("component", "label").alias("component_id"))
     final = stored(spark, final, "join-final")
     return member.join(final, "class_id", "left").select(
