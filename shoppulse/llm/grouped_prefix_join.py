@@ -10,10 +10,12 @@ n - ceil(percent * n / 100) + 1 shingles in any common order; rare shingles come
    against one partner only, the smallest group it shares most prefix shingles with, and
    each member against its group's smallest: one comparison a class.  What links gets
    a common label.
-4. Prefix shingles whose groups all have one label need nothing more.  For the others
-   every pair of groups that passes the size and position filters is expanded to
-   the members with different labels, and each such pair is verified exactly.
-   Pairs inside one label are already connected, so no link between labels is lost.
+4. Prefix shingles whose groups all have one label need nothing more.  The members of
+   the other groups are screened (most of a document's shingles must be held by other
+   labels for it to have a partner there), and what is left goes through the prefix filter once more, now in the order of exact
+   document frequencies among them, and pairs with different labels that pass the size
+   and position filters are verified.  Pairs inside one label are already connected, so
+   no link between labels is lost.
 5. Verification first bounds the overlap from compact sketches of both sets, then reads
    the texts of what is left: each hub document's set is held once while its partners
    stream past, with the partners of a busy hub dealt over several tasks.
@@ -31,7 +33,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import (
@@ -299,6 +301,115 @@ def _relabelled(rows: DataFrame, parts: DataFrame) -> DataFrame:
     ).drop("component")
 
 
+_SHINGLES_ARROW = pa.schema(
+    [("doc_id", pa.int64()), ("n", pa.int64()), ("label", pa.int64()), ("token", pa.int64())]
+)
+
+
+def _shingles_map(share_bits: int):
+    """A row for every shingle of every document whose hash has ``share_bits`` leading zeros."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        limit = np.uint64((1 << (64 - share_bits)) - 1)
+        for batch in batches:
+            docs, labels = batch.column("doc_id").to_pylist(), batch.column("label").to_pylist()
+            held, size = [], 0
+            for i, found in shingle_sets(batch.column("text")):
+                some = found[: np.searchsorted(found, limit, side="right")]
+                held.append((docs[i], labels[i], len(found), some))
+                size += len(some)
+                if size > 200_000:
+                    yield _shingle_rows(held)
+                    held, size = [], 0
+            if held:
+                yield _shingle_rows(held)
+
+    return run
+
+
+def _shingle_rows(held: list[tuple]) -> pa.RecordBatch:
+    docs, labels, whole, sets = zip(*held)
+    sizes = np.array([len(found) for found in sets])
+    spread = lambda values: pa.array(np.repeat(np.array(values, dtype=np.int64), sizes))
+    token = np.concatenate(sets).view(np.int64)
+    return pa.RecordBatch.from_arrays(
+        [spread(docs), spread(whole), spread(labels), pa.array(token)], schema=_SHINGLES_ARROW
+    )
+
+
+def _shingle_table(docs: DataFrame, left: DataFrame, share_bits: int) -> DataFrame:
+    texts = left.select("doc_id", "label").join(docs, "doc_id")
+    rows = texts.mapInArrow(_shingles_map(share_bits), "doc_id long, n long, label long, token long")
+    return stored(docs.sparkSession, rows, "join-shingles")
+
+
+def _between_labels(rows: DataFrame) -> DataFrame:
+    """Shingles (token, df) that documents of different labels hold."""
+    often = rows.groupBy("token").agg(
+        F.count("*").alias("df"), F.min("label").alias("low"), F.max("label").alias("high")
+    )
+    often = often.filter("low <> high").select("token", "df")
+    return stored(rows.sparkSession, often, "join-often")
+
+
+def _screened(docs: DataFrame, left: DataFrame, percent: int) -> DataFrame:
+    """``left`` without documents that miss too many shingles to be similar to any other label.
+
+    A similar partner holds all but (100 - percent) per cent of a document's shingles.  Of a
+    quarter of the hash range, so many at most may be held by no other label.
+    """
+    rows = _shingle_table(docs, left, 2)
+    often = _between_labels(rows)
+    own = rows.groupBy("doc_id", "n").agg(F.count("*").alias("some"))
+    held = rows.join(often, "token").groupBy("doc_id").agg(F.count("*").alias("held"))
+    lonely = own.join(held, "doc_id", "left").filter(
+        f"some - coalesce(held, 0) > floor({100 - percent} * n / 100)"
+    )
+    out = left.join(lonely.select("doc_id"), "doc_id", "left_anti")
+    out = stored(docs.sparkSession, out, "join-screened")
+    discard(rows, often)
+    return out
+
+
+def _rare_first_pairs(docs: DataFrame, left: DataFrame, percent: int) -> DataFrame:
+    """Pairs (hub, doc_id) of ``left`` (doc_id, n, label) with different labels that may be similar.
+
+    The prefix filter once more, among these documents only and in the order of exact
+    document frequencies: shingles that no other label has come first, so a copy that
+    differs in more shingles than its prefix holds shares nothing and meets nobody.
+    """
+    spark = docs.sparkSession
+    screened = _screened(docs, left, percent)
+    rows = _shingle_table(docs, screened, 0)
+    often = _between_labels(rows)
+    of_doc = Window.partitionBy("doc_id")
+    alone = F.col("n") - F.count("*").over(of_doc)  # shingles that come before all shared ones
+    place = alone + F.row_number().over(of_doc.orderBy("df", "token")) - 1
+    prefix = f"n - ceil({percent} * n / 100) + 1"
+    entries = (
+        rows.join(often, "token")
+        .withColumn("pos", place)
+        .filter(F.col("pos") < F.expr(prefix))
+        .select("doc_id", "n", "label", "token", "pos")
+    )
+    entries = stored(spark, entries, "join-entries")
+    discard(rows, often, screened)
+    side = lambda x: entries.select("token", *(F.col(c).alias(f"{c}_{x}") for c in ("doc_id", "n", "label", "pos")))
+    need = f"ceil({percent} * (n_a + n_b) / {100 + percent})"
+    pairs = (
+        side("a")
+        .join(side("b"), "token")
+        .filter("label_a <> label_b and (n_a < n_b or (n_a = n_b and doc_id_a < doc_id_b))")
+        .filter(f"100 * n_a >= {percent} * n_b")
+        .filter(f"least(n_a - pos_a, n_b - pos_b) >= {need}")  # pos counts from 0
+        .select(F.least("doc_id_a", "doc_id_b").alias("hub"), F.greatest("doc_id_a", "doc_id_b").alias("doc_id"))
+        .distinct()
+    )
+    pairs = stored(spark, pairs, "join-pairs")
+    discard(entries)
+    return pairs
+
+
 def similar_classes(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id of every row of ``docs`` (doc_id, text)."""
     spark = docs.sparkSession
@@ -356,42 +467,20 @@ def similar_classes(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     # 4. what is left: groups that share a prefix shingle but not a label
     labels = stored(spark, _relabelled(inside, parts), "join-labels")
     of_group = labels.groupBy("group_id").agg(F.min("label").alias("low"), F.max("label").alias("high"))
-    open_ = tokens.select("token", "group_id", "n", "pos").join(of_group, "group_id")
+    open_ = tokens.select("token", "group_id").join(of_group, "group_id")
     open_ = stored(spark, open_, "join-open")
     discard(shared, tokens, parts)
     mixed = open_.groupBy("token").agg(F.min("low").alias("l"), F.max("high").alias("h"))
     mixed = mixed.filter("l <> h").select("token")
-    mixed = stored(spark, open_.join(mixed, "token"), "join-mixed")
+    left = open_.join(mixed, "token").select("group_id").distinct()
+    split = of_group.filter("low <> high").select("group_id")
+    left = labels.join(left.unionByName(split).distinct(), "group_id", "left_semi")
+    left = stored(spark, left.select("doc_id", "n", "label"), "join-left")
     discard(open_)
-    side = lambda x: mixed.select("token", *(F.col(c).alias(f"{c}_{x}") for c in ("group_id", "n", "pos", "low", "high")))
-    need = f"ceil({percent} * (n_a + n_b) / {100 + percent})"
-    pairs = (
-        side("a")
-        .join(side("b"), "token")
-        .filter("n_a < n_b or (n_a = n_b and group_id_a < group_id_b)")
-        .filter("not (low_a = high_a and low_b = high_b and low_a = low_b)")
-        .filter(f"100 * n_a >= {percent} * n_b")
-        .filter(f"least(n_a - pos_a, n_b - pos_b) >= {need}")  # pos counts from 0
-        .select("group_id_a", "group_id_b")
-        .distinct()
-    )
-    split = of_group.filter("low <> high").select(
-        F.col("group_id").alias("group_id_a"), F.col("group_id").alias("group_id_b")
-    )
-    pairs = stored(spark, pairs.unionByName(split), "join-pairs")
-    one = labels.select(F.col("group_id").alias("group_id_a"), F.col("doc_id").alias("a"), F.col("label").alias("la"))
-    two = labels.select(F.col("group_id").alias("group_id_b"), F.col("doc_id").alias("b"), F.col("label").alias("lb"))
-    rest = (
-        pairs.join(one, "group_id_a")
-        .join(two, "group_id_b")
-        .filter("la <> lb")
-        .select(F.least("a", "b").alias("hub"), F.greatest("a", "b").alias("doc_id"))
-        .distinct()
-    )
-    rest = stored(spark, rest.join(tried, ["hub", "doc_id"], "left_anti"), "join-rest")
-    discard(mixed, pairs)
+    pairs = _rare_first_pairs(docs, left, percent)
+    rest = stored(spark, pairs.join(tried, ["hub", "doc_id"], "left_anti"), "join-rest")
     more = verified(docs, classes, rest, percent)
-    discard(classes, group, rest, tried)
+    discard(classes, group, rest, tried, left)
 
     # 5. labels joined by the remaining links, and back to the documents
     name = lambda end: labels.select(F.col("doc_id").alias(end), F.col("label").alias(f"l{end}"))
