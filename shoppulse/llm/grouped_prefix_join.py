@@ -337,10 +337,10 @@ def _shingle_rows(held: list[tuple]) -> pa.RecordBatch:
     )
 
 
-def _shingle_table(docs: DataFrame, left: DataFrame, share_bits: int) -> DataFrame:
-    texts = left.select("doc_id", "label").join(docs, "doc_id")
+def _shingle_table(texts: DataFrame, share_bits: int) -> DataFrame:
+    """Shingle rows of ``texts`` (doc_id, label, text)."""
     rows = texts.mapInArrow(_shingles_map(share_bits), "doc_id long, n long, label long, token long")
-    return stored(docs.sparkSession, rows, "join-shingles")
+    return stored(texts.sparkSession, rows, "join-shingles")
 
 
 def _between_labels(rows: DataFrame) -> DataFrame:
@@ -353,12 +353,13 @@ def _between_labels(rows: DataFrame) -> DataFrame:
 
 
 def _screened(docs: DataFrame, left: DataFrame, percent: int) -> DataFrame:
-    """``left`` without documents that miss too many shingles to be similar to any other label.
+    """``left`` without documents that miss too many shingles to be similar to any other.
 
     A similar partner holds all but (100 - percent) per cent of a document's shingles.  Of a
-    quarter of the hash range, so many at most may be held by no other label.
+    quarter of the hash range, so many at most may be held by no other document.  All
+    texts are read where they lie; which of them are left is only looked at afterwards.
     """
-    rows = _shingle_table(docs, left, 2)
+    rows = _shingle_table(docs.withColumn("label", F.col("doc_id")), 2)
     often = _between_labels(rows)
     own = rows.groupBy("doc_id", "n").agg(F.count("*").alias("some"))
     held = rows.join(often, "token").groupBy("doc_id").agg(F.count("*").alias("held"))
@@ -380,7 +381,7 @@ def _rare_first_pairs(docs: DataFrame, left: DataFrame, percent: int) -> DataFra
     """
     spark = docs.sparkSession
     screened = _screened(docs, left, percent)
-    rows = _shingle_table(docs, screened, 0)
+    rows = _shingle_table(screened.select("doc_id", "label").join(docs, "doc_id"), 0)
     often = _between_labels(rows)
     of_doc = Window.partitionBy("doc_id")
     alone = F.col("n") - F.count("*").over(of_doc)  # shingles that come before all shared ones
