@@ -24,6 +24,10 @@ from shoppulse.llm import (
 )
 from shoppulse.llm.common import learnable, read, stored
 
+# near copies: Jaccard similarity of SIMILAR_PERCENT per cent of the SHINGLE_WORDS-word shingles
+SHINGLE_WORDS = 5
+SIMILAR_PERCENT = 80
+
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
@@ -40,7 +44,8 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of similar shingle sets."""
-    return grouped_prefix_join.one_of_each(docs).select(*docs.columns)
+    kept = grouped_prefix_join.one_of_each(docs, SIMILAR_PERCENT, SHINGLE_WORDS)
+    return kept.select(*docs.columns)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,6 +1,6 @@
 """Set-similarity self-join on word shingles with grouped prefixes, as connected classes.
 
-A document's set holds its distinct ``SHINGLE``-word shingles as 64-bit hashes.  Two sets
+A document's set holds its distinct shingles of ``width`` words as 64-bit hashes.  Two sets
 with Jaccard similarity of at least ``percent`` per cent share one of the first
 n - ceil(percent * n / 100) + 1 shingles in any common order; rare shingles come first.
 
@@ -22,7 +22,7 @@ n - ceil(percent * n / 100) + 1 shingles in any common order; rare shingles come
 
 The result is one row per document with its class; copies are never expanded into
 pairs.  Null, empty and wordless texts have an empty set and are alone; a text with
-fewer than ``SHINGLE`` words has one shingle, its whole sequence.  Rows without doc_id
+fewer than ``width`` words has one shingle, its whole sequence.  Rows without doc_id
 cannot be named in a class and are left out; repeated rows (same doc_id, same text)
 get a row each.
 """
@@ -60,7 +60,7 @@ _LOWER[ord("A") : ord("Z") + 1] += 32
 _SKETCH_SHIFT = np.uint64(64 - SKETCH_BITS)
 
 
-def shingle_sets(column: pa.Array, width: int = SHINGLE) -> Iterator[tuple[int, np.ndarray]]:
+def shingle_sets(column: pa.Array, width: int) -> Iterator[tuple[int, np.ndarray]]:
     """(row, sorted distinct shingle hashes) of each text."""
     raw, offsets = text_buffer(column)
     for a, b in blocks(offsets):
@@ -87,23 +87,26 @@ def prefix_length(n, percent: int):
 # ---- the common order of shingles ----------------------------------------------
 
 
-def _frequent_map(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    counts = np.zeros(1 << SKETCH_BITS, dtype=np.int64)
-    for batch in batches:
-        for _, found in shingle_sets(batch.column("text")):
-            np.add.at(counts, (found >> _SKETCH_SHIFT).astype(np.int64), 1)
-    often = np.flatnonzero(counts >= 8 + 4 * counts.mean())
-    yield pa.RecordBatch.from_arrays(
-        [pa.array(often, pa.int32()), pa.array(counts[often], pa.int64())], names=["at", "n"]
-    )
+def _frequent_map(width: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(1 << SKETCH_BITS, dtype=np.int64)
+        for batch in batches:
+            for _, found in shingle_sets(batch.column("text"), width):
+                np.add.at(counts, (found >> _SKETCH_SHIFT).astype(np.int64), 1)
+        often = np.flatnonzero(counts >= 8 + 4 * counts.mean())
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(often, pa.int32()), pa.array(counts[often], pa.int64())], names=["at", "n"]
+        )
+
+    return run
 
 
-def frequency_sketch(docs: DataFrame) -> np.ndarray:
+def frequency_sketch(docs: DataFrame, width: int) -> np.ndarray:
     """Rough counts of frequent shingles by hash bucket (a table of fixed size).
 
     It only orders the shingles, and any order gives the same result.
     """
-    sums = docs.select("text").mapInArrow(_frequent_map, "at int, n long")
+    sums = docs.select("text").mapInArrow(_frequent_map(width), "at int, n long")
     out = np.zeros(1 << SKETCH_BITS, dtype=np.float32)
     for r in sums.groupBy("at").agg(F.sum("n").alias("n")).collect():
         out[r["at"]] = r["n"]
@@ -133,13 +136,13 @@ def _signature(values: np.ndarray) -> tuple[int, int]:
     return a - (1 << 64) if a >> 63 else a, b - (1 << 64) if b >> 63 else b
 
 
-def _sets_map(sketch, percent: int):
+def _sets_map(sketch, percent: int, width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         often = sketch.value
         for batch in batches:
             docs = batch.column("doc_id").to_pylist()
             rows = []
-            for i, found in shingle_sets(batch.column("text")):
+            for i, found in shingle_sets(batch.column("text"), width):
                 n = len(found)
                 prefix = np.zeros(0, np.uint64)
                 if n:
@@ -227,14 +230,14 @@ def _bound_map(percent: int):
 _LINK_ARROW = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
 
-def _verify_map(percent: int):
+def _verify_map(percent: int, width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hub, base = None, np.zeros(0, np.uint64)
         for batch in batches:
             hubs, role = batch.column("hub").to_pylist(), batch.column("role").to_pylist()
             docs = batch.column("doc_id").to_pylist()
             links = []
-            for i, found in shingle_sets(batch.column("text")):
+            for i, found in shingle_sets(batch.column("text"), width):
                 if role[i] == 0:
                     hub, base = hubs[i], found
                     continue
@@ -277,13 +280,15 @@ def _by_hub(pairs: DataFrame, content: DataFrame, column: str) -> DataFrame:
     )
 
 
-def verified(docs: DataFrame, sketches: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
+def verified(
+    docs: DataFrame, sketches: DataFrame, pairs: DataFrame, percent: int, width: int
+) -> DataFrame:
     """The pairs (hub, doc_id) whose sets are similar enough, as links (a, b)."""
     spark = docs.sparkSession
     bounded = _by_hub(pairs, sketches, "sketch").mapInArrow(_bound_map(percent), "a long, b long")
     likely = stored(spark, bounded, "join-likely")
     exact = _by_hub(likely.toDF("hub", "doc_id"), docs, "text").mapInArrow(
-        _verify_map(percent), "a long, b long"
+        _verify_map(percent, width), "a long, b long"
     )
     links = stored(spark, exact, "join-links")
     discard(likely)
@@ -306,7 +311,7 @@ _SHINGLES_ARROW = pa.schema(
 )
 
 
-def _shingles_map(share_bits: int):
+def _shingles_map(share_bits: int, width: int):
     """A row for every shingle of every document whose hash has ``share_bits`` leading zeros."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -314,7 +319,7 @@ def _shingles_map(share_bits: int):
         for batch in batches:
             docs, labels = batch.column("doc_id").to_pylist(), batch.column("label").to_pylist()
             held, size = [], 0
-            for i, found in shingle_sets(batch.column("text")):
+            for i, found in shingle_sets(batch.column("text"), width):
                 some = found[: np.searchsorted(found, limit, side="right")]
                 held.append((docs[i], labels[i], len(found), some))
                 size += len(some)
@@ -337,9 +342,10 @@ def _shingle_rows(held: list[tuple]) -> pa.RecordBatch:
     )
 
 
-def _shingle_table(texts: DataFrame, share_bits: int) -> DataFrame:
+def _shingle_table(texts: DataFrame, share_bits: int, width: int) -> DataFrame:
     """Shingle rows of ``texts`` (doc_id, label, text)."""
-    rows = texts.mapInArrow(_shingles_map(share_bits), "doc_id long, n long, label long, token long")
+    schema = "doc_id long, n long, label long, token long"
+    rows = texts.mapInArrow(_shingles_map(share_bits, width), schema)
     return stored(texts.sparkSession, rows, "join-shingles")
 
 
@@ -352,14 +358,14 @@ def _between_labels(rows: DataFrame) -> DataFrame:
     return stored(rows.sparkSession, often, "join-often")
 
 
-def _screened(docs: DataFrame, left: DataFrame, percent: int) -> DataFrame:
+def _screened(docs: DataFrame, left: DataFrame, percent: int, width: int) -> DataFrame:
     """``left`` without documents that miss too many shingles to be similar to any other.
 
     A similar partner holds all but (100 - percent) per cent of a document's shingles.  Of a
     quarter of the hash range, so many at most may be held by no other document.  All
     texts are read where they lie; which of them are left is only looked at afterwards.
     """
-    rows = _shingle_table(docs.withColumn("label", F.col("doc_id")), 2)
+    rows = _shingle_table(docs.withColumn("label", F.col("doc_id")), 2, width)
     often = _between_labels(rows)
     own = rows.groupBy("doc_id", "n").agg(F.count("*").alias("some"))
     held = rows.join(often, "token").groupBy("doc_id").agg(F.count("*").alias("held"))
@@ -372,7 +378,7 @@ def _screened(docs: DataFrame, left: DataFrame, percent: int) -> DataFrame:
     return out
 
 
-def _rare_first_pairs(docs: DataFrame, left: DataFrame, percent: int) -> DataFrame:
+def _rare_first_pairs(docs: DataFrame, left: DataFrame, percent: int, width: int) -> DataFrame:
     """Pairs (hub, doc_id) of ``left`` (doc_id, n, label) with different labels that may be similar.
 
     The prefix filter once more, among these documents only and in the order of exact
@@ -380,8 +386,8 @@ def _rare_first_pairs(docs: DataFrame, left: DataFrame, percent: int) -> DataFra
     differs in more shingles than its prefix holds shares nothing and meets nobody.
     """
     spark = docs.sparkSession
-    screened = _screened(docs, left, percent)
-    rows = _shingle_table(screened.select("doc_id", "label").join(docs, "doc_id"), 0)
+    screened = _screened(docs, left, percent, width)
+    rows = _shingle_table(screened.select("doc_id", "label").join(docs, "doc_id"), 0, width)
     often = _between_labels(rows)
     of_doc = Window.partitionBy("doc_id")
     alone = F.col("n") - F.count("*").over(of_doc)  # shingles that come before all shared ones
@@ -411,12 +417,12 @@ def _rare_first_pairs(docs: DataFrame, left: DataFrame, percent: int) -> DataFra
     return pairs
 
 
-def similar_classes(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+def similar_classes(docs: DataFrame, percent: int = PERCENT, width: int = SHINGLE) -> DataFrame:
     """doc_id, n_shingles, component_id of every row of ``docs`` (doc_id, text)."""
     spark = docs.sparkSession
     docs = docs.select("doc_id", "text").filter("doc_id is not null")
-    often = spark.sparkContext.broadcast(frequency_sketch(docs))  # a table of fixed size
-    sets = stored(spark, docs.mapInArrow(_sets_map(often, percent), SETS), "join-sets")
+    often = spark.sparkContext.broadcast(frequency_sketch(docs, width))  # a table of fixed size
+    sets = stored(spark, docs.mapInArrow(_sets_map(often, percent, width), SETS), "join-sets")
 
     # 1. equal sets
     same = ["n", "set_a", "set_b"]
@@ -462,7 +468,7 @@ def similar_classes(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     )
     own = inside.filter("doc_id <> group_id").select(F.col("group_id").alias("hub"), "doc_id")
     tried = stored(spark, partner.unionByName(own), "join-tried")
-    links = verified(docs, classes, tried, percent)
+    links = verified(docs, classes, tried, percent, width)
     parts = stored(spark, components(links), "join-parts")
 
     # 4. what is left: groups that share a prefix shingle but not a label
@@ -478,9 +484,9 @@ def similar_classes(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     left = labels.join(left.unionByName(split).distinct(), "group_id", "left_semi")
     left = stored(spark, left.select("doc_id", "n", "label"), "join-left")
     discard(open_)
-    pairs = _rare_first_pairs(docs, left, percent)
+    pairs = _rare_first_pairs(docs, left, percent, width)
     rest = stored(spark, pairs.join(tried, ["hub", "doc_id"], "left_anti"), "join-rest")
-    more = verified(docs, classes, rest, percent)
+    more = verified(docs, classes, rest, percent, width)
     discard(classes, group, rest, tried, left)
 
     # 5. labels joined by the remaining links, and back to the documents
@@ -495,9 +501,9 @@ def similar_classes(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     )
 
 
-def one_of_each(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+def one_of_each(docs: DataFrame, percent: int = PERCENT, width: int = SHINGLE) -> DataFrame:
     """``docs`` with one row of each class (its smallest doc_id); rows without doc_id stay."""
-    first = similar_classes(docs, percent).filter("doc_id = component_id").select("doc_id")
+    first = similar_classes(docs, percent, width).filter("doc_id = component_id").select("doc_id")
     kept = docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"])
     return kept.unionByName(docs.filter("doc_id is null"))
 

@@ -473,6 +473,44 @@ def test_pipeline_stages_against_brute_force(spark, docs):
             assert kept == set(before) and sum(r["piece"] == 0 for r in rows) == len(before)
 
 
+def brute_five_word_classes(rows, percent):
+    sets = {}
+    for i, text in rows:
+        w = words_of(text.lower())
+        sets[i] = {tuple(w[k : k + 5]) for k in range(len(w) - 4)} or {tuple(w)}
+    low = {i: i for i in sets}
+    linked = [
+        (a, b) for a in sets for b in sets
+        if a < b and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b])
+    ]
+    for _ in sets:
+        for a, b in linked:
+            low[a] = low[b] = min(low[a], low[b])
+    return low
+
+
+def test_pipeline_joins_on_five_words_and_80_per_cent(spark):
+    """Near copies with a five-word similarity over 0.8, but under 0.9 on three words."""
+    rows = []
+    for k in range(12):
+        w = prose(200, f"five{k}").split()
+        rows.append((100 * k, " ".join(w)))
+        for m in (6, 10, 14, 17, 19, 24, 40):  # a run of other words
+            rows.append((100 * k + m, " ".join([*w[:80], *prose(m, f"run{k}-{m}").split(), *w[80 + m :]])))
+        v = list(w)
+        for at in (20, 70, 120, 170):
+            v[at] = "other"
+        rows.append((100 * k + 50, " ".join(v)))
+    rows += [(2000, "one two three four"), (2001, "One two three four"), (2002, "one two three")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    ship_package(spark)
+    got = {r["doc_id"] for r in corpus_pipeline.near_duplicates(spark, frame, "").collect()}
+    five = {i for i, c in brute_five_word_classes(rows, 80).items() if i == c}
+    three = {i for i, (_, c) in brute_classes(rows, 90).items() if i == c}
+    assert len(five) < len(three)
+    assert got == five
+
+
 def test_pipeline_on_an_empty_table(spark, empty):
     current = empty
     for _, stage in corpus_pipeline.STAGES:
