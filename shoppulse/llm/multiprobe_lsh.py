@@ -10,7 +10,8 @@ over all tables, finds a neighbour with probability ``SUCCESS``.  Candidates of
 are merged and reranked by their exact distance in double precision.
 
 Rows with one vector: only the smallest ids of equal vectors can be among the nearest, so
-only those are indexed, and equal queries are searched once.  A bucket with many rows is
+only those are indexed, and equal queries are searched once.  Repeated rows (same id, same
+vector) count once.  A bucket with many rows is
 cut into slices that its probes visit all.  A query that finds fewer rows than asked
 for is compared with all rows, in blocks.
 
@@ -321,11 +322,12 @@ def neighbours(
 
     # only the smallest ids of equal vectors can be among the nearest
     equal = Window.partitionBy("vec").orderBy("id")
-    rows = everything.withColumn("r", F.row_number().over(equal)).filter(F.col("r") <= keep)
+    rows = everything.dropDuplicates(["id", "vec"]).withColumn("r", F.row_number().over(equal)).filter(F.col("r") <= keep)
     rows = stored(spark, rows.select("id", "vec"), "ann-rows")
     n_rows = rows.count()
     # equal queries are searched once, by the smallest of them
     askers = everything.join(asked, everything["id"] == asked["query_id"], "left_semi")
+    askers = askers.dropDuplicates(["id", "vec"])
     reps = stored(spark, askers.groupBy("vec").agg(F.min("id").alias("id")).select("id", "vec"), "ann-queries")
     members = askers.join(reps.select(F.col("id").alias("rep"), "vec"), "vec")
     members = stored(spark, members.select("rep", F.col("id").alias("query_id")), "ann-askers")

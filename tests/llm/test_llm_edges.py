@@ -439,6 +439,23 @@ def test_neighbours_edges(spark):
     assert multiprobe_lsh.neighbours(frame.limit(0), frame.limit(0), "vec_id", "embedding").count() == 0
 
 
+def test_neighbours_with_repeated_rows(spark):
+    """A row that is repeated 20 times hides no other id, as neighbour or as query."""
+    r = np.random.default_rng(5)
+    vectors = {i: r.normal(size=8).astype(np.float32).tolist() for i in range(60)}
+    for i in range(10, 30):  # one vector
+        vectors[i] = vectors[10]
+    rows = [(i, v) for i, v in vectors.items()] + [(i, vectors[i]) for i in (10, 3) for _ in range(19)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(4)
+    got = {}
+    for x in multiprobe_lsh.neighbours(frame, frame.filter("vec_id in (3, 10, 25)"), "vec_id", "embedding").collect():
+        got.setdefault(x["query_id"], []).append((x["rank"], x["vec_id"], x["score"]))
+    assert [v for _, v, _ in sorted(got[10])] == list(range(11, 21))
+    assert [v for _, v, _ in sorted(got[25])] == list(range(10, 20))
+    assert [k for k, _, _ in sorted(got[3])] == list(range(1, 11)) and len({v for _, v, _ in got[3]}) == 10
+    assert all(score == 0 for q in (10, 25) for _, _, score in got[q])
+
+
 # ---- the pipeline --------------------------------------------------------------------------------
 
 
