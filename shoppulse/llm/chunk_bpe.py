@@ -8,8 +8,8 @@ zone is where they resynchronise, and the text is cut there into pieces that are
 encoded independently.  Neighbours without a common boundary become one piece, so
 the result never depends on the chunk size.  Decoding concatenates raw bytes.
 
-Null and empty texts give no ids and no bytes.  Repeated rows are encoded each;
-long texts are told apart by ``doc_id``, which is unique in ``documents``.
+Null and empty texts give no ids and no bytes.  Repeated rows are encoded each: every
+long row has a key of its own, also without doc_id or beside another text of its doc_id.
 """
 
 from __future__ import annotations
@@ -20,6 +20,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import regex
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -27,7 +28,7 @@ from . import bpe
 
 CHUNK_CHARS = 1 << 16
 OVERLAP = 1 << 10
-IDS_SCHEMA = "doc_id long, piece int, ids binary, decoded binary"
+IDS_SCHEMA = "key string, doc_id long, piece int, ids binary, decoded binary"
 
 
 class Codec:
@@ -84,12 +85,13 @@ def _encode_map(rank_path: str, pattern: str):
                 ids = codec.encode(texts)
                 yield pa.RecordBatch.from_arrays(
                     [
+                        part.column("key"),
                         part.column("doc_id"),
                         part.column("piece"),
                         pa.array([x.astype("<u4").tobytes() for x in ids], pa.binary()),
                         pa.array([codec.decode(x) for x in ids], pa.binary()),
                     ],
-                    names=["doc_id", "piece", "ids", "decoded"],
+                    names=["key", "doc_id", "piece", "ids", "decoded"],
                 )
 
     return run
@@ -101,9 +103,21 @@ def _slices(batch: pa.RecordBatch, rows: int = 1000) -> Iterator[pa.RecordBatch]
 
 
 def _cut_chunks(chunk_chars: int, overlap: int):
+    """Chunks of every row under a key of its own.
+
+    The key counts the rows of one doc_id and text within a task.  Such rows are alike, so a
+    task that runs again gives the same keys, in whatever order its rows come.
+    """
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task = TaskContext.get().partitionId()
+        seen: dict[tuple[int | None, bytes], int] = {}
         for batch in batches:
-            for key, doc, text in zip(*(batch.column(c).to_pylist() for c in ("key", "doc_id", "text"))):
+            for doc, text in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text"))):
+                sha = hashlib.sha256(text.encode())
+                alike = (doc, sha.digest())
+                seen[alike] = seen.get(alike, 0) + 1
+                key = f"{doc}:{sha.hexdigest()}:{task}:{seen[alike]}"
                 last = (len(text) - 1) // chunk_chars
                 for k in range(last + 1):
                     a = max(0, k * chunk_chars - overlap)
@@ -170,11 +184,11 @@ def _pretokenise(rank_path: str, pattern: str, chunk_chars: int, overlap: int):
 def stitched_pieces(
     long_docs: DataFrame, rank_path: str, pattern: str, chunk_chars: int, overlap: int
 ) -> DataFrame:
-    """(key, doc_id, piece, text): the long texts cut where neighbouring chunks resynchronise."""
+    """(key, doc_id, piece, text), a key a row: the long texts cut where neighbouring chunks resynchronise."""
     spark = long_docs.sparkSession
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     chunks = (
-        long_docs.select("key", "doc_id", "text")
+        long_docs.select("doc_id", "text")
         .mapInArrow(_cut_chunks(chunk_chars, overlap), CHUNK_SCHEMA)
         .repartition(n, "key", "chunk")
         .mapInArrow(
@@ -216,35 +230,33 @@ def encode(
 ) -> tuple[DataFrame, DataFrame]:
     """(whole, pieces): ids (little-endian uint32) and decoded bytes of ``docs`` (doc_id, text).
 
-    ``whole`` has a row for each text of at most ``chunk_chars`` characters,
-    ``pieces`` the pieces of the longer ones in order (key, doc_id, piece, ids, decoded).
+    ``whole`` has a row for each text of at most ``chunk_chars`` characters (its key is null),
+    ``pieces`` the pieces of the longer ones, numbered under each row's key.
     """
     rows = docs.select("doc_id", "text")
     size = F.coalesce(F.length("text"), F.lit(0))
     work = _encode_map(rank_path, pattern)
     whole = (
         rows.filter(size <= chunk_chars)
-        .select("doc_id", F.lit(0).alias("piece"), "text")
+        .select(F.lit(None).cast("string").alias("key"), "doc_id", F.lit(0).alias("piece"), "text")
         .mapInArrow(work, IDS_SCHEMA)
     )
-    long_docs = rows.filter(size > chunk_chars).withColumn(
-        "key", F.concat_ws(":", F.col("doc_id").cast("string"), F.sha2("text", 256))
-    )
+    long_docs = rows.filter(size > chunk_chars)
     cut = stitched_pieces(long_docs, rank_path, pattern, chunk_chars, overlap)
-    pieces = cut.select("doc_id", "piece", "text").mapInArrow(work, IDS_SCHEMA)
+    pieces = cut.select("key", "doc_id", "piece", "text").mapInArrow(work, IDS_SCHEMA)
     return whole, pieces
 
 
 def _digest_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Running digests over the ordered pieces of each document (one open at a time)."""
-    open_doc, state = None, None
+    """Running digests over the ordered pieces of each key (one open at a time)."""
+    open_key, open_doc, state = None, None, None
 
     def close():
         count, a, b = state
         return pa.RecordBatch.from_pylist(
             [
                 {
-                    "doc_id": open_doc[0],
+                    "doc_id": open_doc,
                     "n_tokens": count,
                     "ids_sha256": a.hexdigest(),
                     "decoded_sha256": b.hexdigest(),
@@ -254,15 +266,16 @@ def _digest_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         )
 
     for batch in batches:
-        for doc, ids, text in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "ids", "decoded"))):
-            if (doc,) != open_doc:
-                if open_doc:
+        columns = (batch.column(c).to_pylist() for c in ("key", "doc_id", "ids", "decoded"))
+        for key, doc, ids, text in zip(*columns):
+            if key != open_key:
+                if open_key is not None:
                     yield close()
-                open_doc, state = (doc,), [0, hashlib.sha256(), hashlib.sha256()]
+                open_key, open_doc, state = key, doc, [0, hashlib.sha256(), hashlib.sha256()]
             state[0] += len(ids) // 4
             state[1].update(ids)
             state[2].update(text)
-    if open_doc:
+    if open_key is not None:
         yield close()
 
 
@@ -278,7 +291,7 @@ DIGEST_SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 s
 
 
 def digests(whole: DataFrame, pieces: DataFrame) -> DataFrame:
-    """Per document: n_tokens and the digests of its ids and decoded bytes."""
+    """Per row: n_tokens and the digests of its ids and decoded bytes."""
     short = whole.select(
         "doc_id",
         F.expr("octet_length(ids) div 4").alias("n_tokens"),
@@ -286,7 +299,7 @@ def digests(whole: DataFrame, pieces: DataFrame) -> DataFrame:
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
     n = int(pieces.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ordered = pieces.repartition(n, "doc_id").sortWithinPartitions("doc_id", "piece")
+    ordered = pieces.repartition(n, "key").sortWithinPartitions("key", "piece")
     return short.unionByName(ordered.mapInArrow(_digest_pieces, DIGEST_SCHEMA))
 
 

@@ -210,6 +210,25 @@ def test_chunks_give_the_same_ids_at_every_size(docs, empty):
     assert len([r for r in want if r[0] in (5, 6)]) == 2 and all(r[1] == 0 for r in want if r[0] in (5, 6))
 
 
+def test_long_rows_are_told_apart(spark):
+    """Repeated long rows, long rows without doc_id and two long texts of one doc_id."""
+    import public_tokenizers as tokens
+
+    path = tokens.path("byte_bpe_multi_50k.tiktoken")
+    a, b, c = (prose(900, f"long row {k}") for k in range(3))
+    rows = [(1, a), (1, a), (1, a), (2, a), (None, a), (None, a), (None, b), (3, b), (3, c), (4, "short"), (4, "short")]
+    library = chunk_bpe.Codec.of(path, tokens.PATTERN).library
+    want = []
+    for doc, text in rows:
+        ids = np.array(library.encode_ordinary(text), "<u4")
+        want.append((doc, len(ids), hashlib.sha256(ids.tobytes()).hexdigest(), hashlib.sha256(text.encode()).hexdigest()))
+    ship_package(spark)
+    for parts in (1, 4):
+        frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(parts)
+        got = chunk_bpe.digests(*chunk_bpe.encode(frame, path, tokens.PATTERN, 400, 40)).collect()
+        assert sorted(map(str, map(tuple, got))) == sorted(map(str, want))
+
+
 def test_piece_cache_starts_over_when_full(monkeypatch):
     import public_tokenizers as tokens
 
