@@ -37,7 +37,10 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language can be told (null text, no letter or no clear winner: rejected)."""
+    """Documents whose language can be told (null text, no letter or no clear winner: rejected).
+
+    Where no label can be learned from, every text with a letter stays.
+    """
     may = learnable("doc_id", kernel_langid.FOLDS, kernel_langid.HELD)
     return kernel_langid.known_language(docs, kernel_langid.train(docs.filter(may)))
 

@@ -53,8 +53,11 @@ def presence(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
             solid = chars[at] != 32
             at, bucket = at[solid], bucket[solid]
         found[row[at] + bucket] = 1
-    letters = np.add.reduceat((chars != 32).astype(np.int64), offsets[:-1]) > 0
-    return found.reshape(len(texts), width), letters
+    return found.reshape(len(texts), width), _letters(chars, offsets)
+
+
+def _letters(chars: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    return np.add.reduceat((chars != 32).astype(np.int64), offsets[:-1]) > 0
 
 
 @dataclass
@@ -182,8 +185,21 @@ def identify(docs: DataFrame, model: Model | None) -> DataFrame:
     return docs.select(*(f"`{f.name}`" for f in columns)).mapInArrow(_predict_map(model), schema)
 
 
+def _with_letters(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        texts = batch.column("text").to_pylist()
+        for a, b in text_blocks(texts):
+            yield batch.slice(a, b - a).filter(pa.array(_letters(*padded(texts[a:b]))))
+
+
 def known_language(docs: DataFrame, model: Model | None, least: float = LEAST_SCORE) -> DataFrame:
-    """The rows of ``docs`` whose language is determined with a score of ``least`` or more."""
+    """The rows of ``docs`` whose language is determined with a score of ``least`` or more.
+
+    Without a model nothing tells languages apart: only null texts and texts without a
+    letter are rejected.
+    """
+    if model is None:
+        return docs.mapInArrow(_with_letters, docs.schema)
     sure = (F.col(PREDICTED) != UNDETERMINED) & (F.col(SCORE) >= least)
     return identify(docs, model).filter(sure).drop(PREDICTED, SCORE)
 

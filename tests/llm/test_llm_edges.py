@@ -547,6 +547,25 @@ def test_pipeline_joins_on_five_words_and_80_per_cent(spark):
     assert got == five
 
 
+def test_pipeline_keeps_texts_that_no_label_can_be_learned_from(spark, docs):
+    """lang is null throughout, or labels only held-out rows."""
+    letters = {i for i, t in texts() if any(c.isalpha() for c in t or "")}
+    unlabelled = docs.withColumn("lang", F.lit(None).cast("string"))
+    held = kernel_langid.held_out("doc_id", kernel_langid.FOLDS, kernel_langid.HELD)
+    only_held = docs.withColumn("lang", F.when(held, F.lit("xx")))
+    for table in (unlabelled, only_held):
+        kept = corpus_pipeline.language(spark, table, "")
+        assert kept.schema == table.schema
+        rows = kept.collect()
+        assert {r["doc_id"] for r in rows} == letters
+        assert {r["doc_id"]: r["text"] for r in rows} == {i: t for i, t in texts() if i in letters}
+        assert sum(r["doc_id"] == 20 for r in rows) == 2
+    current = unlabelled
+    for name, stage in corpus_pipeline.STAGES:
+        current = corpus_pipeline.stored(spark, stage(spark, current, ""), "test-unlabelled")
+        assert current.count() > 0, name
+
+
 def test_pipeline_on_an_empty_table(spark, empty):
     current = empty
     for _, stage in corpus_pipeline.STAGES:
