@@ -23,7 +23,8 @@ n - ceil(percent * n / 100) + 1 shingles in any common order; rare shingles come
 The result is one row per document with its class; copies are never expanded into
 pairs.  Null, empty and wordless texts have an empty set and are alone; a text with
 fewer than ``width`` words has one shingle, its whole sequence.  Rows without doc_id
-cannot be named in a class and are left out; repeated rows (same doc_id, same text)
+cannot be named in a class and take no part; they come back with 0 shingles and a null
+class, as in the SQL; repeated rows (same doc_id, same text)
 get a row each.
 """
 
@@ -420,6 +421,7 @@ def _rare_first_pairs(docs: DataFrame, left: DataFrame, percent: int, width: int
 def similar_classes(docs: DataFrame, percent: int = PERCENT, width: int = SHINGLE) -> DataFrame:
     """doc_id, n_shingles, component_id of every row of ``docs`` (doc_id, text)."""
     spark = docs.sparkSession
+    unnamed = docs.filter("doc_id is null").select("doc_id")
     docs = docs.select("doc_id", "text").filter("doc_id is not null")
     often = spark.sparkContext.broadcast(frequency_sketch(docs, width))  # a table of fixed size
     sets = stored(spark, docs.mapInArrow(_sets_map(often, percent, width), SETS), "join-sets")
@@ -496,9 +498,14 @@ def similar_classes(docs: DataFrame, percent: int = PERCENT, width: int = SHINGL
     final = labels.select("doc_id", "label").join(top, "label", "left")
     final = final.select(F.col("doc_id").alias("class_id"), F.coalesce("component", "label").alias("component_id"))
     final = stored(spark, final, "join-final")
-    return member.join(final, "class_id", "left").select(
+    named = member.join(final, "class_id", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id")
     )
+    return named.unionByName(
+        unnamed.select(
+            "doc_id", F.lit(0).cast("long").alias("n_shingles"), F.col("doc_id").alias("component_id")
+        )
+    )
 
 
 def one_of_each(docs: DataFrame, percent: int = PERCENT, width: int = SHINGLE) -> DataFrame:

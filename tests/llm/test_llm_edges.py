@@ -417,6 +417,22 @@ def test_classes_against_brute_force(spark, docs, empty):
     assert grouped_prefix_join.similar_classes(empty, 90).count() == 0
 
 
+def test_classes_keep_rows_without_doc_id(spark):
+    """They come back as the SQL gives them: no shingles counted, no class."""
+    import duckdb
+
+    same = prose(40, "unnamed")
+    rows = [(1, same), (2, same), (3, None), (None, same), (None, same), (None, None), (None, "two words")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    ship_package(spark)
+    got = [tuple(r) for r in grouped_prefix_join.similar_classes(frame).collect()]
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", rows)
+    want = con.execute(grouped_prefix_join.SQL).fetchall()
+    assert len(got) == len(rows) and sorted(map(str, got)) == sorted(map(str, want))
+
+
 def test_components_on_chains_and_stars(spark):
     edges = [(i, i + 1) for i in range(20, 60)] + [(1, k) for k in range(100, 140)] + [(5, 5), (140, 139)]
     frame = spark.createDataFrame(edges, "a long, b long")
