@@ -55,7 +55,11 @@ _PIECES_ARROW = pa.schema(
 
 
 class JsonCodec:
-    """A tokenizer file of the ``tokenizers`` library behind a cache of pre-tokens."""
+    """A tokenizer file of the ``tokenizers`` library behind a cache of pre-tokens.
+
+    Ids are those of its plain call: texts that hold an added token's string, which the
+    library cuts out before it pre-tokenises, go to the library whole.
+    """
 
     _made: dict[str, JsonCodec] = {}
 
@@ -64,7 +68,7 @@ class JsonCodec:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings are ordinary text
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         (self.newline,) = self.whole("\n")
         self.cache = bpe.PieceCache(self._pieces)
 
@@ -93,7 +97,9 @@ class JsonCodec:
         return out
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        return bpe.encode_texts(texts, self.cache, self.whole)
+        holds = [any(x in t for x in self.added) for t in texts]
+        plain = iter(bpe.encode_texts([t for t, h in zip(texts, holds) if not h], self.cache, self.whole))
+        return [np.asarray(self.whole(t), dtype=np.uint32) if h else next(plain) for t, h in zip(texts, holds)]
 
 
 def cut_lengths(n: int, capacity: int) -> list[int]:

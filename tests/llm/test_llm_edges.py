@@ -240,6 +240,22 @@ def test_piece_cache_starts_over_when_full(monkeypatch):
         assert ids.tolist() == codec.library.encode_ordinary(text)
 
 
+def test_packing_ids_equal_the_plain_call_on_added_tokens():
+    import public_tokenizers as tokens
+    from tokenizers import Tokenizer
+
+    path = tokens.path("byte_bpe_50k.json")
+    plain = Tokenizer.from_file(path)
+    made = [
+        "<|endoftext|>", "one <|endoftext|> two", "<|endoftext|><|endoftext|>\n", "<|endoftext", "x<|endoftext|>中文",
+        "", "no token", "it's<|endoftext|>'s  <|endoftext|>  ", prose(40, "t") + "<|endoftext|>" + prose(40, "u"),
+    ]
+    made += [t for _, t in texts() if t]
+    got = best_fit_packing.JsonCodec.of(path).encode(made)
+    assert [x.tolist() for x in got] == [plain.encode(t, add_special_tokens=False).ids for t in made]
+    assert 50256 in got[1].tolist() and 50256 not in got[3].tolist()
+
+
 def test_packing_edges(spark, docs, empty):
     got = corpus_pipeline.packing(spark, docs, "").collect()
     assert {r["doc_id"] for r in got} == {i for i, _ in texts()}
