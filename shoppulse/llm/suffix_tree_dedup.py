@@ -1,4 +1,7 @@
-"""Repeated passages removed with prefix-partitioned suffix trees over words.
+"""Repeated passages removed by hashed 13-word windows, partitioned by prefix.
+
+No suffix tree is built: one depth decides, so a "tree" here is a bucket of suffixes cut
+at ``width`` words, sorted and grouped by one fingerprint each.
 
 Every position of a text that has ``width`` words ahead is a suffix, cut at that depth.
 
@@ -9,9 +12,9 @@ Every position of a text that has ``width`` words ahead is a suffix, cut at that
 2. Each task sorts its own suffixes first: a window that also starts in a smaller
    document of the same block is settled there, so of a passage that very many
    documents share only one suffix a block leaves the task.
-3. Each tree is built alone: suffixes sorted by fingerprint, whose runs are the internal
-   nodes at depth ``width``.  A leaf below a node that also holds a smaller doc_id
-   starts a repeat; overlapping repeats join to maximal ones.
+3. Each tree is settled alone: suffixes sorted by fingerprint; a run holds those that a
+   suffix tree has below one node of depth ``width``.  A suffix in a run that also holds
+   a smaller doc_id starts a repeat; overlapping repeats join to maximal ones.
 4. The repeats go back to the documents, packed by document bucket, and the covered
    words are cut out.
 
