@@ -27,6 +27,10 @@ def nulls_first(v):
     return (v is not None, v)
 
 
+def nulls_last(v):
+    return (v is None, v)
+
+
 @SETTINGS
 @given(st.lists(row, max_size=25))
 def test_first_arrival_matches_brute_force(spark, rows):
@@ -34,7 +38,7 @@ def test_first_arrival_matches_brute_force(spark, rows):
     got = [tuple(r) for r in first_arrival(df).collect()]
     best = {}
     for r in rows:
-        k = (nulls_first(r[4]), nulls_first(r[1]), nulls_first(r[2]), nulls_first(r[3]), nulls_first(r[5]))
+        k = (nulls_last(r[4]), nulls_first(r[1]), nulls_first(r[2]), nulls_first(r[3]), nulls_first(r[5]))
         if r[0] not in best or k < best[r[0]][0]:
             best[r[0]] = (k, r)
     want = [v[1] for v in best.values()]
