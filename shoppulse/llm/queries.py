@@ -17,6 +17,7 @@ from . import (
     quality_rules,
     subword_toxicity,
     suffix_tree_dedup,
+    token_files,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -30,6 +31,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_best_fit_packing": best_fit_packing.query,
     "op9_quality_qda": quality_qda.query,
     "op10_multiprobe_lsh": multiprobe_lsh.query,
+    "op12_token_files": token_files.query,
 }
 
 SQL: dict[str, str] = {
