@@ -10,6 +10,7 @@ from . import (
     arc_to_warc,
     best_fit_packing,
     chunk_bpe,
+    filter_audit,
     grouped_prefix_join,
     kernel_langid,
     multiprobe_lsh,
@@ -32,6 +33,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_quality_qda": quality_qda.query,
     "op10_multiprobe_lsh": multiprobe_lsh.query,
     "op12_token_files": token_files.query,
+    "op13_filter_audit": filter_audit.query,
 }
 
 SQL: dict[str, str] = {
@@ -39,4 +41,5 @@ SQL: dict[str, str] = {
     "op5_arc_to_warc": arc_to_warc.SQL,
     "op6_grouped_prefix_join": grouped_prefix_join.SQL,
     "op7_quality_rules": quality_rules.SQL,
+    "op13_filter_audit": filter_audit.SQL,
 }

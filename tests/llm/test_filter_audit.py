@@ -1,0 +1,123 @@
+"""Filter interaction audit: brute force on edge rows, the sketch, and empty tables."""
+
+import random
+from collections import Counter
+from itertools import permutations
+
+import pyarrow as pa
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from shoppulse.llm import filter_audit
+from shoppulse.session import ship_package
+
+SCHEMA = "doc_id long, text string, lang string, part string, mask int, digest string, `a.b` long, n long"
+LABELS = "doc_id long, quality long, toxic long, n long"
+
+
+@pytest.fixture(scope="module", autouse=True)
+def shipped(spark):
+    ship_package(spark)
+
+
+def fails(docs):
+    """Letters that each row fails, by plain Python."""
+    smallest = {}
+    for doc, text, _ in docs:
+        if doc is not None:
+            smallest[text or ""] = min(doc, smallest.get(text or "", doc))
+    for doc, text, _ in docs:
+        t = text or ""
+        w = t.encode().split()
+        out = "A" if len(w) < 200 else ""
+        out += "B" if 100 * len(set(w)) < 50 * len(w) else ""
+        out += "C" if 100 * sum("A" <= c <= "Z" for c in t) > 3 * len(t) else ""
+        out += "D" if any(c in "#$%&*|" for c in t) else ""
+        out += "E" if doc is not None and doc > smallest[t] else ""
+        yield out
+
+
+def brute(docs, labels):
+    good = {d for d, q, _ in labels if q == 1 and d is not None}
+    toxic = {d for d, _, x in labels if x == 1 and d is not None}
+    rows = [(lang or "", f, d) for (d, _, lang), f in zip(docs, fails(docs))]
+    out = {}
+    for order in permutations("ABCDE"):
+        for step, own in enumerate(order, 1):
+            for part in {p for p, _, _ in rows}:
+                n = Counter()
+                for p, f, d in rows:
+                    if p != part:
+                        continue
+                    gone, hit = any(x in f for x in order[: step - 1]), own in f
+                    n["kept"] += not gone and not hit
+                    n["removed"] += not gone and hit
+                    n["redundant"] += gone and hit
+                    n["unique_fails"] += f == own
+                    n["good_lost"] += not gone and hit and d in good
+                    n["toxic_lost"] += not gone and hit and d in toxic
+                out[part, "".join(order), step] = n
+    shares = Counter()
+    for (part, order, step), n in out.items():
+        shares[part, order[step - 1]] += n["removed"]
+    for (part, order, step), n in out.items():
+        n["shapley"] = shares[part, order[step - 1]]
+    return out
+
+
+def corpus():
+    r = random.Random(8)
+    word = lambda k: "".join(r.choice("abcdefgh") for _ in range(k))
+    clean = " ".join(word(6) for _ in range(260))
+    shout = " ".join(word(5).title() for _ in range(240))
+    dull = "same words " * 150
+    texts = [None, "", clean, shout, dull, clean + " #", "Ünïcode Ä#", " \t\n ", "aB " * 70_000, dull + "|X" * 90]
+    docs = [(i, t, r.choice(["en", "de", None, ""])) for i, t in enumerate(texts * 3)]
+    docs += [(200 + i, clean, "hot") for i in range(40)]
+    docs += [(7, clean, "en"), (7, clean, "en"), (None, clean, "en"), (None, None, None), (-3, shout, None)]
+    labels = [(i, i % 2, int(i % 5 == 0)) for i in range(0, 30)] + [(4, None, 1), (None, 1, 1), (230, 1, 1), (230, 0, None)]
+    return docs, labels
+
+
+@pytest.mark.parametrize("slots", [None, 1 << 16])
+def test_audit_matches_brute_force(spark, slots):
+    docs, labels = corpus()
+    table = spark.createDataFrame([(*d, "p", 1, "d", 1, 9) for d in docs], SCHEMA).repartition(4)
+    marks = spark.createDataFrame([(*x, 1) for x in labels], LABELS)
+    got = filter_audit.audit(filter_audit.mask_counts(table, marks, slots)).collect()
+    want = brute(docs, labels)
+    assert len(got) == len(want) == 600 * len({lang or "" for _, _, lang in docs})
+    for r in got:
+        expected = want[r["part"], r["filter_order"], r["step"]]
+        assert {k: r[k] for k in expected} == dict(expected)
+
+
+def test_audit_of_empty_tables(spark):
+    out = filter_audit.audit(
+        filter_audit.mask_counts(spark.createDataFrame([], SCHEMA), spark.createDataFrame([], LABELS))
+    )
+    assert out.collect() == []
+
+
+@settings(max_examples=40, deadline=None)
+@given(st.lists(st.lists(st.integers(0, 400), max_size=60), min_size=1, max_size=5))
+def test_sketch_never_clears_a_repeat(tasks):
+    slots = 1 << 16
+    rows = []
+    for task in tasks:
+        if task:
+            column = pa.array([filter_audit.digest(str(x).encode()) for x in task], pa.binary())
+            batch = pa.RecordBatch.from_arrays([column], names=["digest"])
+            rows += [b for b in filter_audit._count_slots(slots)(iter([batch]))]
+    if not rows:
+        return
+    merged = filter_audit._merge(pa.Table.from_batches(rows))
+    import numpy as np
+
+    sketch = filter_audit.Sketch(slots, np.frombuffer(merged.column("bits")[0].as_py(), np.uint8))
+    times = Counter(x for task in tasks for x in task)
+    values = sorted(times)
+    flagged = sketch.repeated(pa.array([filter_audit.digest(str(x).encode()) for x in values], pa.binary()))
+    assert all(hit for x, hit in zip(values, flagged) if times[x] > 1)
+    assert sum(hit for x, hit in zip(values, flagged) if times[x] == 1) <= 1 + len(values) // 20
