@@ -10,6 +10,7 @@ from . import (
     arc_to_warc,
     best_fit_packing,
     chunk_bpe,
+    conversation_trie,
     filter_audit,
     grouped_prefix_join,
     kernel_langid,
@@ -32,6 +33,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_best_fit_packing": best_fit_packing.query,
     "op9_quality_qda": quality_qda.query,
     "op10_multiprobe_lsh": multiprobe_lsh.query,
+    "op11_conversation_trie": conversation_trie.query,
     "op12_token_files": token_files.query,
     "op13_filter_audit": filter_audit.query,
 }
@@ -41,5 +43,6 @@ SQL: dict[str, str] = {
     "op5_arc_to_warc": arc_to_warc.SQL,
     "op6_grouped_prefix_join": grouped_prefix_join.SQL,
     "op7_quality_rules": quality_rules.SQL,
+    "op11_conversation_trie": conversation_trie.SQL,
     "op13_filter_audit": filter_audit.SQL,
 }
