@@ -12,7 +12,7 @@ A file holds whole documents in ascending doc_id order::
                    of one run of little-endian 64-bit words
 
 A range of ids is read by its blocks alone; 64 ids fill exactly ``width`` words, so packing
-and unpacking are ``width`` strided shifts in numpy.  The text sink that writes a file
+and unpacking are a few strided shifts in numpy.  The text sink that writes a file
 ends it with one line feed, which is not part of the format.
 
 1. One pass over doc_id and text sizes gives quantiles of doc_id: the edges of ``buckets``,
@@ -33,6 +33,7 @@ empty table writes no file and gives no row.  Other columns are ignored.
 from __future__ import annotations
 
 import hashlib
+import math
 import struct
 import zlib
 from collections.abc import Iterator
@@ -66,28 +67,37 @@ def bits_needed(vocabulary: int) -> int:
     return max(1, (vocabulary - 1).bit_length())
 
 
+def _period(width: int) -> tuple[int, int]:
+    """Ids and words after which the bit positions repeat."""
+    both = math.gcd(width, 64)
+    return 64 // both, width // both
+
+
 def pack_ids(ids: np.ndarray, width: int) -> np.ndarray:
     """64-bit words holding ``ids`` (a multiple of 64 of them), ``width`` bits each."""
-    lanes = ids.astype(np.uint64).reshape(-1, 64)
-    words = np.zeros((len(lanes), width), dtype=np.uint64)
-    for k in range(64):
+    per, wide = _period(width)
+    lanes = ids.reshape(-1, per)
+    words = np.zeros((len(lanes), wide), dtype=np.uint64)
+    for k in range(per):
         word, shift = divmod(k * width, 64)
-        words[:, word] |= lanes[:, k] << np.uint64(shift)
+        lane = lanes[:, k].astype(np.uint64)
+        words[:, word] |= lane << np.uint64(shift)
         if shift + width > 64:
-            words[:, word + 1] |= lanes[:, k] >> np.uint64(64 - shift)
+            words[:, word + 1] |= lane >> np.uint64(64 - shift)
     return words.ravel()
 
 
 def unpack_ids(words: np.ndarray, width: int) -> np.ndarray:
     """The ids behind whole groups of ``width`` words (64 ids a group)."""
-    words = words.reshape(-1, width)
-    lanes = np.empty((len(words), 64), dtype=np.uint32)
+    per, wide = _period(width)
+    words = words.reshape(-1, wide)
+    lanes = np.empty((len(words), per), dtype=np.uint32)
     mask = np.uint64((1 << width) - 1)
-    for k in range(64):
+    for k in range(per):
         word, shift = divmod(k * width, 64)
         value = words[:, word] >> np.uint64(shift)
         if shift + width > 64:
-            value = value | (words[:, word + 1] << np.uint64(64 - shift))
+            value |= words[:, word + 1] << np.uint64(64 - shift)
         lanes[:, k] = value & mask
     return lanes.ravel()
 
