@@ -167,9 +167,9 @@ def q_late_orders(spark, sf):
     return late_counts(arrivals, "batch")
 
 
-# One streaming run per session and state of the events table: the ledger views below
+# One streaming run per session and state of the events and part tables: the ledger views below
 # read the ledgers it wrote (written tables in the shared checkpoint folder).
-_REPLAYS: dict[tuple[str, str, str], object] = {}
+_REPLAYS: dict[tuple[str, ...], object] = {}
 
 
 def streamed_ledger(spark: SparkSession, sf: str):
@@ -181,7 +181,8 @@ def streamed_ledger(spark: SparkSession, sf: str):
     Re-sent copies arrive in the same batch as the original, so the bounded
     dedup gives the same answer as the exact one.
     """
-    key = (session_key(spark), sf, version(spark, f"{sf.rstrip('/')}/events.parquet"))
+    tables = (f"{sf.rstrip('/')}/{name}.parquet" for name in ("events", "part"))
+    key = (session_key(spark), sf, *(version(spark, path) for path in tables))
     if key not in _REPLAYS:
         ensure_checkpoint_dir(spark)
         raw = _orders_with_event_id(spark, sf).withColumn(

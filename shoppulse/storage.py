@@ -1,7 +1,10 @@
-"""Folders and small pointer files on whatever file system Spark writes to."""
+"""Folders and small text files on whatever file system Spark writes to."""
 
 from __future__ import annotations
 
+import uuid
+
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -35,27 +38,45 @@ def move_files(spark: SparkSession, source: str, target: str, prefix: str) -> No
             fs.rename(path(f"{source}/{name}"), path(f"{target}/{prefix}{name}"))
 
 
-def write_pointer(spark: SparkSession, path: str, text: str) -> None:
-    """Replace a small text file."""
-    p, fs = _fs(spark, path)
-    out = fs.create(p, True)
+def publish(spark: SparkSession, path: str, text: str) -> None:
+    """Create a small text file as a whole: written beside its place, then renamed into it.
+
+    A reader sees all of it or nothing.  ``path`` must be new: files are never replaced.
+    """
+    folder, name = path.rsplit("/", 1)
+    aside, fs = _fs(spark, f"{folder}/_{name}-{uuid.uuid4().hex[:12]}")
+    fs.mkdirs(aside.getParent())
+    out = fs.create(aside, False)
     try:
         out.write(bytearray(text, "utf-8"))
     finally:
         out.close()
+    if not fs.rename(aside, spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)):
+        fs.delete(aside, False)
+        raise FileExistsError(path)
 
 
-def read_pointer(spark: SparkSession, path: str) -> str | None:
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """A small file's text; None if it is not there, '' if its checksum tells that it is damaged."""
     p, fs = _fs(spark, path)
     if not fs.exists(p):
         return None
     stream = fs.open(p)
     try:
         return bytes(stream.readAllBytes()).decode("utf-8")
+    except Py4JJavaError as error:
+        if "ChecksumException" not in error.java_exception.getClass().getName():
+            raise
+        return ""
     finally:
         stream.close()
 
 
+def published(spark: SparkSession, path: str) -> list[str]:
+    """Names of the finished files under a folder, in order."""
+    return [name for name in children(spark, path) if not name.startswith(("_", "."))]
+
+
 def version(spark: SparkSession, path: str) -> str:
     """Changes when the files under ``path`` do (size, count and time of the newest listing)."""
     p, fs = _fs(spark, path)

@@ -1,7 +1,7 @@
 """Batch-keyed ledger sinks: the exactly-once replacement of the key-value store.
 
-Every ``foreachBatch`` callback writes its result to ``<kind>/batch_id=N`` with
-overwrite.  A micro-batch replayed after a failure carries the same id, so it
+Every ``foreachBatch`` callback writes its result to ``<kind>/<generation>/deltas/batch_id=N``
+with overwrite.  A micro-batch replayed after a failure carries the same id, so it
 replaces its own earlier output instead of adding to it (the counters of the
 reference double-count in that case).  Writing the explicit partition path
 also makes an empty result replace an earlier non-empty one.
@@ -11,23 +11,36 @@ Reads fold the ledger back into the served values:
 - totals: sum of the per-batch deltas.  A batch whose amounts are all null adds
   nothing, not even its order count, as in the reference; so the order total of
   such orders depends on how the stream was cut into batches;
-- users: distinct user ids (all-time) or (dt, user_id) pairs (per day).
-
-One ledger belongs to one checkpoint: batch ids restart at 0 when a
-checkpoint is deleted, so a fresh checkpoint needs a fresh ledger.
+- users: exact sets of user ids per day (``user_sets``), united over days for all time.
+
+Folding is kept as *versions*.  A version is a small manifest that names one folder for
+each day and the last batch they hold.  Compaction reads the new deltas and the days that
+these touch, writes those days anew, and publishes a manifest that keeps all other days'
+folders: behind the watermark a day gets no more rows, so closed days are never read or
+written again.  Manifests are written aside and renamed; one that is cut short or empty
+counts as not there, and the version before it is served with the deltas it needs.
+
+Batch ids restart at 0 when a checkpoint is deleted.  So a ledger is kept by *generation*:
+its id lies in the checkpoint folder and in the ledger.  A fresh checkpoint opens a new
+generation, which starts empty; a checkpoint of another generation than the ledger's
+is refused, and so is a batch that has been folded already.
 """
 
 from __future__ import annotations
 
+import json
 import uuid
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
+    ArrayType,
+    BinaryType,
     DateType,
     DecimalType,
+    IntegerType,
     LongType,
     StringType,
     StructField,
@@ -37,15 +50,21 @@ from pyspark.sql.types import (
 )
 
 from ..operators.totals import business_date
+from ..operators.user_sets import count_users, user_sets
 from ..operators.windows import window_aggregate
 from ..schemas import WINDOW_LENGTH, WINDOW_SLIDE
-from ..storage import children, read_pointer, remove, write_pointer
+from ..storage import children, publish, published, read_text, remove
 
 WINDOWS = "windows"
 WINDOW_SUMS = "window_sums"
 TOTALS = "totals"
 USERS = "users"
 
+UNBOUND = "unbound"  # generation of a ledger that is used without a checkpoint
+GENERATION_MARK = "ledger_generation"  # file in a query's checkpoint folder
+NO_DAY = "none"  # rows without event time
+ALL_DAYS = "all"  # the one folder of the running totals
+
 SCHEMAS = {
     WINDOWS: StructType(
         [
@@ -84,17 +103,49 @@ SCHEMAS = {
 }
 
 
-def _upto(name: str) -> int:
-    """Last batch id in a snapshot folder's name (``upto=N-...``)."""
-    return int(name.split("=")[1].split("-")[0])
+# What a folded day holds, where it differs from a delta.
+FOLDED = {
+    USERS: StructType(
+        [
+            StructField("dt", DateType()),
+            StructField("bucket", LongType()),
+            StructField("bits", BinaryType()),
+            StructField("places", ArrayType(IntegerType())),
+            StructField("n", LongType()),
+        ]
+    )
+}
+
+
+class LedgerMismatch(RuntimeError):
+    """Checkpoint and ledger do not belong together."""
+
+
+@dataclass(frozen=True)
+class Version:
+    """One state of a kind's folded days: the last batch they hold and each day's folder."""
+
+    upto: int
+    days: dict[str, str]
+
+    def text(self) -> str:
+        return json.dumps({"upto": self.upto, "days": self.days}, sort_keys=True)
+
+    @classmethod
+    def of(cls, text: str | None) -> Version | None:
+        try:
+            held = json.loads(text or "")
+            return cls(int(held["upto"]), dict(held["days"]))
+        except (ValueError, KeyError, TypeError):
+            return None  # cut short or empty
 
 
 @dataclass
 class Ledger:
     root: str
     offset_hours: int = 0
-    # Fold the ledger into a snapshot every N batches (0 = never); reads then
-    # touch one snapshot plus at most N delta folders.
+    # Fold new deltas into a version every N batches (0 = never); reads then
+    # touch one folder a day plus at most 2 N delta folders.
     compact_every: int = 0
     # WINDOWS: update-mode rows of a stateful window query (newest batch wins).
     # WINDOW_SUMS: per-batch partial sums of a stateless window aggregate
@@ -102,16 +153,67 @@ class Ledger:
     windows_kind: str = WINDOWS
     window_length: str = WINDOW_LENGTH
     window_slide: str = WINDOW_SLIDE
+    generations: dict[str, str] = field(default_factory=dict)
+
+    # -- generations -----------------------------------------------------------
+    def folder(self, kind: str) -> str:
+        return f"{self.root.rstrip('/')}/{kind}/{self.generations.get(kind, UNBOUND)}"
 
     def path(self, kind: str, batch_id: int | None = None) -> str:
-        base = f"{self.root.rstrip('/')}/{kind}"
+        base = f"{self.folder(kind)}/deltas"
         return base if batch_id is None else f"{base}/batch_id={batch_id}"
 
+    def _opened(self, spark: SparkSession, kind: str) -> list[str]:
+        names = published(spark, f"{self.root.rstrip('/')}/{kind}/generations")
+        return [name.split("-", 1)[1] for name in names]
+
+    def open(self, spark: SparkSession) -> Ledger:
+        """Point a reader at the newest generation of every kind."""
+        for kind in SCHEMAS:
+            opened = self._opened(spark, kind)
+            if opened:
+                self.generations[kind] = opened[-1]
+        return self
+
+    def bind(self, spark: SparkSession, kinds: list[str], checkpoint: str) -> None:
+        """Tie ``kinds`` to the query whose checkpoint lies at ``checkpoint``.
+
+        A checkpoint without mark is fresh and opens a new generation, which starts
+        empty; older generations stay on disk until ``forget_older``.
+        """
+        own = read_text(spark, f"{checkpoint}/{GENERATION_MARK}")
+        if own is None:
+            if published(spark, f"{checkpoint}/commits"):
+                raise LedgerMismatch(f"checkpoint {checkpoint} has run, but not into this ledger")
+            own = uuid.uuid4().hex[:12]
+            for kind in kinds:
+                number = len(self._opened(spark, kind))
+                publish(spark, f"{self.root.rstrip('/')}/{kind}/generations/{number:06d}-{own}", own)
+            publish(spark, f"{checkpoint}/{GENERATION_MARK}", own)
+        for kind in kinds:
+            opened = self._opened(spark, kind)
+            if opened[-1:] != [own]:
+                raise LedgerMismatch(
+                    f"checkpoint {checkpoint} wrote generation {own} of {kind}; the ledger is at {opened[-1:]}"
+                )
+            self.generations[kind] = own
+
+    def forget_older(self, spark: SparkSession) -> None:
+        """Remove the rows of all generations but the newest."""
+        for kind in SCHEMAS:
+            for own in self._opened(spark, kind)[:-1]:
+                remove(spark, f"{self.root.rstrip('/')}/{kind}/{own}")
+
     # -- sinks (foreachBatch callbacks) --------------------------------------
     def _write(self, df: DataFrame, kind: str, batch_id: int) -> None:
+        spark = df.sparkSession
+        if self.compact_every:
+            version = self.version(spark, kind)
+            if version is not None and batch_id <= version.upto:
+                raise LedgerMismatch(f"batch {batch_id} of {kind} has been folded and cannot run again")
         df.write.mode("overwrite").parquet(self.path(kind, batch_id))
         if self.compact_every and batch_id > 0 and batch_id % self.compact_every == 0:
-            self.compact(df.sparkSession, kind, batch_id)
+            self.compact(spark, kind, batch_id)
 
     def write_windows(self, batch_df: DataFrame, batch_id: int) -> None:
         """Update-mode window rows of this batch; windows with null GMV are not published."""
@@ -179,73 +281,111 @@ class Ledger:
                 raise
             return spark.createDataFrame([], schema)
 
-    # A snapshot of batches < N is written to a fresh folder when batch N has been
-    # written, and a pointer file is switched to it afterwards.  Only batches before N
-    # are folded: they are committed and never run again, so a replay of batch N just
-    # replaces its own delta, and a snapshot that was cut short is never pointed to.
-    def snapshot_root(self, kind: str) -> str:
-        return f"{self.root.rstrip('/')}/{kind}_snapshot"
-
-    def current_snapshot(self, spark: SparkSession, kind: str) -> str | None:
-        """Folder name of the completed snapshot that readers use."""
-        return read_pointer(spark, f"{self.root.rstrip('/')}/{kind}_current")
+    # A version that holds the batches < N is published when batch N has been written.
+    # Batch N itself is not folded: it may run again, and then replaces its own delta.
+    def version(self, spark: SparkSession, kind: str) -> Version | None:
+        """The newest version whose manifest is whole."""
+        folder = f"{self.folder(kind)}/versions"
+        for name in reversed(published(spark, folder)):
+            found = Version.of(read_text(spark, f"{folder}/{name}"))
+            if found is not None:
+                return found
+        return None
 
     def latest_snapshot(self, spark: SparkSession, kind: str) -> int | None:
-        """Greatest batch id that the current snapshot holds."""
-        name = self.current_snapshot(spark, kind)
-        return None if name is None else _upto(name)
+        """Greatest batch id that the current version holds."""
+        version = self.version(spark, kind)
+        return None if version is None else version.upto
 
     def read(self, spark: SparkSession, kind: str) -> DataFrame:
         """All per-batch deltas of ``kind`` that are still there (batch_id is the partition column)."""
         return self._load(spark, self.path(kind), SCHEMAS[kind])
 
-    def folded_rows(self, spark: SparkSession, kind: str, upto: int | None = None) -> DataFrame:
-        """Current snapshot + the deltas after it."""
-        name = self.current_snapshot(spark, kind)
+    def _day(self, kind: str):
+        if kind == TOTALS:
+            return F.lit(ALL_DAYS)
+        start = F.col("dt") if kind == USERS else F.to_date("window_start")
+        return F.coalesce(F.date_format(start, "yyyy-MM-dd"), F.lit(NO_DAY))
+
+    def _folders(self, spark: SparkSession, kind: str, version: Version | None, days=None) -> DataFrame:
+        """The folded rows of a version, of some days or of all."""
+        schema = FOLDED.get(kind, SCHEMAS[kind])
+        named = {} if version is None else version.days
+        paths = [f"{self.folder(kind)}/days/{at}" for day, at in sorted(named.items()) if days is None or day in days]
+        return spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
+
+    def _parts(self, spark: SparkSession, kind: str, days=None) -> tuple[DataFrame, DataFrame]:
+        """(folded rows, deltas after them), of some days or of all."""
+        version = self.version(spark, kind)
         deltas = self.read(spark, kind)
-        if upto is not None:
-            deltas = deltas.filter(F.col("batch_id") <= upto)
-        if name is None:
-            return deltas
-        snap = spark.read.schema(SCHEMAS[kind]).parquet(f"{self.snapshot_root(kind)}/{name}")
-        return snap.unionByName(deltas.filter(F.col("batch_id") > _upto(name)))
+        if version is not None:
+            deltas = deltas.filter(F.col("batch_id") > version.upto)
+        if days is not None:
+            deltas = deltas.filter(self._day(kind).isin(list(days)))
+        return self._folders(spark, kind, version, days), deltas
+
+    def _fold(self, kind: str, folded: DataFrame, deltas: DataFrame, upto: int) -> DataFrame:
+        if kind == USERS:
+            return user_sets(deltas.select("dt", "user_id"), folded)
+        rows = folded.unionByName(deltas)
+        if kind == WINDOWS:
+            return self._newest_windows(rows)
+        if kind == WINDOW_SUMS:
+            return self._summed_windows(rows)
+        return rows.agg(
+            F.coalesce(F.sum("gmv"), F.lit(0)).cast(DecimalType(28, 2)).alias("gmv"),
+            F.coalesce(F.sum(F.when(F.col("gmv").isNotNull(), F.col("orders"))), F.lit(0))
+            .cast("bigint")
+            .alias("orders"),
+        ).withColumn("batch_id", F.lit(upto).cast("bigint"))
 
     def compact(self, spark: SparkSession, kind: str, batch_id: int) -> None:
-        """Fold every batch before ``batch_id``; then drop what the snapshot before covered.
+        """Fold every batch before ``batch_id`` into the days it touches; then clear away.
 
-        Readers that still use the older snapshot find its deltas until the next
-        compaction, so at most two rounds of delta folders are ever listed.
+        What only the version before the last one named is removed, so readers of the
+        former version find its folders and deltas until the next compaction.
         """
-        upto = batch_id - 1
-        older = self.current_snapshot(spark, kind)
-        if older is not None and _upto(older) >= upto:
-            return  # this batch is replayed: its snapshot is complete
-        rows = self.folded_rows(spark, kind, upto)
-        if kind == WINDOWS:
-            folded = self._newest_windows(rows)
-        elif kind == WINDOW_SUMS:
-            folded = self._summed_windows(rows)
-        elif kind == TOTALS:
-            folded = rows.agg(
-                F.coalesce(F.sum("gmv"), F.lit(0)).cast(DecimalType(28, 2)).alias("gmv"),
-                F.coalesce(F.sum(F.when(F.col("gmv").isNotNull(), F.col("orders"))), F.lit(0))
-                .cast("bigint")
-                .alias("orders"),
-            ).withColumn("batch_id", F.lit(upto).cast("bigint"))
-        else:
-            folded = rows.select("dt", "user_id").distinct()
-            folded = folded.withColumn("batch_id", F.lit(upto).cast("bigint"))
-        name = f"upto={upto}-{uuid.uuid4().hex[:12]}"
-        root = self.snapshot_root(kind)
-        folded.write.parquet(f"{root}/{name}")
-        write_pointer(spark, f"{self.root.rstrip('/')}/{kind}_current", name)
-        for old in children(spark, root):
-            if old not in (name, older):
-                remove(spark, f"{root}/{old}")
+        upto, older = batch_id - 1, self.version(spark, kind)
+        if older is not None and older.upto >= upto:
+            return  # this batch is replayed: its version is complete
+        deltas = self.read(spark, kind).filter(F.col("batch_id") <= upto)
         if older is not None:
-            for folder in children(spark, self.path(kind)):
-                if folder.startswith("batch_id=") and int(folder.split("=")[1]) <= _upto(older):
-                    remove(spark, f"{self.path(kind)}/{folder}")
+            deltas = deltas.filter(F.col("batch_id") > older.upto)
+        touched = [r["day"] for r in deltas.select(self._day(kind).alias("day")).distinct().collect()]
+        before = {} if older is None else older.days
+        days = dict(before)
+        if touched:
+            folded = self._fold(kind, self._folders(spark, kind, older, touched), deltas, upto)
+            fresh = uuid.uuid4().hex[:12]
+            at = f"{self.folder(kind)}/days/{fresh}"
+            folded.withColumn("day", self._day(kind)).write.partitionBy("day").parquet(at)
+            days.update({n.split("=", 1)[1]: f"{fresh}/{n}" for n in children(spark, at) if n.startswith("day=")})
+        versions = f"{self.folder(kind)}/versions"
+        name = f"{upto:020d}-{uuid.uuid4().hex[:12]}"
+        publish(spark, f"{versions}/{name}", Version(upto, days).text())
+        self._clear(spark, kind, name, older, set(days.values()) | set(before.values()))
+
+    def _clear(self, spark: SparkSession, kind: str, newest: str, older: Version | None, used: set[str]) -> None:
+        """Remove what neither the newest version nor the one before it needs."""
+        versions = f"{self.folder(kind)}/versions"
+        kept, found = [newest], [n for n in published(spark, versions) if n != newest]
+        for name in reversed(found):
+            if len(kept) < 2 and Version.of(read_text(spark, f"{versions}/{name}")) == older:
+                kept.append(name)
+            else:
+                remove(spark, f"{versions}/{name}")
+        folder = f"{self.folder(kind)}/days"
+        for fresh in children(spark, folder):
+            inside = {f"{fresh}/{n}" for n in children(spark, f"{folder}/{fresh}") if n.startswith("day=")}
+            if not inside & used:
+                remove(spark, f"{folder}/{fresh}")
+            else:
+                for path in inside - used:
+                    remove(spark, f"{folder}/{path}")
+        if older is not None:
+            for batch in children(spark, self.path(kind)):
+                if batch.startswith("batch_id=") and int(batch.split("=")[1]) <= older.upto:
+                    remove(spark, f"{self.path(kind)}/{batch}")
 
     @staticmethod
     def _newest_windows(rows: DataFrame) -> DataFrame:
@@ -271,28 +411,36 @@ class Ledger:
             F.max("batch_id").alias("batch_id"),
         ).select("window_start", "window_end", "category", "gmv", "order_cnt", "batch_id")
 
-    def window_rows(self, spark: SparkSession) -> DataFrame:
-        """State of the window hash: one row per (window_start, category), GMV published."""
+    def window_rows(self, spark: SparkSession, days: list[str] | None = None) -> DataFrame:
+        """State of the window hash: one row per (window_start, category), GMV published.
+
+        ``days`` (``yyyy-MM-dd`` of the window start) reads the folders of those days only.
+        """
+        folded, deltas = self._parts(spark, self.windows_kind, days)
+        rows = folded.unionByName(deltas)
         if self.windows_kind == WINDOW_SUMS:
-            summed = self._summed_windows(self.folded_rows(spark, WINDOW_SUMS))
+            summed = self._summed_windows(rows)
             return summed.withColumn("gmv", F.col("gmv").cast("double")).filter(
                 F.col("gmv").isNotNull()
             )
-        return self._newest_windows(self.folded_rows(spark, WINDOWS))
+        return self._newest_windows(rows)
 
     def totals(self, spark: SparkSession) -> DataFrame:
-        deltas = self.folded_rows(spark, TOTALS).filter(F.col("gmv").isNotNull())
-        return deltas.agg(
+        folded, deltas = self._parts(spark, TOTALS)
+        rows = folded.unionByName(deltas).filter(F.col("gmv").isNotNull())
+        return rows.agg(
             F.coalesce(F.sum("gmv"), F.lit(0)).cast("double").alias("gmv_total"),
             F.coalesce(F.sum("orders"), F.lit(0)).cast("bigint").alias("order_total"),
             F.max("batch_id").alias("batch_id"),
         )
 
     def active_users(self, spark: SparkSession, by_day: bool = False) -> DataFrame:
-        users = self.folded_rows(spark, USERS)
+        folded, deltas = self._parts(spark, USERS)
+        rows = deltas.select("dt", "user_id")
         if by_day:
-            return users.groupBy("dt").agg(F.count_distinct("user_id").alias("dau"))
-        return users.agg(F.count_distinct("user_id").alias("dau"))
+            return count_users(user_sets(rows, folded), by_day=True)
+        never = F.lit(None).cast("date")
+        return count_users(user_sets(rows.withColumn("dt", never), folded.withColumn("dt", never)))
 
     def overview(self, spark: SparkSession) -> DataFrame:
         """Overview from the ledgers (each query's latest batch id is reported)."""

@@ -25,7 +25,7 @@ from ..operators.joins import enrich_orders
 from ..operators.windows import window_aggregate
 from ..schemas import MONEY, TRIGGER_INTERVAL, WATERMARK_DELAY, WINDOW_LENGTH, WINDOW_SLIDE
 from ..session import checkpoint_root
-from .ledger import WINDOW_SUMS, WINDOWS, Ledger
+from .ledger import TOTALS, USERS, WINDOW_SUMS, WINDOWS, Ledger
 
 
 @dataclass
@@ -131,11 +131,13 @@ def start_streams(
     )
     plans = build_queries(orders, dim, cfg)
 
-    def start(df: DataFrame, name: str, sink, mode: str) -> StreamingQuery:
+    def start(df: DataFrame, name: str, sink, mode: str, kinds: list[str]) -> StreamingQuery:
+        checkpoint = f"{root}/checkpoint/{name}"
+        ledger.bind(spark, kinds, checkpoint)
         return (
             df.writeStream.outputMode(mode)
             .foreachBatch(sink)
-            .option("checkpointLocation", f"{root}/checkpoint/{name}")
+            .option("checkpointLocation", checkpoint)
             .trigger(**cfg.trigger)
             .queryName(f"{cfg.name}_{name}")
             .start()
@@ -151,12 +153,12 @@ def start_streams(
                 # joined per micro-batch: the dimension is planned anew each time
                 ledger.write_all(enrich_orders(batch_df, dim), batch_id)
 
-            queries = {"all": start(plans["dedup"], "all", write_enriched, "append")}
+            queries = {"all": start(plans["dedup"], "all", write_enriched, "append", [WINDOW_SUMS, TOTALS, USERS])}
         else:
             queries = {
-                "win": start(plans["win"], "win", ledger.write_windows, "update"),
-                "total": start(plans["dedup"], "total", ledger.write_totals, "append"),
-                "dau": start(plans["dedup"], "dau", ledger.write_users, "append"),
+                "win": start(plans["win"], "win", ledger.write_windows, "update", [WINDOWS]),
+                "total": start(plans["dedup"], "total", ledger.write_totals, "append", [TOTALS]),
+                "dau": start(plans["dedup"], "dau", ledger.write_users, "append", [USERS]),
             }
     finally:
         spark.conf.set(parts_key, before)

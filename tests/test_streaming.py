@@ -286,55 +286,6 @@ def test_publish_order_stream_as_json_lines(spark, scratch):
     assert json.loads(line) == order("J1", "2024-01-01 10:00:00")
 
 
-def _ledger_batch(spark, n, amount=10, users=(1,)):
-    schema = "order_id string, user_id long, amount decimal(18,2), event_time timestamp"
-    rows = [(f"O{n}-{u}", u, Decimal(amount), None) for u in users]
-    return spark.createDataFrame(rows, schema).withColumn(
-        "event_time", F.lit("2024-01-01 10:00:00").cast("timestamp")
-    )
-
-
-def test_compaction_ignores_an_incomplete_snapshot(spark, scratch):
-    """A writer that died while folding leaves files behind; the batch is replayed."""
-    from shoppulse.streaming.ledger import USERS, Ledger
-
-    ledger = Ledger(os.path.join(scratch, "ledger"), compact_every=2)
-    ledger.write_users(_ledger_batch(spark, 0, users=(1, 2)), 0)
-    ledger.write_users(_ledger_batch(spark, 1, users=(3,)), 1)
-    torn = f"{ledger.snapshot_root(USERS)}/upto=1-torn"
-    spark.createDataFrame([], "dt date, user_id long, batch_id long").write.parquet(torn)
-    for _ in range(2):  # batch 2 and its replay
-        ledger.write_users(_ledger_batch(spark, 2, users=(1,)), 2)
-        assert ledger.active_users(spark).first()["dau"] == 3
-    assert not os.path.exists(torn)
-
-
-def test_replayed_compaction_batch_replaces_its_result(spark, scratch):
-    from shoppulse.streaming.ledger import Ledger
-
-    ledger = Ledger(os.path.join(scratch, "ledger"), compact_every=2)
-    for b in range(3):
-        ledger.write_totals(_ledger_batch(spark, b), b)
-    assert ledger.totals(spark).first()["gmv_total"] == 30.0
-    ledger.write_totals(_ledger_batch(spark, 2, amount=99), 2)  # replay with another result
-    got = ledger.totals(spark).first()
-    assert (got["gmv_total"], got["order_total"]) == (119.0, 3)
-
-
-def test_reads_touch_a_constant_number_of_folders(spark, scratch):
-    from shoppulse.streaming.ledger import Ledger
-
-    ledger = Ledger(os.path.join(scratch, "ledger"), compact_every=3)
-    seen = []
-    for b in range(14):
-        ledger.write_totals(_ledger_batch(spark, b), b)
-        deltas = [d for d in os.listdir(ledger.path(TOTALS)) if d.startswith("batch_id=")]
-        snaps = os.listdir(ledger.snapshot_root(TOTALS)) if b >= 3 else []
-        seen.append((len(deltas), len(snaps)))
-        assert ledger.totals(spark).first()["gmv_total"] == 10.0 * (b + 1)
-    assert max(d for d, _ in seen) <= 7 and max(s for _, s in seen) <= 2
-
-
 def test_single_layout_one_query_one_state(spark, scratch):
     h = Harness(spark, scratch, dedup_mode=WITHIN_WATERMARK).start()
     try:
