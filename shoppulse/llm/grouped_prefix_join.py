@@ -11,11 +11,12 @@ n - ceil(percent * n / 100) + 1 shingles in any common order; rare shingles come
    each member against its group's smallest: one comparison a class.  What links gets
    a common label.
 4. Prefix shingles whose groups all have one label need nothing more.  The members of
-   the other groups are screened (most of a document's shingles must be held by other
-   labels for it to have a partner there), and what is left goes through the prefix filter once more, now in the order of exact
-   document frequencies among them, and pairs with different labels that pass the size
-   and position filters are verified.  Pairs inside one label are already connected, so
-   no link between labels is lost.
+   the other groups go through the prefix filter once more, in a finer order: a table of
+   bounded size (``HitTable``) tells which shingles no other document holds; these come
+   first and match nobody, so a document whose whole prefix is made of them is done, and
+   of the others only the rest of the prefix leaves the map task.  Pairs with different
+   labels that pass the size and position filters are verified.  Pairs inside one label
+   are already connected, so no link between labels is lost.
 5. Verification first bounds the overlap from compact sketches of both sets, then reads
    the texts of what is left: each hub document's set is held once while its partners
    stream past, with the partners of a busy hub dealt over several tasks.
@@ -24,8 +25,8 @@ The result is one row per document with its class; copies are never expanded int
 pairs.  Null, empty and wordless texts have an empty set and are alone; a text with
 fewer than ``width`` words has one shingle, its whole sequence.  Rows without doc_id
 cannot be named in a class and take no part; they come back with 0 shingles and a null
-class, as in the SQL; repeated rows (same doc_id, same text)
-get a row each.
+class, as in the SQL; repeated rows (same doc_id)
+get a row each, and of several texts of one doc_id the smallest stands for it.
 """
 
 from __future__ import annotations
@@ -34,7 +35,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import (
@@ -43,6 +44,7 @@ from .common import (
     mix,
     partitions,
     read,
+    shuffle_cleanup,
     span_hashes,
     stored,
     text_buffer,
@@ -96,22 +98,29 @@ def _frequent_map(width: int):
                 np.add.at(counts, (found >> _SKETCH_SHIFT).astype(np.int64), 1)
         often = np.flatnonzero(counts >= 8 + 4 * counts.mean())
         yield pa.RecordBatch.from_arrays(
-            [pa.array(often, pa.int32()), pa.array(counts[often], pa.int64())], names=["at", "n"]
+            [
+                pa.array(np.append(often, -1), pa.int32()),
+                pa.array(np.append(counts[often], counts.sum()), pa.int64()),
+            ],
+            names=["at", "n"],
         )
 
     return run
 
 
-def frequency_sketch(docs: DataFrame, width: int) -> np.ndarray:
-    """Rough counts of frequent shingles by hash bucket (a table of fixed size).
+def frequency_sketch(docs: DataFrame, width: int) -> tuple[np.ndarray, int]:
+    """Rough counts of frequent shingles by hash bucket (a table of fixed size), and of all.
 
-    It only orders the shingles, and any order gives the same result.
+    They only order the shingles, and any order gives the same result.
     """
     sums = docs.select("text").mapInArrow(_frequent_map(width), "at int, n long")
-    out = np.zeros(1 << SKETCH_BITS, dtype=np.float32)
+    out, shingles = np.zeros(1 << SKETCH_BITS, dtype=np.float32), 0
     for r in sums.groupBy("at").agg(F.sum("n").alias("n")).collect():
-        out[r["at"]] = r["n"]
-    return out
+        if r["at"] < 0:
+            shingles = r["n"]
+        else:
+            out[r["at"]] = r["n"]
+    return out, shingles
 
 
 _SETS_ARROW = pa.schema(
@@ -122,11 +131,14 @@ _SETS_ARROW = pa.schema(
         ("set_b", pa.int64()),
         ("prefix_sum", pa.int64()),
         ("prefix", pa.list_(pa.int64())),
+        ("alone", pa.int64()),
+        ("finer", pa.list_(pa.int64())),
         ("sketch", pa.binary()),
     ]
 )
 SETS = (
-    "doc_id long, n long, set_a long, set_b long, prefix_sum long, prefix array<long>, sketch binary"
+    "doc_id long, n long, set_a long, set_b long, prefix_sum long, prefix array<long>, "
+    "alone long, finer array<long>, sketch binary"
 )
 
 
@@ -137,20 +149,32 @@ def _signature(values: np.ndarray) -> tuple[int, int]:
     return a - (1 << 64) if a >> 63 else a, b - (1 << 64) if b >> 63 else b
 
 
-def _sets_map(sketch, percent: int, width: int):
+def _sets_map(sketch, table, percent: int, width: int):
+    """Each document's set: its size, signatures, its prefix in two orders, and a sketch.
+
+    ``prefix`` is in the rough order and ``finer`` begins, after ``alone`` shingles, with those
+    that come first in the finer one; both leave out shingles that no other document holds.
+    """
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        often = sketch.value
+        often, hits = sketch.value, table.value
         for batch in batches:
             docs = batch.column("doc_id").to_pylist()
             rows = []
             for i, found in shingle_sets(batch.column("text"), width):
                 n = len(found)
-                prefix = np.zeros(0, np.uint64)
+                prefix, finer, first, alone = np.zeros(0, np.uint64), np.zeros(0, np.uint64), 0, 0
                 if n:
-                    order = np.lexsort((found, often[(found >> _SKETCH_SHIFT).astype(np.int64)]))
-                    prefix = found[order[: prefix_length(n, percent)]]
-                first = _signature(prefix)[0]
-                rows.append((docs[i], n, *_signature(found), first, prefix.view(np.int64), pack_sketch(found)))
+                    frequent, kind = often[(found >> _SKETCH_SHIFT).astype(np.int64)], hits.kind(found)
+                    most = prefix_length(n, percent)
+                    alone = int((kind == 0).sum())
+                    rough = np.lexsort((found, frequent))[:most]
+                    first = _signature(found[rough])[0]
+                    prefix = found[rough[kind[rough] > 0]]
+                    if alone < most:
+                        finer = found[np.lexsort((found, frequent, kind))[alone:most]]
+                lists = (prefix.view(np.int64), alone, finer.view(np.int64))
+                rows.append((docs[i], n, *_signature(found), first, *lists, pack_sketch(found)))
                 if len(rows) >= 2000:
                     yield _batch(rows, _SETS_ARROW)
                     rows = []
@@ -181,11 +205,7 @@ def pack_sketch(found: np.ndarray) -> bytes:
     if len(found) == 0:
         return b""
     lead = (found >> np.uint64(64 - _sketch_bits(len(found)))).astype(np.int64)  # ``found`` is sorted
-    gaps = np.diff(lead, prepend=0)
-    more, rest = gaps // 255, gaps % 255
-    out = np.full(len(gaps) + int(more.sum()), 255, dtype=np.uint8)
-    out[np.cumsum(more + 1) - 1] = rest
-    return out.tobytes()
+    return pack_gaps(lead)
 
 
 def read_sketch(data: bytes) -> np.ndarray:
@@ -252,6 +272,32 @@ def _verify_map(percent: int, width: int):
     return run
 
 
+NEEDED_BITS = 26
+_MAP_BITS = 1 << 15  # of a bitmap of Spark's bitmap functions
+
+
+def needed(content: DataFrame, ids: DataFrame) -> DataFrame:
+    """Rows of ``content`` whose doc_id is, or by its hash may be, one of ``ids``.
+
+    The ids' hashes become at most 2 ** NEEDED_BITS bits (8 MB) that are broadcast, so that rows
+    which nobody asks for stay where they lie instead of being shuffled to a join.
+    """
+    slot = F.pmod(F.xxhash64("doc_id"), F.lit(1 << NEEDED_BITS))
+    place = F.pmod(slot, F.lit(_MAP_BITS)).cast("int")
+    bucket = F.shiftright(slot, 15).alias("_bucket")
+    bitmaps = ids.select(bucket, place.alias("_place")).groupBy("_bucket").agg(
+        F.bitmap_construct_agg("_place").alias("_bits")
+    )
+    byte = F.expr("cast(conv(hex(substring(_bits, _place div 8 + 1, 1)), 16, 10) as int)")
+    asked = F.call_function("shiftright", byte, F.expr("cast(_place % 8 as int)")).bitwiseAND(F.lit(1)) == 1
+    return (
+        content.withColumns({"_bucket": bucket, "_place": place})
+        .join(F.broadcast(bitmaps), "_bucket")
+        .filter(asked)
+        .drop("_bucket", "_place", "_bits")
+    )
+
+
 def _by_hub(pairs: DataFrame, content: DataFrame, column: str) -> DataFrame:
     """Rows (hub, role, doc_id, ``column``), each hub's own row before its partners.
 
@@ -272,9 +318,9 @@ def _by_hub(pairs: DataFrame, content: DataFrame, column: str) -> DataFrame:
         F.lit(0).alias("role"),
         F.col("hub").alias("doc_id"),
     )
+    rows = dealt.unionByName(hubs)
     return (
-        dealt.unionByName(hubs)
-        .join(content.select("doc_id", column), "doc_id")
+        rows.join(needed(content.select("doc_id", column), rows), "doc_id")
         .repartition(n, "hub", "share")
         .sortWithinPartitions("hub", "share", "role", "doc_id")
         .select("hub", "role", "doc_id", column)
@@ -307,102 +353,108 @@ def _relabelled(rows: DataFrame, parts: DataFrame) -> DataFrame:
     ).drop("component")
 
 
-_SHINGLES_ARROW = pa.schema(
-    [("doc_id", pa.int64()), ("n", pa.int64()), ("label", pa.int64()), ("token", pa.int64())]
-)
+# ---- how often shingles occur ---------------------------------------------------------
+#
+# A table of two bits a slot, its size in step with the number of shingles up to
+# 2 ** TABLE_BITS slots: 0 tells that a shingle in this slot is in one document only, 1 to 3
+# that the slot was hit 2 or 3 times, up to ``OFTEN`` times, or more.  A slot
+# that several shingles share only makes them look more frequent.
+
+TABLE_BITS = 27  # 32 MB
+SEGMENT_BITS = 16  # slots merged together
+OFTEN = 32
+HELD_SHINGLES = 1 << 21  # shingles that a task counts before it passes them on
 
+_PART_ARROW = pa.schema([("segment", pa.int32()), ("hits", pa.binary())])
 
-def _shingles_map(share_bits: int, width: int):
-    """A row for every shingle of every document whose hash has ``share_bits`` leading zeros."""
+
+def pack_gaps(sorted_values: np.ndarray) -> bytes:
+    """Ascending numbers (repeats allowed) as gaps, a byte each (255: 255 and the rest follows)."""
+    gaps = np.diff(sorted_values, prepend=0)
+    more, rest = gaps // 255, gaps % 255
+    out = np.full(len(gaps) + int(more.sum()), 255, dtype=np.uint8)
+    out[np.cumsum(more + 1) - 1] = rest
+    return out.tobytes()
+
+
+def _hits_map(bits: int, width: int):
+    def packed(held: list[np.ndarray]) -> pa.RecordBatch:
+        slot = np.sort(np.concatenate(held) >> np.uint64(64 - bits)).astype(np.int64)
+        segment = slot >> SEGMENT_BITS
+        cuts = np.flatnonzero(np.append(True, segment[1:] != segment[:-1]))
+        parts = np.split(slot & ((1 << SEGMENT_BITS) - 1), cuts[1:])
+        return pa.RecordBatch.from_arrays(
+            [pa.array(segment[cuts], pa.int32()), pa.array(map(pack_gaps, parts), pa.binary())],
+            schema=_PART_ARROW,
+        )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        limit = np.uint64((1 << (64 - share_bits)) - 1)
+        held, size = [], 0
         for batch in batches:
-            docs, labels = batch.column("doc_id").to_pylist(), batch.column("label").to_pylist()
-            held, size = [], 0
-            for i, found in shingle_sets(batch.column("text"), width):
-                some = found[: np.searchsorted(found, limit, side="right")]
-                held.append((docs[i], labels[i], len(found), some))
-                size += len(some)
-                if size > 200_000:
-                    yield _shingle_rows(held)
+            for _, found in shingle_sets(batch.column("text"), width):
+                if len(found):
+                    held.append(found)
+                    size += len(found)
+                if size >= HELD_SHINGLES:
+                    yield packed(held)
                     held, size = [], 0
-            if held:
-                yield _shingle_rows(held)
+        if held:
+            yield packed(held)
 
     return run
 
 
-def _shingle_rows(held: list[tuple]) -> pa.RecordBatch:
-    docs, labels, whole, sets = zip(*held)
-    sizes = np.array([len(found) for found in sets])
-    spread = lambda values: pa.array(np.repeat(np.array(values, dtype=np.int64), sizes))
-    token = np.concatenate(sets).view(np.int64)
-    return pa.RecordBatch.from_arrays(
-        [spread(docs), spread(whole), spread(labels), pa.array(token)], schema=_SHINGLES_ARROW
-    )
-
+def _merge_hits(table: pa.Table) -> pa.Table:
+    total = np.zeros(1 << SEGMENT_BITS, dtype=np.int64)
+    for hits in table.column("hits").to_pylist():
+        total += np.bincount(read_sketch(hits), minlength=len(total))
+    kind = (total > 1).astype(np.uint8) + (total > 3) + (total > OFTEN)
+    packed = (kind.reshape(-1, 4) << np.arange(0, 8, 2, dtype=np.uint8)).sum(axis=1, dtype=np.uint8)
+    return pa.table({"segment": table.column("segment")[:1], "kinds": pa.array([packed.tobytes()], pa.binary())})
 
-def _shingle_table(texts: DataFrame, share_bits: int, width: int) -> DataFrame:
-    """Shingle rows of ``texts`` (doc_id, label, text)."""
-    schema = "doc_id long, n long, label long, token long"
-    rows = texts.mapInArrow(_shingles_map(share_bits, width), schema)
-    return stored(texts.sparkSession, rows, "join-shingles")
 
+class HitTable:
+    """Two bits for every slot."""
 
-def _between_labels(rows: DataFrame) -> DataFrame:
-    """Shingles (token, df) that documents of different labels hold."""
-    often = rows.groupBy("token").agg(
-        F.count("*").alias("df"), F.min("label").alias("low"), F.max("label").alias("high")
-    )
-    often = often.filter("low <> high").select("token", "df")
-    return stored(rows.sparkSession, often, "join-often")
+    def __init__(self, bits: int):
+        self.bits = bits
+        self.kinds = np.zeros(1 << (bits - 2), dtype=np.uint8)
 
+    def kind(self, found: np.ndarray) -> np.ndarray:
+        slot = (found >> np.uint64(64 - self.bits)).astype(np.int64)
+        return (self.kinds[slot >> 2] >> (2 * (slot & 3)).astype(np.uint8)) & 3
 
-def _screened(docs: DataFrame, left: DataFrame, percent: int, width: int) -> DataFrame:
-    """``left`` without documents that miss too many shingles to be similar to any other.
 
-    A similar partner holds all but (100 - percent) per cent of a document's shingles.  Of a
-    quarter of the hash range, so many at most may be held by no other document.  All
-    texts are read where they lie; which of them are left is only looked at afterwards.
-    """
-    rows = _shingle_table(docs.withColumn("label", F.col("doc_id")), 2, width)
-    often = _between_labels(rows)
-    own = rows.groupBy("doc_id", "n").agg(F.count("*").alias("some"))
-    held = rows.join(often, "token").groupBy("doc_id").agg(F.count("*").alias("held"))
-    lonely = own.join(held, "doc_id", "left").filter(
-        f"some - coalesce(held, 0) > floor({100 - percent} * n / 100)"
-    )
-    out = left.join(lonely.select("doc_id"), "doc_id", "left_anti")
-    out = stored(docs.sparkSession, out, "join-screened")
-    discard(rows, often)
-    return out
+def hit_table(docs: DataFrame, shingles: int, width: int, most: int = TABLE_BITS) -> HitTable:
+    """The merged table of all documents."""
+    table = HitTable(min(most, max(SEGMENT_BITS, int(shingles).bit_length())))
+    rows = docs.select("text").mapInArrow(_hits_map(table.bits, width), "segment int, hits binary")
+    size = 1 << (SEGMENT_BITS - 2)
+    with shuffle_cleanup(docs.sparkSession):
+        for row in rows.groupBy("segment").applyInArrow(_merge_hits, "segment int, kinds binary").collect():
+            at = row["segment"] * size  # 2 ** bits / 4 bytes in all
+            table.kinds[at : at + size] = np.frombuffer(row["kinds"], np.uint8)
+    return table
 
 
-def _rare_first_pairs(docs: DataFrame, left: DataFrame, percent: int, width: int) -> DataFrame:
-    """Pairs (hub, doc_id) of ``left`` (doc_id, n, label) with different labels that may be similar.
+def _finer_pairs(sets: DataFrame, left: DataFrame, percent: int) -> DataFrame:
+    """Pairs (hub, doc_id) of ``left`` (doc_id, label) with different labels that may be similar.
 
-    The prefix filter once more, among these documents only and in the order of exact
-    document frequencies: shingles that no other label has come first, so a copy that
-    differs in more shingles than its prefix holds shares nothing and meets nobody.
+    The prefix filter once more, with shingles that no other document holds first: a copy
+    that differs in more shingles than its prefix holds shares nothing and meets nobody.
     """
-    spark = docs.sparkSession
-    screened = _screened(docs, left, percent, width)
-    rows = _shingle_table(screened.select("doc_id", "label").join(docs, "doc_id"), 0, width)
-    often = _between_labels(rows)
-    of_doc = Window.partitionBy("doc_id")
-    alone = F.col("n") - F.count("*").over(of_doc)  # shingles that come before all shared ones
-    place = alone + F.row_number().over(of_doc.orderBy("df", "token")) - 1
-    prefix = f"n - ceil({percent} * n / 100) + 1"
-    entries = (
-        rows.join(often, "token")
-        .withColumn("pos", place)
-        .filter(F.col("pos") < F.expr(prefix))
-        .select("doc_id", "n", "label", "token", "pos")
+    spark = sets.sparkSession
+    rest = sets.filter("size(finer) > 0").select("doc_id", "n", "alone", "finer")
+    entries = rest.join(left.select("doc_id", "label"), "doc_id").select(
+        "doc_id", "n", "label", "alone", F.posexplode("finer").alias("at", "token")
     )
+    entries = entries.select("doc_id", "n", "label", "token", (F.col("alone") + F.col("at")).alias("pos"))
     entries = stored(spark, entries, "join-entries")
-    discard(rows, often, screened)
-    side = lambda x: entries.select("token", *(F.col(c).alias(f"{c}_{x}") for c in ("doc_id", "n", "label", "pos")))
+    shared = entries.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high"))
+    shared = shared.filter("low <> high").select("token")
+    open_ = stored(spark, entries.join(shared, "token"), "join-open-entries")
+    discard(entries)
+    side = lambda x: open_.select("token", *(F.col(c).alias(f"{c}_{x}") for c in ("doc_id", "n", "label", "pos")))
     need = f"ceil({percent} * (n_a + n_b) / {100 + percent})"
     pairs = (
         side("a")
@@ -414,7 +466,7 @@ def _rare_first_pairs(docs: DataFrame, left: DataFrame, percent: int, width: int
         .distinct()
     )
     pairs = stored(spark, pairs, "join-pairs")
-    discard(entries)
+    discard(open_)
     return pairs
 
 
@@ -423,39 +475,43 @@ def similar_classes(docs: DataFrame, percent: int = PERCENT, width: int = SHINGL
     spark = docs.sparkSession
     unnamed = docs.filter("doc_id is null").select("doc_id")
     docs = docs.select("doc_id", "text").filter("doc_id is not null")
-    often = spark.sparkContext.broadcast(frequency_sketch(docs, width))  # a table of fixed size
-    sets = stored(spark, docs.mapInArrow(_sets_map(often, percent, width), SETS), "join-sets")
+    named = docs.select("doc_id")
+    repeated = bool(named.groupBy("doc_id").count().filter("count > 1").limit(1).count())
+    if repeated:
+        docs = stored(spark, docs.groupBy("doc_id").agg(F.min("text").alias("text")), "join-docs")
+    frequent, shingles = frequency_sketch(docs, width)  # a table of fixed size
+    often = spark.sparkContext.broadcast(frequent)
+    table = spark.sparkContext.broadcast(hit_table(docs, shingles, width))  # at most 2 ** TABLE_BITS / 4 bytes
+    sets = stored(spark, docs.mapInArrow(_sets_map(often, table, percent, width), SETS), "join-sets")
+    often.unpersist()
+    table.unpersist()
 
     # 1. equal sets
     same = ["n", "set_a", "set_b"]
-    full = sets.filter("n > 0")
-    copies = full.groupBy(*same).agg(F.min("doc_id").alias("class_id"), F.count("*").alias("c"))
+    narrow = sets.select("doc_id", "prefix_sum", *same)
+    copies = narrow.filter("n > 0").groupBy(*same).agg(F.min("doc_id").alias("class_id"), F.count("*").alias("c"))
     copies = stored(spark, copies.filter("c > 1").drop("c"), "join-copies")
-    member = sets.select("doc_id", *same).join(copies, same, "left")
-    member = member.select("doc_id", "n", F.coalesce("class_id", "doc_id").alias("class_id"))
+    member = narrow.join(copies, same, "left")
+    member = member.select("doc_id", "n", "prefix_sum", F.coalesce("class_id", "doc_id").alias("class_id"))
     member = stored(spark, member, "join-member")
-    classes = full.join(copies, same, "left").filter("class_id is null or class_id = doc_id")
-    classes = classes.select("doc_id", "n", "prefix_sum", "prefix", "sketch")
-    if member.count() > member.select("doc_id").distinct().count():  # repeated rows
-        classes = classes.dropDuplicates(["doc_id"])
-        docs = docs.dropDuplicates(["doc_id"])
-    classes = stored(spark, classes, "join-classes")
-    discard(sets, copies)
+    discard(copies)
 
     # 2. equal sizes and prefixes
     alike = ["n", "prefix_sum"]
+    classes = member.filter("n > 0 and doc_id = class_id").select("doc_id", *alike)
     group = classes.groupBy(*alike).agg(F.min("doc_id").alias("group_id"), F.count("*").alias("c"))
     group = stored(spark, group.filter("c > 1").drop("c"), "join-groups")
     grouped = classes.join(group, alike, "left").withColumn("group_id", F.coalesce("group_id", "doc_id"))
     inside = stored(spark, grouped.select("doc_id", "n", "group_id"), "join-inside")
 
     # 3. prefix shingles that several groups share, and one partner for each group
-    entries = grouped.filter("doc_id = group_id").select(
-        "group_id", "n", F.posexplode("prefix").alias("pos", "token")
-    )
+    firsts = inside.filter("doc_id = group_id").select("doc_id", "group_id", "n")
+    held = sets.filter("size(prefix) > 0").select("doc_id", "prefix").join(firsts, "doc_id")
+    entries = stored(spark, held.select("group_id", "n", F.explode("prefix").alias("token")), "join-prefixes")
     shared = entries.groupBy("token").agg(F.min("group_id").alias("first"), F.max("group_id").alias("last"))
-    shared = stored(spark, shared.filter("first <> last").select("token", "first"), "join-shared")
+    shared = shared.filter("first <> last").select("token", "first")
     tokens = stored(spark, entries.join(shared, "token"), "join-tokens")
+    discard(entries)
     first_n = inside.select(F.col("doc_id").alias("first"), F.col("n").alias("first_n"))
     fits = f"100 * least(n, first_n) >= {percent} * greatest(n, first_n)"
     partner = (
@@ -470,7 +526,7 @@ def similar_classes(docs: DataFrame, percent: int = PERCENT, width: int = SHINGL
     )
     own = inside.filter("doc_id <> group_id").select(F.col("group_id").alias("hub"), "doc_id")
     tried = stored(spark, partner.unionByName(own), "join-tried")
-    links = verified(docs, classes, tried, percent, width)
+    links = verified(docs, sets, tried, percent, width)
     parts = stored(spark, components(links), "join-parts")
 
     # 4. what is left: groups that share a prefix shingle but not a label
@@ -478,18 +534,19 @@ def similar_classes(docs: DataFrame, percent: int = PERCENT, width: int = SHINGL
     of_group = labels.groupBy("group_id").agg(F.min("label").alias("low"), F.max("label").alias("high"))
     open_ = tokens.select("token", "group_id").join(of_group, "group_id")
     open_ = stored(spark, open_, "join-open")
-    discard(shared, tokens, parts)
+    discard(tokens, parts)
     mixed = open_.groupBy("token").agg(F.min("low").alias("l"), F.max("high").alias("h"))
     mixed = mixed.filter("l <> h").select("token")
     left = open_.join(mixed, "token").select("group_id").distinct()
     split = of_group.filter("low <> high").select("group_id")
     left = labels.join(left.unionByName(split).distinct(), "group_id", "left_semi")
-    left = stored(spark, left.select("doc_id", "n", "label"), "join-left")
-    discard(open_)
-    pairs = _rare_first_pairs(docs, left, percent, width)
+    left = stored(spark, left.select("doc_id", "label"), "join-left")
+    discard(open_, inside)
+    pairs = _finer_pairs(sets, left, percent)
     rest = stored(spark, pairs.join(tried, ["hub", "doc_id"], "left_anti"), "join-rest")
-    more = verified(docs, classes, rest, percent, width)
-    discard(classes, group, rest, tried, left)
+    discard(pairs)
+    more = verified(docs, sets, rest, percent, width)
+    discard(sets, group, rest, tried, left, links)
 
     # 5. labels joined by the remaining links, and back to the documents
     name = lambda end: labels.select(F.col("doc_id").alias(end), F.col("label").alias(f"l{end}"))
@@ -498,10 +555,13 @@ def similar_classes(docs: DataFrame, percent: int = PERCENT, width: int = SHINGL
     final = labels.select("doc_id", "label").join(top, "label", "left")
     final = final.select(F.col("doc_id").alias("class_id"), F.coalesce("component", "label").alias("component_id"))
     final = stored(spark, final, "join-final")
-    named = member.join(final, "class_id", "left").select(
+    discard(labels, more)
+    out = member.join(final, "class_id", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id")
     )
-    return named.unionByName(
+    if repeated:
+        out = named.join(out, "doc_id")
+    return out.unionByName(
         unnamed.select(
             "doc_id", F.lit(0).cast("long").alias("n_shingles"), F.col("doc_id").alias("component_id")
         )
@@ -512,7 +572,7 @@ def one_of_each(docs: DataFrame, percent: int = PERCENT, width: int = SHINGLE) -
     """``docs`` with one row of each class (its smallest doc_id); rows without doc_id stay."""
     first = similar_classes(docs, percent, width).filter("doc_id = component_id").select("doc_id")
     kept = docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.unionByName(docs.filter("doc_id is null"))
+    return kept.union(docs.filter("doc_id is null"))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
