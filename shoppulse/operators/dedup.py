@@ -9,6 +9,7 @@ from ..schemas import WATERMARK_DELAY
 
 EXACT = "exact"
 WITHIN_WATERMARK = "within_watermark"
+EXACT_LEDGER = "exact_ledger"
 
 
 def first_arrival(
@@ -47,12 +48,15 @@ def dedup_stream(
     ``within_watermark``: ``dropDuplicatesWithinWatermark([key])`` - state is
     evicted once the watermark passes, so it stays bounded; a duplicate arriving
     more than ``delay`` after the first can be admitted.
-    Rows behind the watermark are dropped by either mode; keep ``event_time`` in
+    ``exact_ledger``: the bounded dedup here; the sink then compares what is let through
+    with the ids of all earlier batches on disk (``streaming.seen``), so a
+    duplicate is dropped however late while the state stays bounded.
+    Rows behind the watermark are dropped by every mode; keep ``event_time`` in
     the output downstream or the late filter is pruned away.
     """
     marked = orders.withWatermark(event_time, delay)
     if mode == EXACT:
         return marked.dropDuplicates([key])
-    if mode == WITHIN_WATERMARK:
+    if mode in (WITHIN_WATERMARK, EXACT_LEDGER):
         return marked.dropDuplicatesWithinWatermark([key])
     raise ValueError(f"unknown dedup mode {mode!r}")

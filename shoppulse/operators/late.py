@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .ordered import ordered
+
 # Replay parameters for a scrambled arrival order (test-table adapter): each
 # order arrives up to JITTER_SECONDS after its event time, and micro-batches
 # cut the arrival clock into BATCH_SECONDS slots.
@@ -28,20 +30,26 @@ def scrambled_arrival_batch(event_id: Column, event_time: Column) -> Column:
 
 
 def batch_watermarks(arrivals: DataFrame, batch: str = "batch", event_time: str = "event_time",
-                     delay_minutes: int = 10) -> DataFrame:
+                     delay_minutes: int = 10, ranges: int | None = None) -> DataFrame:
     """One row per data batch: the watermark its rows are judged by.
 
     Works on the per-batch maxima only (one row per micro-batch), so the global
-    ordering window runs over the batch count, never over the rows.
+    ordering window runs over the batch count, never over the rows.  A history of very many
+    micro-batches can be cut into ``ranges`` of them.
     """
     per_batch = arrivals.groupBy(batch).agg(F.max(event_time).alias("_max_et"))
-    order = Window.orderBy(batch)
-    upto_two_before = order.rowsBetween(Window.unboundedPreceding, -2)
-    return per_batch.select(
+    if ranges:
+        placed = ordered(per_batch, [batch], {"_upto": ("max", "_max_et")}, position="_n", ranges=ranges)
+        two_before = placed.select((F.col("_n") + 2).alias("_n"), F.col("_upto").alias("_seen"))
+        judged = placed.drop("_upto").join(two_before, "_n", "left")
+        seen = F.col("_seen")
+    else:
+        judged = per_batch
+        seen = F.max("_max_et").over(Window.orderBy(batch).rowsBetween(Window.unboundedPreceding, -2))
+    return judged.select(
         batch,
         (
-            F.date_trunc("millisecond", F.max("_max_et").over(upto_two_before))
-            - F.make_interval(mins=F.lit(delay_minutes))
+            F.date_trunc("millisecond", seen) - F.make_interval(mins=F.lit(delay_minutes))
         ).alias("watermark"),
     )
 

@@ -54,3 +54,27 @@ def count_users(sets: DataFrame, by_day: bool = False) -> DataFrame:
     if by_day:
         return sets.groupBy("dt").agg(F.sum("n").alias("dau"))
     return sets.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("dau"))
+
+
+def first_seen(sets: DataFrame) -> DataFrame:
+    """dt, new_users: how many users were seen on each day for the first time.
+
+    ``sets`` has one row a day and bucket.  Buckets that are a bitmap on any day are united
+    day by day (a bucket's days are one group, 4 KB a day); in the others each user's
+    least day counts.  A user without a day (null dt) is new there only if no day has them.
+    """
+    day = F.col("dt")
+    dense = sets.groupBy("bucket").agg(F.max(F.col("bits").isNotNull()).alias("dense"))
+    marked = sets.join(dense, "bucket")
+    listed = marked.filter(~F.col("dense")).select("bucket", "dt", F.explode("places").alias("place"))
+    sparse = listed.groupBy("bucket", "place").agg(F.min("dt").alias("dt")).groupBy("dt").agg(F.count("*").alias("n"))
+
+    held = marked.filter("dense")
+    made = held.filter("bits is null").select("bucket", "dt", F.explode("places").alias("place"))
+    made = made.groupBy("bucket", "dt").agg(F.bitmap_construct_agg("place").alias("bits"))
+    bitmaps = held.filter("bits is not null").select("bucket", "dt", "bits").unionByName(made)
+    by_day = Window.partitionBy("bucket").orderBy(day.asc_nulls_last())
+    upto = by_day.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    united = bitmaps.withColumn("n", F.bitmap_count(F.bitmap_or_agg("bits").over(upto)))
+    fresh = united.select("dt", (F.col("n") - F.coalesce(F.lag("n").over(by_day), F.lit(0))).alias("n"))
+    return sparse.unionByName(fresh).groupBy("dt").agg(F.sum("n").alias("new_users"))

@@ -13,9 +13,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.codec import decode_orders, encode_orders
-from ..operators.dedup import EXACT, WITHIN_WATERMARK, first_arrival
+from ..operators.dedup import EXACT, EXACT_LEDGER, WITHIN_WATERMARK, first_arrival
 from ..operators.joins import enrich_orders
-from ..operators.late import late_counts, scrambled_arrival_batch
+from ..operators.late import JITTER_MULTIPLIER, late_counts, scrambled_arrival_batch
 from ..operators.totals import active_users, batch_deltas, totals
 from ..operators.windows import window_gmv
 from ..schemas import DIM_SAMPLE_IDS, MONEY, TOP_K
@@ -40,6 +40,9 @@ ROWS_PER_BATCH = 1000
 REPLAY_BATCHES = 10
 RESENT_DAYS = 40  # a re-sent order's new event time is later than every original's
 TREND_POINTS = 60
+# A scrambled arrival in few micro-batches: orders come up to six days late, three days at a time.
+LATE_SECONDS = 6 * 86_400
+LATE_SLOT_SECONDS = 3 * 86_400
 
 
 # -- shared building blocks ------------------------------------------------------
@@ -189,7 +192,7 @@ def streamed_ledger(spark: SparkSession, sf: str):
             "event_time", F.col("event_time").cast("timestamp")
         )
         batch = range_batches(raw, "_eid", REPLAY_BATCHES)
-        cfg = StreamConfig(name="ledger", dedup_mode=WITHIN_WATERMARK)
+        cfg = StreamConfig(name="ledger", dedup_mode=WITHIN_WATERMARK, closed_windows=True)
         _REPLAYS[key] = replay(spark, raw, batch, _part(spark, sf), cfg).ledger
     return _REPLAYS[key]
 
@@ -221,6 +224,32 @@ def q_stream_category_rank(spark, sf):
     return views.category_rank(views.window_points(ledger.window_rows(spark)))
 
 
+def q_stream_closed_window(spark, sf):
+    """The latest-window board over the windows that the stream has closed, each emitted once."""
+    closed = streamed_ledger(spark, sf).closed_windows(spark)
+    return views.latest_window(views.window_points(closed))
+
+
+def q_stream_kpi_trend(spark, sf):
+    """Running totals and their change by day, served from the day and user ledgers."""
+    return streamed_ledger(spark, sf).kpi_trend(spark)
+
+
+def q_stream_late_rows(spark, sf):
+    """Rows that a real stream drops as late, by micro-batch, as it publishes them.
+
+    Orders arrive up to LATE_SECONDS after their event time, in micro-batches of
+    LATE_SLOT_SECONDS of the arrival clock.
+    """
+    ensure_checkpoint_dir(spark)
+    raw = _orders_with_event_id(spark, sf).withColumn("event_time", F.col("event_time").cast("timestamp"))
+    delay = (F.col("_eid") * F.lit(JITTER_MULTIPLIER)) % F.lit(LATE_SECONDS)
+    arrival = F.col("event_time") + F.make_interval(secs=delay.cast("decimal(18,6)"))
+    batch = F.floor(F.unix_micros(arrival) / F.lit(LATE_SLOT_SECONDS * 1_000_000)).cast("bigint")
+    cfg = StreamConfig(name="late", dedup_mode=WITHIN_WATERMARK)
+    return replay(spark, raw, batch, _part(spark, sf), cfg).late.read().select("batch_id", "n")
+
+
 def _resent_overview(spark: SparkSession, sf: str, mode: str) -> DataFrame:
     """Overview of a stream whose re-sent copies come in a micro-batch of their own, dated anew.
 
@@ -249,6 +278,11 @@ def q_stream_resent_exact(spark, sf):
     return _resent_overview(spark, sf, EXACT)
 
 
+def q_stream_resent_ledger(spark, sf):
+    """Exact dedup with a bounded state store: ids of earlier batches are looked up on disk."""
+    return _resent_overview(spark, sf, EXACT_LEDGER)
+
+
 def q_stream_resent_within(spark, sf):
     """Bounded dedup: copies of orders that the state no longer holds are counted again."""
     return _resent_overview(spark, sf, WITHIN_WATERMARK)
@@ -304,13 +338,19 @@ def q_trend_aligned(spark, sf):
 
 
 def q_trend_last_n(spark, sf):
-    return views.trend_last_n(_points(spark, sf), TREND_POINTS)
+    """The aligned trend of the last axis points, from the orders of those windows alone."""
+    return views.recent_trend(_dedup(spark, sf), _part(spark, sf), TREND_POINTS)
 
 
 def q_category_rank(spark, sf):
     return views.category_rank(_points(spark, sf))
 
 
+def q_sku_rank(spark, sf):
+    """All products by revenue over deduplicated order lines, with running revenue."""
+    return views.sku_rank(line_orders(spark, sf))
+
+
 def q_category_top_k(spark, sf):
     return views.category_top_k(views.category_rank(_points(spark, sf)), TOP_K)
 
@@ -379,7 +419,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_dau_daily": q_stream_dau_daily,
     "stream_latest_window": q_stream_latest_window,
     "stream_category_rank": q_stream_category_rank,
+    "stream_closed_window": q_stream_closed_window,
+    "stream_kpi_trend": q_stream_kpi_trend,
+    "stream_late_rows": q_stream_late_rows,
     "stream_resent_exact": q_stream_resent_exact,
+    "stream_resent_ledger": q_stream_resent_ledger,
     "stream_resent_within": q_stream_resent_within,
     "totals_all": q_totals_all,
     "totals_daily": q_totals_daily,
@@ -398,6 +442,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "trend_last_n": q_trend_last_n,
     "category_rank": q_category_rank,
     "category_top_k": q_category_top_k,
+    "sku_rank": q_sku_rank,
     "kpi_trend": q_kpi_trend,
     "activity_deltas": q_activity_deltas,
     "metrics_combined": q_metrics_combined,

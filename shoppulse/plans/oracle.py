@@ -336,12 +336,47 @@ FROM (
 GROUP BY window_start, category""",
 }
 
+SQL["sku_rank"] = (
+    "WITH "
+    + LINES
+    + """,
+sold AS (SELECT sku_id, SUM(amount) AS gmv FROM line_enriched GROUP BY sku_id)
+SELECT row_number() OVER (ORDER BY gmv DESC, sku_id) AS rank, sku_id, CAST(gmv AS DOUBLE) AS gmv,
+       CAST(SUM(gmv) OVER (ORDER BY gmv DESC, sku_id ROWS UNBOUNDED PRECEDING) AS DOUBLE) AS gmv_upto
+FROM sold WHERE gmv IS NOT NULL"""
+)
+
 # The streaming ledgers must equal the batch answers.
 SQL["stream_overview"] = SQL["overview"]
 SQL["stream_dau_daily"] = SQL["dau_daily"]
 SQL["stream_latest_window"] = SQL["latest_window"]
 SQL["stream_category_rank"] = SQL["category_rank"]
+SQL["stream_closed_window"] = SQL["latest_closed_window"]
+SQL["stream_kpi_trend"] = SQL["kpi_trend"]
+SQL["stream_late_rows"] = (
+    BASE
+    + """,
+arrivals AS (
+  SELECT event_time,
+         CAST(floor(epoch_us(event_time + to_seconds((event_id * 7919) % 518400)) / 259200000000)
+              AS BIGINT) AS batch
+  FROM raw_orders
+),
+per_batch AS (SELECT batch, max(event_time) AS max_et FROM arrivals GROUP BY batch),
+marks AS (
+  SELECT batch, row_number() OVER (ORDER BY batch) - 1 AS batch_id,
+         date_trunc('millisecond', max(max_et) OVER (
+           ORDER BY batch ROWS BETWEEN UNBOUNDED PRECEDING AND 2 PRECEDING))
+         - INTERVAL 10 MINUTE AS watermark
+  FROM per_batch
+)
+SELECT CAST(m.batch_id AS BIGINT) AS batch_id,
+       CAST(COUNT(*) FILTER (WHERE a.event_time <= m.watermark) AS BIGINT) AS n
+FROM arrivals a JOIN marks m ON a.batch = m.batch
+GROUP BY m.batch_id"""
+)
 SQL["stream_resent_exact"] = SQL["overview"]
+SQL["stream_resent_ledger"] = SQL["overview"]
 # A copy that comes after all originals, dated anew, is admitted by the bounded dedup when
 # its original's state has expired: event time + 10 minutes is not after the watermark the
 # last batch of originals evicted with (from the batches before it).

@@ -24,8 +24,11 @@ from ..functions.columns import (
     store_key,
     window_label,
 )
+from ..operators.joins import enrich_orders
+from ..operators.ordered import ordered
 from ..operators.totals import business_date
-from ..schemas import FEED_MAX_ITEMS, TOP_K, WATERMARK_DELAY
+from ..operators.windows import window_gmv
+from ..schemas import FEED_MAX_ITEMS, TOP_K, WATERMARK_DELAY, WINDOW_LENGTH, WINDOW_SLIDE
 
 
 def window_points(windows: DataFrame) -> DataFrame:
@@ -125,13 +128,14 @@ def trend_lookup(arrays: DataFrame) -> DataFrame:
     )
 
 
-def _aligned(axis: DataFrame, points: DataFrame) -> DataFrame:
+def _aligned(axis: DataFrame, points: DataFrame, categories: DataFrame | None = None) -> DataFrame:
     """Every category at every axis point, null where it has no window.
 
     The categories (a catalogue's few names) are generated onto the axis rows, so no join
     is needed to pair them; the values then come in by an equi-join.
     """
-    names = points.agg(F.array_sort(F.collect_set("category")).alias("names")).scalar()
+    named = points if categories is None else categories
+    names = named.agg(F.array_sort(F.collect_set("category")).alias("names")).scalar()
     grid = axis.select("window_start", F.explode(names).alias("category"))
     return grid.join(
         points.select("window_start", "category", "gmv"), ["window_start", "category"], "left"
@@ -155,11 +159,36 @@ def trend_last_n(points: DataFrame, n: int | None = 60) -> DataFrame:
     return _aligned(axis, points)
 
 
-def category_rank(points: DataFrame) -> DataFrame:
+def recent_trend(
+    orders: DataFrame,
+    dim: DataFrame,
+    n: int,
+    length: str = WINDOW_LENGTH,
+    slide: str = WINDOW_SLIDE,
+) -> DataFrame:
+    """``trend_last_n`` straight from orders: only the last ``n`` windows are aggregated.
+
+    The axis comes from event times alone, and its first point bounds the event times below
+    the catalogue join and the window aggregate; the categories come from the distinct
+    products.  So the history costs a pass over two columns, however long it is.
+    """
+    sold = orders.filter("amount is not null and event_time is not null")
+    start = F.window("event_time", length, slide)["start"].cast("timestamp_ntz")
+    axis = sold.select(start.alias("window_start")).distinct().orderBy(F.desc("window_start")).limit(n)
+    bound = axis.agg(F.min("window_start")).scalar()
+    recent = orders.filter(F.col("event_time").cast("timestamp_ntz") >= bound)
+    points = window_points(window_gmv(enrich_orders(recent, dim), length, slide))
+    categories = enrich_orders(sold.select("sku_id").distinct(), dim).select("category")
+    return _aligned(axis, points.filter(F.col("window_start") >= bound), categories)
+
+
+def category_rank(points: DataFrame, ranges: int | None = None) -> DataFrame:
     """Ranking board: latest GMV per category, change versus its previous window, share.
 
     rank, category, gmv, trend_pct, direction, share_pct.  Only the two newest windows of
-    a category leave each task (the rank limit is applied before the shuffle).
+    a category leave each task (the rank limit is applied before the shuffle).  The ranking
+    itself orders one row a category in one task; with very many categories, ``ranges``
+    cuts the order into that many ranges instead (``operators.ordered``).
     """
     newest = Window.partitionBy("category").orderBy(F.desc("window_start"))
     two = points.withColumn("_n", F.row_number().over(newest)).filter(F.col("_n") <= 2)
@@ -168,11 +197,14 @@ def category_rank(points: DataFrame) -> DataFrame:
         F.max(F.when(F.col("_n") == 2, F.col("gmv"))).alias("_prev"),
     )
     trend = pct_change(F.col("_prev"), F.col("gmv"))
-    everyone = Window.partitionBy()
-    ranked = Window.orderBy(F.desc("gmv"), "category")
-    total = F.sum("gmv").over(everyone)
+    if ranges:
+        board = ordered(board, [F.desc("gmv"), "category"], position="_rank", ranges=ranges)
+        rank, total = F.col("_rank"), board.agg(F.sum("gmv")).scalar()
+    else:
+        rank = F.row_number().over(Window.orderBy(F.desc("gmv"), "category"))
+        total = F.sum("gmv").over(Window.partitionBy())
     return board.select(
-        F.row_number().over(ranked).cast("bigint").alias("rank"),
+        rank.cast("bigint").alias("rank"),
         "category",
         "gmv",
         round_half_up(trend, 1).alias("trend_pct"),
@@ -183,6 +215,21 @@ def category_rank(points: DataFrame) -> DataFrame:
     )
 
 
+def sku_rank(orders: DataFrame, ranges: int | None = None) -> DataFrame:
+    """All products by revenue: rank, sku_id, gmv, and what the best ones up to it sold.
+
+    One row a product, so the board grows with the catalogue: ranks and running sums are
+    taken range by range, and no task holds them all.
+    """
+    sold = orders.groupBy("sku_id").agg(F.sum("amount").alias("_gmv")).filter("_gmv is not null")
+    board = ordered(
+        sold, [F.desc("_gmv"), "sku_id"], {"_upto": ("sum", "_gmv")}, position="rank", ranges=ranges
+    )
+    return board.select(
+        "rank", "sku_id", F.col("_gmv").cast("double").alias("gmv"), F.col("_upto").cast("double").alias("gmv_upto")
+    )
+
+
 def category_top_k(rank: DataFrame, k: int | None = TOP_K) -> DataFrame:
     ordered = rank.orderBy("rank")
     return ordered if k is None else ordered.limit(k)
@@ -219,14 +266,25 @@ def kpi_trend(orders: DataFrame, offset_hours: int = 0) -> DataFrame:
         .groupBy("dt")
         .agg(F.count(F.lit(1)).alias("_new_users"))
     )
+    return kpi_snapshots(
+        daily.toDF("dt", "gmv", "orders"), first_seen.toDF("dt", "new_users")
+    )
+
+
+def kpi_snapshots(daily: DataFrame, new_users: DataFrame) -> DataFrame:
+    """Running totals and their change by day, from daily totals and users first seen that day.
+
+    ``daily`` (dt, gmv, orders) and ``new_users`` (dt, new_users) have one row a day, so the
+    running windows order days, however many orders there are.
+    """
     upto = Window.orderBy("dt").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     snap = (
-        daily.join(first_seen, "dt", "full")
+        daily.join(new_users, "dt", "full")
         .select(
             "dt",
-            F.sum(F.coalesce("_gmv_d", F.lit(0))).over(upto).cast("double").alias("gmv"),
-            F.sum(F.coalesce("_orders_d", F.lit(0))).over(upto).cast("bigint").alias("orders"),
-            F.sum(F.coalesce("_new_users", F.lit(0))).over(upto).cast("bigint").alias("dau"),
+            F.sum(F.coalesce("gmv", F.lit(0))).over(upto).cast("double").alias("gmv"),
+            F.sum(F.coalesce("orders", F.lit(0))).over(upto).cast("bigint").alias("orders"),
+            F.sum(F.coalesce("new_users", F.lit(0))).over(upto).cast("bigint").alias("dau"),
         )
         .withColumn("aov", safe_div(F.col("gmv"), F.col("orders")))
     )

@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import json
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..schemas import DIM_BASE_IDS, DIM_COPIES, SKU_DIM
+from ..storage import publish, published, read_text, remove
 from .tables import read_table
 
 
@@ -107,8 +112,24 @@ def reload_dimension_table(spark: SparkSession, full_name: str, rows: DataFrame)
 
 
 def list_tables(spark: SparkSession, database: str) -> DataFrame:
-    """Tables of a database ordered by name (``SHOW TABLES`` as a DataFrame)."""
-    return spark.sql(f"SHOW TABLES IN {database}").select("tableName").orderBy("tableName")
+    """Tables of a database ordered by name (``SHOW TABLES`` as a DataFrame; no temporary views)."""
+    shown = spark.sql(f"SHOW TABLES IN {database}").filter("not isTemporary")
+    return shown.select("tableName").orderBy("tableName")
+
+
+def describe_table(spark: SparkSession, full_name: str) -> DataFrame:
+    """Columns of a table in their order: position, column_name, data_type, nullable."""
+    columns = spark.catalog.listColumns(full_name)
+    rows = [(i, c.name, c.dataType, c.nullable) for i, c in enumerate(columns, 1)]
+    return spark.createDataFrame(rows, "position int, column_name string, data_type string, nullable boolean")
+
+
+def tables_by_schema(spark: SparkSession, database: str, name: str | None = None) -> DataFrame:
+    """Tables of a schema, or those of one name there: table_schema, table_name, table_type, by name."""
+    found = spark.catalog.listTables(database)
+    rows = [(database, t.name, t.tableType) for t in found if not t.isTemporary and name in (None, t.name)]
+    schema = "table_schema string, table_name string, table_type string"
+    return spark.createDataFrame(rows, schema).orderBy("table_name")
 
 
 def key_violations(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -118,3 +139,39 @@ def key_violations(df: DataFrame, keys: list[str]) -> DataFrame:
         .agg(F.count(F.lit(1)).alias("cnt"))
         .filter(F.col("cnt") > 1)
     )
+
+
+class DimensionSnapshots:
+    """Versions of a dimension in files, the newest of which a running stream looks up.
+
+    Each version is a folder of its own that is never changed; a small pointer, published
+    when the folder is complete, names it.  Readers of an older version keep its files
+    until ``keep`` newer ones are there.
+    """
+
+    def __init__(self, root: str, keep: int = 3):
+        self.root, self.keep = root.rstrip("/"), keep
+
+    def publish(self, rows: DataFrame) -> str:
+        """Write ``rows`` as the newest version; returns its name."""
+        spark = rows.sparkSession
+        known = published(spark, f"{self.root}/versions")
+        number = int(known[-1].split("-")[0]) + 1 if known else 0
+        name = f"{number:012d}-{uuid.uuid4().hex[:12]}"
+        rows.write.parquet(f"{self.root}/data/{name}")
+        publish(spark, f"{self.root}/versions/{name}", json.dumps({"schema": rows.schema.json(), "data": name}))
+        for old in known[: max(0, len(known) + 1 - self.keep)]:
+            remove(spark, f"{self.root}/versions/{old}")
+            remove(spark, f"{self.root}/data/{old}")
+        return name
+
+    def current(self, spark: SparkSession) -> DataFrame:
+        """The newest version whose pointer is whole."""
+        for name in reversed(published(spark, f"{self.root}/versions")):
+            try:
+                held = json.loads(read_text(spark, f"{self.root}/versions/{name}") or "")
+                schema = StructType.fromJson(json.loads(held["schema"]))
+                return spark.read.schema(schema).parquet(f"{self.root}/data/{held['data']}")
+            except (ValueError, KeyError, TypeError):
+                continue  # cut short: the version before it is served
+        raise FileNotFoundError(f"no dimension has been published under {self.root}")

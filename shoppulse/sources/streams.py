@@ -6,21 +6,62 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.codec import decode_orders
+from ..storage import publish, read_text
+
+
+EARLIEST, LATEST = "earliest", "latest"
+START_MARK = "start_position"  # file in the folder of a stream's checkpoints
+
+
+def start_position(spark: SparkSession, folder: str, starting: str = LATEST) -> str:
+    """Where a file stream begins, settled at its first start and kept in ``folder`` afterwards.
+
+    ``earliest``, ``latest`` (what arrives from now on) or a UTC timestamp.  As on a topic,
+    later starts go on from the checkpoint whatever they ask for.
+    """
+    path = f"{folder.rstrip('/')}/{START_MARK}"
+    known = read_text(spark, path)
+    if known:
+        return known
+    if starting == LATEST:
+        at = str(spark.sql("SELECT date_format(current_timestamp(), 'yyyy-MM-dd HH:mm:ss.SSS') AS t").first()["t"])
+    elif starting == EARLIEST:
+        at = EARLIEST
+    else:
+        parsed = spark.sql("SELECT try_to_timestamp(:at) AS t", args={"at": starting}).first()["t"]
+        if parsed is None:
+            raise ValueError(f"start position {starting!r} is neither earliest, latest nor a timestamp")
+        at = starting
+    publish(spark, path, at)
+    return at
 
 
 def file_order_stream(
-    spark: SparkSession, path: str, max_files_per_trigger: int | None = None
+    spark: SparkSession,
+    path: str,
+    max_files_per_trigger: int | None = None,
+    max_bytes_per_trigger: int | None = None,
+    starting: str = EARLIEST,
 ) -> DataFrame:
     """Order events as JSON lines in files under ``path`` (one record per line).
 
     Each line plays the role of a topic record's value: it is decoded with the
-    fixed schema, never inferred.  ``max_files_per_trigger`` caps the intake
-    per micro-batch, like ``maxOffsetsPerTrigger`` on a topic; unset: no cap.
+    fixed schema, never inferred.  ``max_files_per_trigger`` or
+    ``max_bytes_per_trigger`` caps the intake per micro-batch, like
+    ``maxOffsetsPerTrigger`` on a topic; unset: no cap.  ``starting`` (a settled
+    ``start_position``) leaves out files that arrived before that time: they are not
+    opened, since the filter is on the file's own time.
     """
     reader = spark.readStream.format("text")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    return decode_orders(reader.load(path), "value")
+    if max_bytes_per_trigger:
+        reader = reader.option("maxBytesPerTrigger", str(max_bytes_per_trigger))
+    lines = reader.load(path)
+    if starting != EARLIEST:
+        arrived = F.col("_metadata.file_modification_time")
+        lines = lines.filter(arrived >= F.lit(starting).cast("timestamp")).select("value")
+    return decode_orders(lines, "value")
 
 
 def kafka_order_stream(

@@ -50,8 +50,9 @@ from pyspark.sql.types import (
 )
 
 from ..operators.totals import business_date
-from ..operators.user_sets import count_users, user_sets
+from ..operators.user_sets import count_users, first_seen, user_sets
 from ..operators.windows import window_aggregate
+from ..plans.views import kpi_snapshots
 from ..schemas import WINDOW_LENGTH, WINDOW_SLIDE
 from ..storage import children, publish, published, read_text, remove
 
@@ -59,6 +60,10 @@ WINDOWS = "windows"
 WINDOW_SUMS = "window_sums"
 TOTALS = "totals"
 USERS = "users"
+DAYS = "day_totals"
+CLOSED = "closed_windows"
+SEEN = "seen"  # order ids counted so far (``seen.SeenIds``)
+LATE = "late"  # rows dropped behind the watermark (``late_rows.LateRows``)
 
 UNBOUND = "unbound"  # generation of a ledger that is used without a checkpoint
 GENERATION_MARK = "ledger_generation"  # file in a query's checkpoint folder
@@ -103,6 +108,17 @@ SCHEMAS = {
 }
 
 
+SCHEMAS[DAYS] = StructType(
+    [
+        StructField("dt", DateType()),
+        StructField("gmv", DecimalType(28, 2)),
+        StructField("orders", LongType()),
+        StructField("batch_id", LongType()),
+    ]
+)
+SCHEMAS[CLOSED] = SCHEMAS[WINDOWS]
+KINDS = (*SCHEMAS, SEEN, LATE)
+
 # What a folded day holds, where it differs from a delta.
 FOLDED = {
     USERS: StructType(
@@ -169,7 +185,7 @@ class Ledger:
 
     def open(self, spark: SparkSession) -> Ledger:
         """Point a reader at the newest generation of every kind."""
-        for kind in SCHEMAS:
+        for kind in KINDS:
             opened = self._opened(spark, kind)
             if opened:
                 self.generations[kind] = opened[-1]
@@ -200,7 +216,7 @@ class Ledger:
 
     def forget_older(self, spark: SparkSession) -> None:
         """Remove the rows of all generations but the newest."""
-        for kind in SCHEMAS:
+        for kind in KINDS:
             for own in self._opened(spark, kind)[:-1]:
                 remove(spark, f"{self.root.rstrip('/')}/{kind}/{own}")
 
@@ -237,16 +253,30 @@ class Ledger:
         )
         self._write(sums, WINDOW_SUMS, batch_id)
 
+    def write_closed(self, batch_df: DataFrame, batch_id: int) -> None:
+        """Windows that an append-mode query emits, each once, when the watermark has passed them.
+
+        A row is final: it is never replaced by a later batch, only by its own batch run again.
+        """
+        rows = batch_df.select(
+            F.col("window.start").cast("timestamp_ntz").alias("window_start"),
+            F.col("window.end").cast("timestamp_ntz").alias("window_end"),
+            "category",
+            F.col("gmv_dec").cast("double").alias("gmv"),
+            "order_cnt",
+        ).filter(F.col("gmv").isNotNull())
+        self._write(rows, CLOSED, batch_id)
+
     def write_all(self, batch_df: DataFrame, batch_id: int) -> None:
-        """One callback for all three ledgers: the batch is computed once, read three times.
+        """One callback for all ledgers: the batch is computed once, read once for each.
 
-        The batch is cached first (one job), then the three ledger writes run as
+        The batch is cached first (one job), then the ledger writes run as
         concurrent jobs over the cached rows.
         """
         batch_df.persist()
         try:
             batch_df.count()
-            writers = (self.write_window_sums, self.write_totals, self.write_users)
+            writers = (self.write_window_sums, self.write_totals, self.write_days, self.write_users)
             with ThreadPoolExecutor(max_workers=len(writers)) as pool:
                 for done in [pool.submit(w, batch_df, batch_id) for w in writers]:
                     done.result()
@@ -261,6 +291,18 @@ class Ledger:
         )
         self._write(delta, TOTALS, batch_id)
 
+    def write_days(self, batch_df: DataFrame, batch_id: int) -> None:
+        """Totals of the batch by business day."""
+        days = batch_df.groupBy(business_date(offset_hours=self.offset_hours).alias("dt")).agg(
+            F.sum("amount").cast(DecimalType(28, 2)).alias("gmv"), F.count("order_id").alias("orders")
+        )
+        self._write(days, DAYS, batch_id)
+
+    def write_running(self, batch_df: DataFrame, batch_id: int) -> None:
+        """The running totals and those by day, of a query that feeds nothing else."""
+        self.write_totals(batch_df, batch_id)
+        self.write_days(batch_df, batch_id)
+
     def write_users(self, batch_df: DataFrame, batch_id: int) -> None:
         """Distinct (day, user) pairs of the batch; null users are not active users."""
         users = (
@@ -304,7 +346,7 @@ class Ledger:
     def _day(self, kind: str):
         if kind == TOTALS:
             return F.lit(ALL_DAYS)
-        start = F.col("dt") if kind == USERS else F.to_date("window_start")
+        start = F.col("dt") if kind in (USERS, DAYS) else F.to_date("window_start")
         return F.coalesce(F.date_format(start, "yyyy-MM-dd"), F.lit(NO_DAY))
 
     def _folders(self, spark: SparkSession, kind: str, version: Version | None, days=None) -> DataFrame:
@@ -332,6 +374,10 @@ class Ledger:
             return self._newest_windows(rows)
         if kind == WINDOW_SUMS:
             return self._summed_windows(rows)
+        if kind == CLOSED:
+            return rows
+        if kind == DAYS:
+            return self._summed_days(rows)
         return rows.agg(
             F.coalesce(F.sum("gmv"), F.lit(0)).cast(DecimalType(28, 2)).alias("gmv"),
             F.coalesce(F.sum(F.when(F.col("gmv").isNotNull(), F.col("orders"))), F.lit(0))
@@ -411,6 +457,26 @@ class Ledger:
             F.max("batch_id").alias("batch_id"),
         ).select("window_start", "window_end", "category", "gmv", "order_cnt", "batch_id")
 
+    @staticmethod
+    def _summed_days(rows: DataFrame) -> DataFrame:
+        return rows.groupBy("dt").agg(
+            F.sum("gmv").cast(DecimalType(28, 2)).alias("gmv"),
+            F.sum("orders").cast("bigint").alias("orders"),
+            F.max("batch_id").alias("batch_id"),
+        )
+
+    def closed_windows(self, spark: SparkSession, days: list[str] | None = None) -> DataFrame:
+        """All windows that were closed so far, as they were emitted."""
+        folded, deltas = self._parts(spark, CLOSED, days)
+        return folded.unionByName(deltas)
+
+    def kpi_trend(self, spark: SparkSession) -> DataFrame:
+        """The overview as it stood at the end of each day (``views.kpi_trend``), from the ledgers."""
+        folded, deltas = self._parts(spark, DAYS)
+        days = self._summed_days(folded.unionByName(deltas)).select("dt", "gmv", "orders")
+        sets, users = self._parts(spark, USERS)
+        return kpi_snapshots(days, first_seen(user_sets(users.select("dt", "user_id"), sets)))
+
     def window_rows(self, spark: SparkSession, days: list[str] | None = None) -> DataFrame:
         """State of the window hash: one row per (window_start, category), GMV published.
 

@@ -71,12 +71,13 @@ def replay(
     pipe = None
     try:
         for b in batches:
+            if cfg.closed_windows and b == batches[-1]:
+                spark.conf.set(NO_DATA_BATCHES, "true")  # the last watermark closes windows too
             move_files(spark, f"{staged}/batch={b}", inbox, f"{b:06d}-")
             pipe = start_streams(
                 spark, file_order_stream(spark, inbox, max_files_per_trigger=None), dim, cfg
             )
-            for q in pipe.queries.values():
-                q.awaitTermination()
+            pipe.await_all()
     finally:
         spark.conf.set(NO_DATA_BATCHES, before)
         remove(spark, staged)

@@ -85,7 +85,7 @@ def test_ddl_truncate_reload_and_catalogue(spark):
     assert cols == ["id", "sku_name", "category", "price"]
     described = [r["col_name"] for r in spark.sql(f"DESCRIBE {full}").collect()]
     assert described[:4] == cols
-    shown = [r["tableName"] for r in spark.sql("SHOW TABLES IN shop_rt").collect()]
+    shown = [r["tableName"] for r in spark.sql("SHOW TABLES IN shop_rt").collect() if not r["isTemporary"]]
     assert shown == ["sku_dim"]
     create_dimension_table(spark, "a_first", database="shop_rt")
     assert [r["tableName"] for r in list_tables(spark, "shop_rt").collect()] == ["a_first", "sku_dim"]
@@ -108,3 +108,23 @@ def test_jdbc_round_trip_with_pushdown(spark):
     plan = lookup._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [*In(id," in plan
     assert sorted(r["id"] for r in lookup.collect()) == sorted(DIM_SAMPLE_IDS)
+
+
+def test_describe_and_list_by_schema(spark, scratch):
+    from shoppulse.sources.dimension import create_dimension_table, describe_table, tables_by_schema
+
+    name = create_dimension_table(spark, "sku_listing", "dims_k10", scratch + "/sku_listing")
+    create_dimension_table(spark, "another", "dims_k10", scratch + "/another")
+    try:
+        got = [tuple(r) for r in describe_table(spark, name).orderBy("position").collect()]
+        assert got == [
+            (1, "id", "bigint", True), (2, "sku_name", "string", True),
+            (3, "category", "string", True), (4, "price", "decimal(10,2)", True),
+        ]
+        listed = [r["table_name"] for r in tables_by_schema(spark, "dims_k10").collect()]
+        assert listed == ["another", "sku_listing"]
+        (row,) = tables_by_schema(spark, "dims_k10", "another").collect()
+        assert (row["table_schema"], row["table_name"]) == ("dims_k10", "another")
+        assert tables_by_schema(spark, "dims_k10", "missing").count() == 0
+    finally:
+        spark.sql("DROP DATABASE dims_k10 CASCADE")
