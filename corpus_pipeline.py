@@ -22,7 +22,7 @@ from shoppulse.llm import (
     quality_rules,
     suffix_tree_dedup,
 )
-from shoppulse.llm.common import learnable, read, stored
+from shoppulse.llm.common import bounded_batches, discard, learnable, read, stored
 
 # near copies: Jaccard similarity of SIMILAR_PERCENT per cent of the SHINGLE_WORDS-word shingles
 SHINGLE_WORDS = 5
@@ -41,24 +41,25 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Where no label can be learned from, every text with a letter stays.
     """
+    bounded_batches(spark)
     may = learnable("doc_id", kernel_langid.FOLDS, kernel_langid.HELD)
     return kernel_langid.known_language(docs, kernel_langid.train(docs.filter(may)))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of similar shingle sets."""
-    kept = grouped_prefix_join.one_of_each(docs, SIMILAR_PERCENT, SHINGLE_WORDS)
-    return kept.select(*docs.columns)
+    return grouped_prefix_join.one_of_each(docs, SIMILAR_PERCENT, SHINGLE_WORDS)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the passages that a smaller doc_id holds; n_chars follows the text."""
-    cut = suffix_tree_dedup.remove_repeats(docs)
+    cut = suffix_tree_dedup.cut_rows(docs)
+    made = {"text": F.col("text")}
     if "n_chars" in docs.columns:
         changed = F.col(suffix_tree_dedup.N_REMOVED) > 0
         size = F.when(changed, F.length("text").cast("long"))
-        cut = cut.withColumn("n_chars", F.coalesce(size, "n_chars"))
-    return cut.select(*docs.columns)
+        made["n_chars"] = F.coalesce(size, "row.n_chars")
+    return cut.select(*(made.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -79,7 +80,10 @@ ORACLE_SQL: str | None = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``."""
-    docs = read(spark, sf_dir, "documents")
+    docs, before = read(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
         docs = stored(spark, stage(spark, docs, sf_dir), "pipeline-" + name.replace(" ", "-"))
+        if before is not None:
+            discard(before)
+        before = docs
     return docs

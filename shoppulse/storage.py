@@ -28,14 +28,27 @@ def children(spark: SparkSession, path: str) -> list[str]:
     return sorted(status.getPath().getName() for status in fs.listStatus(p))
 
 
-def move_files(spark: SparkSession, source: str, target: str, prefix: str) -> None:
-    """Move the data files of one folder into another under new names."""
+def move_files(spark: SparkSession, source: str, target: str, prefix: str) -> list[str]:
+    """Move the data files of one folder into another under new names; returns their paths."""
     _, fs = _fs(spark, source)
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
     fs.mkdirs(path(target))
+    moved = []
     for name in children(spark, source):
         if not name.startswith(("_", ".")):
-            fs.rename(path(f"{source}/{name}"), path(f"{target}/{prefix}{name}"))
+            moved.append(f"{target}/{prefix}{name}")
+            fs.rename(path(f"{source}/{name}"), path(moved[-1]))
+    return moved
+
+
+def set_modified(spark: SparkSession, paths: list[str], millis: int) -> bool:
+    """Give files a modification time; False where the file system keeps its own."""
+    for name in paths:
+        p, fs = _fs(spark, name)
+        fs.setTimes(p, millis, -1)
+        if fs.getFileStatus(p).getModificationTime() != millis:
+            return False
+    return True
 
 
 def publish(spark: SparkSession, path: str, text: str) -> None:

@@ -1,11 +1,13 @@
 """Replay a table through the streaming pipeline, one micro-batch per arrival batch.
 
-Used for backfills and for checking stream = batch.  The table is staged once
-(one parallel job, partitioned by arrival batch).  Then, per batch, its files
-are moved into the stream's input folder and the pipeline is restarted from its checkpoint with an ``availableNow`` trigger: the files
-are complete before the query looks, so micro-batch N holds exactly arrival
-batch N on any file system, and the checkpoint carries offsets and state from
-one batch to the next.  The driver loop runs over batch ids only, never rows.
+Used for backfills and for checking stream = batch.  The table is staged once (one parallel
+job, ``FILE_ROWS`` rows a file or less, equally many files for every arrival batch) and its
+files get modification times in arrival order.  The file source admits files in that order
+and as many a trigger as a batch has, so one run of the query takes micro-batch N from
+arrival batch N.  Where the batches do not have equally many files, or the file system keeps
+modification times to itself, the query is restarted from its checkpoint for every batch
+instead, whose files are complete before it looks.  The driver loop runs over batch ids
+only, never rows.
 """
 
 from __future__ import annotations
@@ -18,10 +20,11 @@ from pyspark.sql import functions as F
 from ..functions.codec import encode_orders
 from ..session import checkpoint_root
 from ..sources.streams import file_order_stream
-from ..storage import children, move_files, remove
+from ..storage import children, move_files, remove, set_modified
 from .streams import MetricStreams, StreamConfig, start_streams
 
 NO_DATA_BATCHES = "spark.sql.streaming.noDataMicroBatches.enabled"
+FILE_ROWS = 2_000_000  # orders a staged file is meant to hold, were all batches equal
 
 
 def range_batches(df: DataFrame, column: str, n: int) -> Column:
@@ -37,22 +40,39 @@ def range_batches(df: DataFrame, column: str, n: int) -> Column:
     return F.floor((F.col(column) - F.lit(lo)) * F.lit(n) / F.lit(width)).cast("bigint")
 
 
-def stage_arrivals(orders: DataFrame, batch: Column, folder: str) -> list[int]:
-    """Write orders as JSON lines under ``folder/batch=N``; return the batch ids in order."""
+def stage_arrivals(orders: DataFrame, batch: Column, folder: str, files: int | None = None) -> list[int]:
+    """Write orders as JSON lines under ``folder/batch=N``, in up to ``files`` files; the batch ids in order."""
     lines = encode_orders(orders.withColumn("batch", batch), keep=("batch",)).select(
         "batch", F.col("json").alias("value")
     )
+    if files:
+        lines = lines.repartition("batch", F.pmod(F.xxhash64("value"), F.lit(files)))
     lines.write.partitionBy("batch").mode("overwrite").text(folder)
     names = children(orders.sparkSession, folder)
     return sorted(int(n.split("=")[1]) for n in names if n.startswith("batch="))
 
 
+def _in_order(spark: SparkSession, staged: str, inbox: str, batches: list[int], files: int) -> bool:
+    """Put all staged files into the inbox in arrival order; False if they cannot be told apart."""
+    held = {b: [n for n in children(spark, f"{staged}/batch={b}") if not n.startswith(("_", "."))] for b in batches}
+    if any(len(names) != files for names in held.values()):
+        return False
+    start = 1_000_000_000_000
+    first = [f"{staged}/batch={batches[0]}/{name}" for name in held[batches[0]]]
+    if not set_modified(spark, first, start):
+        return False
+    for k, b in enumerate(batches):
+        set_modified(spark, move_files(spark, f"{staged}/batch={b}", inbox, f"{b:012d}-"), start + 1000 * k)
+    return True
+
+
 def replay(
     spark: SparkSession,
     orders: DataFrame,
     batch: Column,
     dim: DataFrame,
     cfg: StreamConfig | None = None,
+    one_run: bool = True,
 ) -> MetricStreams:
     """Run the pipeline over ``orders`` in arrival-batch order; return it (stopped).
 
@@ -63,25 +83,29 @@ def replay(
     cfg.root = cfg.root or f"{run}/streams"
     cfg.trigger = {"availableNow": True}
     staged, inbox = f"{run}/staged", f"{run}/inbox"
-    batches = stage_arrivals(orders, batch, staged)
+    files = max(1, -(-orders.count() // FILE_ROWS))
+    batches = stage_arrivals(orders, batch, staged, files)
+    if not batches:
+        raise ValueError("nothing to replay")
     before = spark.conf.get(NO_DATA_BATCHES, "true")
-    # One micro-batch per arrival batch: no extra no-data batches in between
-    # (the next data batch evicts expired state just the same).
-    spark.conf.set(NO_DATA_BATCHES, "false")
-    pipe = None
+
+    def run_once(files_per_trigger: int | None, last: bool) -> MetricStreams:
+        # One micro-batch per arrival batch: no further no-data batch (the next data batch
+        # evicts expired state just the same), but for the last watermark to close windows.
+        spark.conf.set(NO_DATA_BATCHES, "true" if cfg.closed_windows and last else "false")
+        stream = file_order_stream(spark, inbox, max_files_per_trigger=files_per_trigger)
+        pipe = start_streams(spark, stream, dim, cfg)
+        pipe.await_all()
+        return pipe
+
     try:
+        if one_run and _in_order(spark, staged, inbox, batches, files):
+            return run_once(files, True)
         for b in batches:
-            if cfg.closed_windows and b == batches[-1]:
-                spark.conf.set(NO_DATA_BATCHES, "true")  # the last watermark closes windows too
-            move_files(spark, f"{staged}/batch={b}", inbox, f"{b:06d}-")
-            pipe = start_streams(
-                spark, file_order_stream(spark, inbox, max_files_per_trigger=None), dim, cfg
-            )
-            pipe.await_all()
+            move_files(spark, f"{staged}/batch={b}", inbox, f"{b:012d}-")
+            pipe = run_once(None, b == batches[-1])
+        return pipe
     finally:
         spark.conf.set(NO_DATA_BATCHES, before)
         remove(spark, staged)
         remove(spark, inbox)
-    if pipe is None:
-        raise ValueError("nothing to replay")
-    return pipe
