@@ -16,7 +16,7 @@ from collections.abc import Callable
 
 import numpy as np
 
-from .common import mix
+from .common import span_hashes
 
 PLAIN_LIMIT = 0x250  # Basic Latin .. Latin Extended-B
 CACHE_ENTRIES = 1_000_000  # distinct pre-tokens kept by a worker, about 80 bytes each
@@ -140,24 +140,9 @@ class PieceCache:
         self._index()
 
 
-_A = np.uint64(0x9E3779B97F4A7C15)
-_B = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
-_POW: list[np.ndarray] = []
-
-
 def piece_keys(cps: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    if not _POW or len(_POW[0]) < len(cps):
-        size = 1 << max(16, int(len(cps)).bit_length())
-        _POW.clear()
-        for base in (_A, _B):
-            p = np.full(size, base, dtype=np.uint64)
-            p[0] = 1
-            _POW.append(np.cumprod(p))
-    run = np.empty(len(cps) + 1, dtype=np.uint64)
-    run[0] = 0
-    np.multiply(cps + np.uint32(1), _POW[0][: len(cps)], out=run[1:], dtype=np.uint64, casting="unsafe")
-    np.cumsum(run, out=run)
-    return mix((run[ends] - run[starts]) * _POW[1][starts] + (ends - starts).astype(np.uint64))
+    """A 64-bit key of each pre-token; plain characters take two bytes."""
+    return span_hashes(cps.astype("<u2").view(np.uint8), 2 * starts, 2 * ends)
 
 
 def encode_plain(texts: list[str], cache: PieceCache) -> list[np.ndarray]:

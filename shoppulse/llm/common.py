@@ -7,6 +7,7 @@ decoding it.  Python's ``bytes.split()`` uses exactly the same separators.
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -20,6 +21,8 @@ from ..session import checkpoint_root, ensure_checkpoint_dir
 from ..storage import remove
 
 SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+BATCH_ROWS = 2000
 BLOCK_BYTES = 1 << 20  # text bytes worked on at once inside a task
 _LUT = np.zeros(256, dtype=bool)
 _LUT[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
@@ -28,7 +31,6 @@ WORD_REGEX = r"[^\x20\x09-\x0D]+"
 _M1 = np.uint64(0xFF51AFD7ED558CCD)
 _M2 = np.uint64(0xC4CEB9FE1A85EC53)
 _P = np.uint64(0x9E3779B97F4A7C15)
-_P_INV = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _S33 = np.uint64(33)
 
 
@@ -36,7 +38,14 @@ def table(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """Texts go to Python ``BATCH_ROWS`` rows at a time or fewer; JVM and worker hold a batch each."""
+    if int(spark.conf.get(ARROW_ROWS)) > BATCH_ROWS:
+        spark.conf.set(ARROW_ROWS, str(BATCH_ROWS))
+
+
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bounded_batches(spark)
     return spark.read.parquet(table(sf_dir, name))
 
 
@@ -53,6 +62,7 @@ def held_out(doc_id: Column | str, folds: int, held: int) -> Column:
 def shared_path(spark: SparkSession, label: str) -> str:
     """A fresh path in the folder all executors share."""
     ensure_checkpoint_dir(spark)
+    bounded_batches(spark)
     return f"{checkpoint_root(spark)}/llm/{label}-{uuid.uuid4().hex[:12]}"
 
 
@@ -143,33 +153,32 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-_POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-
-
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    size = max(BLOCK_BYTES + 1, 1 << int(n).bit_length())
-    if size not in _POWERS:
-        _POWERS.clear()
-        made = []
-        for base in (_P, _P_INV):
-            p = np.full(size, base, dtype=np.uint64)
-            p[0] = 1
-            made.append(np.cumprod(p))
-        _POWERS[size] = tuple(made)
-    return _POWERS[size]
+LONG_SPAN = 256  # bytes beyond which a span is hashed on its own
+_FULL = np.uint64((1 << 64) - 1)
 
 
 def span_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hash of each span of bytes (equal bytes, equal hash), from one running sum."""
+    """64-bit hash of each span of bytes (equal bytes, equal hash), mixed after every 8 bytes."""
+    size = ends - starts
     if len(starts) == 0:
         return np.zeros(0, np.uint64)
-    power, inverse = _powers(len(raw))
-    run = np.empty(len(raw) + 1, dtype=np.uint64)
-    run[0] = 0
-    np.multiply(raw, power[: len(raw)], out=run[1:], dtype=np.uint64, casting="unsafe")
-    np.cumsum(run, out=run)
-    value = (run[ends] - run[starts]) * inverse[starts]
-    return mix(value ^ ((ends - starts).astype(np.uint64) * _M2))
+    room = np.concatenate([raw, np.zeros(8, np.uint8)])
+    words = np.ndarray((len(raw) + 1,), "<u8", buffer=room, strides=(1,))  # 8 bytes from every place
+    out = mix(size.astype(np.uint64) * _P + _M2)
+    at = 0
+    who = np.flatnonzero((size > 0) & (size <= LONG_SPAN))
+    while len(who):
+        rest = size[who] - at
+        value = words[starts[who] + at]
+        short = np.flatnonzero(rest < 8)
+        value[short] &= _FULL >> (np.uint64(8) * (8 - rest[short]).astype(np.uint64))
+        out[who] = mix(out[who] ^ value) * _P
+        at += 8
+        who = who[rest > 8]
+    for k in np.flatnonzero(size > LONG_SPAN):
+        digest = hashlib.blake2b(raw[starts[k] : ends[k]].tobytes(), digest_size=8).digest()
+        out[k] = np.frombuffer(digest, "<u8")[0]
+    return out
 
 
 def window_hashes(words: np.ndarray, width: int, seed: int = 1) -> np.ndarray:
