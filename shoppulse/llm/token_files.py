@@ -44,8 +44,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..storage import remove
 from .best_fit_packing import JsonCodec
-from .common import partitions, read, shared_path, shuffle_cleanup, stored
+from .common import ARROW_ROWS, partitions, read, shared_path, shuffle_cleanup, stored
 
 END_ID = 2
 BLOCK = 1 << 14  # ids a block
@@ -56,7 +57,6 @@ SLICE = 1000  # texts tokenised at once
 
 MAGIC = b"IDBITS01"
 HEADER = struct.Struct("<8sIIIIQQQ")
-ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 # ---- packing ------------------------------------------------------------------------
@@ -107,27 +107,56 @@ def padded(n):
     return (n + 63) // 64 * 64
 
 
-def write_file(width: int, bucket: int, number: int, docs: list, sizes: np.ndarray, ids: np.ndarray) -> bytes:
-    """The bytes of one file: documents ``docs`` of ``sizes`` ids each, ``ids`` in a row."""
-    blocks = -(-len(ids) // BLOCK)
-    body, offsets = [], [0]
-    for a in range(0, len(ids), BLOCK):
-        part = ids[a : a + BLOCK]
-        full = np.zeros(padded(len(part)), dtype=np.uint32)
-        full[: len(part)] = part
-        body.append(pack_ids(full, width).astype("<u8").tobytes())
-        offsets.append(offsets[-1] + len(body[-1]))
-    first = np.append(0, np.cumsum(sizes)).astype("<i8")
-    return b"".join(
-        [
-            HEADER.pack(MAGIC, width, BLOCK, bucket, number, len(docs), len(ids), blocks),
-            np.array([0 if d is None else d for d in docs], dtype="<i8").tobytes(),
-            np.array([d is not None for d in docs], dtype=np.uint8).tobytes(),
-            first.tobytes(),
-            np.array(offsets, dtype="<u8").tobytes(),
-            *body,
-        ]
-    )
+class FileWriter:
+    """One file in the making; full blocks are packed at once."""
+
+    def __init__(self, width: int, bucket: int = 0, number: int = 0):
+        self.width, self.bucket, self.number = width, bucket, number
+        self.docs: list[int | None] = []
+        self.sizes: list[int] = []
+        self.size = 0
+        self._open: list[np.ndarray] = []  # ids of the blocks not packed yet
+        self._waiting = 0
+        self._body: list[bytes] = []
+        self._offsets = [0]
+
+    def add(self, doc: int | None, ids: np.ndarray) -> None:
+        self.docs.append(doc)
+        self.sizes.append(len(ids))
+        self.size += len(ids)
+        self._open.append(ids)
+        self._waiting += len(ids)
+        if self._waiting >= 16 * BLOCK:
+            self._pack(self._waiting // BLOCK)
+
+    def _pack(self, blocks: int) -> None:
+        ids = np.concatenate(self._open)
+        whole, rest = ids[: blocks * BLOCK], ids[blocks * BLOCK :]
+        data = np.zeros(padded(len(whole)), dtype=np.uint32)
+        data[: len(whole)] = whole
+        packed = pack_ids(data, self.width).astype("<u8").tobytes()
+        self._body.append(packed)
+        step = BLOCK * self.width // 8
+        first = self._offsets[-1]
+        self._offsets += [min(first + k * step, first + len(packed)) for k in range(1, blocks + 1)]
+        self._open, self._waiting = [rest], len(rest)
+
+    def closed(self) -> bytes:
+        """The file's bytes."""
+        if self._waiting:
+            self._pack(-(-self._waiting // BLOCK))
+        first = np.append(0, np.cumsum(self.sizes)).astype("<i8")
+        blocks = len(self._offsets) - 1
+        return b"".join(
+            [
+                HEADER.pack(MAGIC, self.width, BLOCK, self.bucket, self.number, len(self.docs), self.size, blocks),
+                np.array([0 if d is None else d for d in self.docs], dtype="<i8").tobytes(),
+                np.array([d is not None for d in self.docs], dtype=np.uint8).tobytes(),
+                first.tobytes(),
+                np.array(self._offsets, dtype="<u8").tobytes(),
+                *self._body,
+            ]
+        )
 
 
 class TokenFile:
@@ -234,25 +263,10 @@ def _unpacked(batch: pa.RecordBatch, width: int) -> list[np.ndarray]:
     return [ids[a : a + size] for a, size in zip(first, n)]
 
 
-class _Open:
-    """The file that is being filled."""
-
-    def __init__(self, width: int, bucket: int, number: int):
-        self.width, self.bucket, self.number = width, bucket, number
-        self.docs, self.parts, self.size = [], [], 0
-
-    def add(self, doc, ids: np.ndarray) -> None:
-        self.docs.append(doc)
-        self.parts.append(ids)
-        self.size += len(ids)
-
-    def closed(self) -> pa.RecordBatch:
-        sizes = np.array([len(p) for p in self.parts], dtype=np.int64)
-        data = write_file(self.width, self.bucket, self.number, self.docs, sizes, np.concatenate(self.parts))
-        return pa.RecordBatch.from_arrays([pa.array([data], pa.binary())], names=["data"])
-
-
 def _files(width: int, ids_per_file: int):
+    def row(file: FileWriter) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([file.closed()], pa.binary())], names=["data"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         file = None
         for batch in batches:
@@ -267,14 +281,14 @@ def _files(width: int, ids_per_file: int):
                         if file is not None and (
                             file.bucket != bucket or file.size + len(ids) > ids_per_file
                         ):
-                            yield file.closed()
+                            yield row(file)
                             number = file.number + 1 if file.bucket == bucket else 0
-                            file = _Open(width, bucket, number)
+                            file = FileWriter(width, bucket, number)
                         elif file is None:
-                            file = _Open(width, bucket, 0)
+                            file = FileWriter(width, bucket)
                         file.add(doc, ids)
         if file is not None:
-            yield file.closed()
+            yield row(file)
 
     return run
 
@@ -384,4 +398,6 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     path = shared_path(spark, "token-files")
     write_tokens(read(spark, sf_dir, "documents"), tokens.path("byte_bpe_50k.json"), path)
-    return read_documents(spark, path)
+    found = read_documents(spark, path)
+    remove(spark, path)  # what was read back is a table of its own
+    return found
