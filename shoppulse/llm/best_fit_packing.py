@@ -5,10 +5,12 @@
 2. The histogram of piece lengths (at most ``capacity`` numbers, whatever the
    corpus) goes to the driver.  A configuration is a multiset of lengths that fits
    one sequence; the covering program over configurations is solved by
-   multiplicative weights: each step prices the lengths, a knapsack dynamic program
-   finds the most valuable configuration, and the lengths it covers get cheaper.
-3. The fractional solution is rounded down to whole sequences; the rest is packed by
-   filling each largest piece as exactly as the knapsack allows.
+   multiplicative weights: the lengths are priced by how far they are covered, a knapsack
+   dynamic program finds the most valuable configurations, and what they cover gets
+   cheaper, until every length is covered (``Cover`` states the gap to the bound).
+3. Shares of the fractional solution are rounded to whole sequences; the rest is packed by
+   filling the largest piece's sequence exactly where the stock allows.  The share that
+   needs the fewest sequences is taken, or filling alone where that needs fewer.
 4. The plan says, for each length, which ranks go to which configuration, sequence
    and offset.  It has a bounded number of rows, so every task can look up its own
    pieces; nothing but the histogram is gathered.
@@ -35,8 +37,10 @@ from .common import stored
 
 CAPACITY = 1024
 END_ID = 2
-STEPS = 600
-ETA = 0.5
+STEPS = 16  # a configuration covers at most this part of a length's demand
+ETA = 0.02
+REPRICE = 16  # configurations taken at the same prices
+SHARES = tuple(1.0 - k / 20 for k in range(11))  # of the solution that is rounded, tried in turn
 
 PIECES = (
     "block int, local_rank long, doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -141,56 +145,86 @@ def _tokenise(path: str, end_id: int, capacity: int):
 # ---- the program over the histogram ------------------------------------------
 
 
-def best_configuration(value: np.ndarray, capacity: int) -> dict[int, int]:
-    """Most valuable multiset of lengths with total at most ``capacity`` (unbounded knapsack).
+def price_table(value: np.ndarray, capacity: int) -> np.ndarray:
+    """Unbounded knapsack: the last length taken (0: none) of the most valuable multiset of each total.
 
     ``value[l]`` is the worth of one piece of length ``l`` (0: not offered).
     """
     best = np.zeros(capacity + 1)
     pick = np.zeros(capacity + 1, dtype=np.int64)
-    for c in range(1, capacity + 1):
-        total = best[c - 1 :: -1][:c] + value[1 : c + 1]
+    offered = np.flatnonzero(value[1 : capacity + 1] > 0) + 1
+    worth = value[offered]
+    for c in range(int(offered[0]) if len(offered) else capacity + 1, capacity + 1):
+        n = int(np.searchsorted(offered, c, side="right"))
+        total = best[c - offered[:n]] + worth[:n]
         at = int(total.argmax())
         if total[at] > best[c - 1]:
-            best[c], pick[c] = total[at], at + 1
+            best[c], pick[c] = total[at], offered[at]
         else:
-            best[c], pick[c] = best[c - 1], 0
+            best[c] = best[c - 1]
+    return pick
+
+
+def filling(pick: np.ndarray, room: int) -> dict[int, int]:
+    """The most valuable multiset within ``room``, read off a price table."""
     config: dict[int, int] = {}
-    c = capacity
-    while c > 0:
-        size = int(pick[c])
+    while room > 0:
+        size = int(pick[room])
         if size:
             config[size] = config.get(size, 0) + 1
-            c -= size
-        else:
-            c -= 1
+        room -= size or 1
     return config
 
 
-def solve_program(counts: np.ndarray, capacity: int, steps: int = STEPS, eta: float = ETA):
-    """Fractional cover by multiplicative weights: [(configuration, sequences)], scaled to the need."""
+def best_configuration(value: np.ndarray, capacity: int) -> dict[int, int]:
+    """Most valuable multiset of lengths with total at most ``capacity``."""
+    return filling(price_table(value, capacity), capacity)
+
+
+@dataclass
+class Cover:
+    """A feasible fractional solution: sequences of each configuration, and how good it is."""
+
+    amounts: dict[tuple, float]  # configuration as sorted (length, times) pairs
+    covered: np.ndarray  # pieces of each length that the configurations hold
+    gap: float  # sequences over the volume bound, less 1
+
+
+def solve_program(counts: np.ndarray, capacity: int, steps: int = STEPS, eta: float = ETA) -> Cover:
+    """Covering program by multiplicative weights; it ends when every length is covered.
+
+    A piece of length l is worth l times a weight that falls by the factor exp(-eta) for each
+    ``1 / steps`` of its demand by which it is ahead of the length that is covered least.
+    That length opens the next configuration and the knapsack program fills it; the
+    configuration is taken until the first of its lengths has gained ``1 / steps``.  Prices are
+    found anew after every ``REPRICE`` configurations.
+    """
     need = counts.astype(float)
-    present = need > 0
-    weight = present.astype(float)
+    lengths = np.arange(capacity + 1)
     covered = np.zeros(capacity + 1)
-    taken: dict[tuple, float] = {}
-    for _ in range(steps):
-        price = np.divide(weight, need, out=np.zeros(capacity + 1), where=present)
-        top = price.max()
-        if top <= 0:
+    amounts: dict[tuple, float] = {}
+    share = np.where(need > 0, 0.0, np.inf)  # of the demand that is covered
+    pick, age = None, 0
+    while True:
+        least = int(share.argmin())
+        if share[least] >= 1 - 1e-9:
             break
-        config = best_configuration(price / top, capacity)
+        if pick is None or age >= REPRICE:
+            ahead = np.minimum((share - share[least]) * steps, 60.0)
+            value = np.where(share < 1 - 1e-9, lengths * np.exp(-eta * ahead), 0.0)
+            pick, age = price_table(value, capacity), 0
+        config = filling(pick, capacity - least)
+        config[least] = config.get(least, 0) + 1
+        age += 1
         sizes = np.array(list(config), dtype=np.int64)
         times = np.array(list(config.values()), dtype=float)
-        amount = float((need[sizes] / times).min())
-        gain = amount * times / need[sizes]
-        covered[sizes] += gain
-        weight[sizes] *= np.exp(-eta * gain)
-        weight /= max(weight.max(), 1e-300)
+        amount = float((need[sizes] / times).min()) / steps
+        covered[sizes] += amount * times
+        share[sizes] = covered[sizes] / need[sizes]
         key = tuple(sorted(config.items()))
-        taken[key] = taken.get(key, 0.0) + amount
-    rounds = max(1.0, float(np.median(covered[present])) if present.any() else 1.0)
-    return [(dict(k), x / rounds) for k, x in taken.items()]
+        amounts[key] = amounts.get(key, 0.0) + amount
+    volume = float((need * lengths).sum()) / capacity
+    return Cover(amounts, covered, sum(amounts.values()) / volume - 1 if volume else 0.0)
 
 
 def _clip(config: dict[int, int], left: np.ndarray) -> int:
@@ -198,52 +232,91 @@ def _clip(config: dict[int, int], left: np.ndarray) -> int:
 
 
 def _fill(left: np.ndarray, capacity: int) -> dict[int, int]:
-    """The largest piece left, and a filling of the rest of its sequence as exact as stock allows."""
+    """The largest piece left, and the pieces in stock that fill its sequence best.
+
+    Reachable totals are the bits of a number, the larger pieces first; it stops at an
+    exact filling.
+    """
     largest = int(np.flatnonzero(left)[-1])
-    config = {largest: 1}
-    stock = left.copy()
-    stock[largest] -= 1
     room = capacity - largest
-    while room > 0:
-        offered = np.flatnonzero(stock[: room + 1])
-        if len(offered) == 0:
-            break
-        value = np.zeros(room + 1)
-        value[offered] = offered * (1.0 + 1e-6 * offered / capacity)  # prefers few, large pieces
-        more = best_configuration(value, room)
-        used = 0
-        for size, times in sorted(more.items(), reverse=True):
-            times = min(times, int(stock[size]))
-            if times:
-                config[size] = config.get(size, 0) + times
-                stock[size] -= times
-                used += size * times
-        room -= used
-        if not used:
+    stock = left[: room + 1].copy()
+    if largest <= room:
+        stock[largest] -= 1
+    mask, reach, trail = (1 << (room + 1)) - 1, 1, []
+    for size in np.flatnonzero(stock)[::-1].tolist():
+        for _ in range(min(int(stock[size]), room // size)):
+            more = reach | (reach << size & mask)
+            if more == reach:
+                break
+            trail.append((size, reach))
+            reach = more
+        if reach >> room:
             break
+    total = reach.bit_length() - 1
+    config = {largest: 1}
+    for size, before in reversed(trail):
+        if not before >> total & 1:
+            config[size] = config.get(size, 0) + 1
+            total -= size
     return config
 
 
-def round_program(counts: np.ndarray, fractional, capacity: int) -> list[tuple[dict[int, int], int]]:
-    """Whole sequences: [(configuration, how many)] that use every piece exactly once."""
-    left = counts.astype(np.int64).copy()
-    plan: list[tuple[dict[int, int], int]] = []
-    fullness = lambda c: sum(size * times for size, times in c.items())
-    for config, amount in sorted(fractional, key=lambda x: (-fullness(x[0]), sorted(x[0].items()))):
-        whole = min(int(amount), _clip(config, left))
-        if whole > 0 and fullness(config) >= 0.98 * capacity:
-            plan.append((config, whole))
-            for size, times in config.items():
-                left[size] -= whole * times
+Plan = list[tuple[dict[int, int], int]]
+
+
+def _taken(plan: Plan, left: np.ndarray, config: dict[int, int], whole: int) -> None:
+    plan.append((config, whole))
+    for size, times in config.items():
+        left[size] -= whole * times
+
+
+def _filled(plan: Plan, left: np.ndarray, capacity: int) -> Plan:
+    """``plan`` and sequences for the pieces that are left, the largest first."""
     while left.any():
         config = _fill(left, capacity)
-        whole = _clip(config, left)
-        plan.append((config, whole))
-        for size, times in config.items():
-            left[size] -= whole * times
+        _taken(plan, left, config, _clip(config, left))
     return plan
 
 
+def sequences(plan: Plan) -> int:
+    return sum(whole for _, whole in plan)
+
+
+def round_program(counts: np.ndarray, cover: Cover, capacity: int, share: float = 1.0) -> tuple[Plan, int]:
+    """Whole sequences [(configuration, how many)] that use every piece exactly once.
+
+    ``share`` of the fractional amounts is rounded down so that the running sum is kept,
+    configurations of large pieces first, and cut to the pieces there are; the rest is
+    filled up.  Configurations that leave room are left to the filling too.  Also
+    returns how many sequences come from the program.
+    """
+    left = counts.astype(np.int64).copy()
+    plan: Plan = []
+    carry = 0.0
+    for key in sorted(cover.amounts, key=lambda k: (-k[0][0], k)):  # by the smallest length
+        if sum(size * times for size, times in key) < capacity:
+            continue
+        carry = min(carry, 1.0) + cover.amounts[key] * (share if len(key) > 1 else 1.0)
+        config = dict(key)
+        whole = min(int(carry + 1e-9), _clip(config, left))
+        if whole > 0:
+            _taken(plan, left, config, whole)
+            carry -= whole
+    from_program = sequences(plan)
+    return _filled(plan, left, capacity), from_program
+
+
+def best_plan(counts: np.ndarray, capacity: int) -> tuple[Plan, int]:
+    """The best rounding of the program, or plain filling where that needs fewer sequences.
+
+    A smaller share leaves more of every length to the filling; each is tried.
+    """
+    cover = solve_program(counts, capacity)
+    plans = [round_program(counts, cover, capacity, share) for share in SHARES]
+    plans.append((_filled([], counts.astype(np.int64).copy(), capacity), 0))
+    return min(plans, key=lambda made: (sequences(made[0]), -made[1]))
+
+
 @dataclass
 class Layout:
     """For each length, intervals of ranks with the sequences and offsets they go to."""
@@ -315,7 +388,7 @@ def pack(
     histogram = np.zeros(capacity + 1, dtype=np.int64)
     for row in counts.groupBy("length").agg(F.sum("n").alias("n")).collect():  # <= capacity rows
         histogram[row["length"]] = row["n"]
-    plan = layout(round_program(histogram, solve_program(histogram, capacity), capacity), capacity)
+    plan = layout(best_plan(histogram, capacity)[0], capacity)
     earlier = Window.partitionBy("length").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     before = counts.select(
         "length", "block", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before")
