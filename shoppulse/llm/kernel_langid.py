@@ -20,7 +20,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -115,28 +115,30 @@ def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def train(docs: DataFrame) -> Model | None:
-    """Model from at most about ``ROWS_PER_LANGUAGE`` learnable rows of each language."""
-    rows = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull())
+    """Model from at most ``ROWS_PER_LANGUAGE`` learnable rows of each language.
+
+    Rows are drawn by a hash of doc_id and text; equal rows are drawn once.  The bound is kept
+    on the executors, so no more rows than that come back, however often a doc_id repeats.
+    """
+    rows = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull()).select("doc_id", "text", "lang")
     counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     if not counts:
         return None
     share = F.create_map(
         *(F.lit(x) for lang, n in counts.items() for x in (lang, min(1.0, 1.25 * ROWS_PER_LANGUAGE / n)))
     )
-    u = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    sample = (
+    u = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 52)) / F.lit(float(1 << 52))
+    first = Window.partitionBy("lang").orderBy("u")  # the limit is applied in the map task too
+    drawn = (
         rows.withColumn("u", u)
         .filter(F.col("u") < share[F.col("lang")])
-        .select("text", "lang", "u")
         .mapInArrow(_pack, "lang string, u double, bits binary")
-        .collect()
+        .groupBy("lang", "u")
+        .agg(F.min("bits").alias("bits"))
+        .withColumn("r", F.row_number().over(first))
+        .filter(F.col("r") <= ROWS_PER_LANGUAGE)
     )
-    sample.sort(key=lambda r: (r["lang"], r["u"], r["bits"]))
-    kept, seen = [], {}
-    for r in sample:
-        seen[r["lang"]] = seen.get(r["lang"], 0) + 1
-        if seen[r["lang"]] <= ROWS_PER_LANGUAGE:
-            kept.append(r)
+    kept = sorted(drawn.select("lang", "u", "bits").collect(), key=lambda r: (r["lang"], r["u"]))
     if not kept:
         return None
     bits = np.frombuffer(b"".join(bytes(r["bits"]) for r in kept), dtype=np.uint8)
@@ -178,11 +180,25 @@ def _predict_map(model: Model | None):
     return run
 
 
+def _carried(docs: DataFrame) -> DataFrame:
+    """``row`` (all columns, whatever their names) beside the text."""
+    return docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), "text")
+
+
+def _scored(docs: DataFrame, model: Model | None) -> DataFrame:
+    """row, text and the language (``PREDICTED``) and score (``SCORE``) of each whole text."""
+    rows = _carried(docs)
+    schema = T.StructType(list(rows.schema)).add(PREDICTED, T.StringType()).add(SCORE, T.DoubleType())
+    return rows.mapInArrow(_predict_map(model), schema)
+
+
 def identify(docs: DataFrame, model: Model | None) -> DataFrame:
-    """``docs`` with the language (``PREDICTED``) and score (``SCORE``) of each whole text."""
-    columns = [f for f in docs.schema.fields if f.name not in (PREDICTED, SCORE)]
-    schema = T.StructType(list(columns)).add(PREDICTED, T.StringType()).add(SCORE, T.DoubleType())
-    return docs.select(*(f"`{f.name}`" for f in columns)).mapInArrow(_predict_map(model), schema)
+    """``docs`` with the language (``PREDICTED``) and score (``SCORE``) of each whole text.
+
+    Columns of ``docs`` with these two names give way.
+    """
+    kept = [F.col(f"row.`{c}`").alias(c) for c in docs.columns if c not in (PREDICTED, SCORE)]
+    return _scored(docs, model).select(*kept, PREDICTED, SCORE)
 
 
 def _with_letters(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -199,9 +215,10 @@ def known_language(docs: DataFrame, model: Model | None, least: float = LEAST_SC
     letter are rejected.
     """
     if model is None:
-        return docs.mapInArrow(_with_letters, docs.schema)
+        rows = _carried(docs)
+        return rows.mapInArrow(_with_letters, rows.schema).select("row.*")
     sure = (F.col(PREDICTED) != UNDETERMINED) & (F.col(SCORE) >= least)
-    return identify(docs, model).filter(sure).drop(PREDICTED, SCORE)
+    return _scored(docs, model).filter(sure).select("row.*")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
