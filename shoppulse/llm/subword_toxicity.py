@@ -10,7 +10,8 @@ document only its currently most toxic passage is a positive example, of a clean
 all sampled passages are negative.
 
 Null, empty and wordless texts have no passage and score 0.  With one learned class only
-(or none) every score is 0.  Repeated rows are scored each.
+(or none), and on an empty table, every score is 0.  Repeated rows are scored each.  Very
+long texts are scored whole, a block of texts at a time.  Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -29,11 +30,12 @@ from .ngrams import grams, padded, text_blocks
 SIZES = (3, 4, 5)
 BITS = 19
 DIM = 16
-PASSAGE = 8
+PASSAGE = 3  # one insult is a third of its passage, not lost in the mean of many words
 THRESHOLD = 0.3
 FOLDS, HELD = 4, 2
-# bound of the labelled sample: rows a class, their length, and passages of a clean row
-TOXIC_ROWS, CLEAN_ROWS, SAMPLE_CHARS, SAMPLE_PASSAGES = 1500, 2500, 8_000, 32
+# bound of the labelled sample: rows a class, characters of each (a section of a longer text), and
+# passages of a clean row
+TOXIC_ROWS, CLEAN_ROWS, SAMPLE_CHARS, SAMPLE_PASSAGES = 1500, 2500, 8_000, 48
 EPOCHS, RATE, CLEAN_PASSAGES = 8, 0.5, 9
 LEAST_ROWS = 5  # a subword in fewer sampled texts stays at the zero vector, as an unseen one does
 
@@ -193,7 +195,11 @@ def fit(texts: list[str], labels: np.ndarray, seed: int = 7) -> Model | None:
 
 
 def train(docs: DataFrame, labels: DataFrame) -> Model | None:
-    """Model from a bounded sample: rows of each class by hash order, of bounded length."""
+    """Model from a bounded sample: rows of each class by hash order, sections of long texts.
+
+    Of a text of more than ``SAMPLE_CHARS`` characters that many are taken, from a place
+    that a hash decides, so long texts are learned from too.
+    """
     known = labels.filter("toxic in (0, 1)").select("doc_id", "toxic")
     sizes = {r["toxic"]: r["n"] for r in known.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     if len(sizes) < 2:
@@ -204,7 +210,10 @@ def train(docs: DataFrame, labels: DataFrame) -> Model | None:
         *(F.lit(x) for label, n in sizes.items() for x in (label, min(1.0, 1.5 * bound[label] / n)))
     )
     picked = known.withColumn("u", u).filter(F.col("u") < share[F.col("toxic")])
-    texts = docs.filter(F.length("text").between(1, SAMPLE_CHARS)).select("doc_id", "text")
+    beyond = F.length("text") - SAMPLE_CHARS
+    place = F.when(beyond > 0, F.pmod(F.xxhash64("doc_id", F.lit(1)), beyond + 1) + 1).otherwise(F.lit(1))
+    section = F.substring("text", place.cast("int"), F.lit(SAMPLE_CHARS))
+    texts = docs.filter(F.length("text") > 0).select("doc_id", section.alias("text"))
     # the larger share applies to both classes: most texts stay where they are
     texts = texts.withColumn("u2", u).filter(F.col("u2") < max(min(1.0, 1.5 * bound[c] / n) for c, n in sizes.items()))
     rows = picked.join(texts, "doc_id").select("toxic", "u", "doc_id", "text")
