@@ -35,6 +35,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import (
     blocks,
@@ -55,7 +56,7 @@ TREE_SUFFIXES = 4 << 20  # suffixes a tree may hold
 BLOCK_WORDS = 1 << 19  # words of a block inside a task
 BUCKET_BYTES = 8 << 20  # text bytes cut together at the end
 
-N_WORDS, N_REMOVED, _BUCKET = "__n_words", "__n_removed", "__bucket"
+N_WORDS, N_REMOVED = "__n_words", "__n_removed"
 
 _SHIFT = np.uint64(64 - HISTOGRAM_BITS)
 
@@ -313,7 +314,7 @@ def _cut_text(raw: bytes, gone: np.ndarray, joined: bool) -> bytes:
     return data[np.cumsum(edge)[:-1] == 0].tobytes()
 
 
-def _cut_bucket(names: list[str], width: int, joined: bool):
+def _cut_bucket(width: int, joined: bool):
     """Texts of a bucket and its repeats; both are bounded by the bucket's size."""
 
     def run(texts: pa.Table, packed: pa.Table) -> pa.Table:
@@ -337,36 +338,47 @@ def _cut_bucket(names: list[str], width: int, joined: bool):
                 kept.append(text)
             n_words.append(words)
             n_removed.append(removed)
-        made = {
-            "text": pa.array(kept, pa.string()),
-            N_WORDS: pa.array(n_words, pa.int64()),
-            N_REMOVED: pa.array(n_removed, pa.int64()),
-        }
-        out = [*names, N_WORDS, N_REMOVED]
-        return pa.Table.from_arrays([made[n] if n in made else texts.column(n) for n in out], names=out)
+        made = [pa.array(kept, pa.string()), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64())]
+        return pa.Table.from_arrays([texts.column("row"), *made], names=["row", "text", N_WORDS, N_REMOVED])
 
     return run
 
 
-def remove_repeats(docs: DataFrame, width: int = WIDTH, joined: bool = False) -> DataFrame:
-    """``docs`` with each text cut, and its words (``N_WORDS``) and removed words (``N_REMOVED``).
+def cut_rows(docs: DataFrame, width: int = WIDTH, joined: bool = False) -> DataFrame:
+    """row (all columns of ``docs``), text as cut, its words (``N_WORDS``), removed ones (``N_REMOVED``).
 
     ``joined``: the kept words joined by one blank (empty for null texts); otherwise
-    the text keeps its own white space and untouched texts stay as they are.
+    the text keeps its own white space and untouched texts stay as they are.  The text
+    inside ``row`` is null.
     """
-    columns = [c for c in docs.columns if c not in (N_WORDS, N_REMOVED, _BUCKET)]
     packed, buckets = repeats(docs, width)
-    types = {f.name: f.dataType.simpleString() for f in docs.schema.fields}
-    schema = ", ".join(f"`{c}` {types[c]}" for c in columns) + f", {N_WORDS} long, {N_REMOVED} long"
-    bucket = F.pmod(F.coalesce(F.col("doc_id"), F.lit(0)), F.lit(buckets)).cast("long")
-    keyed = docs.select(*(f"`{c}`" for c in columns), bucket.alias(_BUCKET))
+    own = [F.lit(None).cast("string").alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns]
+    # rows that no repeat can touch, and copies of one row, are dealt by their hash
+    spread = F.pmod(F.xxhash64("text"), F.lit(buckets))
+    bucket = F.coalesce(F.pmod("doc_id", F.lit(buckets)), spread).cast("long").alias("bucket")
+    keyed = docs.select(F.struct(*own).alias("row"), F.col("doc_id").cast("long"), "text", bucket)
+    schema = T.StructType([keyed.schema["row"], T.StructField("text", T.StringType())])
+    schema = schema.add(N_WORDS, T.LongType()).add(N_REMOVED, T.LongType())
     return (
-        keyed.groupBy(_BUCKET)
+        keyed.groupBy("bucket")
         .cogroup(packed.groupBy("bucket"))
-        .applyInArrow(_cut_bucket(columns, width, joined), schema)
+        .applyInArrow(_cut_bucket(width, joined), schema)
     )
 
 
+def remove_repeats(docs: DataFrame, width: int = WIDTH, joined: bool = False) -> DataFrame:
+    """``docs`` with each text cut, and its words (``N_WORDS``) and removed words (``N_REMOVED``).
+
+    Columns of ``docs`` with these two names give way; ``cut_rows`` keeps them.
+    """
+    kept = [
+        F.col("text") if c == "text" else F.col(f"row.`{c}`").alias(c)
+        for c in docs.columns
+        if c not in (N_WORDS, N_REMOVED)
+    ]
+    return cut_rows(docs, width, joined).select(*kept, N_WORDS, N_REMOVED)
+
+
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """op2: words of repeated 13-word windows removed, smallest doc_id kept."""
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
