@@ -18,6 +18,7 @@ from shoppulse.llm import (
     grouped_prefix_join,
     kernel_langid,
     multiprobe_lsh,
+    ngrams,
     quality_qda,
     quality_rules,
     subword_toxicity,
@@ -128,6 +129,43 @@ def test_language_edges(docs, empty):
     assert got[1] == "xx" and got[5] == got[6] == got[10] == "und"
 
 
+def test_language_sample_is_bounded_on_the_executors(spark):
+    """One doc_id repeated very often gives no more rows than any other, and is not all of the sample."""
+    ship_package(spark)
+    rows = [(7, f"das ist ein satz nummer {i}", "de") for i in range(3000)] + [(7, "immer das gleiche", "de")] * 2000
+    rows += [(100 + i, f"this is sentence number {i}", "en") for i in range(500)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4)
+    seen = []
+    fitted = kernel_langid.fit
+    kernel_langid.fit = lambda found, labels: seen.append(labels) or fitted(found, labels)
+    try:
+        model = kernel_langid.train(table)
+    finally:
+        kernel_langid.fit = fitted
+    (labels,) = seen
+    assert 200 <= labels.count("de") <= kernel_langid.ROWS_PER_LANGUAGE == labels.count("en")
+    got = kernel_langid.identify(spark.createDataFrame([(1, "das ist gut"), (2, "this is good")], "doc_id long, text string"), model)
+    assert {r["doc_id"]: r[kernel_langid.PREDICTED] for r in got.collect()} == {1: "de", 2: "en"}
+
+
+def test_folded_weights_equal_the_unfolded_kernel_solution():
+    """Landmark map and ridge regression, solved plainly from kernel values."""
+    sample = [prose(30, f"u{i}") for i in range(30)] + [prose(30, f"v{i}").upper().replace("A", "Z") for i in range(30)]
+    labels = ["aa"] * 30 + ["bb"] * 30
+    found, _ = kernel_langid.presence(sample)
+    model = kernel_langid.fit(found, labels)
+    sets = [set(np.flatnonzero(row)) for row in found]
+    kernel = np.array([[len(a & b) / np.sqrt(len(a) * len(b)) for b in sets] for a in sets])
+    marks = [*range(30), *range(30, 60)][: 2 * kernel_langid.LANDMARKS_PER_LANGUAGE]
+    value, vector = np.linalg.eigh(kernel[np.ix_(marks, marks)])
+    solid = value > 1e-8 * value.max()
+    features = np.hstack([kernel[:, marks] @ (vector[:, solid] / np.sqrt(value[solid])), np.ones((60, 1))])
+    target = np.array([[1.0, -1.0]] * 30 + [[-1.0, 1.0]] * 30)
+    left = features.T @ features / 30 + np.eye(features.shape[1]) * kernel_langid.RIDGE * 2
+    plain = features @ np.linalg.solve(left, features.T @ target / 30)
+    assert np.allclose(model.scores(found), plain, atol=1e-3)
+
+
 def test_kernel_is_the_exact_presence_kernel():
     found, _ = kernel_langid.presence(["abc", "abd"])
     grams = [{" a", "a", "ab", " ab", "b", x, "b" + x, "ab" + x, x + " ", "b" + x + " "} for x in "cd"]
@@ -179,6 +217,72 @@ def test_toxicity_edges_and_misspellings(docs, empty):
     assert len(got) == len(texts()) and all(r["score"] == 0 for r in got)
 
 
+def plain_passage_score(model, text):
+    """The forward pass by words: mean logit of a passage's subwords, the worst passage counts."""
+    clean = "".join(c if c.isalnum() else " " for c in (text or "").lower())
+    words, best = clean.split(), None
+    for a in range(0, len(words), subword_toxicity.PASSAGE):
+        logits = []
+        for word in words[a : a + subword_toxicity.PASSAGE]:
+            edged = f" {word} "
+            for n in subword_toxicity.SIZES:
+                for k in range(len(edged) - n + 1):
+                    chars = np.array([ord(c) for c in edged[k : k + n]], dtype=np.uint32)
+                    _, bucket = ngrams.grams(chars, n, subword_toxicity.BITS)
+                    logits.append(float(model.logit[bucket[0]]))
+        value = (sum(logits) / len(logits) if logits else 0.0) + model.bias
+        best = value if best is None else max(best, value)
+    return 0.0 if best is None else 1 / (1 + np.exp(-best))
+
+
+def test_toxicity_forward_pass_against_plain_python():
+    good = [prose(60, i) for i in range(40)]
+    bad = [prose(20, 100 + i) + " rottenfool " + prose(30, 200 + i) for i in range(20)]
+    model = subword_toxicity.fit(good + bad, np.array([0] * 40 + [1] * 20))
+    asked = [*bad[:3], *good[:3], "", None, "!?", "a", "ab cd", "Rotten-Fool, rottenf00l!", "Straße naïve 中文"]
+    got = model.score(asked)
+    assert np.allclose(got, [plain_passage_score(model, t) for t in asked], atol=1e-6)
+
+
+def test_toxicity_learns_from_long_texts_too(spark):
+    """All labelled toxic texts are longer than a sampled section."""
+    ship_package(spark)
+    long = lambda seed: " ".join(f"{prose(5, seed * 1000 + k)} rottenfool" for k in range(400))
+    rows = [(i, long(i), 1) for i in range(12)] + [(100 + i, prose(60, i), 0) for i in range(40)]
+    assert all(len(t) > subword_toxicity.SAMPLE_CHARS for _, t, y in rows if y)
+    table = spark.createDataFrame(rows, "doc_id long, text string, toxic int").repartition(3)
+    model = subword_toxicity.train(table.select("doc_id", "text"), table.select("doc_id", "toxic"))
+    scores = model.score([long(50), prose(60, 900)])
+    assert scores[0] > 0.3 > scores[1]
+
+
+def plain_statistics(text):
+    raw = text.encode()
+    kinds = [quality_qda.CLASSES[b] for b in raw]
+    words = raw.split()
+    some = len(words) + 20
+    solid = sum(map(len, words)) + 20 * 5.0
+    mean = solid / some
+    spread = max((sum(len(w) ** 2 for w in words) + 20 * (5.0**2 + 2.5**2)) / some - mean * mean, 0) ** 0.5
+    lines = [x for x in raw.split(b"\n") if x.split()]
+    share = lambda k: (kinds.count(k) / solid) ** 0.5
+    return [
+        np.log1p(len(words)), mean, spread, *(share(k) for k in (1, 2, 3, 4, 6, 7, 8)),
+        (len(set(words)) + 20) / some, ((len(lines) - len(set(lines))) / (len(lines) + 2)) ** 0.5,
+        np.log1p(some / (len(lines) + 2)),
+    ]
+
+
+def test_quality_statistics_against_plain_python():
+    asked = [t or "" for _, t in texts()] + ["a\na\n\n b\na", "\n\n", "x" * 700, "one line\n" + "y " * 500 + "\none line"]
+    raw = [t.encode() for t in asked]
+    offsets = np.append(0, np.cumsum([len(r) for r in raw]))
+    got = quality_qda.statistics(np.frombuffer(b"".join(raw), np.uint8), offsets)
+    want = np.array([plain_statistics(t) for t in asked])
+    assert got.shape == want.shape == (len(asked), len(quality_qda.FEATURES))
+    assert np.allclose(got, want, atol=1e-9)
+
+
 # ---- tokens -----------------------------------------------------------------------------
 
 
@@ -271,23 +375,59 @@ def test_packing_edges(spark, docs, empty):
     assert corpus_pipeline.packing(spark, empty, "").count() == 0
 
 
+def pieces_of(plan, capacity):
+    used = np.zeros(capacity + 1, dtype=np.int64)
+    for config, times in plan:
+        assert sum(s * n for s, n in config.items()) <= capacity and times > 0
+        for s, n in config.items():
+            used[s] += n * times
+    return used
+
+
 def test_program_uses_every_piece_once_and_packs_tightly():
     r = np.random.default_rng(3)
-    for sizes in (r.integers(1, 65, 5000), r.choice([20, 23, 41, 64], 900), np.array([64] * 7), np.array([33, 33, 33, 31, 31])):
+    cases = (
+        r.integers(1, 65, 5000), r.choice([20, 23, 41, 64], 900), np.array([64] * 7),
+        np.array([33, 33, 33, 31, 31]), np.array([], dtype=int), np.array([1]), np.array([60] * 50 + [3] * 20),
+    )
+    for sizes in cases:
         counts = np.bincount(sizes, minlength=65).astype(np.int64)
-        plan = best_fit_packing.round_program(counts, best_fit_packing.solve_program(counts, 64), 64)
-        used = np.zeros(65, dtype=np.int64)
-        for config, times in plan:
-            assert sum(s * n for s, n in config.items()) <= 64 and times > 0
-            for s, n in config.items():
-                used[s] += n * times
-        assert (used == counts).all()
+        cover = best_fit_packing.solve_program(counts, 64)
+        assert (cover.covered >= counts - 1e-6).all()  # the solution is feasible
+        assert len(sizes) == 0 or cover.gap >= -1e-9
+        plan, program = best_fit_packing.best_plan(counts, 64)
+        assert (pieces_of(plan, 64) == counts).all()
+        plain = best_fit_packing._filled([], counts.copy(), 64)
+        assert (pieces_of(plain, 64) == counts).all()
+        total = best_fit_packing.sequences(plan)
+        assert program <= total <= best_fit_packing.sequences(plain)
         bound = -(-int(sizes.sum()) // 64)
-        assert sum(t for _, t in plan) <= max(bound + 2, 1.1 * bound, (sizes > 32).sum() + 2)
+        assert total <= max(bound + 2, 1.1 * bound, (sizes > 32).sum() + 2)
     best = best_fit_packing.best_configuration(np.array([0, 0, 3.0, 5.0, 0, 0, 0]), 6)
     assert best == {3: 2}
 
 
+def test_program_packs_most_sequences_of_the_table(spark):
+    """The histogram of sf0.1: the cover's gap, and how many sequences come from the program."""
+    import public_tokenizers as tokens
+
+    ship_package(spark)
+    table = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text")
+    path = tokens.path("byte_bpe_50k.json")
+    cut = table.repartition(8).mapInArrow(best_fit_packing._tokenise(path, 2, 1024), best_fit_packing.PIECES)
+    counts = np.zeros(1025, dtype=np.int64)
+    for row in cut.groupBy("length").count().collect():
+        counts[row["length"]] = row["count"]
+    cover = best_fit_packing.solve_program(counts, 1024)
+    assert (cover.covered >= counts - 1e-6).all() and cover.gap < 0.03
+    plan, program = best_fit_packing.best_plan(counts, 1024)
+    total, alone = best_fit_packing.sequences(plan), int(counts[1024])
+    assert (pieces_of(plan, 1024) == counts).all()
+    bound = -(-int((counts * np.arange(1025)).sum()) // 1024)
+    assert total <= bound + 5 and total <= best_fit_packing.sequences(best_fit_packing._filled([], counts.copy(), 1024))
+    assert program > 0.5 * total and program > alone  # full pieces are not all of it
+
+
 # ---- archives -----------------------------------------------------------------------------
 
 
@@ -449,6 +589,72 @@ def test_classes_keep_rows_without_doc_id(spark):
     assert len(got) == len(rows) and sorted(map(str, got)) == sorted(map(str, want))
 
 
+def thue_morse():
+    """Two words of 1,024 letters that collide in every polynomial hash modulo 2 ** 64."""
+    word = "a"
+    swap = str.maketrans("ab", "ba")
+    for _ in range(10):
+        word += word.translate(swap)
+    return word, word.translate(swap)
+
+
+def test_words_that_collide_in_polynomial_hashes_are_told_apart(spark):
+    import duckdb
+
+    ship_package(spark)
+    a, b = thue_morse()
+    tail = prose(30, "tail")
+    rows = [(1, a), (2, b), (3, f"{a} " + " ".join([a] * 13)), (4, f"{b} " + " ".join([b] * 13)), (5, f"{a} {tail}"), (6, f"{b} {tail}")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", rows)
+    got = sorted(map(tuple, grouped_prefix_join.similar_classes(frame).collect()))
+    assert got == sorted(con.execute(grouped_prefix_join.SQL).fetchall())
+    cut = suffix_tree_dedup.remove_repeats(frame, joined=True).select(
+        "doc_id", suffix_tree_dedup.N_WORDS, suffix_tree_dedup.N_REMOVED, F.sha2("text", 256)
+    )
+    assert sorted(map(tuple, cut.collect())) == sorted(con.execute(suffix_tree_dedup.SQL).fetchall())
+    cps = bpe.code_points(a + b)
+    keys = bpe.piece_keys(cps, np.array([0, len(a)]), np.array([len(a), 2 * len(a)]))
+    assert keys[0] != keys[1]
+
+
+def test_hit_table_never_calls_a_shared_shingle_lonely(spark):
+    ship_package(spark)
+    r = random.Random(5)
+    rows = [(i, " ".join(r.choice(VOCABULARY[:40]) for _ in range(30))) for i in range(50)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    import pyarrow as pa
+
+    sets = {i: found for i, found in grouped_prefix_join.shingle_sets(pa.array([t for _, t in rows]), 3)}
+    times = {}
+    for found in sets.values():
+        for x in found.tolist():
+            times[x] = times.get(x, 0) + 1
+    tokens = np.array(sorted(times), dtype=np.uint64)
+    for bits in (16, 18):
+        table = grouped_prefix_join.hit_table(frame, 1 << (bits - 1), 3, bits)
+        kind = table.kind(tokens)
+        count = np.array([times[x] for x in tokens.tolist()])
+        assert table.bits == bits
+        assert (kind[count > 1] > 0).all() and (kind[count > 3] > 1).all() and (kind[count > 32] == 3).all()
+        assert (kind[count == 1] == 0).mean() > 0.9
+
+
+def test_several_texts_of_one_doc_id(spark):
+    ship_package(spark)
+    same, other = prose(40, "p"), prose(40, "q")
+    rows = [(1, same), (2, min(same, other)), (2, max(same, other)), (2, max(same, other)), (3, other)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = sorted(map(tuple, grouped_prefix_join.similar_classes(frame).collect()))
+    match = 1 if min(same, other) == same else 3
+    first = {1: 1, 2: min(2, match), 3: 3 if match == 1 else 2}
+    assert [(d, c) for d, _, c in got] == [(1, first[1]), (2, first[2]), (2, first[2]), (2, first[2]), (3, first[3])]
+    kept = grouped_prefix_join.one_of_each(frame).select("doc_id").collect()
+    assert sorted(r["doc_id"] for r in kept) == sorted(set(first.values()))
+
+
 def test_components_on_chains_and_stars(spark):
     edges = [(i, i + 1) for i in range(20, 60)] + [(1, k) for k in range(100, 140)] + [(5, 5), (140, 139)]
     frame = spark.createDataFrame(edges, "a long, b long")
@@ -598,6 +804,31 @@ def test_pipeline_keeps_texts_that_no_label_can_be_learned_from(spark, docs):
         assert current.count() > 0, name
 
 
+def test_pipeline_stages_with_clashing_and_dotted_names(spark):
+    """Columns named like the stages' own ones, and names with dots, come through unchanged."""
+    ship_package(spark)
+    schema = "doc_id long, text string, lang string, source string, n_chars long, `a.b` string, `__n_words` long, "
+    schema += "`__n_removed` string, `__bucket` string, bucket int, `row` string, predicted string, `text.x` int"
+    body = [prose(80, f"dots{i}") for i in range(6)]
+    body[3] = body[2]
+    body[5] = body[4] + " " + body[0]
+    rows = [(i, t, "xx" if i % 4 else "yy", "s", len(t), "dot", -1, "r", "b", 7, "w", "p", i) for i, t in enumerate(body)]
+    rows.append((None, prose(80, "none"), None, "s", 1, "dot", -1, "r", "b", 7, "w", "p", 9))
+    docs = spark.createDataFrame(rows, schema).repartition(2)
+    names = [f.name for f in docs.schema]
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, "")
+        assert [f.name for f in out.schema] == names
+        got = {r[0]: r for r in out.collect()}
+        assert got and all(tuple(r)[5:12] == ("dot", -1, "r", "b", 7, "w", "p") for r in got.values())
+        assert all(r[12] == (9 if d is None else d) for d, r in got.items())
+    joined = {r[0] for r in corpus_pipeline.near_duplicates(spark, docs, "").collect()}
+    assert joined == {0, 1, 2, 4, 5, None}
+    cut = {r[0]: r for r in corpus_pipeline.repeated_passages(spark, docs, "").collect()}
+    assert cut[3][1] == "" and cut[3][4] == 0 and cut[5][1] == "" and cut[0][1] == body[0]
+    assert corpus_pipeline.packing(spark, docs, "").count() == len(rows)
+
+
 def test_pipeline_on_an_empty_table(spark, empty):
     current = empty
     for _, stage in corpus_pipeline.STAGES:

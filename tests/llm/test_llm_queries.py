@@ -12,6 +12,9 @@ from shoppulse.llm.queries import QUERIES, SQL
 from shoppulse.session import ship_package
 
 
+SF1 = "/root/testdata/sf0.1"
+
+
 @pytest.fixture(scope="module", autouse=True)
 def shipped(spark):
     ship_package(spark)
@@ -51,14 +54,16 @@ def test_op1_predicts_held_out_languages(spark):
 
 
 def test_op3_finds_held_out_toxic_documents(spark):
-    toxic = dict(rows_of(SF01, "labels", "doc_id, toxic"))
-    got = QUERIES["op3_subword_toxicity"](spark, SF01).collect()
+    """Recall on rows that were not learned from, at sf0.1 (some labels there mark texts without any insult)."""
+    toxic = dict(rows_of(SF1, "labels", "doc_id, toxic"))
+    got = QUERIES["op3_subword_toxicity"](spark, SF1).collect()
     assert all(r["held_out"] == (fold(r["doc_id"], 4) == 2) for r in got)
-    assert all(r["predicted"] == int(r["score"] >= 0.3) for r in got)
-    learned = [r for r in got if not r["held_out"] and toxic.get(r["doc_id"]) == 1]
-    assert sum(r["predicted"] for r in learned) >= 0.9 * len(learned)
-    clean = [r for r in got if r["held_out"] and toxic.get(r["doc_id"]) == 0]
-    assert sum(r["predicted"] for r in clean) <= 0.05 * len(clean)
+    assert all(r["predicted"] == int(r["score"] >= 0.3) and 0 <= r["score"] <= 1 for r in got)
+    held = [r for r in got if r["held_out"]]
+    marked = [r for r in held if toxic.get(r["doc_id"]) == 1]
+    assert sum(r["predicted"] for r in marked) >= 0.9 * len(marked) > 90
+    clean = [r for r in held if toxic.get(r["doc_id"]) == 0]
+    assert sum(r["predicted"] for r in clean) <= 0.03 * len(clean)
 
 
 def test_op9_separates_held_out_quality(spark):
@@ -94,7 +99,6 @@ def test_op8_packs_every_token_once(spark):
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(tokens.path("byte_bpe_50k.json"))
-    tokenizer.encode_special_tokens = True
     got = QUERIES["op8_best_fit_packing"](spark, SF001).collect()
     pieces, sequences = {}, {}
     for r in got:
