@@ -272,14 +272,14 @@ def _verify_map(percent: int, width: int):
     return run
 
 
-NEEDED_BITS = 26
+NEEDED_BITS = 24
 _MAP_BITS = 1 << 15  # of a bitmap of Spark's bitmap functions
 
 
 def needed(content: DataFrame, ids: DataFrame) -> DataFrame:
     """Rows of ``content`` whose doc_id is, or by its hash may be, one of ``ids``.
 
-    The ids' hashes become at most 2 ** NEEDED_BITS bits (8 MB) that are broadcast, so that rows
+    The ids' hashes become at most 2 ** NEEDED_BITS bits (2 MB) that are broadcast, so that rows
     which nobody asks for stay where they lie instead of being shuffled to a join.
     """
     slot = F.pmod(F.xxhash64("doc_id"), F.lit(1 << NEEDED_BITS))
@@ -360,10 +360,10 @@ def _relabelled(rows: DataFrame, parts: DataFrame) -> DataFrame:
 # that the slot was hit 2 or 3 times, up to ``OFTEN`` times, or more.  A slot
 # that several shingles share only makes them look more frequent.
 
-TABLE_BITS = 27  # 32 MB
+TABLE_BITS = 26  # 16 MB
 SEGMENT_BITS = 16  # slots merged together
 OFTEN = 32
-HELD_SHINGLES = 1 << 21  # shingles that a task counts before it passes them on
+HELD_SHINGLES = 1 << 19  # shingles that a task counts before it passes them on
 
 _PART_ARROW = pa.schema([("segment", pa.int32()), ("hits", pa.binary())])
 
