@@ -30,7 +30,7 @@ from ..sources.tables import (
 from ..session import ensure_checkpoint_dir
 from ..storage import version
 from ..streaming.streams import StreamConfig
-from ..streaming.replay import range_batches, replay
+from ..streaming.replay import range_batches, replay, time_batches
 from . import views
 
 # Events per arrival batch in ``batch_deltas`` (the reference caps intake at
@@ -181,6 +181,7 @@ def streamed_ledger(spark: SparkSession, sf: str):
     Runs the streaming pipeline for real: file-stream source, watermark, dedup,
     stream-static join, window / totals / users ledger sinks.  The number of
     micro-batches is fixed, so each grows with the table instead of their count.
+    Orders arrive in the order of their event times, whatever that of their ids.
     Re-sent copies arrive in the same batch as the original, so the bounded
     dedup gives the same answer as the exact one.
     """
@@ -191,9 +192,9 @@ def streamed_ledger(spark: SparkSession, sf: str):
         raw = _orders_with_event_id(spark, sf).withColumn(
             "event_time", F.col("event_time").cast("timestamp")
         )
-        batch = range_batches(raw, "_eid", REPLAY_BATCHES)
+        arrivals = time_batches(raw, "event_time", "_eid", REPLAY_BATCHES, "_b")
         cfg = StreamConfig(name="ledger", dedup_mode=WITHIN_WATERMARK, closed_windows=True)
-        _REPLAYS[key] = replay(spark, raw, batch, _part(spark, sf), cfg).ledger
+        _REPLAYS[key] = replay(spark, arrivals, F.col("_b"), _part(spark, sf), cfg).ledger
     return _REPLAYS[key]
 
 

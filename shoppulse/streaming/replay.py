@@ -14,7 +14,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.codec import encode_orders
@@ -40,6 +40,19 @@ def range_batches(df: DataFrame, column: str, n: int) -> Column:
     return F.floor((F.col(column) - F.lit(lo)) * F.lit(n) / F.lit(width)).cast("bigint")
 
 
+def time_batches(df: DataFrame, column: str, key: str, n: int, name: str) -> DataFrame:
+    """``df`` with its arrival batch ``name``: up to ``n``, in the order of time, about equally large.
+
+    Rows arrive by their time whatever the order of their ids, so a batch holds nothing
+    behind the watermark of those before it.  Copies of a key arrive together, at the earliest
+    time of any; rows without a time come first.  The batches grow with the table.
+    """
+    cuts = df.agg(F.percentile_approx(F.unix_micros(column), [k / n for k in range(1, n)])).first()[0]
+    at = F.unix_micros(F.min(column).over(Window.partitionBy(key)))
+    passed = [F.when(F.col(name) > F.lit(cut), 1).otherwise(0) for cut in sorted(set(cuts or []))]
+    return df.withColumn(name, at).withColumn(name, sum(passed, F.lit(0)).cast("bigint"))
+
+
 def stage_arrivals(orders: DataFrame, batch: Column, folder: str, files: int | None = None) -> list[int]:
     """Write orders as JSON lines under ``folder/batch=N``, in up to ``files`` files; the batch ids in order."""
     lines = encode_orders(orders.withColumn("batch", batch), keep=("batch",)).select(

@@ -10,6 +10,7 @@ from oracle_check import digest, duck
 from shoppulse import session
 from shoppulse.plans import catalog
 from shoppulse.plans.oracle import SQL
+from shoppulse.streaming.replay import time_batches
 
 oracle_check.EXACT = True
 START = dt.datetime(2024, 1, 1)
@@ -72,3 +73,32 @@ def test_a_named_folder_is_taken_as_it_is(spark, cluster):
 @pytest.mark.parametrize("name", ["sku_rank", *REPLAYED])
 def test_queries_write_to_a_folder_without_a_scheme(spark, in_time, cluster, name):
     assert matches_sql(spark, in_time, name)
+
+
+BY_TIME = [n for n in REPLAYED if "resent" not in n]
+
+
+@pytest.fixture(scope="module")
+def three_times(spark, tmp_path_factory):
+    """Ids start over in time twice, as in a table made of three copies with shifted ids."""
+    return write_tables(spark, f"{tmp_path_factory.mktemp('three_times')}/sf", lambda i: 60 * (i % 134) + i // 134)
+
+
+@pytest.mark.parametrize("name", BY_TIME)
+def test_orders_arrive_by_time_whatever_their_ids(spark, three_times, name):
+    assert matches_sql(spark, three_times, name)
+
+
+def test_time_batches_keep_copies_together(spark):
+    day = dt.datetime(2024, 1, 1)
+    rows = [(i, day + dt.timedelta(hours=100 - i)) for i in range(100)]
+    rows += [(7, None), (99, day + dt.timedelta(days=30)), (500, None), (None, day), (None, None)]
+    frame = spark.createDataFrame(rows, "k long, t timestamp")
+    got = [tuple(r) for r in time_batches(frame, "t", "k", 4, "b").collect()]
+    batch = {k: {b for x, _, b in got if x == k} for k, *_ in got}
+    assert len(got) == len(rows) and all(len(found) == 1 for found in batch.values())
+    assert batch[500] == batch[None] == batch[99] == {0} and batch[7] == batch[0] == {3}
+    in_time = [min(batch[k]) for k in range(99, -1, -1)]
+    assert in_time == sorted(in_time) and all(20 <= in_time.count(b) <= 30 for b in range(4))
+    none = time_batches(frame.filter("t is null"), "t", "k", 4, "b")
+    assert [r["b"] for r in none.collect()] == [0, 0, 0]
