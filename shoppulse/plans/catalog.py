@@ -256,14 +256,18 @@ def _resent_overview(spark: SparkSession, sf: str, mode: str) -> DataFrame:
 
     The originals arrive in REPLAY_BATCHES batches, then every re-sent order once more with
     an event time RESENT_DAYS later, when the bounded dedup has forgotten all orders
-    but those near the end.
+    but those near the end.  What it still holds depends on the last batches, which the
+    bounded query cuts by id; the exact ones take the orders by time, so that none is late.
     """
     ensure_checkpoint_dir(spark)
     events = read_table(spark, sf, "events")
     raw = orders_from_events(
         events.withColumn("_eid", F.col("event_id")), with_duplicates=False, keep=("_eid",)
     ).withColumn("event_time", F.col("event_time").cast("timestamp"))
-    first = raw.withColumn("_b", range_batches(raw, "_eid", REPLAY_BATCHES))
+    if mode == WITHIN_WATERMARK:
+        first = raw.withColumn("_b", range_batches(raw, "_eid", REPLAY_BATCHES))
+    else:
+        first = time_batches(raw, "event_time", "_eid", REPLAY_BATCHES, "_b")
     again = (
         raw.filter(F.col("_eid") % DUPLICATE_EVERY == 0)
         .withColumn("event_time", F.col("event_time") + F.make_interval(days=F.lit(RESENT_DAYS)))
