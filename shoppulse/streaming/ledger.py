@@ -299,9 +299,16 @@ class Ledger:
         self._write(days, DAYS, batch_id)
 
     def write_running(self, batch_df: DataFrame, batch_id: int) -> None:
-        """The running totals and those by day, of a query that feeds nothing else."""
-        self.write_totals(batch_df, batch_id)
-        self.write_days(batch_df, batch_id)
+        """The running totals and those by day, of a query that feeds nothing else.
+
+        The batch is kept for both: run twice, its late rows would be counted twice.
+        """
+        batch_df.persist()
+        try:
+            self.write_totals(batch_df, batch_id)
+            self.write_days(batch_df, batch_id)
+        finally:
+            batch_df.unpersist()
 
     def write_users(self, batch_df: DataFrame, batch_id: int) -> None:
         """Distinct (day, user) pairs of the batch; null users are not active users."""
