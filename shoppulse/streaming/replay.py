@@ -25,6 +25,7 @@ from .streams import MetricStreams, StreamConfig, start_streams
 
 NO_DATA_BATCHES = "spark.sql.streaming.noDataMicroBatches.enabled"
 FILE_ROWS = 2_000_000  # orders a staged file is meant to hold, were all batches equal
+UNKNOWN = (1 << 63) - 1  # arrival batch of rows that have none: they come after all others
 
 
 def range_batches(df: DataFrame, column: str, n: int) -> Column:
@@ -54,8 +55,12 @@ def time_batches(df: DataFrame, column: str, key: str, n: int, name: str) -> Dat
 
 
 def stage_arrivals(orders: DataFrame, batch: Column, folder: str, files: int | None = None) -> list[int]:
-    """Write orders as JSON lines under ``folder/batch=N``, in up to ``files`` files; the batch ids in order."""
-    lines = encode_orders(orders.withColumn("batch", batch), keep=("batch",)).select(
+    """Write orders as JSON lines under ``folder/batch=N``, in up to ``files`` files; the batch ids in order.
+
+    Orders without a batch are those of batch ``UNKNOWN``.
+    """
+    known = F.coalesce(batch, F.lit(UNKNOWN))
+    lines = encode_orders(orders.withColumn("batch", known), keep=("batch",)).select(
         "batch", F.col("json").alias("value")
     )
     if files:
