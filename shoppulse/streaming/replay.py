@@ -54,6 +54,28 @@ def time_batches(df: DataFrame, column: str, key: str, n: int, name: str) -> Dat
     return df.withColumn(name, at).withColumn(name, sum(passed, F.lit(0)).cast("bigint"))
 
 
+def resent_batches(df: DataFrame, column: str, key: str, n: int, name: str) -> DataFrame:
+    """``df`` with its arrival batch ``name`` (0..n-1): by time, the watermark of ``n`` key ranges before the last.
+
+    What a bounded dedup holds after the last batch depends on the latest time of the batches
+    before it, which is here that of all ``range_batches`` but the last.  Up to that time the
+    rows come in n - 1 batches of about equal size, so none is behind the watermark
+    whatever the order of the keys; the last batch has the later rows and half of the batch
+    before it, so that it is there where no row is later.  Copies of a key arrive together,
+    at the earliest time of any; rows without a time come first, rows without a key by their time.
+    """
+    own = F.unix_micros(F.date_trunc("second", column))  # as the lines carry it
+    end = df.filter(range_batches(df, key, n) < n - 1).agg(F.max(own)).first()[0]
+    end = F.lit(-(1 << 62) if end is None else end)
+    cuts = df.filter(own <= end).agg(F.percentile_approx(own, [k / (n - 1) for k in range(1, n - 1)])).first()[0]
+    cuts = sorted(set(cuts or []))
+    at = F.when(F.col(key).isNotNull(), F.min(own).over(Window.partitionBy(key))).otherwise(own)
+    passed = sum((F.when(F.col(name) > F.lit(cut), 1).otherwise(0) for cut in cuts), F.lit(0))
+    half = (passed == len(cuts)) & (F.col(name) < end) & (F.pmod(F.xxhash64(key), F.lit(2)) == 0)
+    last = (F.col(name) > end) | half
+    return df.withColumn(name, at).withColumn(name, F.when(last, n - 1).otherwise(passed).cast("bigint"))
+
+
 def stage_arrivals(orders: DataFrame, batch: Column, folder: str, files: int | None = None) -> list[int]:
     """Write orders as JSON lines under ``folder/batch=N``, in up to ``files`` files; the batch ids in order.
 
