@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import bpe
-from .common import stored
+from .common import forget, kept, stored
 
 CAPACITY = 1024
 END_ID = 2
@@ -65,7 +65,7 @@ class JsonCodec:
     library cuts out before it pre-tokenises, go to the library whole.
     """
 
-    _made: dict[str, JsonCodec] = {}
+    _made: dict[str, JsonCodec] = kept({})
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -356,6 +356,7 @@ def layout(plan: list[tuple[dict[int, int], int]], capacity: int) -> Layout:
 
 def _place(plan: Layout):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()  # all texts are tokenised
         for batch in batches:
             column = lambda name: batch.column(name).to_numpy(zero_copy_only=False)
             sequence, offset = plan.place(column("length"), column("rank"))

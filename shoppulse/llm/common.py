@@ -7,6 +7,7 @@ decoding it.  Python's ``bytes.split()`` uses exactly the same separators.
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import uuid
 from collections.abc import Iterator
@@ -97,6 +98,26 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+# ---- memory of the Python workers ---------------------------------------------
+
+_KEPT: list[dict] = []
+
+
+def kept(cache: dict) -> dict:
+    """``cache``, which a worker keeps from task to task until an operator forgets it."""
+    _KEPT.append(cache)
+    return cache
+
+
+def forget() -> None:
+    """Drop what earlier operators keep in this worker, for one that needs the room itself."""
+    if any(_KEPT):
+        for cache in _KEPT:
+            cache.clear()
+        gc.collect()
+    pa.default_memory_pool().release_unused()
+
+
 # ---- text buffers -----------------------------------------------------------
 
 

@@ -41,6 +41,7 @@ from pyspark.sql import functions as F
 from .common import (
     blocks,
     discard,
+    forget,
     mix,
     partitions,
     read,
@@ -92,6 +93,7 @@ def prefix_length(n, percent: int):
 
 def _frequent_map(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         counts = np.zeros(1 << SKETCH_BITS, dtype=np.int64)
         for batch in batches:
             for _, found in shingle_sets(batch.column("text"), width):

@@ -39,6 +39,7 @@ from pyspark.sql import types as T
 
 from .common import (
     blocks,
+    forget,
     mix,
     partitions,
     read,
@@ -99,6 +100,7 @@ def _blocks(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[tuple[Blo
 
 def _histogram_map(width: int, levels: tuple[int, ...]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         counts = np.zeros((len(levels), 1 << HISTOGRAM_BITS), dtype=np.int64)
         text_bytes = 0
         for block, size in _blocks(batches, width):
@@ -206,6 +208,7 @@ LEAVES = "tree int, leaves binary, docs binary, counts binary, starts binary"
 
 def _leaves_map(forest, width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         plan: Forest = forest.value
         part = TaskContext.get().partitionId()
         for block, _ in _blocks(batches, width):
